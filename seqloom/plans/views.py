@@ -55,12 +55,15 @@ def sql_for(dialect: str, table) -> dict[str, str]:
       select sample, read_idx, mate, qname, seq, {qual('cast(length(seq) as int)', 'k')} qual from (
         select concat('s',{s('o_orderkey%3')}) sample, o_orderkey read_idx, 1 mate,
                concat('q',{s('o_orderkey')},' x') qname, o_orderkey k,
-               case when o_orderkey%50=1 then '' else concat(substr({frag},1,cast(60+o_orderkey%36 as int)),{plant}) end seq
+               case when o_orderkey%50=1 then ''
+                    when o_orderkey%10=0 then concat(substr({frag},1,50),'{ADAPTER}')
+                    else concat(substr({frag},1,cast(60+o_orderkey%36 as int)),{plant}) end seq
         from {table('orders')}
         union all
         select concat('s',{s('o_orderkey%3')}) sample, o_orderkey read_idx, 2 mate,
                concat('q',{s('o_orderkey')},' x') qname, o_orderkey+5 k,
                case when o_orderkey%50=2 then ''
+                    when o_orderkey%10=0 then concat({_rc(f"substr({frag},1,50)")},'{ADAPTER}')
                     when o_orderkey%5=0 then {_rc(f"substr({frag},27,70)")}
                     else concat(substr({seq3(k2)},1,cast(60+o_orderkey%36 as int)),{plant}) end seq
         from {table('orders')}) u"""
