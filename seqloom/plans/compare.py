@@ -89,5 +89,5 @@ def check(spark, sf_dir: str, names: list[str], queries: dict, oracles: dict) ->
             if diff is None and not len(got):
                 out[name] = "EMPTY " + out[name]
         except Exception as e:  # noqa: BLE001 - reported per query
-            out[name] = f"ERROR {type(e).__name__}: {str(e)[:900]}"
+            out[name] = f"ERROR {type(e).__name__}: {str(e)[:400]}"
     return out
