@@ -16,8 +16,7 @@ DEPENDS = {
     "t2g": ["features"],
     "chrom_sizes": ["features"],
     "transcripts": ["features"],
-    "aln_blocks": ["alignments"],
-    "peaks": ["alignments"],
+    "mates": ["fragments"],
 }
 
 
@@ -96,7 +95,7 @@ def sql_for(dialect: str, table) -> dict[str, str]:
                cast(l_suppkey%3 as int) nm, cast(l_linenumber%3+1 as int) nh
         from {table('lineitem')}) a"""
     v["fragments"] = f"""
-      select concat('s',{s('l_orderkey%3')}) sample, concat('r',{s('l_orderkey')}) qname,
+      select l_orderkey k, concat('s',{s('l_orderkey%3')}) sample, concat('r',{s('l_orderkey')}) qname,
              cast((case when l_orderkey%9=0 then 128 else 64 end)
                   +(case when l_orderkey%4=0 then 16 else 0 end)*(case when l_suppkey%19=0 then 0 else 1 end)
                   +(case when l_suppkey%19=0 and l_orderkey%4<>0 then 16 else 0 end) as int) flag,
@@ -114,6 +113,14 @@ def sql_for(dialect: str, table) -> dict[str, str]:
                     order by l_partkey,l_suppkey,l_linenumber,l_extendedprice,l_shipdate,l_quantity) rn
                   from {table('lineitem')}) x) y"""
 
+    v["mates"] = """
+      select sample, qname, cast(321+(flag & 16) as int) flag, rname, pos, mapq, cigar, '*' rnext, cast(0 as int) pnext,
+             cast(xi*3+xq as int) xi, cast(0 as int) nh from fragments
+      union all
+      select sample, qname, cast(385+16-(flag & 16)*(case when k%3=0 then 0 else 1 end) as int) flag,
+             case when nm=1 then 'chr5' else rname end rname, cast(pos+200-k%500 as int) pos, mapq, '30M' cigar, '*' rnext,
+             cast(0 as int) pnext, cast(xi*3+xq as int) xi, cast(0 as int) nh from fragments where k%2=1"""
+
     def exon(i: int) -> str:
         return f"""
       select concat('chr',{s('p_partkey%5+1')}) rname, cast((p_partkey*4801)%100000+{1500 * (i - 1)} as int) start,
