@@ -9,7 +9,7 @@ from ..operators import alignments as A, duplicates as D, qc as Q
 from .book import Book
 
 BOOK = Book()
-REF = r"coalesce(list_sum(list_transform(regexp_extract_all(cigar,'(\d+)[MDN=X]',1), lambda x: cast(x as int))),0)"
+REF = r"cast(coalesce(list_sum(list_transform(regexp_extract_all(cigar,'(\d+)[MDN=X]',1), lambda x: cast(x as int))),0) as bigint)"
 _ALN = "aln_id, sample, qname, flag, rname, pos, mapq, cigar, rnext, pnext, tlen, nm, nh"
 ALN = _ALN.split(", ")
 
@@ -249,10 +249,10 @@ _DUP = rf""", u as (select *, case when flag&16>0 then pos-1+{REF}-1 else pos-1-
       from al left join d on d.sample=al.sample and d.qname=al.qname) """
 
 
-@BOOK.add("A21_mark_duplicates", _DENSE1 + _DUP + "select * from o", "alignments")
+@BOOK.add("A21_mark_duplicates", _DENSE1 + _DUP + "select aln_id, flag, coalesce(ds,0) ds, di, dt from o", "alignments")
 def a21(t):
     out = D.mark_duplicates(_dense(t, False), tag_sets=True, tagging_policy="all")
-    return out.select("aln_id", "flag", "ds", "di", "dt")
+    return out.select("aln_id", "flag", F.coalesce("ds", F.lit(0)).alias("ds"), "di", "dt")
 
 
 @BOOK.add("A21_mark_duplicates_pairs", _DENSE2 + _DUP + "select aln_id, flag from o where flag&1024=0", "alignments")
