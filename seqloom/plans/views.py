@@ -17,6 +17,7 @@ DEPENDS = {
     "chrom_sizes": ["features"],
     "transcripts": ["features"],
     "mates": ["fragments"],
+    "pe_fragments": ["fragments"],
 }
 
 
@@ -113,6 +114,9 @@ def sql_for(dialect: str, table) -> dict[str, str]:
                     order by l_partkey,l_suppkey,l_linenumber,l_extendedprice,l_shipdate,l_quantity) rn
                   from {table('lineitem')}) x) y"""
 
+    v["pe_fragments"] = """
+      select sample, qname, cast((case when k%3<>0 and xq=2 then 129 else 65 end)+(flag & 16) as int) flag, rname, pos, mapq, cigar, xi, xq, xx,
+             nm, md, seq, qual from fragments"""
     v["mates"] = """
       select sample, qname, cast(321+(flag & 16) as int) flag, rname, pos, mapq, cigar, '*' rnext, cast(0 as int) pnext,
              cast(xi*3+xq as int) xi, cast(0 as int) nh from fragments
