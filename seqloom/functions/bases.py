@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .staging import evaluate_once
 
 
 def _col(c: Column | str) -> Column:
@@ -36,8 +38,9 @@ def mismatches(a: Column, b: Column, *, any_base: str = "") -> Column:
     return F.size(F.filter(pairs, differs))
 
 
-def keep_span(df, first: Column, length: Column):
-    """Cut ``seq`` and ``qual`` to ``length`` characters from 1-based ``first``."""
-    df = df.withColumn("_first", first.cast("int")).withColumn("_len", F.greatest(length.cast("int"), F.lit(0)))
+def keep_span(df: DataFrame, first: Column, length: Column, *, costly: bool = False) -> DataFrame:
+    """Cut ``seq`` and ``qual`` to ``length`` characters from 1-based ``first``; ``costly`` bounds are evaluated once."""
+    bounds = {"_first": first.cast("int"), "_len": F.greatest(length.cast("int"), F.lit(0))}
+    df = evaluate_once(df, **bounds) if costly else df.withColumns(bounds)
     cut = {c: F.substr(F.col(c), F.col("_first"), F.col("_len")) for c in ("seq", "qual") if c in df.columns}
     return df.withColumns(cut).drop("_first", "_len")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -18,3 +18,14 @@ def stage(df: DataFrame) -> DataFrame:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="seqloom-checkpoint-"))
     return df.checkpoint()
+
+
+def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add ``columns`` through a one-row generator.
+
+    Filters on a projected column are pushed below the projection with its expression copied, and so are
+    evaluated again; nothing is pushed or copied through a generator. For costly array folds only.
+    """
+    packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    keep = [c for c in df.columns if c not in columns]
+    return df.select(*keep, F.inline(packed))

@@ -98,3 +98,14 @@ def count_matrix(counts: DataFrame, samples: Sequence[str], *, key: str = "targe
     """One column per sample of the given list; absent entries are 0."""
     wide = counts.groupBy(key).pivot("sample", list(samples)).agg(F.sum(value))
     return wide.na.fill(0, subset=list(samples))
+
+
+def gene_clusters(genes: DataFrame, *, prefix: str = "cluster") -> DataFrame:
+    """Legend (gene_id, cluster_id, n_genes) of genes that overlap or touch on one sequence."""
+    from .intervals import merge_intervals, overlap_join
+
+    spans = genes.groupBy("gene_id", "rname").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    loci = merge_intervals(spans)
+    inside = overlap_join(spans, loci, min_overlap=0)
+    name = F.concat_ws("_", F.lit(prefix), "rname", F.col("r_start").cast("string"))
+    return inside.select("gene_id", name.alias("cluster_id"), F.col("r_n").alias("n_genes"))

@@ -63,9 +63,9 @@ def quality_trim(df: DataFrame, *, cutoff: int, base: int = 33, both_ends: bool
     """Cut the 3' end where the suffix sum of (quality - cutoff) is smallest and negative."""
     stop = F.length("qual") - _bad_tail(F.reverse(bases.scores("qual", base=base)), cutoff)
     if not both_ends:
-        return bases.keep_span(df, F.lit(1), stop)
+        return bases.keep_span(df, F.lit(1), stop, costly=True)
     head = _bad_tail(bases.scores("qual", base=base), cutoff)
-    return bases.keep_span(df, head + 1, stop - head)
+    return bases.keep_span(df, head + 1, stop - head, costly=True)
 
 
 def _bad_tail(from_end: Column, cutoff: int) -> Column:
@@ -124,7 +124,7 @@ def trim_terminal(df: DataFrame, *, ns: bool = True, min_quality: int | None = N
             )
     lead = F.length(F.regexp_extract(mask, "^(x*)", 1))
     rest = F.length(F.rtrim(F.translate(F.translate(mask, " ", "_"), "x", " ")))
-    return bases.keep_span(df, lead + 1, rest - lead)
+    return bases.keep_span(df, lead + 1, rest - lead, costly=True)
 
 
 def filter_max_n(df: DataFrame, *, max_n: int, paired: bool = False) -> DataFrame:

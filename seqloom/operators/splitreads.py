@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import cigar, flags
+from ..functions.staging import evaluate_once
 from ..options import choice, positive, require
 
 READ = ["sample", "qname", "mate"]
@@ -30,7 +31,8 @@ def _gathered(fragments: DataFrame, keys: Sequence[str], length_mode: str) -> Da
         "by_read",
         lambda f, i: F.struct(f["pos"].alias("pos"), i.alias("rank"), f["xq"].alias("xq"), f["len"].alias("len"), *[f[c].alias(c) for c in FIELDS]),
     )
-    return rows.select(*keys, F.sort_array(renumbered).alias("frags")).withColumn("n_frags", F.size("frags"))
+    ordered = evaluate_once(rows, frags=F.sort_array(renumbered)).drop("by_read")
+    return ordered.withColumn("n_frags", F.size("frags"))
 
 
 def _neighbours(rule) -> Column:
@@ -55,8 +57,8 @@ def _merge_md(a: Column, b: Column) -> Column:
     return F.when((tail != "") & (head != ""), summed).otherwise(F.concat(a, b))
 
 
-def _joined_fields() -> dict[str, Column]:
-    """Fields of the record joined from ``frags``; the first fragment gives flag, position and names."""
+def _fold() -> Column:
+    """CIGAR and MD of the record joined from ``frags``."""
     first = F.col("frags")[0]
     rest = F.slice("frags", F.lit(2), F.size("frags"))
     start = F.struct(first["cigar"].alias("c"), (first["pos"] + first["len"]).alias("e"), first["md"].alias("md"))
@@ -65,7 +67,12 @@ def _joined_fields() -> dict[str, Column]:
         text = F.concat(acc["c"], (f["pos"] - acc["e"]).cast("string"), F.lit("N"), f["cigar"])
         return F.struct(text.alias("c"), (f["pos"] + f["len"]).alias("e"), _merge_md(acc["md"], f["md"]).alias("md"))
 
-    folded = F.aggregate(rest, start, step)
+    return F.aggregate(rest, start, step)
+
+
+def _joined_fields() -> dict[str, Column]:
+    """Fields of the joined record, given ``_fold``; the first fragment gives flag, position and names."""
+    first, folded = F.col("frags")[0], F.col("_fold")
     every = lambda c: F.transform("frags", lambda f: f[c])
     return {
         "flag": first["flag"],
@@ -119,7 +126,7 @@ def split_mappings(fragments: DataFrame, *, max_dist: int = 200000) -> DataFrame
     reason, rule = _classify(max_dist)
     rows = _gathered(f, [*READ, "xi"], "ungapped").join(chosen, [*READ, "xi"])
     codes = F.filter(_neighbours(rule), lambda c: c.isNotNull())
-    return rows.withColumn("_codes", codes).withColumn("reason", reason).drop("_codes")
+    return evaluate_once(rows, _codes=codes).withColumn("reason", reason).drop("_codes")
 
 
 def join_split_reads(
@@ -138,7 +145,8 @@ def join_split_reads(
         motif = junction_strands(good, genome, chunk=chunk)
         good = good.join(motif, [*READ, "xi"], "left")
         good = good.withColumns({"xs_sure": F.col("motif_strand").isNotNull(), "xs": F.coalesce("motif_strand", F.lit("+"))})
-    return good.withColumns(_joined_fields()).drop("frags", "n_frags", "reason", "mate", "motif_strand")
+    good = evaluate_once(good, _fold=_fold()).withColumns(_joined_fields())
+    return good.drop("frags", "n_frags", "reason", "mate", "motif_strand", "_fold")
 
 
 def chunk_edges(genome: DataFrame, *, extra: int) -> DataFrame:
@@ -232,7 +240,7 @@ def template_mappings(
         f = f.withColumn("flag", flags.clear(flags.SECOND, flags.put(flags.FIRST)))
     f = f.withColumn("mate", flags.mate_number())
     keys = ["sample", "qname", "xi", "mate"]
-    rows = _gathered(f, keys, "read").withColumn("state", _state(distance))
+    rows = evaluate_once(_gathered(f, keys, "read"), state=_state(distance), _fold=_fold())
     rows = rows.withColumn("single", F.col("state").isNull() | (F.col("state") == "OK"))
     motifs = seq_type == "RNA" and library_type == "unstranded"
     if motifs and genome is not None:
