@@ -288,8 +288,9 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
         every = every.unionByName(f)
     best = every.groupBy("transcript_id").agg(F.min("rank").alias("rank"))
     codes = F.array(*[F.lit(c) for c in CODE_ORDER])
+    unknown = F.lit(CODE_ORDER.index("u"))
     return q.select("transcript_id").join(best, "transcript_id", "left").select(
-        "transcript_id", F.coalesce(F.element_at(codes, F.col("rank") + 1), F.lit("u")).alias("class_code")
+        "transcript_id", F.element_at(codes, F.coalesce("rank", unknown) + 1).alias("class_code")
     )
 
 
