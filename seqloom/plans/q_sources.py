@@ -259,7 +259,7 @@ def s11(t):
 
 
 def _summary_lines(t):
-    per = t.alignments.groupBy("sample", (F.col("nm") + 1).alias("step_no")).agg(
+    per = t.alignments.groupBy("sample", (F.col("pos") % 3 + 1).alias("step_no")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.expr("mapq < 5")).alias("u"), F.count_if(F.expr("mapq >= 5 and nh = 1")).alias("o"),
         F.count_if(F.expr("mapq >= 5 and nh > 1")).alias("m"),
     )
@@ -278,7 +278,7 @@ def _summary_lines(t):
 
 @BOOK.add(
     "S12_read_align_summary",
-    """select concat(sample,'#',cast(nm+1 as varchar)) file, count(*) "input", count(*) filter (where mapq<5) unaligned, count(*) filter (where mapq>=5 and nh=1) unique_hits, count(*) filter (where mapq>=5 and nh>1) multiple_hits from alignments group by 1""",
+    """select concat(sample,'#',cast(pos%3+1 as varchar)) file, count(*) "input", count(*) filter (where mapq<5) unaligned, count(*) filter (where mapq>=5 and nh=1) unique_hits, count(*) filter (where mapq>=5 and nh>1) multiple_hits from alignments group by 1""",
     "alignments",
 )
 def s12(t):
@@ -287,7 +287,7 @@ def s12(t):
 
 @BOOK.add(
     "Q10_successive_screen_summary",
-    _NAMED + """, s as (select sample, nm+1 step_no, count(*) filter (where mapq<5) unaligned, count(*) filter (where mapq>=5 and nh=1) unique_hits, count(*) filter (where mapq>=5 and nh>1) multiple_hits from alignments group by 1,2),
+    _NAMED + """, s as (select sample, pos%3+1 step_no, count(*) filter (where mapq<5) unaligned, count(*) filter (where mapq>=5 and nh=1) unique_hits, count(*) filter (where mapq>=5 and nh>1) multiple_hits from alignments group by 1,2),
        c as (select sample, case when flag=16 then 'sense' else 'antisense' end sense, cast(sum(n) as bigint) n from tg group by 1,2),
        l as (select sample, step_no, k "key", v "value" from s, lateral (values ('unique_hits',unique_hits),('multiple_hits',multiple_hits),('unaligned',unaligned)) x(k,v) where step_no<>2 and (k<>'unaligned' or step_no=3)
          union all select sample, 2, sense, n from c)
