@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .staging import evaluate_once
 
@@ -15,6 +19,28 @@ def reverse_complement(seq: Column | str = "seq") -> Column:
     return F.reverse(F.translate(_col(seq), "ACGTNacgtn", "TGCANtgcan"))
 
 
+def byte_matrix(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of a batch as a zero-padded byte matrix with their lengths."""
+    lengths = texts.str.len().fillna(0).to_numpy(dtype=np.int64)
+    width = int(lengths.max()) if len(lengths) else 0
+    if width == 0:
+        return np.zeros((len(texts), 0), np.uint8), lengths
+    flat = texts.fillna("").to_numpy().astype(f"S{width}")
+    return flat.view(np.uint8).reshape(len(texts), width), lengths
+
+
+def sum_of_good_scores(qual: Column, *, floor: int = 15, base: int = 33) -> Column:
+    """Sum of the base qualities of at least ``floor``, one vectorised pass per Arrow batch."""
+
+    @F.pandas_udf(T.LongType())
+    def total(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            q = byte_matrix(batch)[0].astype(np.int64) - base
+            yield pd.Series(np.where(q >= floor, q, 0).sum(1))
+
+    return total(qual)
+
+
 def letters(text: Column | str) -> Column:
     """String to array of characters; the empty string gives an empty array."""
     c = _col(text)

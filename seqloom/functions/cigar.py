@@ -36,13 +36,23 @@ def _sum_of(cigar: Column | str, kinds: tuple[str, ...]) -> Column:
     return F.aggregate(kept, F.lit(0), lambda acc, o: acc + o["n"])
 
 
+def _plain(cigar: Column | str) -> Column:
+    """One ``M`` run, the commonest CIGAR: its length needs no walk over operations."""
+    return _col(cigar).rlike(r"^\d+M$")
+
+
+def _plain_len(cigar: Column | str) -> Column:
+    c = _col(cigar)
+    return F.substr(c, F.lit(1), F.length(c) - 1).cast("int")
+
+
 def ref_len(cigar: Column | str = "cigar", *, mode: str = "standard") -> Column:
     choice("mode", mode, REF_OPS)
-    return _sum_of(cigar, REF_OPS[mode])
+    return F.when(_plain(cigar), _plain_len(cigar)).otherwise(_sum_of(cigar, REF_OPS[mode]))
 
 
 def query_len(cigar: Column | str = "cigar") -> Column:
-    return _sum_of(cigar, QUERY_OPS)
+    return F.when(_plain(cigar), _plain_len(cigar)).otherwise(_sum_of(cigar, QUERY_OPS))
 
 
 def max_gap(cigar: Column | str = "cigar") -> Column:
@@ -81,7 +91,10 @@ def blocks(pos: Column | str = "pos", cigar: Column | str = "cigar") -> Column:
         every = F.concat(acc["done"], F.array(F.struct(acc["at"].alias("start"), acc["stop"].alias("end"))))
         return F.filter(every, lambda b: b["end"] > b["start"])
 
-    return F.aggregate(ops(cigar), state, step, finish)
+    size = ref_len(cigar)
+    whole = F.array(F.struct(first.alias("start"), (first + size).alias("end")))
+    gapless = F.when(size > 0, whole).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    return F.when(F.contains(_col(cigar), F.lit("N")), F.aggregate(ops(cigar), state, step, finish)).otherwise(gapless)
 
 
 def introns(pos: Column | str = "pos", cigar: Column | str = "cigar") -> Column:
@@ -95,15 +108,16 @@ def introns(pos: Column | str = "pos", cigar: Column | str = "cigar") -> Column:
 
 def clip_before(cigar: Column | str = "cigar") -> Column:
     """Bases clipped (S or H) before the first aligned base."""
-    return _clip(F.regexp_extract(_col(cigar), r"^((?:\d+[SH])*)", 1))
+    return _clip(cigar, F.regexp_extract(_col(cigar), r"^((?:\d+[SH])*)", 1))
 
 
 def clip_after(cigar: Column | str = "cigar") -> Column:
-    return _clip(F.regexp_extract(_col(cigar), r"((?:\d+[SH])*)$", 1))
+    return _clip(cigar, F.regexp_extract(_col(cigar), r"((?:\d+[SH])*)$", 1))
 
 
-def _clip(part: Column) -> Column:
-    return F.aggregate(ops(part), F.lit(0), lambda acc, o: acc + o["n"])
+def _clip(cigar: Column | str, part: Column) -> Column:
+    clipped = _col(cigar).rlike("[SH]")
+    return F.when(clipped, F.aggregate(ops(part), F.lit(0), lambda acc, o: acc + o["n"])).otherwise(0)
 
 
 def five_prime(pos: Column | str = "pos", cigar: Column | str = "cigar", reverse: Column | None = None) -> Column:

@@ -28,16 +28,6 @@ def _exact_pattern(adapters: Sequence[str], where: str, overlap: int) -> str:
     return "|".join(parts)
 
 
-def _codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Strings as a zero-padded byte matrix with their lengths."""
-    lengths = texts.str.len().to_numpy()
-    width = int(lengths.max()) if len(lengths) else 0
-    if width == 0:
-        return np.zeros((len(texts), 0), np.uint8), lengths
-    flat = texts.to_numpy().astype(f"S{width}")
-    return flat.view(np.uint8).reshape(len(texts), width), lengths
-
-
 def _search(adapters: Sequence[str], where: str, rate: float, overlap: int, adapter_n: bool, read_n: bool):
     """Pandas UDF finding the best placement of any adapter with bounded mismatches.
 
@@ -49,7 +39,7 @@ def _search(adapters: Sequence[str], where: str, rate: float, overlap: int, adap
     @F.pandas_udf(_HIT)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for seq in batches:
-            codes, lengths = _codes(seq)
+            codes, lengths = bases.byte_matrix(seq)
             best = np.zeros(len(seq), np.int64)
             start = np.full(len(seq), -1, np.int64)
             stop = np.full(len(seq), -1, np.int64)

@@ -140,6 +140,9 @@ def assign_units(
     else:
         target = F.col(group)
     side = wanted.select("rname", "start", "end", "strand", target.alias("target"))
+    if not per_feature:
+        # Overlapping features of one target become one interval: fewer pairs, and every base counts once.
+        side = _merged(side, ["rname", "strand", "target"])
     how = {0: "no", 1: "same", 2: "opposite"}[strandness]
     hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, bin_size=bin_size)
     per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(F.sum("overlap").alias("bases"))

@@ -19,8 +19,7 @@ KEY = ["sample", "barcode", "end1", "end2"]
 
 def _score(scoring: str, seed: int) -> Column:
     if scoring == "sum_of_base_qualities":
-        good = F.filter(bases.scores("qual"), lambda q: q >= 15)
-        return F.aggregate(good, F.lit(0), lambda a, q: a + q).cast("bigint")
+        return bases.sum_of_good_scores(F.col("qual"))
     if scoring == "total_mapped_reference_length":
         return cigar.ref_len().cast("bigint")
     return F.xxhash64(F.lit(seed), F.col("qname"))

@@ -10,7 +10,6 @@ import numpy as np
 
 from ..functions import bases
 from ..options import positive
-from .adapters import _codes
 from .reads import pairs_of
 
 
@@ -23,8 +22,8 @@ def _overlap(min_overlap: int, max_mismatch: float):
     @F.pandas_udf("struct<shift:int,size:int,mismatches:int>")
     def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for one, two in batches:
-            a, la = _codes(one)
-            b, lb = _codes(two)
+            a, la = bases.byte_matrix(one)
+            b, lb = bases.byte_matrix(two)
             shift = np.zeros(len(one), np.int64)
             size = np.zeros(len(one), np.int64)
             wrong = np.zeros(len(one), np.int64)

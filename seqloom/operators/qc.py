@@ -6,31 +6,77 @@ domains (qualities, bases, k-mers), never bases.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import bases
 from ..options import choice, fail_when
 
 def _n() -> Column:
     return F.count(F.lit(1)).alias("n")
 
 
+def _base_counts(batches: Iterator[pd.DataFrame], base: int) -> Iterator[pd.DataFrame]:
+    """Count (sample, mate, cycle, quality, base) per Arrow batch, so bases never become rows."""
+    for pdf in batches:
+        pdf = pdf[pdf["qual"].str.len().fillna(0) > 0]
+        if not len(pdf):
+            continue
+        for (sample, mate), part in pdf.groupby(["sample", "mate"], sort=False):
+            seq, _ = bases.byte_matrix(part["seq"].str.upper())
+            qual, _ = bases.byte_matrix(part["qual"])
+            width = min(seq.shape[1], qual.shape[1])
+            cell = (np.arange(width) << 16) + (qual[:, :width].astype(np.int64) << 8) + seq[:, :width]
+            keys, n = np.unique(cell[qual[:, :width] != 0], return_counts=True)
+            yield pd.DataFrame(
+                {
+                    "sample": sample, "mate": mate, "cycle": (keys >> 16) + 1, "q": ((keys >> 8) & 255) - base,
+                    "base": [chr(c) for c in keys & 255], "n": n,
+                }
+            )
+
+
+def _kmer_counts(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """Count k-mers per sample and Arrow batch; a k-mer is a number in the alphabet of the batch."""
+    for pdf in batches:
+        pdf = pdf[pdf["seq"].str.len().fillna(0) >= k]
+        for sample, part in pdf.groupby("sample", sort=False):
+            text, lengths = bases.byte_matrix(part["seq"])
+            alphabet = np.unique(text)
+            alphabet = alphabet[alphabet != 0]
+            digit = np.zeros(256, np.int64)
+            digit[alphabet] = np.arange(len(alphabet))
+            codes = digit[text]
+            width = text.shape[1] - k + 1
+            number = np.zeros((len(part), width), np.int64)
+            for j in range(k):
+                number = number * len(alphabet) + codes[:, j : j + width]
+            number = number[np.arange(width) < (lengths - k + 1)[:, None]]
+            if len(alphabet) ** k <= 1 << 22:
+                counts = np.bincount(number)
+                keys = np.flatnonzero(counts)
+                n = counts[keys]
+            else:
+                keys, n = np.unique(number, return_counts=True)
+            letters = np.empty((len(keys), k), np.uint8)
+            rest = keys.copy()
+            for j in range(k - 1, -1, -1):
+                letters[:, j] = alphabet[rest % len(alphabet)]
+                rest //= len(alphabet)
+            names = letters.reshape(-1).view(f"S{k}").astype(str)
+            yield pd.DataFrame({"sample": sample, "kmer": names, "n": n})
+
+
 def cycle_quality_stats(reads: DataFrame, *, base: int = 33) -> DataFrame:
     """Per sample, mate and cycle: count, min, max, sum, mean, quartiles and base counts."""
-    at = reads.filter(F.length("qual") > 0).select(
-        "sample", "mate", "seq", "qual", F.explode(F.sequence(F.lit(1), F.length("qual"))).alias("cycle")
-    )
-    per_value = (
-        at.select(
-            "sample", "mate", "cycle",
-            (F.ascii(F.substr("qual", F.col("cycle"), F.lit(1))) - base).alias("q"),
-            F.upper(F.substr("seq", F.col("cycle"), F.lit(1))).alias("base"),
-        )
-        .groupBy("sample", "mate", "cycle", "q", "base")
-        .agg(_n())
+    counted = reads.select("sample", F.col("mate").cast("int").alias("mate"), "seq", "qual").mapInPandas(
+        lambda batches: _base_counts(batches, base), "sample string, mate int, cycle int, q int, base string, n bigint"
     )
+    per_value = counted.groupBy("sample", "mate", "cycle", "q", "base").agg(F.sum("n").alias("n"))
     quartiles = F.percentile("q", [0.25, 0.5, 0.75], F.col("n"))
     stats = per_value.groupBy("sample", "mate", "cycle").agg(
         F.sum("n").alias("all_count"),
@@ -59,7 +105,8 @@ def kmers(seq: Column | str, k: int, *, distinct: bool = False) -> Column:
 def kmer_content(reads: DataFrame, *, k: int = 7) -> DataFrame:
     """Occurrences of every k-mer per sample."""
     choice("k", k, range(2, 11))
-    return reads.select("sample", F.explode(kmers("seq", k)).alias("kmer")).groupBy("sample", "kmer").agg(_n())
+    counted = reads.select("sample", "seq").mapInPandas(lambda b: _kmer_counts(b, k), "sample string, kmer string, n bigint")
+    return counted.groupBy("sample", "kmer").agg(F.sum("n").alias("n"))
 
 
 def _named(pairs: Sequence[tuple[str, str]]) -> Column:

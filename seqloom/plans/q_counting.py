@@ -95,8 +95,9 @@ def x6b(t):
 
 _HIT = """with {blocks}, rd as (select a.*, case when (flag&129)=129 then case when flag&16>0 then '+' else '-' end else case when flag&16>0 then '-' else '+' end end st from alignments a),
   ok as (select * from rd where {keep}),
-  h as (select ok.aln_id, f.{target} target, sum(least(b."end",f."end")-greatest(b.start,f.start)) bases from ok join blocks b using (aln_id)
-        join features f on f.rname=ok.rname and b.start<f."end" and f.start<b."end" {strand} group by 1,2 having sum(least(b."end",f."end")-greatest(b.start,f.start))>={minov}),
+  hp as (select ok.aln_id, f.{target} target, greatest(b.start,f.start) s, least(b."end",f."end") e from ok join blocks b using (aln_id)
+        join features f on f.rname=ok.rname and b.start<f."end" and f.start<b."end" {strand}),
+  h as (select aln_id, target, count(distinct p) bases from (select aln_id, target, unnest(range(s,e)) p from hp) group by 1,2 having count(distinct p)>={minov}),
   pr as (select aln_id, count(*) k, min(target) target from h group by 1) """
 
 
