@@ -21,7 +21,7 @@ def reverse_complement(seq: Column | str = "seq") -> Column:
 
 def byte_matrix(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Strings of a batch as a zero-padded byte matrix with their lengths."""
-    lengths = texts.str.len().fillna(0).to_numpy(dtype=np.int64)
+    lengths = text_lengths(texts)
     width = int(lengths.max()) if len(lengths) else 0
     if width == 0:
         return np.zeros((len(texts), 0), np.uint8), lengths
@@ -29,14 +29,33 @@ def byte_matrix(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return flat.view(np.uint8).reshape(len(texts), width), lengths
 
 
+def even_slices(lengths: np.ndarray, *, cells: int = 1 << 22) -> Iterator[np.ndarray]:
+    """Row numbers of a batch in groups of similar length whose byte matrix stays below ``cells`` (or one row)."""
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        stop = at + 1
+        while stop < len(order) and (stop - at + 1) * int(lengths[order[stop]]) <= cells:
+            stop += 1
+        yield order[at:stop]
+        at = stop
+
+
+def text_lengths(texts: pd.Series) -> np.ndarray:
+    return texts.str.len().fillna(0).to_numpy(dtype=np.int64)
+
+
 def sum_of_good_scores(qual: Column, *, floor: int = 15, base: int = 33) -> Column:
     """Sum of the base qualities of at least ``floor``, one vectorised pass per Arrow batch."""
 
     @F.pandas_udf(T.LongType())
     def total(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            q = byte_matrix(batch)[0].astype(np.int64) - base
-            yield pd.Series(np.where(q >= floor, q, 0).sum(1))
+            out = np.zeros(len(batch), np.int64)
+            for rows in even_slices(text_lengths(batch)):
+                q = byte_matrix(batch.iloc[rows])[0].astype(np.int64) - base
+                out[rows] = np.where(q >= floor, q, 0).sum(1)
+            yield pd.Series(out)
 
     return total(qual)
 

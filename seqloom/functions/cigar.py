@@ -36,23 +36,30 @@ def _sum_of(cigar: Column | str, kinds: tuple[str, ...]) -> Column:
     return F.aggregate(kept, F.lit(0), lambda acc, o: acc + o["n"])
 
 
-def _plain(cigar: Column | str) -> Column:
-    """One ``M`` run, the commonest CIGAR: its length needs no walk over operations."""
-    return _col(cigar).rlike(r"^\d+M$")
+# The commonest shapes need no walk over operations: one M run, possibly clipped, and one gap between M runs.
+_ONE_RUN = r"^(?:\d+[SH])*(\d+)M(?:\d+[SH])*$"
+_ONE_GAP = r"^(?:\d+[SH])*(\d+)M(\d+)N(\d+)M(?:\d+[SH])*$"
 
 
-def _plain_len(cigar: Column | str) -> Column:
+def _int(cigar: Column | str, pattern: str, group: int) -> Column:
+    return F.regexp_extract(_col(cigar), pattern, group).cast("int")
+
+
+def _pure_len(cigar: Column | str) -> Column:
     c = _col(cigar)
     return F.substr(c, F.lit(1), F.length(c) - 1).cast("int")
 
 
 def ref_len(cigar: Column | str = "cigar", *, mode: str = "standard") -> Column:
     choice("mode", mode, REF_OPS)
-    return F.when(_plain(cigar), _plain_len(cigar)).otherwise(_sum_of(cigar, REF_OPS[mode]))
+    walked = _sum_of(cigar, REF_OPS[mode])
+    if mode == "read":
+        return F.when(_col(cigar).rlike(r"^\d+M$"), _pure_len(cigar)).otherwise(walked)
+    return F.when(_col(cigar).rlike(_ONE_RUN), _int(cigar, _ONE_RUN, 1)).otherwise(walked)
 
 
 def query_len(cigar: Column | str = "cigar") -> Column:
-    return F.when(_plain(cigar), _plain_len(cigar)).otherwise(_sum_of(cigar, QUERY_OPS))
+    return F.when(_col(cigar).rlike(r"^\d+M$"), _pure_len(cigar)).otherwise(_sum_of(cigar, QUERY_OPS))
 
 
 def max_gap(cigar: Column | str = "cigar") -> Column:
@@ -94,7 +101,13 @@ def blocks(pos: Column | str = "pos", cigar: Column | str = "cigar") -> Column:
     size = ref_len(cigar)
     whole = F.array(F.struct(first.alias("start"), (first + size).alias("end")))
     gapless = F.when(size > 0, whole).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-    return F.when(F.contains(_col(cigar), F.lit("N")), F.aggregate(ops(cigar), state, step, finish)).otherwise(gapless)
+    head, gap, tail = (_int(cigar, _ONE_GAP, g) for g in (1, 2, 3))
+    two = F.array(
+        F.struct(first.alias("start"), (first + head).alias("end")),
+        F.struct((first + head + gap).alias("start"), (first + head + gap + tail).alias("end")),
+    )
+    gapped = F.when(_col(cigar).rlike(_ONE_GAP), two).otherwise(F.aggregate(ops(cigar), state, step, finish))
+    return F.when(F.contains(_col(cigar), F.lit("N")), gapped).otherwise(gapless)
 
 
 def introns(pos: Column | str = "pos", cigar: Column | str = "cigar") -> Column:

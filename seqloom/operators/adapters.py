@@ -36,36 +36,42 @@ def _search(adapters: Sequence[str], where: str, rate: float, overlap: int, adap
     """
     n_code = ord("N")
 
+    def place(seq: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        codes, lengths = bases.byte_matrix(seq)
+        best = np.zeros(len(seq), np.int64)
+        start = np.full(len(seq), -1, np.int64)
+        stop = np.full(len(seq), -1, np.int64)
+        width = codes.shape[1]
+        for a in adapters:
+            pattern = np.frombuffer(a.encode(), np.uint8)
+            free = (pattern == n_code) if adapter_n else np.zeros(len(pattern), bool)
+            first = -(len(a) - overlap) if where in "gb" else 0
+            for at in range(first, max(width - overlap, 0) + 1):
+                lo, hi = max(at, 0), min(at + len(a), width)
+                if hi - lo < overlap:
+                    continue
+                window, part, any_base = codes[:, lo:hi], pattern[lo - at : hi - at], free[lo - at : hi - at]
+                inside = window != 0
+                hit = ((window == part) | any_base) & inside
+                if read_n:
+                    hit |= (window == n_code) & inside
+                used, same = inside.sum(1), hit.sum(1)
+                whole = used == len(a)
+                partial = (used == lengths - at) if where in "ab" else np.zeros(len(seq), bool)
+                if at < 0:
+                    partial = used == hi - lo
+                ok = (whole | partial) & (used >= overlap) & (used - same <= np.floor(rate * used + 1e-9))
+                better = ok & ((same > best) | ((same == best) & (start >= 0) & (lo < start)))
+                best[better], start[better], stop[better] = same[better], lo, (lo + used)[better]
+        return start, stop
+
     @F.pandas_udf(_HIT)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for seq in batches:
-            codes, lengths = bases.byte_matrix(seq)
-            best = np.zeros(len(seq), np.int64)
-            start = np.full(len(seq), -1, np.int64)
-            stop = np.full(len(seq), -1, np.int64)
-            width = codes.shape[1]
-            for a in adapters:
-                pattern = np.frombuffer(a.encode(), np.uint8)
-                free = (pattern == n_code) if adapter_n else np.zeros(len(pattern), bool)
-                first = -(len(a) - overlap) if where in "gb" else 0
-                for at in range(first, max(width - overlap, 0) + 1):
-                    lo, hi = max(at, 0), min(at + len(a), width)
-                    if hi - lo < overlap:
-                        continue
-                    window, part, any_base = codes[:, lo:hi], pattern[lo - at : hi - at], free[lo - at : hi - at]
-                    inside = window != 0
-                    hit = ((window == part) | any_base) & inside
-                    if read_n:
-                        hit |= (window == n_code) & inside
-                    used, same = inside.sum(1), hit.sum(1)
-                    whole = used == len(a)
-                    partial = (used == lengths - at) if where in "ab" else np.zeros(len(seq), bool)
-                    if at < 0:
-                        partial = used == hi - lo
-                    ok = (whole | partial) & (used >= overlap) & (used - same <= np.floor(rate * used + 1e-9))
-                    better = ok & ((same > best) | ((same == best) & (start >= 0) & (lo < start)))
-                    best[better], start[better], stop[better] = same[better], lo, (lo + used)[better]
-            yield pd.DataFrame({"start": start, "stop": stop}).astype("int32")
+        for batch in batches:
+            out = np.full((len(batch), 2), -1, np.int64)
+            for rows in bases.even_slices(bases.text_lengths(batch)):
+                out[rows] = np.column_stack(place(batch.iloc[rows]))
+            yield pd.DataFrame({"start": out[:, 0], "stop": out[:, 1]}).astype("int32")
 
     return search
 

@@ -36,14 +36,13 @@ def depth_runs(
     """
     by = list(by)
     ends = F.array(
-        F.struct(F.col("start").alias("pos"), F.lit(1).alias("delta")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("delta"))
+        F.struct(F.col("start").alias("pos"), F.lit(1).alias("depth")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("depth"))
     )
-    events = intervals.filter("end > start").select(*by, F.inline(ends)).withColumn("fixed", F.lit(0))
+    events = intervals.filter("end > start").select(*by, F.inline(ends))
     if forced is not None:
-        events = events.unionByName(forced.select(*by, "pos", F.lit(0).alias("delta"), F.lit(1).alias("fixed")))
-    steps = events.groupBy(*by, "pos").agg(F.sum("delta").alias("depth"), F.max("fixed").alias("fixed"))
-    steps = steps.filter("depth <> 0 or fixed = 1").drop("fixed")
-    runs = step_runs(steps, ["depth"], by=by, tile=tile)
+        fixed = forced.select(*by, "pos", F.lit(0).alias("depth"), F.lit(1).alias("fixed"))
+        events = events.withColumn("fixed", F.lit(0)).unionByName(fixed)
+    runs = step_runs(events, ["depth"], by=by, tile=tile)
     if cap is None:
         return runs
     return join_equal_runs(runs.withColumn("depth", F.least(F.col("depth"), F.lit(cap))), "depth", by=by, tile=tile)

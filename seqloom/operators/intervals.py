@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..options import choice, positive
 
-TILE = 1 << 20
+TILE = 1 << 16
 
 
 def bin_of(position: Column, size: int) -> Column:
@@ -101,14 +101,17 @@ def _before(by: Sequence[str], order: str) -> Window:
     return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def with_tile(df: DataFrame, position: str, by: Sequence[str], tile: int) -> DataFrame:
+    tiled = df.withColumn("_tile", bin_of(F.col(position), tile))
+    return tiled.filter(F.col("_tile").isNotNull())
+
+
 def merge_intervals(df: DataFrame, *, gap: int = 0, by: Sequence[str] = ("rname",), tile: int = TILE) -> DataFrame:
     """Merge intervals that overlap, touch or lie at most ``gap`` apart; ``n`` counts the merged rows."""
     by = list(by)
     within = Window.partitionBy(*by, "_tile").orderBy("start")
-    starts = (
-        df.groupBy(*by, "start")
-        .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n"))
-        .withColumn("_tile", bin_of(F.col("start"), tile))
+    starts = with_tile(df, "start", by, tile).groupBy(*by, "_tile", "start").agg(
+        F.max("end").alias("end"), F.count(F.lit(1)).alias("n")
     )
     tiles = starts.groupBy(*by, "_tile").agg(F.max("end").alias("_end"))
     tiles = tiles.withColumn("_reach0", F.max("_end").over(_before(by, "_tile"))).drop("_end")
@@ -126,11 +129,16 @@ def merge_intervals(df: DataFrame, *, gap: int = 0, by: Sequence[str] = ("rname"
 def step_runs(steps: DataFrame, values: Sequence[str], *, by: Sequence[str], tile: int = TILE) -> DataFrame:
     """Runs between neighbouring positions with the running sums of ``values`` on them.
 
-    ``steps`` has one row per (``by``, ``pos``). The last position of a group only ends a run. One summary row per tile
+    ``steps`` may have several rows per (``by``, ``pos``), which are added up; a position where nothing changes
+    ends no run unless a row there has ``fixed`` set. The last position of a group only ends a run. One summary row per tile
     carries the sums and the next tile's first position over the border.
     """
     by = list(by)
-    tiled = steps.withColumn("_tile", bin_of(F.col("pos"), tile))
+    # The keys are filtered here, on both uses of the rows, so that Spark computes and shuffles them once.
+    tiled = with_tile(steps, "pos", by, tile)
+    fixed = [F.max("fixed").alias("fixed")] if "fixed" in steps.columns else []
+    tiled = tiled.groupBy(*by, "_tile", "pos").agg(*[F.sum(v).alias(v) for v in values], *fixed)
+    tiled = tiled.filter(" or ".join([f"{v} <> 0" for v in values] + (["fixed = 1"] if fixed else []))).drop("fixed")
     tiles = tiled.groupBy(*by, "_tile").agg(*[F.sum(v).alias(f"_t_{v}") for v in values], F.min("pos").alias("_first"))
     before = _before(by, "_tile")
     tiles = tiles.select(
@@ -141,8 +149,7 @@ def step_runs(steps: DataFrame, values: Sequence[str], *, by: Sequence[str], til
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
     sums = [(F.col(f"_c_{v}") + F.sum(v).over(upto)).alias(v) for v in values]
     end = F.coalesce(F.lead("pos").over(along), F.col("_next")).alias("end")
-    rest = [c for c in steps.columns if c not in (*by, "pos", *values)]
-    runs = tiled.join(tiles, [*by, "_tile"]).select(*by, F.col("pos").alias("start"), end, *sums, *rest)
+    runs = tiled.join(tiles, [*by, "_tile"]).select(*by, F.col("pos").alias("start"), end, *sums)
     return runs.filter("end is not null")
 
 

@@ -19,28 +19,34 @@ def _overlap(min_overlap: int, max_mismatch: float):
     The score is matches minus mismatches; ties go to the longer overlap, then the smaller shift.
     """
 
+    def best_shift(one: pd.Series, two: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, la = bases.byte_matrix(one)
+        b, lb = bases.byte_matrix(two)
+        shift = np.zeros(len(one), np.int64)
+        size = np.zeros(len(one), np.int64)
+        wrong = np.zeros(len(one), np.int64)
+        best = np.full(len(one), -1, np.int64)
+        for d in range(-(b.shape[1] - min_overlap), a.shape[1] - min_overlap + 1):
+            x = a[:, max(d, 0) :]
+            y = b[:, max(-d, 0) :]
+            w = min(x.shape[1], y.shape[1])
+            same = ((x[:, :w] == y[:, :w]) & (x[:, :w] != 0)).sum(1)
+            span = np.minimum(la, d + lb) - max(d, 0)
+            miss = span - same
+            ok = (span >= min_overlap) & (miss <= np.floor(max_mismatch * span + 1e-9))
+            score = same - miss
+            better = ok & ((score > best) | ((score == best) & (span > size)))
+            best[better], shift[better] = score[better], d
+            size[better], wrong[better] = span[better], miss[better]
+        return shift, size, wrong
+
     @F.pandas_udf("struct<shift:int,size:int,mismatches:int>")
     def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for one, two in batches:
-            a, la = bases.byte_matrix(one)
-            b, lb = bases.byte_matrix(two)
-            shift = np.zeros(len(one), np.int64)
-            size = np.zeros(len(one), np.int64)
-            wrong = np.zeros(len(one), np.int64)
-            best = np.full(len(one), -1, np.int64)
-            for d in range(-(b.shape[1] - min_overlap), a.shape[1] - min_overlap + 1):
-                x = a[:, max(d, 0) :]
-                y = b[:, max(-d, 0) :]
-                w = min(x.shape[1], y.shape[1])
-                same = ((x[:, :w] == y[:, :w]) & (x[:, :w] != 0)).sum(1)
-                span = np.minimum(la, d + lb) - max(d, 0)
-                miss = span - same
-                ok = (span >= min_overlap) & (miss <= np.floor(max_mismatch * span + 1e-9))
-                score = same - miss
-                better = ok & ((score > best) | ((score == best) & (span > size)))
-                best[better], shift[better] = score[better], d
-                size[better], wrong[better] = span[better], miss[better]
-            yield pd.DataFrame({"shift": shift, "size": size, "mismatches": wrong}).astype("int32")
+            out = np.zeros((len(one), 3), np.int64)
+            for rows in bases.even_slices(np.maximum(bases.text_lengths(one), bases.text_lengths(two))):
+                out[rows] = np.column_stack(best_shift(one.iloc[rows], two.iloc[rows]))
+            yield pd.DataFrame(out, columns=["shift", "size", "mismatches"]).astype("int32")
 
     return overlap
 

@@ -24,9 +24,7 @@ def _weighted_runs(layers: dict[str, DataFrame]) -> DataFrame:
         ev = iv.filter("end > start").select(*BY, F.inline(ends))
         ev = ev.select(*BY, "pos", *[(F.col("d") if n == name else F.lit(0)).alias(n) for n in layers])
         parts = ev if parts is None else parts.unionByName(ev)
-    steps = parts.groupBy(*BY, "pos").agg(*[F.sum(n).alias(n) for n in layers])
-    steps = steps.filter(" or ".join(f"{n} <> 0" for n in layers))
-    return step_runs(steps, list(layers), by=BY)
+    return step_runs(parts, list(layers), by=BY)
 
 
 def _around(tags: DataFrame, width: int) -> DataFrame:

@@ -20,13 +20,20 @@ def _n() -> Column:
     return F.count(F.lit(1)).alias("n")
 
 
+def _parts(pdf: pd.DataFrame, by: list[str], text: str) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Groups of a batch, cut further so that very long reads do not widen the others' matrix."""
+    for key, group in pdf.groupby(by, sort=False):
+        for rows in bases.even_slices(bases.text_lengths(group[text])):
+            yield key, group.iloc[rows]
+
+
 def _base_counts(batches: Iterator[pd.DataFrame], base: int) -> Iterator[pd.DataFrame]:
     """Count (sample, mate, cycle, quality, base) per Arrow batch, so bases never become rows."""
     for pdf in batches:
         pdf = pdf[pdf["qual"].str.len().fillna(0) > 0]
         if not len(pdf):
             continue
-        for (sample, mate), part in pdf.groupby(["sample", "mate"], sort=False):
+        for (sample, mate), part in _parts(pdf, ["sample", "mate"], "qual"):
             seq, _ = bases.byte_matrix(part["seq"].str.upper())
             qual, _ = bases.byte_matrix(part["qual"])
             width = min(seq.shape[1], qual.shape[1])
@@ -44,7 +51,7 @@ def _kmer_counts(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFra
     """Count k-mers per sample and Arrow batch; a k-mer is a number in the alphabet of the batch."""
     for pdf in batches:
         pdf = pdf[pdf["seq"].str.len().fillna(0) >= k]
-        for sample, part in pdf.groupby("sample", sort=False):
+        for (sample,), part in _parts(pdf, ["sample"], "seq"):
             text, lengths = bases.byte_matrix(part["seq"])
             alphabet = np.unique(text)
             alphabet = alphabet[alphabet != 0]

@@ -37,12 +37,12 @@ def sql_for(dialect: str, table) -> dict[str, str]:
     def s(x: str) -> str:
         return f"cast({x} as {S})"
 
+    # (7 i + 3 k) mod 41 repeats with period 41 in i, so a quality string is a slice of one fixed text.
+    period = "".join(chr(33 + 7 * i % 41) for i in range(41))
+    period = period.replace("'", "\\'" if spark else "''")
+
     def qual(n: str, k: str) -> str:
-        if spark:
-            made = f"array_join(transform(sequence(1,{n}), i -> char(33+((i*7+{k}*3)%41))),'')"
-        else:
-            made = f"array_to_string(list_transform(range(1,{n}+1), lambda i: chr(cast(33+((i*7+{k}*3)%41) as int))),'')"
-        return f"case when {n}=0 then '' else {made} end"
+        return f"substr(repeat('{period}',5),cast((({k}*3)%41*6)%41+2 as int),{n})"
 
     def seq3(k: str) -> str:
         return "concat(" + ",".join(_bases(f"concat({s(k)},'{x}')") for x in "abc") + ")"
@@ -177,15 +177,27 @@ def ctes(dialect: str, names: list[str], table) -> str:
     return ", ".join(f"{n} as ({texts[n]})" for n in order)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    def table(t: str) -> str:
-        return f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`"
+def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    return spark.sql(f"with {ctes('spark', [name], table)} select * from {name}")
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer splits than cores; a large table keeps its splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
-def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    used: set[str] = set()
+
+    def table(t: str) -> str:
+        used.add(t)
+        return "{" + t + "}"
+
+    sources = ctes("spark", [name], table)
+    sql = f"with {sources} select * from {name}"
+    inputs = {t: spread(base(spark, sf_dir, t)) for t in sorted(used) if "{" + t + "}" in sql}
+    return spark.sql(sql, **inputs)
 
 
 def oracle(sql: str, *names: str) -> str:
