@@ -83,7 +83,6 @@ def assign_units(
     feature: str = "exon",
     group: str = "gene_id",
     per_feature: bool = False,
-    multi_overlap: bool = False,
     strandness: int = 0,
     multi: bool = False,
     min_mapq: int = 0,
@@ -103,7 +102,7 @@ def assign_units(
     aliases: Mapping[str, str] | None = None,
     bin_size: int = 4096,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(counting units with ``n``, ``status``; their hits on targets; unit key columns)."""
+    """(counting units with ``n`` and ``why`` they are left out; hits per unit and target with ``n``; unit key columns)."""
     choice("strandness", strandness, (0, 1, 2))
     choice("read_to", read_to, (None, 5, 3))
     positive("min_overlap", min_overlap)
@@ -128,7 +127,7 @@ def assign_units(
         key = ["sample", "qname", "lo", "hi"]
         units = marked.groupBy(*key).agg(F.min("why").alias("why"), F.lit(1).cast("bigint").alias("n"))
         bad = units.filter("why is not null").select(*key)
-        good = marked.join(bad, key, "left_anti")
+        good = marked.join(bad, key, "left_anti").withColumn("n", F.lit(1).cast("bigint"))
     else:
         key = ["sample", "rname", "pos", "cigar", "strand", "read_strand", "why"]
         units = marked.groupBy(*key).agg(_n())
@@ -145,7 +144,7 @@ def assign_units(
         side = _merged(side, ["rname", "strand", "target"])
     how = {0: "no", 1: "same", 2: "opposite"}[strandness]
     hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, bin_size=bin_size)
-    per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(F.sum("overlap").alias("bases"))
+    per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(F.sum("overlap").alias("bases"), F.max("n").alias("n"))
     per = per.filter(F.col("bases") >= min_overlap)
     return units, per, key
 
@@ -167,13 +166,12 @@ def feature_counts(al: DataFrame, features: DataFrame, *, samples: Sequence[str]
 
     A unit on several targets counts for none, or with ``multi_overlap`` for all of them.
     """
-    units, hits, key = assign_units(al, features, multi_overlap=multi_overlap, **opts)
-    if multi_overlap:
-        sizes = units.filter("why is null").select(*key, "n")
-        counted = hits.join(sizes, key).groupBy("sample", "target").agg(F.sum("n").alias("n"))
-    else:
-        done = _unit_status(units, hits, key, False).filter("status = 'Assigned'")
-        counted = done.groupBy("sample", "target").agg(F.sum("n").alias("n"))
+    _, hits, key = assign_units(al, features, **opts)
+    # The hits carry the multiplicity, so counting never joins back to the units.
+    if not multi_overlap:
+        one = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("k"), F.min("target").alias("target"), F.max("n").alias("n"))
+        hits = one.filter("k = 1")
+    counted = hits.groupBy("sample", "target").agg(F.sum("n").alias("n"))
     wanted = features.filter(F.col("feature") == opts.get("feature", "exon")) if "feature" in features.columns else features
     if opts.get("per_feature"):
         name = F.concat_ws(":", "rname", "start", "end", "strand")
@@ -185,7 +183,7 @@ def feature_counts(al: DataFrame, features: DataFrame, *, samples: Sequence[str]
 
 def assignment_summary(al: DataFrame, features: DataFrame, *, multi_overlap: bool = False, **opts) -> DataFrame:
     """Units per sample and assignment status."""
-    units, hits, key = assign_units(al, features, multi_overlap=multi_overlap, **opts)
+    units, hits, key = assign_units(al, features, **opts)
     done = _unit_status(units, hits, key, multi_overlap)
     return done.groupBy("sample", "status").agg(F.sum("n").alias("n"))
 
@@ -194,7 +192,7 @@ def read_assignments(al: DataFrame, features: DataFrame, *, multi_overlap: bool
     """Per record: name, status, number of targets and the (smallest) target name; single-read units only."""
     if opts.get("fragments"):
         raise ValueError("read_assignments works on single reads")
-    units, hits, key = assign_units(al, features, multi_overlap=multi_overlap, **opts)
+    units, hits, key = assign_units(al, features, **opts)
     found = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("n_targets"), F.min("target").alias("target"))
     names = ("multi", "primary", "min_mapq", "ignore_dup", "split_only", "both_mapped", "no_chimeras")
     defaults = {n: 0 if n == "min_mapq" else False for n in names}
@@ -259,16 +257,18 @@ def htseq_count(
     good = places.filter("why is null").drop("why")
     how = {"yes": "same", "no": "no", "reverse": "opposite"}[stranded]
     hits = overlap_join(_blocks(good), side, stranded=how, bin_size=bin_size)
-    covered = hits.groupBy(*PLACE, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"))
+    covered = hits.groupBy(*PLACE, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"), F.max("n").alias("n"))
     # Equal coverages together: how many genes reach each count, then the largest count per placement.
-    level = covered.groupBy(*PLACE, "c").agg(F.count("gene").alias("k"), F.min("gene").alias("gene"), F.bool_or(F.col("gene").isNull()).alias("any"))
+    level = covered.groupBy(*PLACE, "c").agg(
+        F.count("gene").alias("k"), F.min("gene").alias("gene"), F.bool_or(F.col("gene").isNull()).alias("any"), F.max("n").alias("n")
+    )
     best = level.groupBy(*PLACE).agg(
         F.max(F.when(F.col("k") > 0, F.struct("c", "k", "gene"))).alias("top"),
         F.max(F.when(F.col("any"), F.col("c"))).alias("c_any"),
         F.sum("k").alias("k_all"),
         F.min("gene").alias("g_all"),
+        F.max("n").alias("n"),
     )
-    judged = good.join(best, PLACE, "left")
     length = F.aggregate(
         F.transform(cigar.blocks(), lambda b: b["end"] - b["start"]), F.lit(0), lambda a, x: a + x
     )
@@ -278,8 +278,15 @@ def htseq_count(
         need = length if mode == "intersection-strict" else F.col("c_any")
         k = F.when(F.col("top.c") == need, F.col("top.k")).otherwise(0)
         gene = F.col("top.gene")
-    label = F.when(F.coalesce(k, F.lit(0)) == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
-    counted = judged.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
+    label = F.when(k == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
+    found = best.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
+    # Reads that met no gene at all are the rest of the sample.
+    named = found.filter("gene <> '__no_feature'")
+    total = good.select("sample", F.lit("__no_feature").alias("gene"), "n")
+    counted = named.unionByName(
+        total.unionByName(named.select("sample", F.lit("__no_feature").alias("gene"), (-F.col("n")).alias("n")))
+        .groupBy("sample", "gene").agg(F.sum("n").alias("n"))
+    )
     rest = places.filter("why is not null and why <> 'skip'").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
     special = ["__no_feature", "__ambiguous", "__too_low_aQual", "__not_aligned", "__alignment_not_unique"]
     names = wanted.select("gene").distinct()
