@@ -62,14 +62,13 @@ def j1c(t):
 
 @BOOK.add(
     "J1_overlap_left",
-    f"""with {SPAN} select s.aln_id, f.transcript_id, case when f.transcript_id is null then -1 else least(s."end",f."end")-greatest(s.start,f.start) end overlap
-       from (select * from span where mapq>45) s left join (select * from features where exon_number=2) f on s.rname=f.rname and s.start<f."end" and f.start<s."end" """,
+    f"""with {SPAN} select s.aln_id, count(f.transcript_id) n, cast(coalesce(sum(least(s."end",f."end")-greatest(s.start,f.start)),0) as bigint) shared
+       from span s left join features f on s.rname=f.rname and s.start<f."end" and f.start<s."end" and s.strand<>f.strand group by 1""",
     "alignments", "features",
 )
 def j1d(t):
-    left = _spans(t).join(t.alignments.filter("mapq > 45").select("aln_id"), "aln_id")
-    out = I.overlap_join(left, _exons(t).filter("exon_number = 2"), how="left", key=["aln_id"], bin_size=2048)
-    return out.select("aln_id", F.col("r_transcript_id").alias("transcript_id"), F.coalesce("overlap", F.lit(-1)).cast("bigint").alias("overlap"))
+    out = I.overlap_join(_spans(t), _exons(t), how="left", stranded="opposite", key=["aln_id"], bin_size=2048)
+    return out.groupBy("aln_id").agg(F.count("r_transcript_id").alias("n"), F.coalesce(F.sum("overlap"), F.lit(0)).cast("bigint").alias("shared"))
 
 
 @BOOK.add(
@@ -128,19 +127,19 @@ def c1(t):
 @BOOK.add(
     "C1_genome_coverage_zero",
     f"""with {SPAN}, g as (select s.sample, c.rname, c.length from chrom_sizes c, (select unnest(['s0','s1','s2']) sample) s),
-       iv as (select sample, rname, start, "end" from span where strand='-' and mapq<3), ev as (select sample, rname, start p, 1 d from iv union all select sample, rname, "end", -1 from iv
+       iv as (select sample, rname, start, "end" from span where strand='-'), ev as (select sample, rname, start p, 1 d from iv union all select sample, rname, "end", -1 from iv
          union all select sample, rname, 0, 0 from g union all select sample, rname, length, 0 from g),
        st as (select sample, rname, p, sum(d) d from ev group by 1,2,3),
        dp as (select sample, rname, p, sum(d) over (partition by sample, rname order by p) depth from st),
-       cp as (select *, lag(least(depth,2)) over (partition by sample, rname order by p) pv, max(p) over (partition by sample, rname) mx from dp),
-       rn as (select sample, rname, p, least(depth,2) depth, lead(p) over (partition by sample, rname order by p) nxt from cp where pv is null or pv<>least(depth,2) or p=mx)
+       cp as (select *, lag(least(depth,6)) over (partition by sample, rname order by p) pv, max(p) over (partition by sample, rname) mx from dp),
+       rn as (select sample, rname, p, least(depth,6) depth, lead(p) over (partition by sample, rname order by p) nxt from cp where pv is null or pv<>least(depth,6) or p=mx)
        select sample, rname, cast(p as bigint) start, cast(nxt as bigint) "end", 0.5::double*depth "value" from rn where nxt is not null""",
     "alignments", "chrom_sizes",
 )
 def c1b(t):
     return _long(
         C.genome_coverage(
-            t.alignments.filter("mapq < 3"), zero=True, chrom_sizes=t.chrom_sizes, samples=SAMPLES, max_depth=2, split=False, strand="-",
+            t.alignments, zero=True, chrom_sizes=t.chrom_sizes, samples=SAMPLES, max_depth=6, split=False, strand="-",
             scale=0.5, tile=TILE,
         )
     )
@@ -306,13 +305,13 @@ _CMP = {
 
 @BOOK.add(
     "C6_compare_signal",
-    _binned(1000, "mapq>40") + """, p as (select rname, bin, n::double n, sample from bc where n>0), j as (select coalesce(a.rname,b.rname) rname, coalesce(a.bin,b.bin) bin, coalesce(a.n,0) a, coalesce(b.n,0) b
+    _binned(100) + """, p as (select rname, bin, n::double n, sample from bc where n>0), j as (select coalesce(a.rname,b.rname) rname, coalesce(a.bin,b.bin) bin, coalesce(a.n,0) a, coalesce(b.n,0) b
         from (select * from p where sample='s0') a full join (select * from p where sample='s2') b on a.rname=b.rname and a.bin=b.bin) """
     + " union all ".join(f"select '{k}' op, rname, bin, {v} \"value\" from j" for k, v in _CMP.items()),
     "alignments", "chrom_sizes",
 )
 def c6(t):
-    bins = C.bin_counts(t.alignments, bin_size=1000, min_mapq=41).withColumn("value", F.col("n").cast("double"))
+    bins = C.bin_counts(t.alignments, bin_size=100).withColumn("value", F.col("n").cast("double"))
     a, b = bins.filter("sample = 's0'"), bins.filter("sample = 's2'")
     out = None
     for op in S.OPERATIONS:
@@ -334,11 +333,11 @@ def c7(t):
 
 @BOOK.add(
     "C8_drop_non_covered",
-    _binned(100, "mapq>47") + """select sample, rname, bin, n from (select *, sum(n) over (partition by rname, bin) tot from bc) where tot>0""",
+    _binned(100) + """select sample, rname, bin, n from (select *, sum(n) over (partition by rname, bin) tot from bc) where tot>0""",
     "alignments", "chrom_sizes",
 )
 def c8(t):
-    bins = C.bin_counts(t.alignments, bin_size=100, chrom_sizes=t.chrom_sizes, samples=SAMPLES, min_mapq=48)
+    bins = C.bin_counts(t.alignments, bin_size=100, chrom_sizes=t.chrom_sizes, samples=SAMPLES)
     return S.drop_non_covered(bins).select("sample", "rname", "bin", "n")
 
 
@@ -441,7 +440,7 @@ def c12(t):
 
 @BOOK.add(
     "C12_enriched_bins_truncated",
-    f"""with {SPAN}, f0 as (select sample, rname, cast(b as bigint) bin, count(*) n from (select sample, rname, unnest(range(start//250, ("end"-1)//250+1)) b from span where mapq>44) group by 1,2,3),
+    f"""with {SPAN}, f0 as (select sample, rname, cast(b as bigint) bin, count(*) n from (select sample, rname, unnest(range(start//250, ("end"-1)//250+1)) b from span) group by 1,2,3),
       mm as (select sample, avg(n) m from f0 group by 1),
       l as (select sample, list_reduce(list_transform(range(0,61), lambda i: m), lambda acc, x: x*(1-exp(-acc))) lam from mm),
       q as (select sample, rname, bin, n, {_TAIL}/(1-exp(-lam)) pv from f0 join l using (sample))
@@ -449,7 +448,7 @@ def c12(t):
     "alignments",
 )
 def c12b(t):
-    bins = C.bin_counts(t.alignments, bin_size=250, min_mapq=45)
+    bins = C.bin_counts(t.alignments, bin_size=250)
     out = P.enriched_bins(bins, p=0.05, dist="zero_truncated")
     return out.select("sample", "rname", "bin", "n", F.round("score", 5).alias("score"))
 
@@ -461,13 +460,12 @@ _MERGE = """, mx as (select *, max("end") over (partition by {by} order by start
 
 @BOOK.add(
     "C13_merge_intervals",
-    f"with {SPAN}, sp as (select sample, rname, start, \"end\" from span where mapq>46)" + _MERGE.format(by="sample, rname", src="sp", gap=20)
-    + 'select sample, rname, cast(start as bigint) start, cast("end" as bigint) "end", n from merged',
-    "alignments",
+    "with x as (select 1)" + _MERGE.format(by="gene_id, rname", src="features", gap=20)
+    + 'select gene_id, rname, cast(start as bigint) start, cast("end" as bigint) "end", n from merged',
+    "features",
 )
 def c13(t):
-    spans = _spans(t).join(t.alignments.filter("mapq > 46").select("aln_id"), "aln_id")
-    return _long(I.merge_intervals(spans, gap=20, by=["sample", "rname"], tile=2048))
+    return _long(I.merge_intervals(t.features, gap=20, by=["gene_id", "rname"], tile=2048))
 
 
 @BOOK.add(
