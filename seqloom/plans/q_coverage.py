@@ -62,7 +62,7 @@ def j1c(t):
 
 @BOOK.add(
     "J1_overlap_left",
-    f"""with {SPAN} select s.aln_id, count(f.transcript_id) n, cast(coalesce(sum(least(s."end",f."end")-greatest(s.start,f.start)),0) as bigint) shared
+    f"""with {SPAN} select s.aln_id, count(f.transcript_id) n, cast(coalesce(sum(case when f.transcript_id is not null then least(s."end",f."end")-greatest(s.start,f.start) end),0) as bigint) shared
        from span s left join features f on s.rname=f.rname and s.start<f."end" and f.start<s."end" and s.strand<>f.strand group by 1""",
     "alignments", "features",
 )
