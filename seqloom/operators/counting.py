@@ -8,6 +8,7 @@ are answered by comparing covered base counts, so no set of genes is ever collec
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -219,6 +220,12 @@ def _merged(features: DataFrame, by: list[str]) -> DataFrame:
     return merge_intervals(features.select(*by, "start", "end"), by=by).drop("n")
 
 
+def _merged_kinds(parts: Mapping[object, DataFrame]) -> DataFrame:
+    """Each kind of interval merged, all kinds in one pass (rname, kind, start, end)."""
+    tagged = [p.filter("end > start").select("rname", "start", "end", F.lit(k).alias("kind")) for k, p in parts.items()]
+    return _merged(reduce(DataFrame.unionByName, tagged), ["rname", "kind"])
+
+
 def htseq_count(
     al: DataFrame,
     features: DataFrame,
@@ -251,16 +258,17 @@ def htseq_count(
     if stranded == "no":
         # One strand for all: opposite genes then compete for the same bases.
         wanted = wanted.withColumn("strand", F.lit("."))
-    genes = _merged(wanted, ["rname", "strand", "gene"])
-    anyone = _merged(wanted, ["rname", "strand"]).withColumn("gene", F.lit(None).cast("string"))
-    side = genes.unionByName(anyone)
+    # Intervals of every gene, and of all genes together under the empty name, merged in one pass.
+    both = wanted.withColumn("gene", F.explode(F.array(F.col("gene"), F.lit(""))))
+    side = _merged(both, ["rname", "strand", "gene"])
     good = places.filter("why is null").drop("why")
     how = {"yes": "same", "no": "no", "reverse": "opposite"}[stranded]
     hits = overlap_join(_blocks(good), side, stranded=how, bin_size=bin_size)
     covered = hits.groupBy(*PLACE, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"), F.max("n").alias("n"))
     # Equal coverages together: how many genes reach each count, then the largest count per placement.
+    named = F.when(F.col("gene") != "", F.col("gene"))
     level = covered.groupBy(*PLACE, "c").agg(
-        F.count("gene").alias("k"), F.min("gene").alias("gene"), F.bool_or(F.col("gene").isNull()).alias("any"), F.max("n").alias("n")
+        F.count(named).alias("k"), F.min(named).alias("gene"), F.bool_or(F.col("gene") == "").alias("any"), F.max("n").alias("n")
     )
     best = level.groupBy(*PLACE).agg(
         F.max(F.when(F.col("k") > 0, F.struct("c", "k", "gene"))).alias("top"),
@@ -281,10 +289,10 @@ def htseq_count(
     label = F.when(k == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
     found = best.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
     # Reads that met no gene at all are the rest of the sample.
-    named = found.filter("gene <> '__no_feature'")
+    placed = found.filter("gene <> '__no_feature'")
     total = good.select("sample", F.lit("__no_feature").alias("gene"), "n")
-    counted = named.unionByName(
-        total.unionByName(named.select("sample", F.lit("__no_feature").alias("gene"), (-F.col("n")).alias("n")))
+    counted = placed.unionByName(
+        total.unionByName(placed.select("sample", F.lit("__no_feature").alias("gene"), (-F.col("n")).alias("n")))
         .groupBy("sample", "gene").agg(F.sum("n").alias("n"))
     )
     rest = places.filter("why is not null and why <> 'skip'").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
@@ -324,18 +332,12 @@ def rna_metrics(
     coding = exons.withColumns({"_s": F.greatest("start", "cds_start"), "_e": F.least("end", "cds_end")}).filter("_e > _s")
     coding = coding.select("rname", F.col("_s").alias("start"), F.col("_e").alias("end"))
     bodies = exons.groupBy("rname", "transcript_id", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    sides = [
-        _merged(coding, ["rname"]).withColumn("kind", F.lit("coding")),
-        _merged(exons, ["rname"]).withColumn("kind", F.lit("exon")),
-        _merged(bodies, ["rname"]).withColumn("kind", F.lit("body")),
-        _merged(bodies.filter("strand = '+'"), ["rname"]).withColumn("kind", F.lit("plus")),
-        _merged(bodies.filter("strand = '-'"), ["rname"]).withColumn("kind", F.lit("minus")),
-    ]
+    parts = {
+        "coding": coding, "exon": exons, "body": bodies, "plus": bodies.filter("strand = '+'"), "minus": bodies.filter("strand = '-'"),
+    }
     if rrna is not None:
-        sides.append(_merged(rrna, ["rname"]).withColumn("kind", F.lit("ribo")))
-    side = sides[0]
-    for s in sides[1:]:
-        side = side.unionByName(s)
+        parts["ribo"] = rrna
+    side = _merged_kinds(parts)
     hits = overlap_join(_blocks(places), side, bin_size=bin_size)
     sums = [
         F.sum(F.when(F.col("r_kind") == k, F.col("overlap")).otherwise(0)).alias(f"_{k}")
@@ -444,10 +446,7 @@ def read_distribution(al: DataFrame, exons: DataFrame, *, flank: int = 1000, bin
     up = before.filter(plus).unionByName(after.filter(~plus))
     down = after.filter(plus).unionByName(before.filter(~plus))
     kinds = ["cds", "utr", "intron", "upstream", "downstream", "intergenic"]
-    side = None
-    for i, part in enumerate((coding, exons, bodies, up, down)):
-        one = _merged(part.filter("end > start"), ["rname"]).withColumn("kind", F.lit(i))
-        side = one if side is None else side.unionByName(one)
+    side = _merged_kinds(dict(enumerate((coding, exons, bodies, up, down))))
     places = al.filter(flags.lacks(flags.UNMAPPED | flags.SECONDARY)).groupBy("sample", "rname", "pos", "cigar").agg(_n())
     mid = F.floor((F.col("start") + F.col("end")) / 2).cast("int")
     tags = _blocks(places).withColumn("at", mid).groupBy("sample", "rname", "at").agg(F.sum("n").alias("n"))
