@@ -8,7 +8,6 @@ are answered by comparing covered base counts, so no set of genes is ever collec
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -220,10 +219,21 @@ def _merged(features: DataFrame, by: list[str]) -> DataFrame:
     return merge_intervals(features.select(*by, "start", "end"), by=by).drop("n")
 
 
-def _merged_kinds(parts: Mapping[object, DataFrame]) -> DataFrame:
-    """Each kind of interval merged, all kinds in one pass (rname, kind, start, end)."""
-    tagged = [p.filter("end > start").select("rname", "start", "end", F.lit(k).alias("kind")) for k, p in parts.items()]
-    return _merged(reduce(DataFrame.unionByName, tagged), ["rname", "kind"])
+def _kinds(df: DataFrame, *kinds: tuple[object, Column, Column, Column | None]) -> DataFrame:
+    """(rname, kind, start, end) of several derived intervals per row; the table is read once for all kinds."""
+    rows = [
+        F.when(F.lit(True) if when is None else when, F.struct(F.lit(k).alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end")))
+        for k, start, end, when in kinds
+    ]
+    return df.select("rname", F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull()))).filter("end > start")
+
+
+def _model_spans(exons: DataFrame) -> DataFrame:
+    return exons.groupBy("rname", "transcript_id", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+def _coding(kind: object) -> tuple[object, Column, Column, None]:
+    return kind, F.greatest("start", "cds_start"), F.least("end", "cds_end"), None
 
 
 def htseq_count(
@@ -288,13 +298,12 @@ def htseq_count(
         gene = F.col("top.gene")
     label = F.when(k == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
     found = best.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
-    # Reads that met no gene at all are the rest of the sample.
-    placed = found.filter("gene <> '__no_feature'")
-    total = good.select("sample", F.lit("__no_feature").alias("gene"), "n")
-    counted = placed.unionByName(
-        total.unionByName(placed.select("sample", F.lit("__no_feature").alias("gene"), (-F.col("n")).alias("n")))
-        .groupBy("sample", "gene").agg(F.sum("n").alias("n"))
-    )
+    # Reads that met no gene at all are the rest of the sample: every counted read is taken off the total.
+    none = F.lit("__no_feature")
+    moved = F.array(F.struct("gene", "n"), F.struct(none.alias("gene"), (-F.col("n")).alias("n")))
+    placed = found.filter("gene <> '__no_feature'").select("sample", F.inline(moved))
+    total = good.select("sample", none.alias("gene"), "n")
+    counted = placed.unionByName(total).groupBy("sample", "gene").agg(F.sum("n").alias("n"))
     rest = places.filter("why is not null and why <> 'skip'").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
     special = ["__no_feature", "__ambiguous", "__too_low_aQual", "__not_aligned", "__alignment_not_unique"]
     names = wanted.select("gene").distinct()
@@ -329,15 +338,13 @@ def rna_metrics(
     extra = [c for c in levels if c not in ("sample",)]
     key = ["sample", *extra, "rname", "pos", "cigar", "strand"]
     places = usable.groupBy("sample", *extra, "rname", "pos", "cigar", strand.alias("strand")).agg(_n())
-    coding = exons.withColumns({"_s": F.greatest("start", "cds_start"), "_e": F.least("end", "cds_end")}).filter("_e > _s")
-    coding = coding.select("rname", F.col("_s").alias("start"), F.col("_e").alias("end"))
-    bodies = exons.groupBy("rname", "transcript_id", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    parts = {
-        "coding": coding, "exon": exons, "body": bodies, "plus": bodies.filter("strand = '+'"), "minus": bodies.filter("strand = '-'"),
-    }
+    start, end, plus = F.col("start"), F.col("end"), F.col("strand") == "+"
+    side = _kinds(exons, _coding("coding"), ("exon", start, end, None)).unionByName(
+        _kinds(_model_spans(exons), ("body", start, end, None), ("plus", start, end, plus), ("minus", start, end, F.col("strand") == "-"))
+    )
     if rrna is not None:
-        parts["ribo"] = rrna
-    side = _merged_kinds(parts)
+        side = side.unionByName(_kinds(rrna, ("ribo", start, end, None)))
+    side = _merged(side, ["rname", "kind"])
     hits = overlap_join(_blocks(places), side, bin_size=bin_size)
     sums = [
         F.sum(F.when(F.col("r_kind") == k, F.col("overlap")).otherwise(0)).alias(f"_{k}")
@@ -437,16 +444,13 @@ def read_distribution(al: DataFrame, exons: DataFrame, *, flank: int = 1000, bin
 
     Classes by precedence: cds, utr, intron, upstream and downstream of a transcript within ``flank``, intergenic.
     """
-    coding = exons.withColumns({"_s": F.greatest("start", "cds_start"), "_e": F.least("end", "cds_end")}).filter("_e > _s")
-    coding = coding.select("rname", F.col("_s").alias("start"), F.col("_e").alias("end"))
-    bodies = exons.groupBy("rname", "transcript_id", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    plus = F.col("strand") != "-"
-    before = bodies.select("rname", "strand", F.greatest(F.col("start") - flank, F.lit(0)).alias("start"), F.col("start").alias("end"))
-    after = bodies.select("rname", "strand", F.col("end").alias("start"), (F.col("end") + flank).alias("end"))
-    up = before.filter(plus).unionByName(after.filter(~plus))
-    down = after.filter(plus).unionByName(before.filter(~plus))
+    start, end, plus = F.col("start"), F.col("end"), F.col("strand") != "-"
+    before, after = (F.greatest(start - flank, F.lit(0)), start), (end, end + flank)
     kinds = ["cds", "utr", "intron", "upstream", "downstream", "intergenic"]
-    side = _merged_kinds(dict(enumerate((coding, exons, bodies, up, down))))
+    side = _kinds(exons, _coding(0), (1, start, end, None)).unionByName(
+        _kinds(_model_spans(exons), (2, start, end, None), (3, *before, plus), (3, *after, ~plus), (4, *after, plus), (4, *before, ~plus))
+    )
+    side = _merged(side, ["rname", "kind"])
     places = al.filter(flags.lacks(flags.UNMAPPED | flags.SECONDARY)).groupBy("sample", "rname", "pos", "cigar").agg(_n())
     mid = F.floor((F.col("start") + F.col("end")) / 2).cast("int")
     tags = _blocks(places).withColumn("at", mid).groupBy("sample", "rname", "at").agg(F.sum("n").alias("n"))
