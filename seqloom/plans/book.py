@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
 from . import views
 
 
@@ -31,7 +32,11 @@ class Book:
         """Register ``fn(tables) -> DataFrame`` under ``name``; ``needs`` are the oracle's views."""
 
         def wrap(fn):
-            self.queries[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+            def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+                ship_package(spark)
+                return fn(Tables(spark, sf_dir))
+
+            self.queries[name] = run
             if oracle is not None:
                 self.oracles[name] = views.oracle(oracle, *needs) if needs else oracle
             return fn
