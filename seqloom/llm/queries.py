@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, packing
+from . import byte_bpe, language_id, minhash, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,15 @@ def byte_level_bpe(documents: DataFrame) -> DataFrame:
 @query("op10_best_fit_packing", "documents")
 def best_fit_packing(documents: DataFrame) -> DataFrame:
     return packing.pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_language_id", "documents")
+def identify_language(documents: DataFrame) -> DataFrame:
+    model = language_id.train(documents.filter(~language_id.held_out(F.col("doc_id"))))
+    predicted = language_id.classify(documents, model)
+    return predicted.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op5_minhash_near_dedup", "documents")
+def minhash_near_dedup(documents: DataFrame) -> DataFrame:
+    return minhash.near_duplicates(documents, words=4)
