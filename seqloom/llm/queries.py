@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, language_id, minhash, packing
+from . import byte_bpe, language_id, minhash, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,9 @@ def identify_language(documents: DataFrame) -> DataFrame:
 @query("op5_minhash_near_dedup", "documents")
 def minhash_near_dedup(documents: DataFrame) -> DataFrame:
     return minhash.near_duplicates(documents, words=4)
+
+
+@query("op2_substring_dedup", "documents")
+def substring_removal(documents: DataFrame) -> DataFrame:
+    kept = substring_dedup.remove_repeats(documents)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
