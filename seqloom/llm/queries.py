@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, language_id, minhash, packing, substring_dedup
+from . import byte_bpe, language_id, minhash, packing, pii, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,9 @@ def minhash_near_dedup(documents: DataFrame) -> DataFrame:
 def substring_removal(documents: DataFrame) -> DataFrame:
     kept = substring_dedup.remove_repeats(documents)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_pii", "documents")
+def personal_data(documents: DataFrame) -> DataFrame:
+    found = pii.detect(documents)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
