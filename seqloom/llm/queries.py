@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, language_id, minhash, packing, pii, substring_dedup
+from . import byte_bpe, chat_format, embedding_dedup, language_id, minhash, packing, pii, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,59 @@ def substring_removal(documents: DataFrame) -> DataFrame:
 def personal_data(documents: DataFrame) -> DataFrame:
     found = pii.detect(documents)
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op1_url_filter", "pages",
+    """
+    with found as (select page_id, url, coalesce(strpos(url, '://'), 0) i from pages),
+    rest as (select page_id, case when i > 0 then substr(url, i + 3) else '' end r from found),
+    cut as (select page_id, regexp_extract(r, '^[^/?#]*') h, r from rest),
+    parsed as (select row_number() over () n, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+      regexp_extract(substr(r, length(h) + 1), '^[^?#]*') path from cut),
+    rules(r_host, r_path, verdict) as (values ('net','/','block'), ('example.net','/en/','allow'), ('example.com','/de/','block'), ('org','/fr/','allow')),
+    best as (select n, arg_max(r_host || r_path, length(r_host || r_path)) rule, arg_max(verdict, length(r_host || r_path)) verdict
+      from parsed join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path) group by n)
+    select page_id, host, path, rule, coalesce(verdict, 'allow') verdict from parsed left join best using (n)
+    """,
+)
+def url_rules(pages: DataFrame) -> DataFrame:
+    rules = pages.sparkSession.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.judge(pages, rules)
+
+
+@query(
+    "op3_chat_format", "conversations",
+    r"""
+    with given as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations
+      union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    near as (select *, lag(role) over w before, lead(role) over w after,
+      length(text) + length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2 escaped,
+      length(role) + length(role) - length(replace(role, '\', '')) + (length(role) - length(replace(role, '<|', ''))) // 2
+        + length(role) - length(replace(role, chr(10), '')) named
+      from given window w as (partition by conv_id order by turn nulls first, role, text))
+    select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) turns_sha256,
+      cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) loss_chars,
+      sha256(coalesce(string_agg(case when role = 'assistant' then text else '' end, '' order by turn nulls first, role, text), '')) loss_sha256,
+      cast(sum(escaped + case when before is not distinct from role then 8 else 10 + named end + case when after is not distinct from role then 0 else 8 end) as bigint) formatted_chars
+    from near group by conv_id
+    """,
+)
+def chat_formatting(conversations: DataFrame) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    probe = conversations.sparkSession.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    given = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text").unionByName(probe)
+    return chat_format.digest(chat_format.format_chats(given))
+
+
+@query("op7_exact_top_k", "embeddings")
+def exact_top_k(embeddings: DataFrame) -> DataFrame:
+    return topk.top_k(embeddings, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op9_embedding_near_dedup", "embeddings")
+def embedding_near_dedup(embeddings: DataFrame) -> DataFrame:
+    return embedding_dedup.near_duplicates(embeddings)
