@@ -21,7 +21,7 @@ TRAINING_DOCS = 2000
 #: Words whose scores a worker remembers at most; beyond it the memory starts anew.
 MEMORY_WORDS = 400_000
 #: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document.
-REJECT_MARGIN = 1.5
+REJECT_MARGIN = 3.0
 PAD, END = "\x02", "\x03"
 UNKNOWN = "und"
 
@@ -245,7 +245,7 @@ def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_D
 
 def _calibrate(model: Model, docs: DataFrame) -> np.ndarray:
     scored = classify(docs.select("doc_id", "text"), model, raw=True).filter("characters > 0").select("lang_pred", "entropy", "characters").toPandas()
-    out = np.tile([0.0, 1e-4, 1.0, 4.0], (len(model.languages), 1))
+    out = np.tile([0.0, 1.0, 1.0, np.inf], (len(model.languages), 1))  # too few calibration documents: nothing is rejected
     for i, language in enumerate(model.languages):
         own = scored[scored["lang_pred"] == language]
         if len(own) < 20:
@@ -261,44 +261,65 @@ def _calibrate(model: Model, docs: DataFrame) -> np.ndarray:
     return out
 
 
+def _judged(scorer: Scorer | None, languages: int, limits: np.ndarray | None, margin: float, column: pa.Array) -> tuple[np.ndarray, ...]:
+    """(index of the language, score, cross-entropy, characters, rejected) of every text."""
+    rows = len(column)
+    best, score, entropy, n, reject = np.full(rows, languages), np.zeros(rows), np.full(rows, np.nan), np.zeros(rows), np.ones(rows, bool)
+    if scorer and rows:
+        loglik, n = scorer.texts(column)
+        some = np.flatnonzero(n)
+        best[some] = loglik[some].argmax(axis=1)
+        top = loglik[some, best[some]]
+        entropy[some] = -top / n[some]
+        score[some] = 1 / np.exp(np.maximum(loglik[some] - top[:, None], -700)).sum(axis=1)
+        reject[some] = False
+        if limits is not None:
+            mean, between, single, farthest = limits[best[some]].T
+            away = (entropy[some] - mean) / np.sqrt(between + single / n[some]) / (margin * farthest)
+            reject[some] = away > 1
+            score[some] *= 1 / (1 + np.exp(np.clip(8 * (away - 1), -700, 700)))
+    return best, score, entropy, n.astype(np.int64), reject
+
+
 def classify(docs: DataFrame, model: Model, *, raw: bool = False, margin: float = REJECT_MARGIN) -> DataFrame:
     """``doc_id, lang_pred, score, entropy, characters, rejected`` of every row, in input order and without a shuffle.
 
     The language with the lowest cross-entropy per character over the whole text wins, ties to the first by name. ``score`` is its posterior against
     the other languages, lowered as the cross-entropy nears the limit of rejection. A null text or one without letters, or a
-    model without languages, gives ``und`` with score 0, rejected. Null or repeated ids make no difference.
+    model without languages, gives ``und`` with score 0, rejected. Null or repeated ids make no difference. ``raw`` leaves the limits out.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)  # bounded with the training sample
     languages = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared) if shared.value.languages else None
-        limits = shared.value.calibration
         for batch in batches:
-            rows = batch.num_rows
-            best, score, entropy, n, reject = np.full(rows, len(languages) - 1), np.zeros(rows), np.full(rows, np.nan), np.zeros(rows), np.ones(rows, bool)
-            if scorer and rows:
-                loglik, n = scorer.texts(batch.column(1))
-                some = np.flatnonzero(n)
-                best[some] = loglik[some].argmax(axis=1)
-                top = loglik[some, best[some]]
-                entropy[some] = -top / n[some]
-                score[some] = 1 / np.exp(np.maximum(loglik[some] - top[:, None], -700)).sum(axis=1)
-                reject[some] = False
-                if limits is not None and not raw:
-                    mean, between, single, farthest = limits[best[some]].T
-                    away = (entropy[some] - mean) / np.sqrt(between + single / n[some]) / (margin * farthest)
-                    reject[some] = away > 1
-                    score[some] *= 1 / (1 + np.exp(np.clip(8 * (away - 1), -700, 700)))
-            columns = [batch.column(0), pa.array(languages[best], pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(n.astype(np.int64)), pa.array(reject)]
+            best, score, entropy, n, reject = _judged(scorer, len(languages) - 1, None if raw else shared.value.calibration, margin, batch.column(1))
+            columns = [batch.column(0), pa.array(languages[best], pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(n), pa.array(reject)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "entropy", "characters", "rejected"])
 
     schema = "doc_id bigint, lang_pred string, score double, entropy double, characters bigint, rejected boolean"
     return docs.select(docs["doc_id"].cast("bigint"), docs["text"]).mapInArrow(task, schema)
 
 
+def accepted(docs: DataFrame, model: Model, *, margin: float = REJECT_MARGIN) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``classify`` does not reject."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(shared) if shared.value.languages else None
+        for batch in batches:
+            reject = _judged(scorer, len(shared.value.languages), shared.value.calibration, margin, batch.column(at))[-1]
+            yield batch.filter(pa.array(~reject))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document's label may not be learnt from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

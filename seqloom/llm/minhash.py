@@ -206,3 +206,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, bands
     joined = sketches.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     result = joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document is the smallest of its group; rows with a null doc_id stay."""
+    gone = Scratch(docs.sparkSession).keep(near_duplicates(docs, words=words, percent=percent).filter("not kept").select("doc_id").distinct(), "gone")
+    gone = gone.withColumnRenamed("doc_id", "__gone")
+    if gone.count() <= SMALL_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
