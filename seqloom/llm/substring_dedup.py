@@ -204,8 +204,11 @@ def _full_prefixes(segments: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["prefix", "whole", "doc_id", "twin", "start"])
 
     suffixes = segments.mapInArrow(task, "prefix bigint, whole bigint, doc_id bigint, twin int, start int")
-    least = suffixes.groupBy("prefix", "whole").agg(F.min("doc_id").alias("least"))
-    hit = suffixes.join(least, ["prefix", "whole"]).filter("doc_id > least")
+    # The occurrences in a node's least document are marked by one more row and fall; keys hold the document, so no passage is one key.
+    firsts = suffixes.groupBy("prefix", "whole").agg(F.min("doc_id").alias("doc_id")).select("prefix", "whole", "doc_id", F.lit(None).cast("struct<twin:int,start:int>").alias("at"))
+    marked = suffixes.select("prefix", "whole", "doc_id", F.struct("twin", "start").alias("at")).unionByName(firsts)
+    by_doc = marked.groupBy("prefix", "whole", "doc_id").agg(F.collect_list("at").alias("at"), F.count("*").alias("n"))
+    hit = by_doc.filter(F.col("n") == F.size("at")).select("doc_id", F.inline("at"))
     return hit.select("doc_id", "twin", "start", (F.col("start") + window).cast("int").alias("stop"))
 
 
@@ -216,9 +219,12 @@ def _marked(docs: DataFrame, window: int) -> DataFrame:
     scratch = Scratch(spark)
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("twin"), "text")
     # A prefix that stands in one document only repeats nothing.
-    shared = _screened(keyed, window, False).groupBy("prefix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
-    listed = _screened(keyed, window, True).join(shared.select("prefix", (F.col("n") > SUBTREE).alias("large")), "prefix")
+    counted = _screened(keyed, window, False).groupBy("prefix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
+    # Written first: a join of two plain shuffles may be split at a prefix that a third of the documents hold.
+    shared = scratch.keep(counted.select("prefix", (F.col("n") > SUBTREE).alias("large")), "shared")
+    listed = _screened(keyed, window, True).join(shared, "prefix")
     places = scratch.keep(listed.select("doc_id", "twin", (F.col("place").cast("bigint") * 2 + F.col("large").cast("int")).alias("place")), "places")
+    scratch.drop("shared")
     by_doc = places.groupBy("doc_id", "twin").agg(F.collect_list("place").alias("places"))
     segments = scratch.keep(_segments(keyed.join(by_doc, ["doc_id", "twin"]), window), "segments")
     scratch.drop("places")
