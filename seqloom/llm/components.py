@@ -11,7 +11,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, component`` (smallest node reachable) for every node of ``links(a, b)``; null ends and loops are dropped.
 
     Each step rewrites the links so that all hang on smaller nodes; it ends when they form stars. Minima are combined before
-    every shuffle, and the joins may be split at hot nodes, so one star may hold any share of the nodes. The number of
+    every shuffle, and minima are written before they are joined, so that the join may be split at a node with any share of the links. The number of
     steps grows with the logarithm of the longest chain.
     """
     pairs = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("a is not null and b is not null and hi <> lo")
@@ -22,12 +22,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             break
         before = state
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = scratch.keep(large, "large")
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi").select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")), F.struct("hi", F.col("m").alias("lo")))).alias("e"))
         following = scratch.keep(small.select("e.hi", "e.lo").filter("hi <> lo").distinct(), name + "'")
-        scratch.drop(name)
+        scratch.drop(name, "least", "large")
         edges, name = following, name + "'"
     tops = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(tops)

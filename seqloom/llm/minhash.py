@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, bands
     reps = scratch.keep(first, "reps")
     copies = known.select("doc_id", "same").join(reps.select("same", "rep"), "same").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     keys = reps.select("rep", F.explode("bands").alias("band"))
-    least = keys.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    least = scratch.keep(keys.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n"), "buckets")
     hung = keys.join(least, "band").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
     grouped = scratch.keep(components(hung, scratch), "groups")
     sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
