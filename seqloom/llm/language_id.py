@@ -98,6 +98,8 @@ class Model:
 def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
     """Fit from counts of ``order``-grams by language; lower orders use continuation counts."""
     model = Model(sorted(counts))
+    if not counts:
+        return model
     letters = {c for grams in counts.values() for g in grams for c in g}
     model.floor = -math.log(len(letters) + 1)
     per_language = []
