@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import tokens
+from .resident import remembered
 from .scratch import bounded_batches
 
 
@@ -68,7 +69,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.built(("ranks", ranks_path, pattern), lambda: tokens.by_library(build_encoder(read_ranks(ranks_path), pattern)))
+        encoder = remembered(("ranks", ranks_path, pattern), lambda: tokens.by_library(build_encoder(read_ranks(ranks_path), pattern)))
         for batch in batches:
             ids, offsets = encoder.encode(batch.column(1))
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))

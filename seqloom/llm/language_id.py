@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .resident import remembered
 from .scratch import bounded_batches
 from .words import mix, text_buffer, word_spans
 
@@ -19,7 +20,7 @@ ORDER = 5
 #: Labelled documents of each language that a model is fitted on, about; one in five of them calibrates the rejection.
 TRAINING_DOCS = 2000
 #: Words whose scores a worker remembers at most; beyond it the memory starts anew.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 250_000
 #: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document.
 REJECT_MARGIN = 3.0
 PAD, END = "\x02", "\x03"
@@ -185,15 +186,10 @@ class Scorer:
         return out[:, :-1], out[:, -1]
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(broadcast) -> Scorer:
     """The Python worker's scorer of a broadcast model."""
-    if broadcast.value is not _scorers.get("model"):
-        _scorers.clear()
-        _scorers.update({"model": broadcast.value, "scorer": Scorer(broadcast.value)})
-    return _scorers["scorer"]
+    model = broadcast.value
+    return remembered(("languages", id(model)), lambda: Scorer(model))
 
 
 def _sampled(docs: DataFrame, per_language: int) -> DataFrame:

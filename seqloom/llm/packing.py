@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import tokens
+from .resident import remembered
 from .scratch import bounded_batches
 
 #: Open bins of a task at most; what they leave empty at its end is the price of packing without a shuffle.
@@ -73,7 +74,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
     bounded_batches(docs.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.built(("json", tokenizer_path), lambda: tokens.from_json(tokenizer_path))
+        encoder = remembered(("json", tokenizer_path), lambda: tokens.from_json(tokenizer_path))
         bins = Bins(capacity, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:
             ids, offsets = encoder.encode(batch.column(1))
