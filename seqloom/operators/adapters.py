@@ -15,17 +15,29 @@ from ..options import choice, fail_when, positive
 _HIT = "struct<start:int,stop:int>"
 
 
-def _exact_pattern(adapters: Sequence[str], where: str, overlap: int) -> str:
-    """One pattern for whole adapters and for adapters cut off by the read's end or start."""
-    parts: list[str] = []
-    for a in adapters:
-        parts.append(re.escape(a))
+def _exact(seq: Column, adapters: Sequence[str], where: str, overlap: int) -> Column:
+    """The rule of :func:`_search` without mismatches, in the JVM: most bases, then leftmost, then the first adapter.
+
+    Each adapter has up to three hits: whole, cut off by the read's end, cut off by its start.
+    """
+    hits: list[Column] = []
+
+    def hit(found: Column, bases_: Column, start: Column, rank: int) -> None:
+        hits.append(F.when(found, F.struct(bases_.cast("int").alias("n"), (-start).cast("int").alias("s"), F.lit(-rank).alias("r"))))
+
+    for rank, a in enumerate(adapters):
+        at = F.instr(seq, a)
+        hit(at > 0, F.lit(len(a)), at - 1, rank)
         cut = range(len(a) - 1, overlap - 1, -1)
-        if where in "ab":
-            parts += [re.escape(a[:k]) + "$" for k in cut]
-        if where in "gb":
-            parts += ["^" + re.escape(a[-k:]) for k in cut]
-    return "|".join(parts)
+        if where in "ab" and cut:
+            begin = F.regexp_instr(seq, F.lit("(?:" + "|".join(re.escape(a[:k]) for k in cut) + ")$"))
+            hit(begin > 0, F.length(seq) - begin + 1, begin - 1, rank)
+        if where in "gb" and cut:
+            head = F.length(F.regexp_substr(seq, F.lit("^(?:" + "|".join(re.escape(a[-k:]) for k in cut) + ")")))
+            hit(head.isNotNull(), head, F.lit(0), rank)
+    best = F.array_max(F.array(*hits))
+    start = F.when(best.isNull(), F.lit(-1)).otherwise(-best["s"])
+    return F.struct(start.alias("start"), F.when(best.isNull(), F.lit(-1)).otherwise(start + best["n"]).alias("stop"))
 
 
 def _search(adapters: Sequence[str], where: str, rate: float, overlap: int, adapter_n: bool, read_n: bool):
@@ -59,7 +71,7 @@ def _search(adapters: Sequence[str], where: str, rate: float, overlap: int, adap
                 whole = used == len(a)
                 partial = (used == lengths - at) if where in "ab" else np.zeros(len(seq), bool)
                 if at < 0:
-                    partial = used == hi - lo
+                    partial = used == at + len(a)
                 ok = (whole | partial) & (used >= overlap) & (used - same <= np.floor(rate * used + 1e-9))
                 better = ok & ((same > best) | ((same == best) & (start >= 0) & (lo < start)))
                 best[better], start[better], stop[better] = same[better], lo, (lo + used)[better]
@@ -88,8 +100,9 @@ def find_adapter(
 ) -> Column:
     """0-based half-open ``struct<start,stop>`` of the adapter, start -1 when there is none.
 
-    ``where``: ``a`` 3' adapter, ``g`` 5' adapter, ``b`` either. Without allowed mismatches and wildcards
-    this is one regular expression in the JVM (leftmost hit), else a batched search.
+    ``where``: ``a`` 3' adapter, ``g`` 5' adapter, ``b`` either. The hit with the most matching bases counts, of equals
+    the leftmost, then the first adapter. Without allowed mismatches and wildcards the JVM finds it, else a batched
+    search; both follow the same rule.
     """
     choice("where", where, "agb")
     positive("overlap", overlap)
@@ -97,12 +110,7 @@ def find_adapter(
         raise ValueError("adapters must be non-empty strings")
     wild = (adapter_wildcards and any("N" in a for a in adapters)) or read_wildcards
     if not wild and all(int(error_rate * len(a) + 1e-9) == 0 for a in adapters):
-        pattern = F.lit(_exact_pattern(adapters, where, overlap))
-        start = F.regexp_instr(seq, pattern) - 1
-        return F.struct(
-            start.cast("int").alias("start"),
-            F.when(start < 0, F.lit(-1)).otherwise(start + F.length(F.regexp_substr(seq, pattern))).cast("int").alias("stop"),
-        )
+        return _exact(seq, adapters, where, overlap)
     return _search(list(adapters), where, error_rate, overlap, adapter_wildcards, read_wildcards)(seq)
 
 

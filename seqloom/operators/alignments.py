@@ -74,12 +74,15 @@ def read_group_header(*, rg_id: str, lb: str, pl: str, pu: str, sm: str, **extra
     return "\t".join(["@RG", *[f"{k}:{v}" for k, v in fields.items()]])
 
 
-def idxstats(al: DataFrame, chrom_sizes: DataFrame) -> DataFrame:
-    """Length, mapped and unmapped records per reference sequence, zeros included."""
-    per = al.groupBy("rname").agg(
+def idxstats(al: DataFrame, chrom_sizes: DataFrame, *, samples: Sequence[str]) -> DataFrame:
+    """Length, mapped and unmapped records per sample and reference sequence, zeros included; ``*`` holds the unplaced ones."""
+    per = al.groupBy("sample", "rname").agg(
         F.count_if(flags.lacks(flags.UNMAPPED)).alias("mapped"), F.count_if(flags.has(flags.UNMAPPED)).alias("unmapped")
     )
-    return chrom_sizes.join(per, "rname", "left").na.fill(0, ["mapped", "unmapped"])
+    unplaced = al.sparkSession.createDataFrame([("*", 0)], "rname string, length bigint")
+    named = chrom_sizes.select("rname", F.col("length").cast("bigint")).unionByName(unplaced)
+    rows = named.select(F.explode(F.array(*map(F.lit, samples))).alias("sample"), "rname", "length")
+    return rows.join(per, ["sample", "rname"], "left").na.fill(0, ["mapped", "unmapped"])
 
 
 def alignment_stats(al: DataFrame, *, min_mapq: int = 30) -> DataFrame:
@@ -227,14 +230,16 @@ def large_split_report(al: DataFrame, *, max_split: int, max_distance: int) -> D
     return out.groupBy("sample", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def first_n(keys: DataFrame, n: int, *, bucket: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows by (``bucket``, ``order``), exactly, without a global sort.
+def first_n(keys: DataFrame, n: int, *, bucket: Sequence[str], order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows by (``bucket``, ``order``) of each ``by`` group, exactly, without a global sort.
 
     Bucket sizes give the buckets wholly inside; only the bucket at the border is ranked.
     """
     positive("n", n)
+    places = [c for c in bucket if c not in by]
+    bucket = [*by, *places]
     sizes = keys.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.withColumn("_upto", F.sum("_size").over(Window.orderBy(*bucket)))
+    sizes = sizes.withColumn("_upto", F.sum("_size").over(Window.partitionBy(*by).orderBy(*places)))
     inside = keys.join(sizes.filter(F.col("_upto") <= n).select(*bucket), list(bucket), "left_semi")
     edge = sizes.filter((F.col("_upto") > n) & (F.col("_upto") - F.col("_size") < n))
     ranked = keys.join(edge, list(bucket)).withColumn(
@@ -245,13 +250,13 @@ def first_n(keys: DataFrame, n: int, *, bucket: Sequence[str], order: Sequence[s
 
 
 def subset_mapped(al: DataFrame, *, n: int, paired: bool = False, bucket_size: int = 10000) -> DataFrame:
-    """All mapped records of the first ``n`` templates in coordinate order."""
+    """All mapped records of the first ``n`` templates of each sample in coordinate order."""
     mapped = filter_alignments(al, keep=flags.PAIRED | flags.PROPER if paired else 0, skip=flags.UNMAPPED)
     first = mapped.groupBy(*TEMPLATE).agg(F.min(F.struct("rname", "pos")).alias("at"))
     keys = first.select(
         *TEMPLATE, F.col("at.rname").alias("rname"), F.floor(F.col("at.pos") / bucket_size).alias("bin"), F.col("at.pos").alias("pos")
     )
-    chosen = first_n(keys, n, bucket=["rname", "bin"], order=["pos", "sample", "qname"])
+    chosen = first_n(keys, n, bucket=["rname", "bin"], order=["pos", "qname"], by=["sample"])
     return mapped.join(chosen.select(*TEMPLATE), TEMPLATE, "left_semi")
 
 

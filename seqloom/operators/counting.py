@@ -105,7 +105,6 @@ def assign_units(
     """(counting units with ``n`` and ``why`` they are left out; hits per unit and target with ``n``; unit key columns)."""
     choice("strandness", strandness, (0, 1, 2))
     choice("read_to", read_to, (None, 5, 3))
-    positive("min_overlap", min_overlap)
     if aliases:
         names = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
         al = al.withColumn("rname", F.coalesce(F.element_at(names, F.col("rname")), F.col("rname")))

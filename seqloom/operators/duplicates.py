@@ -22,7 +22,7 @@ def _score(scoring: str, seed: int) -> Column:
         return bases.sum_of_good_scores(F.col("qual"))
     if scoring == "total_mapped_reference_length":
         return cigar.ref_len().cast("bigint")
-    return F.xxhash64(F.lit(seed), F.col("qname"))
+    return F.pmod(F.xxhash64(F.lit(seed), F.col("qname")), F.lit(1 << 31))  # sums of a template stay in range
 
 
 def _templates(al: DataFrame, scoring: str, barcode: list[str], seed: int) -> DataFrame:

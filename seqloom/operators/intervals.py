@@ -39,6 +39,7 @@ def overlap_join(
     stranded: str = "no",
     bin_size: int = 4096,
     key: Sequence[str] | None = None,
+    by: Sequence[str] = (),
     salt: int = 1,
 ) -> DataFrame:
     """Pairs of intervals sharing at least ``min_overlap`` bases (negative: at most that far apart).
@@ -46,7 +47,7 @@ def overlap_join(
     Right columns other than ``rname`` come out prefixed ``r_``, with the shared bases as ``overlap``.
     Both sides are cut into bins for an equi-join; a pair is reported only in the bin where the
     later of the two begins, so nothing needs a distinct. ``semi``, ``anti`` and ``left`` need the
-    left row's ``key`` columns. ``salt`` spreads every bin of the left side over that many tasks.
+    left row's ``key`` columns. ``by`` columns must be equal too and come out once. ``salt`` spreads every bin of the left side over that many tasks.
     """
     choice("how", how, ("inner", "left", "semi", "anti"))
     choice("stranded", stranded, ("no", "same", "opposite"))
@@ -60,9 +61,10 @@ def overlap_join(
         return F.sequence(bin_of(start, bin_size), bin_of(F.greatest(end - 1, start), bin_size))
 
     a = left.select("*", F.explode(bins(F.col("start"), F.col("end"))).alias("_bin"))
-    b = right.select("rname", *[F.col(c).alias(f"r_{c}") for c in right.columns if c != "rname"])
+    once = ["rname", *by]
+    b = right.select(*once, *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in once])
     b = b.select("*", F.explode(bins(F.col("r_start") - reach, F.col("r_end") + reach)).alias("_bin"))
-    on = ["rname", "_bin"]
+    on = [*once, "_bin"]
     if salt > 1:
         a = a.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
         b = b.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salt)])))

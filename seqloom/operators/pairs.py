@@ -123,7 +123,7 @@ def merge_pairs(
 
 
 def identify_adapters(reads: DataFrame, *, min_overlap: int = 11, max_mismatch: float = 0.1) -> DataFrame:
-    """Consensus base per position beyond the fragment end, for each mate.
+    """Consensus base per position beyond the fragment end, for each sample and mate.
 
     ``rank_n`` reads carry the winning base of ``total`` reads that reach the position.
     """
@@ -139,10 +139,10 @@ def identify_adapters(reads: DataFrame, *, min_overlap: int = 11, max_mismatch:
         ).alias("t"),
     ).filter(F.length("t.tail") > 0)
     per_base = (
-        tails.select("t.mate", F.posexplode(bases.letters(F.col("t.tail"))).alias("pos", "base"))
-        .groupBy("mate", "pos", "base")
+        tails.select("sample", "t.mate", F.posexplode(bases.letters(F.col("t.tail"))).alias("pos", "base"))
+        .groupBy("sample", "mate", "pos", "base")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return per_base.groupBy("mate", "pos").agg(
+    return per_base.groupBy("sample", "mate", "pos").agg(
         F.max_by("base", F.struct("n", "base")).alias("base"), F.max("n").alias("rank_n"), F.sum("n").alias("total")
     )

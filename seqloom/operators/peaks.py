@@ -152,10 +152,9 @@ def call_peaks(
     if broad:
         kept = runs.filter(F.col(column) >= -math.log10(broad_cutoff))
         wide = _islands(kept, 4 * max_gap, min_len)
-        inside = overlap_join(wide, regions, bin_size=16384).filter("sample = r_sample")
+        inside = overlap_join(wide, regions, by=["sample"], bin_size=16384)
         regions = wide.join(inside.select(*BY, "start", "end").distinct(), [*BY, "start", "end"], "left_semi")
-    hits = overlap_join(kept.select(*BY, "start", "end", "pileup", "lam", "score", "qscore"), regions, bin_size=16384)
-    hits = hits.filter("sample = r_sample")
+    hits = overlap_join(kept.select(*BY, "start", "end", "pileup", "lam", "score", "qscore"), regions, by=["sample"], bin_size=16384)
     # The summit is the middle of the highest run; ties go to the leftmost.
     top = F.min(F.struct((-F.col("pileup")).alias("h"), "start", "end", "lam", "score", "qscore")).alias("t")
     out = hits.groupBy("sample", "rname", F.col("r_start").alias("_s"), F.col("r_end").alias("_e")).agg(top)
@@ -167,7 +166,18 @@ def call_peaks(
     )
 
 
-def enriched_bins(bins: DataFrame, *, p: float = 0.01, dist: str = "poisson", rounds: int = 60) -> DataFrame:
+def truncated_rate(mean: Column) -> Column:
+    """Rate of a zero-truncated Poisson distribution with this mean: the root of lam = mean (1 - exp(-lam)).
+
+    Newton's method from the right side of a convex function: every step comes closer, at least halving the error
+    where the root is near zero and squaring it elsewhere, so 64 steps reach the last bit of a double.
+    """
+    step = lambda lam, _: lam - (lam + mean * F.expm1(-lam)) / (1 - mean * F.exp(-lam))
+    settled = F.aggregate(F.sequence(F.lit(1), F.lit(64)), mean, lambda lam, i: F.when(mean * F.exp(-lam) < 1, F.greatest(step(lam, i), F.lit(0.0))).otherwise(lam))
+    return F.when(mean > 1, settled).otherwise(F.lit(0.0))
+
+
+def enriched_bins(bins: DataFrame, *, p: float = 0.01, dist: str = "poisson") -> DataFrame:
     """Bins of (sample, rname, bin, n) with counts significant under a per-sample count model.
 
     ``poisson`` takes the mean of all given bins; ``zero_truncated`` fits the non-zero bins only.
@@ -177,15 +187,11 @@ def enriched_bins(bins: DataFrame, *, p: float = 0.01, dist: str = "poisson", ro
         fit = bins.groupBy("sample").agg(F.avg("n").alias("lam"))
     else:
         fit = bins.filter("n > 0").groupBy("sample").agg(F.avg("n").alias("m"))
-        # lam = m (1 - exp(-lam)) by fixed-point rounds as one fold over a constant array.
-        fit = fit.withColumn(
-            "lam",
-            F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("m"), lambda acc, _: F.col("m") * (1 - F.exp(-acc))),
-        ).drop("m")
+        fit = fit.withColumn("lam", truncated_rate(F.col("m"))).drop("m")
     pairs = bins.filter("n > 0").groupBy("sample", "n").agg(F.count(F.lit(1)).alias("_k")).join(fit, "sample")
     score = poisson_score(F.col("n"), F.col("lam"))
     if dist == "zero_truncated":
-        score = F.when(F.col("lam") > 1e-9, score + F.log10(1 - F.exp(-F.col("lam")))).otherwise(0.0)
+        score = F.when(F.col("lam") > 1e-12, score + F.log10(-F.expm1(-F.col("lam")))).otherwise(0.0)
     scored = pairs.withColumn("score", score).filter(F.col("score") >= -math.log10(p)).select("sample", "n", "score")
     return bins.join(scored, ["sample", "n"])
 
@@ -207,17 +213,20 @@ def complexity_curve(histogram: DataFrame, *, step: int) -> DataFrame:
 def split_peaks(peaks: DataFrame, chip: DataFrame, control: DataFrame, *, min_ratio: float = 2.0) -> DataFrame:
     """Peaks (sample, rname, start, end) with chip and control reads and ``passed`` by their ratio.
 
-    The ratio is (chip + 1) / (control scaled to the chip total + 1). Read tables: (rname, start, end).
+    The ratio is (chip + 1) / (control scaled to the chip total + 1), all within the peak's sample; where a sample has no
+    control reads the scaled control is 0. Read tables: (sample, rname, start, end), controls under the sample they belong to.
     """
 
     def counted(reads: DataFrame, name: str) -> DataFrame:
-        spots = reads.groupBy("rname", "start", "end").agg(F.count(F.lit(1)).alias("n"))
-        hits = overlap_join(spots, peaks.select("sample", "rname", "start", "end"))
-        keys = [F.col(f"r_{c}").alias(c) for c in ("sample", "start", "end")]
-        return hits.groupBy("rname", *keys).agg(F.sum("n").alias(name))
+        spots = reads.groupBy("sample", "rname", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+        hits = overlap_join(spots, peaks.select("sample", "rname", "start", "end"), by=["sample"])
+        return hits.groupBy("sample", "rname", F.col("r_start").alias("start"), F.col("r_end").alias("end")).agg(F.sum("n").alias(name))
 
     keys = ["sample", "rname", "start", "end"]
     out = peaks.join(counted(chip, "chip"), keys, "left").join(counted(control, "input"), keys, "left").na.fill(0, ["chip", "input"])
-    factor = chip.agg(F.count(F.lit(1))).scalar() / control.agg(F.count(F.lit(1))).scalar()
+    total = lambda reads, name: reads.groupBy("sample").agg(F.count(F.lit(1)).alias(name))
+    totals = total(chip, "_all_chip").join(total(control, "_all_input"), "sample", "full")
+    factor = F.coalesce(F.try_divide(F.col("_all_chip"), F.col("_all_input")), F.lit(0.0))
     ratio = (F.col("chip") + 1) / (F.col("input") * factor + 1)
-    return out.withColumn("ratio", ratio).withColumn("passed", F.col("ratio") >= min_ratio)
+    out = out.join(totals, "sample", "left").withColumn("ratio", ratio).drop("_all_chip", "_all_input")
+    return out.withColumn("passed", F.col("ratio") >= min_ratio)

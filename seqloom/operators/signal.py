@@ -228,7 +228,7 @@ def binarize_peaks(bins: DataFrame, peaks: DataFrame, *, bin_size: int = 4096) -
     from .intervals import overlap_join
 
     places = bins.select("sample", "rname", "start", "end")
-    hit = overlap_join(places, peaks.select("rname", "start", "end", "sample"), bin_size=bin_size).filter("sample = r_sample")
+    hit = overlap_join(places, peaks.select("rname", "start", "end", "sample"), by=["sample"], bin_size=bin_size)
     hit = hit.select("sample", "rname", "start", "end").distinct().withColumn("_hit", F.lit(1))
     return bins.join(hit, ["sample", "rname", "start", "end"], "left").withColumn("state", F.coalesce("_hit", F.lit(0))).drop("_hit")
 

@@ -57,13 +57,16 @@ def a4(t):
 
 @BOOK.add(
     "A5_idxstats",
-    """select rname, length, count(pos) filter (where mapq>5) mapped, count(pos) filter (where mapq<=5) unmapped
-       from chrom_sizes left join alignments using (rname) group by 1,2""",
+    """with a as (select sample, case when mapq<=1 then '*' else rname end rname, mapq from alignments), s as (select distinct sample from a),
+         r as (select sample, rname, length from s, chrom_sizes union all select sample, '*', 0 from s)
+       select sample, rname, length, count(mapq) filter (where mapq>5) mapped, count(mapq) filter (where mapq<=5) unmapped
+       from r left join a using (sample, rname) group by 1,2,3""",
     "alignments", "chrom_sizes",
 )
 def a5(t):
     al = t.alignments.withColumn("flag", flags.put_if(F.col("mapq") <= 5, flags.UNMAPPED))
-    return A.idxstats(al, t.chrom_sizes)
+    al = al.withColumn("rname", F.when(F.col("mapq") <= 1, "*").otherwise(F.col("rname")))
+    return A.idxstats(al, t.chrom_sizes, samples=["s0", "s1", "s2"])
 
 
 @BOOK.add(
@@ -178,8 +181,10 @@ def a12b(t):
 
 _FIX = """with m as (select *, count(*) over (partition by sample, qname, xi) c from mates),
   nh as (select sample, qname, count(distinct xi) k from mates group by 1,2),
-  j as (select a.sample, a.qname, a.xi, a.rname, a.pos, a.cigar, a.mapq, a.c, k, a.flag, a.rnext, a.pnext, b.rname mr, b.pos mp, b.flag mf
-        from m a join nh using (sample, qname) left join m b on a.c=2 and b.sample=a.sample and b.qname=a.qname and b.xi=a.xi and b.flag<>a.flag and (b.flag&64)<>(a.flag&64)),
+  w as (select *, max(rname) filter (where flag&64>0) over g r1, max(rname) filter (where flag&64=0) over g r2, max(pos) filter (where flag&64>0) over g p1, max(pos) filter (where flag&64=0) over g p2,
+        max(flag) filter (where flag&64>0) over g f1, max(flag) filter (where flag&64=0) over g f2 from m window g as (partition by sample, qname, xi)),
+  j as (select w.*, k, case when c=2 then case when flag&64>0 then r2 else r1 end end mr, case when c=2 then case when flag&64>0 then p2 else p1 end end mp,
+        case when c=2 then case when flag&64>0 then f2 else f1 end end mf from w join nh using (sample, qname)),
   fixed as (select sample, qname, xi, rname, pos, cigar, mapq, cast(k as int) nh,
      cast((case when k<=1 then flag - (flag&256) else flag end) | (case when c=1 and flag&1=1 then 8 else 0 end) | (case when c=2 and mf&16>0 then 32 else 0 end) as int) flag,
      case when c=1 then rnext when mr=rname then '=' else mr end rnext, case when c=2 then mp else pnext end pnext from j) """
@@ -306,12 +311,12 @@ def a23b(t):
 @BOOK.add(
     "A24_subset_mapped",
     """with m as (select * from alignments where flag&3=3 and flag&4=0), f as (select sample, qname, min((rname,pos)) a from m group by 1,2),
-       r as (select *, row_number() over (order by a, sample, qname) rk from f)
-       select m.aln_id, m.qname, m.rname, m.pos from m join r using (sample, qname) where rk<=1500""",
+       r as (select *, row_number() over (partition by sample order by a, qname) rk from f)
+       select m.aln_id, m.qname, m.rname, m.pos from m join r using (sample, qname) where rk<=500""",
     "alignments",
 )
 def a24(t):
-    return A.subset_mapped(t.alignments, n=1500, paired=True).select("aln_id", "qname", "rname", "pos")
+    return A.subset_mapped(t.alignments, n=500, paired=True).select("aln_id", "qname", "rname", "pos")
 
 
 _BED = f"""with b as (select sample, rname, cast(pos-1 as int) start, cast(pos-1+{REF} as int) "end", concat(qname,case when flag&128>0 then '/2' else '/1' end) "name", cast(mapq as double) score,

@@ -442,7 +442,9 @@ def c12(t):
     "C12_enriched_bins_truncated",
     f"""with {SPAN}, f0 as (select sample, rname, cast(b as bigint) bin, count(*) n from (select sample, rname, unnest(range(start//250, ("end"-1)//250+1)) b from span) group by 1,2,3),
       mm as (select sample, avg(n) m from f0 group by 1),
-      l as (select sample, list_reduce(list_transform(range(0,61), lambda i: m), lambda acc, x: x*(1-exp(-acc))) lam from mm),
+      bi as (with recursive b(sample, m, lo, hi, i) as (select sample, m, 0.0::double, m, 0 from mm union all
+        select sample, m, case when (lo+hi)/2 > m*(1-exp(-(lo+hi)/2)) then lo else (lo+hi)/2 end, case when (lo+hi)/2 > m*(1-exp(-(lo+hi)/2)) then (lo+hi)/2 else hi end, i+1 from b where i<100) select * from b),
+      l as (select sample, (lo+hi)/2 lam from bi where i=100),
       q as (select sample, rname, bin, n, {_TAIL}/(1-exp(-lam)) pv from f0 join l using (sample))
       select sample, rname, bin, n, round(-log10(pv),5) score from q where pv<=0.05""",
     "alignments",
@@ -502,16 +504,23 @@ _PK = "with pk as (select gene_id sample, rname, min(start) start, max(\"end\")
 
 @BOOK.add(
     "C16_split_peaks",
-    _PK + """, c as (select pk.sample, pk.rname, pk.start, pk."end", count(*) filter (where s.sample='s0') chip, count(*) filter (where s.sample='s1') inp
-        from pk left join span s on s.rname=pk.rname and s.start<pk."end" and pk.start<s."end" and s.sample in ('s0','s1') group by all),
-      f as (select (select count(*) from alignments where sample='s0')/(select count(*) from alignments where sample='s1') f)
-      select c.sample, rname, start, "end", chip, inp "input", (chip+1)/(inp*f+1) ratio, (chip+1)/(inp*f+1)>=1.05 passed from c, f""",
+    _PK + """, design(sample, control) as (values ('s0','s1'), ('s1','s2'), ('s2',null)),
+      pd as (select distinct d.sample, d.control, pk.rname, pk.start, pk."end" from pk, design d),
+      c as (select pd.sample, pd.control, pd.rname, pd.start, pd."end", count(*) filter (where s.sample=pd.sample) chip, count(*) filter (where s.sample=pd.control) inp
+        from pd left join span s on s.rname=pd.rname and s.start<pd."end" and pd.start<s."end" group by all),
+      n as (select sample, count(*) n from alignments group by 1),
+      f as (select d.sample, coalesce(a.n/b.n, 0.0) f from design d join n a using (sample) left join n b on b.sample=d.control)
+      select sample, rname, start, "end", chip, inp "input", (chip+1)/(inp*f+1) ratio, (chip+1)/(inp*f+1)>=1.05 passed from c join f using (sample)""",
     "alignments", "features",
 )
 def c16(t):
-    pk = t.features.groupBy(F.col("gene_id").alias("sample"), "rname").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    pk = t.features.groupBy("gene_id", "rname").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("rname", "start", "end").distinct()
+    pk = pk.select(F.explode(F.array(*map(F.lit, ("s0", "s1", "s2")))).alias("sample"), "*")
     reads = _spans(t)
-    return P.split_peaks(pk, reads.filter("sample = 's0'"), reads.filter("sample = 's1'"), min_ratio=1.05)
+    # The design: s1 is the control of s0, s2 that of s1, and s2 has none.
+    serves = F.create_map(F.lit("s1"), F.lit("s0"), F.lit("s2"), F.lit("s1"))
+    control = reads.withColumn("sample", F.try_element_at(serves, F.col("sample"))).filter("sample is not null")
+    return P.split_peaks(pk, reads, control, min_ratio=1.05)
 
 
 @BOOK.add(

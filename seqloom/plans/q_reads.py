@@ -225,11 +225,11 @@ def r15(t):
 
 @BOOK.add(
     "R16_identify_adapters",
-    _PAIR + """, tails as (select 1 mate, substr(s1,cast(sh+length(rc)+1 as int)) tail from best where span>0
-        union all select 2, substr(s2,cast(sh+length(rc)+1 as int)) from best where span>0),
-      x as (select mate, cast(i-1 as int) pos, substr(tail,cast(i as int),1) base from (select *, unnest(range(1,length(tail)+1)) i from tails)),
-      n as (select mate, pos, base, count(*) n from x group by all)
-      select mate, pos, arg_max(base,(n,base)) base, max(n) rank_n, cast(sum(n) as bigint) total from n group by mate, pos""",
+    _PAIR + """, tails as (select sample, 1 mate, substr(s1,cast(sh+length(rc)+1 as int)) tail from best where span>0
+        union all select sample, 2, substr(s2,cast(sh+length(rc)+1 as int)) from best where span>0),
+      x as (select sample, mate, cast(i-1 as int) pos, substr(tail,cast(i as int),1) base from (select *, unnest(range(1,length(tail)+1)) i from tails)),
+      n as (select sample, mate, pos, base, count(*) n from x group by all)
+      select sample, mate, pos, arg_max(base,(n,base)) base, max(n) rank_n, cast(sum(n) as bigint) total from n group by sample, mate, pos""",
     "reads",
 )
 def r16(t):

@@ -59,10 +59,11 @@ def parse_gtf(lines: DataFrame) -> DataFrame:
     names = "rname source feature start end score strand frame text".split()
     t = body.select(*_columns(F.col("value"), names))
     pattern = r'(\S+)\s+"?([^";]*)"?\s*(?:;|$)'
-    attrs = F.map_from_arrays(
-        F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), F.regexp_extract_all("text", F.lit(pattern), F.lit(2))
-    )
-    t = t.withColumn("attrs", attrs)
+    t = t.withColumn("_keys", F.regexp_extract_all("text", F.lit(pattern), F.lit(1)))
+    pairs = F.arrays_zip(F.col("_keys").alias("key"), F.regexp_extract_all("text", F.lit(pattern), F.lit(2)).alias("value"))
+    # A repeated key keeps its last value.
+    last = F.filter(pairs, lambda p, i: F.array_position(F.reverse("_keys"), p["key"]) == F.size("_keys") - i)
+    t = t.withColumn("attrs", F.map_from_entries(last)).drop("_keys")
     missing = F.col("attrs")["gene_id"].isNull() | F.col("attrs")["transcript_id"].isNull()
     message = F.concat(F.lit("gene_id or transcript_id missing: "), "rname", F.lit(":"), "start", F.lit(" "), "text")
     return t.select(
@@ -278,8 +279,8 @@ def parse_fasta(records: DataFrame) -> DataFrame:
 
 def read_fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per sequence; plain files are split between records."""
-    records = spark.read.option("lineSep", ">").text(paths if isinstance(paths, str) else list(paths))
-    return parse_fasta(records)
+    records = spark.read.option("lineSep", "\n>").text(paths if isinstance(paths, str) else list(paths))
+    return parse_fasta(records.select(F.regexp_replace("value", "^>", "").alias("value")))
 
 
 def sequence_chunks(sequences: DataFrame, *, chunk: int = 1 << 20) -> DataFrame:

@@ -151,3 +151,31 @@ def test_fingerprint_sample_is_exact(spark):
     bins = spark.range(500).select(F.lit("s").alias("sample"), F.lit("c").alias("rname"), F.col("id").alias("bin"), (F.col("id") % 7).alias("n"))
     got = S.fingerprint(bins, n_bins=123).agg(F.sum("bins")).first()[0]
     assert got == 123
+
+
+def test_truncated_rate_settles(spark):
+    means = [1.0, 1.0001, 1.001, 1.01, 1.5, 2.0, 10.0, 100.0]
+    for r in spark.createDataFrame([(m,) for m in means], "m double").select("m", P.truncated_rate(F.col("m")).alias("lam")).collect():
+        lo, hi = 0.0, r["m"]
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if mid + r["m"] * math.expm1(-mid) > 0 else (mid, hi)
+        assert abs(r["lam"] - (lo if r["m"] > 1 else 0.0)) < 1e-9
+
+
+def test_overlap_join_by_sample(spark):
+    rows = [(s, "c", 10 * i, 10 * i + 15) for s in ("a", "b") for i in range(4)]
+    df = spark.createDataFrame(rows, "sample string, rname string, start int, end int")
+    got = I.overlap_join(df, df, by=["sample"])
+    want = [(x, y) for x in rows for y in rows if x[0] == y[0] and x[2] < y[3] and y[2] < x[3]]
+    assert got.count() == len(want) and "r_sample" not in got.columns
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "sample" in text.split("Join")[1].split("]")[0]
+
+
+def test_split_peaks_within_samples_and_without_controls(spark):
+    schema = "sample string, rname string, start int, end int"
+    peaks = spark.createDataFrame([("a", "c", 0, 100), ("b", "c", 0, 100)], schema)
+    chip = spark.createDataFrame([("a", "c", 1, 5)] * 4 + [("b", "c", 200, 205)], schema)
+    got = {r["sample"]: (r["chip"], r["input"], r["ratio"]) for r in P.split_peaks(peaks, chip, chip.filter("false")).collect()}
+    assert got == {"a": (4, 0, 5.0), "b": (0, 0, 1.0)}

@@ -134,3 +134,34 @@ def test_options_are_checked_early(spark):
     ):
         with pytest.raises(ValueError):
             bad()
+
+
+@pytest.mark.parametrize("where", ["a", "g", "b"])
+def test_one_adapter_rule_with_and_without_mismatches(spark, where):
+    """The JVM search and the batched one follow one rule: most bases, leftmost, first adapter."""
+    rng = random.Random(5)
+    adapters = ["AGAT", "ACGTACGTA", "ACGTC", "".join(rng.choices("ACGT", k=40))]
+    reads = ["GATCCCCCAGATC", "TTTACGTCCACGTACGTACGTT", "", "AG", adapters[3][5:30], "T" + adapters[3] + "C"]
+    for _ in range(150):
+        a = rng.choice(adapters)
+        cut = a[rng.randrange(len(a)) :] if rng.random() < 0.5 else a[: rng.randrange(1, len(a) + 1)]
+        tail = "".join(rng.choices("ACGT", k=rng.randrange(12)))
+        reads.append(rng.choice([tail + cut, cut + tail, tail + a + tail]))
+    df = spark.createDataFrame([(r,) for r in reads], "seq string")
+    exact = A.find_adapter(F.col("seq"), adapters, where=where, error_rate=0.0)
+    searched = A._search(adapters, where, 0.0, 3, True, False)(F.col("seq"))
+
+    def best(read):
+        hits = []
+        for i, a in enumerate(adapters):
+            for at in range(-len(a) + 1, len(read)):
+                lo, hi = max(at, 0), min(at + len(a), len(read))
+                cut_left, cut_right = at < 0, at + len(a) > len(read)
+                if hi - lo < 3 or (cut_left and (where == "a" or cut_right)) or (cut_right and where == "g"):
+                    continue
+                if read[lo:hi] == a[lo - at : hi - at]:
+                    hits.append((-(hi - lo), lo, i, hi))
+        return (min(hits)[1], min(hits)[3]) if hits else (-1, -1)
+
+    for r in df.select("seq", exact.alias("x"), searched.alias("y")).collect():
+        assert tuple(r["x"]) == tuple(r["y"]) == best(r["seq"]), r["seq"]

@@ -41,10 +41,10 @@ def test_fastq_gzip_and_truncation(spark, tmp_path):
 
 
 def test_fasta_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("a", "first one", "ACGT" * 40), ("b", None, "G")], "name string, descr string, seq string")
+    df = spark.createDataFrame([("a", "first A->G one", "ACGT" * 40), ("b", None, "G")], "name string, descr string, seq string")
     K.write_fasta(df, str(tmp_path / "f"), width=10)
     got = {r["name"]: (r["descr"], r["seq"], r["length"]) for r in T.read_fasta(spark, str(tmp_path / "f")).collect()}
-    assert got == {"a": ("first one", "ACGT" * 40, 160), "b": (None, "G", 1)}
+    assert got == {"a": ("first A->G one", "ACGT" * 40, 160), "b": (None, "G", 1)}
 
 
 def test_sam_tags_keep_colons_and_sort(spark):
@@ -57,18 +57,19 @@ def test_sam_tags_keep_colons_and_sort(spark):
 
 
 def test_gtf_golden_line_and_missing_id(spark):
-    line = 'chr1\tCufflinks\texon\t798899\t799191\t.\t+\t.\tgene_id "XLOC_000024"; transcript_id "TCONS_00000072"; exon_number "1"; oId "CUFF.8.1"; class_code "u";'
+    line = 'chrQ\tassembler\texon\t101\t250\t.\t-\t.\tgene_id "geneA"; transcript_id "txA.1"; exon_number "2"; tag "basic"; note "first"; tag "last one";'
     r = T.parse_gtf(lines(spark, "# c", line)).collect()[0]
-    assert (r["start"], r["end"], r["gene_id"], r["exon_number"], r["attrs"]["oId"]) == (798898, 799191, "XLOC_000024", 1, "CUFF.8.1")
+    assert (r["start"], r["end"], r["gene_id"], r["exon_number"], r["attrs"]["note"]) == (100, 250, "geneA", 2, "first")
+    assert r["attrs"]["tag"] == "last one"
     with pytest.raises(Exception, match="missing"):
         T.parse_gtf(lines(spark, line.replace("transcript_id", "other_id"))).collect()
 
 
 def test_align_summary_single_and_paired(spark, tmp_path):
-    single = "9202262 reads; of these:\n  9202262 (100.00%) were unpaired; of these:\n    859754 (9.34%) aligned 0 times\n    1233838 (13.41%) aligned exactly 1 time\n    7108670 (77.25%) aligned >1 times\n90.66% overall alignment rate\n"
+    single = "1000 reads; of these:\n  1000 (100.00%) were unpaired; of these:\n    120 (12.00%) aligned 0 times\n    580 (58.00%) aligned exactly 1 time\n    300 (30.00%) aligned >1 times\n88.00% overall alignment rate\n"
     (tmp_path / "one.txt").write_text(single)
     r = T.read_align_summary(spark, str(tmp_path / "one.txt")).collect()[0]
-    assert (r["input"], r["unaligned"], r["unique_hits"], r["multiple_hits"]) == (9202262, 859754, 1233838, 7108670)
+    assert (r["input"], r["unaligned"], r["unique_hits"], r["multiple_hits"]) == (1000, 120, 580, 300)
 
 
 def test_sample_sheet_errors(spark):
