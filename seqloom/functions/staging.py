@@ -4,22 +4,28 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's shared checkpoint folder, so later passes read it instead of recomputing.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset, as in local
-    tests, a temporary one is made.
-    """
+    """Write ``df`` to the session's shared checkpoint folder, so later passes read it instead of recomputing."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="seqloom-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only for a local master where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="seqloom-checkpoint-")
+
+
 def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add ``columns`` through a one-row generator.
 

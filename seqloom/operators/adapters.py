@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import bases
+from ..functions.joins import join_small
 from ..options import choice, fail_when, positive
 
 _HIT = "struct<start:int,stop:int>"
@@ -226,7 +227,7 @@ def demultiplex(
     choice("mismatches", mismatches, (0, 1, 2))
     near = barcode_neighbours(samples, barcode=barcode, mismatches=mismatches)
     near = near.select(F.col("barcode").alias(read_barcode), F.col("sample").alias("_found"))
-    joined = reads.join(near, read_barcode, "left")
+    joined = join_small(reads, near, read_barcode, "left")
     return joined.withColumn("sample", F.coalesce("_found", F.lit("Undetermined"))).drop("_found")
 
 
@@ -236,4 +237,4 @@ def sample_sheet_join(reads: DataFrame, samples: DataFrame) -> DataFrame:
     checked = samples.join(present, "sample", "left")
     absent = F.concat(F.lit("sample of the sheet has no data: "), F.col("sample"))
     checked = checked.withColumn("sample", fail_when(F.col("_seen").isNull(), absent, F.col("sample"))).drop("_seen")
-    return reads.join(checked, "sample")
+    return join_small(reads, checked, "sample")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import cigar, flags
+from ..functions.joins import join_small
 from ..options import choice, fail_when, positive
 from .intervals import TILE, bin_of, explode_range, grid, join_equal_runs, overlap_join, step_runs, with_samples
 
@@ -179,7 +180,7 @@ def extend_reads(al: DataFrame, *, length: int | None = None) -> DataFrame:
         means = mapped.filter(proper & (F.col("tlen") > 0)).groupBy("sample").agg(
             F.floor(F.avg("tlen")).cast("int").alias("_len")
         )
-        mapped = mapped.join(means, "sample", "left")
+        mapped = join_small(mapped, means, "sample", "left")
         size = F.col("_len")
     else:
         positive("length", length)

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases, cigar, flags
+from ..functions.joins import join_small
 from ..options import choice
 
 TEMPLATE = ["sample", "qname"]
@@ -156,8 +158,8 @@ def binomial_quantile(n: int, p: float, upper_tail: float) -> int:
 def keep_dup(tags: DataFrame, *, k: int | str = 1, gsize: float | None = None, p: float = 1e-5) -> DataFrame:
     """At most ``k`` tags per (sample, rname, 5' position, strand); ``all`` keeps everything.
 
-    ``auto`` takes the binomial limit for each sample's tag count and the genome size. The literal rank
-    limit lets Spark cut every group to ``k`` rows before the shuffle.
+    ``auto`` takes the binomial limit for each sample's tag count and the genome size. A number for
+    ``k`` lets Spark cut every group to ``k`` rows before the shuffle.
     """
     if k == "all":
         return tags
@@ -167,12 +169,14 @@ def keep_dup(tags: DataFrame, *, k: int | str = 1, gsize: float | None = None, p
     if k == "auto":
         if not gsize:
             raise ValueError("k='auto' needs gsize")
-        totals = tags.groupBy("sample").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per sample
-        limits = {r["sample"]: max(1, binomial_quantile(r["n"], 1.0 / gsize, p)) for r in totals}
-        if not limits:
-            return tags
-        by_sample = F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("sample"))
-        ranked = ranked.filter(F.col("_rank") <= max(limits.values())).filter(F.col("_rank") <= by_sample)
+
+        @F.pandas_udf("long")
+        def limit(totals: pd.Series) -> pd.Series:
+            return totals.map(lambda n: max(1, binomial_quantile(int(n), 1.0 / gsize, p)))
+
+        totals = tags.groupBy("sample").agg(F.count(F.lit(1)).alias("_n"))
+        limits = totals.select("sample", limit("_n").alias("_limit"))
+        ranked = join_small(ranked, limits, "sample").filter(F.col("_rank") <= F.col("_limit")).drop("_limit")
     elif isinstance(k, int) and k >= 1:
         ranked = ranked.filter(F.col("_rank") <= k)
     else:

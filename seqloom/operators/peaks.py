@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.joins import join_small
 from ..functions.staging import stage
 from ..functions.stats import log_choose, poisson_score
 from ..options import choice, positive
@@ -86,7 +87,7 @@ def pileup_with_background(
     if "wide" in layers:
         local.append(F.col("wide") * F.col("_fc") * F.lit(ext / llocal))
     lam = F.greatest(*local) if len(local) > 1 else local[0]
-    return runs.join(sizes, "sample").select(
+    return join_small(runs, sizes, "sample").select(
         *BY, "start", "end", (F.col("treat") * F.col("_ft")).alias("pileup"), lam.alias("lam")
     )
 

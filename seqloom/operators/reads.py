@@ -7,12 +7,14 @@ them, so the reads themselves are shuffled only when the failing keys are too ma
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases
+from ..functions.joins import join_small
 from ..options import choice, positive, require
 
 PAIR = ("sample", "read_idx")
@@ -228,7 +230,7 @@ def sample_reads(
 ) -> DataFrame:
     """Sample ``n`` (default 1000) or a ``fraction`` of the pairs of each sample; mates stay together.
 
-    The pairs with the smallest hash of (seed, read_idx) are taken. The cut-off for an exact ``n``
+    The pairs with the smallest hash of (seed, read_idx) are taken; with ``replace`` that hash says how often a pair is drawn. The cut-off for an exact ``n``
     comes from a histogram of hash prefixes, and only the one prefix bucket holding the n-th
     pair is ordered, so no task or driver sees the whole sample.
     """
@@ -237,8 +239,16 @@ def sample_reads(
     if replace:
         if fraction is None or complement:
             raise ValueError("replace needs a fraction and has no complement")
-        drawn = reads.select(*PAIR).distinct().sample(True, fraction, seed).withColumn("copy", F.lit(1))
-        return reads.join(drawn.drop("copy"), list(PAIR))
+        if fraction < 0:
+            raise ValueError("fraction must not be negative")
+        # Every pair is drawn a Poisson number of times, by where its hash falls among the cumulative chances.
+        chances, term = [], math.exp(-fraction)
+        while len(chances) <= fraction or (term > 2**-62 and len(chances) < fraction + 200):
+            chances.append((chances[-1] if chances else 0.0) + term)
+            term *= fraction / len(chances)
+        place = _order_key(seed, ["read_idx"]) / float(2**60)
+        copies = F.size(F.filter(F.array(*map(F.lit, chances)), lambda c: place >= c))
+        return reads.withColumn("_copies", copies).filter("_copies > 0").select(*reads.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
     key = _order_key(seed, ["read_idx"])
     if fraction is not None:
         if not 0 <= fraction <= 1:
@@ -263,7 +273,7 @@ def sample_reads(
         "rank", F.row_number().over(Window.partitionBy("sample", "bucket").orderBy("_h"))
     )
     cut_off = ranked.filter("rank = goal - (upto - size)").select("sample", F.col("_h").alias("_cut"))
-    joined = keyed.join(cut_off, "sample")
+    joined = join_small(keyed, cut_off, "sample")
     keep = F.col("_h") > F.col("_cut") if complement else F.col("_h") <= F.col("_cut")
     return joined.filter(keep).drop("_h", "_cut")
 
@@ -288,7 +298,7 @@ def concat_reads(parts: Sequence[DataFrame], *, all_runs: bool = False) -> DataF
     extent = merged.groupBy("sample", "mate", "file_ord").agg((F.max("read_idx") + 1).alias("extent"))
     before = Window.partitionBy("sample", "mate").orderBy("file_ord").rowsBetween(Window.unboundedPreceding, -1)
     offsets = extent.withColumn("offset", F.coalesce(F.sum("extent").over(before), F.lit(0))).drop("extent")
-    joined = merged.join(offsets, ["sample", "mate", "file_ord"])
+    joined = join_small(merged, offsets, ["sample", "mate", "file_ord"])
     return joined.withColumn("read_idx", F.col("read_idx") + F.col("offset")).drop("offset", "file_ord")
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.joins import join_small
 from ..functions.stats import poisson_score
 from ..options import choice, positive
 
@@ -41,7 +42,7 @@ def normalize(
     else:
         per = per.withColumn("least", per.agg(F.min("mapped")).scalar())
         value = F.col("n") * (F.col("least") / F.col("mapped"))
-    return bins.join(per, "sample").withColumn("value", value).drop("mapped", "least")
+    return join_small(bins, per, "sample").withColumn("value", value).drop("mapped", "least")
 
 
 def _value(op: str, a, b, pseudocount: float):
@@ -205,7 +206,7 @@ def binarize(
     the control's local enrichment: mean of ``n + pseudo`` over ``2 * reach + 1`` bins over its global mean.
     """
     means = bins.groupBy("sample").agg(F.avg("n").alias("_lam"))
-    out = bins.join(means, "sample")
+    out = join_small(bins, means, "sample")
     if control is not None:
         c = control.select(F.lit("control").alias("sample"), "rname", "bin", (F.col("n") + pseudo).alias("_u"))
         local = moving_mean(c, "_u", reach=reach, out="_local").drop("sample", "_u")

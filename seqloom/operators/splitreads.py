@@ -134,6 +134,8 @@ def join_split_reads(
 ) -> DataFrame:
     """One spliced record per joinable mapping; fusions and circles drop out (see :func:`split_read_report`).
 
+    Records that are not split (``xq`` is null) pass with their own fields; ``nh`` is theirs where the table has it, ``xs`` is null.
+
     ``xs`` follows the read's strand, or with ``genome`` chunks (rname, start, seq of ``chunk`` bases) the first
     junction with a known splice motif; ``xs_sure`` is false where none is known.
     """
@@ -146,7 +148,11 @@ def join_split_reads(
         good = good.join(motif, [*READ, "xi"], "left")
         good = good.withColumns({"xs_sure": F.col("motif_strand").isNotNull(), "xs": F.coalesce("motif_strand", F.lit("+"))})
     good = evaluate_once(good, _fold=_fold()).withColumns(_joined_fields())
-    return good.drop("frags", "n_frags", "reason", "mate", "motif_strand", "_fold")
+    good = good.drop("frags", "n_frags", "reason", "mate", "motif_strand", "_fold")
+    whole = fragments.filter("xq is null")
+    own = {"nh": F.col("nh") if "nh" in fragments.columns else F.lit(None), "xs": F.lit(None), "xs_sure": F.lit(False)}
+    kinds = dict(good.dtypes)
+    return good.unionByName(whole.select(*[own.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in good.columns]))
 
 
 def chunk_edges(genome: DataFrame, *, extra: int) -> DataFrame:

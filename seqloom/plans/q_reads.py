@@ -294,6 +294,17 @@ def r19c(t):
     return R.sample_reads(t.reads, fraction=0.25, seed=7)
 
 
+@BOOK.add(
+    "R19_sample_reads_replace",
+    """with h as (select *, (('0x'||substr(md5(concat('5_',cast(read_idx as varchar))),1,15))::bigint)/1152921504606846976.0::double u from reads),
+       c as (select sum(exp(-0.5)*pow(0.5,i)/gamma(i+1)) over (order by i) cdf from range(0,18) t(i))
+       select sample, read_idx, mate, qname, seq, qual from h join c on u>=cdf""",
+    "reads",
+)
+def r19d(t):
+    return R.sample_reads(t.reads, fraction=0.5, seed=5, replace=True)
+
+
 @BOOK.add(
     "R20_split_reads",
     "select sample, read_idx, mate, seq, cast(read_idx//1000+1 as bigint) chunk from reads",

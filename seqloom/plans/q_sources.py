@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.staging import shared_folder
 from ..operators import alignments as AL, counts as C, coverage as CV, qc as Q
 from ..sources import fastq as FQ, sinks as K, text as T
 from .book import Book
@@ -17,9 +17,8 @@ BOOK = Book()
 
 
 def _scratch(spark) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seqloom-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared checkpoint folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 @BOOK.add(

@@ -32,11 +32,14 @@ _SPLIT = f"""with f as (select *, case when flag&128>0 then 2 else 1 end mate, r
 
 @BOOK.add(
     "A14_join_split_reads",
-    _SPLIT + "select * exclude (mate), case when flag&16>0 then '-' else '+' end xs, true xs_sure from joined",
+    _SPLIT + """select * exclude (mate), case when flag&16>0 then '-' else '+' end xs, true xs_sure from joined
+       union all by name select sample, concat(qname,'u') qname, xi, 7 nh, flag, rname, pos, cigar, seq, qual, nm, md, null xs, false xs_sure from fragments where xq=0 and k%7=0""",
     "fragments",
 )
 def a14(t):
-    return S.join_split_reads(t.fragments)
+    # Some records are planted that are not split.
+    whole = t.fragments.filter("xq = 0 and k % 7 = 0").withColumns({"qname": F.concat("qname", F.lit("u")), "xq": F.lit(None).cast("int"), "nh": F.lit(7)})
+    return S.join_split_reads(t.fragments.withColumn("nh", F.lit(None).cast("int")).unionByName(whole))
 
 
 _SITES = """, gx as (select a.rname, a.start, a.seq||coalesce(substr(b.seq,1,1),'') seq from genome a left join genome b on a.rname=b.rname and b.start=a.start+256),

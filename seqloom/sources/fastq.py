@@ -13,6 +13,8 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.joins import join_small
+
 SCHEMA = "file STRING, part INT, rec BIGINT, qname STRING, descr STRING, seq STRING, qual STRING"
 BLOCK = 8 << 20
 
@@ -196,7 +198,7 @@ def read_fastq(spark: SparkSession, paths: str | Sequence[str], *, sample: str,
     sizes = recs.groupBy("file", "part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("file", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    out = recs.join(offsets, ["file", "part"])
+    out = join_small(recs, offsets, ["file", "part"])
     return out.select(
         F.lit(sample).alias("sample"), (F.col("rec") + F.col("_off")).alias("read_idx"), F.lit(mate).cast("tinyint").alias("mate"),
         "qname", "descr", "seq", "qual",

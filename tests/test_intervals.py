@@ -179,3 +179,16 @@ def test_split_peaks_within_samples_and_without_controls(spark):
     chip = spark.createDataFrame([("a", "c", 1, 5)] * 4 + [("b", "c", 200, 205)], schema)
     got = {r["sample"]: (r["chip"], r["input"], r["ratio"]) for r in P.split_peaks(peaks, chip, chip.filter("false")).collect()}
     assert got == {"a": (4, 0, 5.0), "b": (0, 0, 1.0)}
+
+
+def test_join_small_agrees_on_both_branches(spark):
+    from seqloom.functions.joins import join_small
+
+    big = spark.range(1000).selectExpr("id", "id % 7 sample")
+    small = spark.range(5).selectExpr("id sample", "id * 10 v")
+    for how in ("inner", "left"):
+        few = join_small(big, small, "sample", how)
+        many = join_small(big, small, "sample", how, limit=2)
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    plan = join_small(big, small, "sample")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan
