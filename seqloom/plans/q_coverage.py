@@ -414,7 +414,59 @@ def _tags(t):
     return bed.withColumn("end", moved + 36).withColumn("start", moved)
 
 
-@BOOK.add("C11_call_peaks")
+def _peaks_oracle(treat: str, control: str | None, *, cutoff: str, gap: int, broad: bool) -> str:
+    """Pileup, Poisson tail summed upwards, Benjamini-Hochberg over bases, islands and summits for ext 150 and gsize 600000."""
+    around = lambda src, w, cols: (
+        f"""select sample, rname, greatest(five-{w // 2},0) s, five-{w // 2}+{w} e, {cols} from (select *, case when strand='-' then "end" else start end five from {src})"""
+    )
+    back = control or treat
+    layers = [f"""select sample, rname, case when strand='-' then greatest("end"-150,0) else start end s, case when strand='-' then "end" else start+150 end e, 1 t, 0 a, 0 b, 0 c from {treat}"""]
+    if control:
+        layers += [around(control, 150, "0 t, 1 a, 0 b, 0 c"), around(control, 1000, "0 t, 0 a, 1 b, 0 c")]
+    layers.append(around(back, 10000, "0 t, 0 a, 0 b, 1 c"))
+    sizes = f"(select sample, count(*) nt from {treat} group by 1) left join (select sample, count(*) nc from {back} group by 1) using (sample)"
+    wide = "(t*ft) pileup, greatest(bg, a*fc, b*fc*(150.0::double/1000), c*fc*(150.0::double/10000)) lam"
+    islands = lambda name, src, g: (
+        f"""{name}x as (select *, max("end") over (partition by sample, rname order by start rows between unbounded preceding and 1 preceding) reach from {src}),
+      {name}f as (select *, sum(case when reach is null or start>reach+{g} then 1 else 0 end) over (partition by sample, rname order by start rows unbounded preceding) isl from {name}x),
+      {name} as (select sample, rname, min(start) start, max("end") "end" from {name}f group by sample, rname, isl having max("end")-min(start)>=150)"""
+    )
+    kept, final = "above", "narrow"
+    tail = islands("narrow", "above", gap)
+    if broad:
+        kept, final = "wider", "hold"
+        tail += f""", wider as (select * from scored where score >= -log10(0.1)), {islands("large", "wider", 4 * gap)},
+      hold as (select l.* from large l where exists (select 1 from narrow n where n.sample=l.sample and n.rname=l.rname and n.start<l."end" and l.start<n."end"))"""
+    return f""", iv as ({" union all ".join(layers)}),
+      ev as (select sample, rname, s p, t, a, b, c from iv where e>s union all select sample, rname, e, -t, -a, -b, -c from iv where e>s),
+      st as (select sample, rname, p, sum(t) t, sum(a) a, sum(b) b, sum(c) c from ev group by 1,2,3 having sum(t)<>0 or sum(a)<>0 or sum(b)<>0 or sum(c)<>0),
+      dp as (select sample, rname, p, lead(p) over w nxt, cast(sum(t) over w as bigint) t, cast(sum(a) over w as bigint) a, cast(sum(b) over w as bigint) b, cast(sum(c) over w as bigint) c from st window w as (partition by sample, rname order by p)),
+      sz as (select sample, g/nt::double ft, case when nc>0 then g/nc::double else 0.0 end fc, g*(150/600000.0::double) bg from (select sample, nt, coalesce(nc,0) nc, case when coalesce(nc,0)>0 then least(nt,nc) else nt end g from {sizes})),
+      pl as (select sample, rname, p start, nxt "end", {wide} from dp join sz using (sample) where nxt is not null),
+      kl as (select distinct cast(ceil(pileup) as bigint) k, lam from pl),
+      tl as (select k, lam, case when k<=0 then 0.0 else round(-log10(list_sum(list_transform(range(k, k+120+cast(3*lam as bigint)), lambda i: exp(i*ln(lam)-lam-lgamma(i+1))))),3)+0.0 end score from kl),
+      sc as (select pl.*, score from pl join tl on tl.lam=pl.lam and tl.k=cast(ceil(pileup) as bigint)),
+      rk as (select sample, score, sum("end"-start) len from sc group by 1,2),
+      qv as (select *, greatest(score+log10((sum(len) over (partition by sample order by score desc)-len+1)/(sum(len) over (partition by sample))), 0.0) q0 from rk),
+      qs as (select sample, score, max(q0) over (partition by sample order by score) qscore from qv),
+      scored as (select sc.*, qscore from sc join qs using (sample, score)),
+      above as (select * from scored where {cutoff}),
+      {tail},
+      hits as (select g.sample, g.rname, g.start gs, g."end" ge, min((-k.pileup, k.start, k."end", k.lam, k.score, k.qscore)) m from {final} g join {kept} k on k.sample=g.sample and k.rname=g.rname and k.start<g."end" and g.start<k."end" group by 1,2,3,4)
+      select sample, rname, gs start, ge "end", (m[2]+m[3])//2 summit, -m[1] pileup, (1-m[1])/(m[4]+1) fold, m[5] score, m[6] qscore from hits"""
+
+
+_TAGS = f"""with b0 as (select sample, rname, pos-1 start, pos-1+{REF} "end", qname, case when flag&128>0 then '/2' else '/1' end mate, case when flag&16>0 then '-' else '+' end strand from alignments where flag&256=0),
+  tags as (select sample, rname, s start, s+36 "end", concat(qname,mate) "name", strand from (select *, case when qname like '%3' then start-start%5000+start%90 else start end s from b0)) """
+
+
+@BOOK.add(
+    "C11_call_peaks",
+    _TAGS + """, kd as (select * from (select *, row_number() over (partition by sample, rname, case when strand='-' then "end"-1 else start end, strand order by "name") r from tags) where r<=2 and sample<>'s2'),
+      ct as (select x.sample, rname, start, "end", strand from b0, (values ('s0'),('s1')) x(sample) where b0.sample='s2')"""
+    + _peaks_oracle("kd", "ct", cutoff="qscore >= -log10(0.05)", gap=36, broad=False),
+    "alignments",
+)
 def c11(t):
     tags = D.keep_dup(_tags(t), k=2)
     treat = tags.filter("sample <> 's2'")
@@ -423,7 +475,7 @@ def c11(t):
     return P.call_peaks(treat, control, gsize=600000.0, ext=150, max_gap=36)
 
 
-@BOOK.add("C11_call_peaks_broad")
+@BOOK.add("C11_call_peaks_broad", _TAGS + _peaks_oracle("tags", None, cutoff="score >= 4", gap=36, broad=True), "alignments")
 def c11b(t):
     return P.call_peaks(_tags(t), gsize=600000.0, ext=150, max_gap=36, p=1e-4, broad=True)
 
