@@ -195,11 +195,8 @@ def discard_untrimmed(df: DataFrame) -> DataFrame:
     return df.filter("clip_len > 0")
 
 
-def barcode_neighbours(samples: DataFrame, *, barcode: str = "index_r1", mismatches: int = 1) -> DataFrame:
-    """Every string within ``mismatches`` of a barcode, with the sample it means.
-
-    ``sample`` is NULL where two samples claim the same string.
-    """
+def _spelled(samples: DataFrame, barcode: str, mismatches: int) -> DataFrame:
+    """(sample, barcode) for every string within ``mismatches`` of the sample's barcode."""
     near = samples.select("sample", F.col(barcode).alias("barcode"))
     for _ in range(mismatches):
         at = F.explode(F.sequence(F.lit(1), F.length("barcode"))).alias("_i")
@@ -212,23 +209,53 @@ def barcode_neighbours(samples: DataFrame, *, barcode: str = "index_r1", mismatc
                 F.substr("barcode", F.lit(1), F.col("_i") - 1), F.col("_x"), F.substr("barcode", F.col("_i") + 1)
             ).alias("barcode"),
         ).distinct()
-    return near.groupBy("barcode").agg(
+    return near
+
+
+def barcode_neighbours(samples: DataFrame, *, barcode: str = "index_r1", mismatches: int = 1) -> DataFrame:
+    """Every string within ``mismatches`` of a barcode, with the sample it means.
+
+    ``sample`` is NULL where two samples claim the same string.
+    """
+    return _spelled(samples, barcode, mismatches).groupBy("barcode").agg(
         F.when(F.count_distinct("sample") == 1, F.min("sample")).alias("sample")
     )
 
 
 def demultiplex(
-    reads: DataFrame, samples: DataFrame, *, read_barcode: str = "barcode", barcode: str = "index_r1", mismatches: int = 1
+    reads: DataFrame,
+    samples: DataFrame,
+    *,
+    read_barcode: str = "barcode",
+    barcode: str = "index_r1",
+    read_barcode2: str | None = None,
+    barcode2: str = "index_r2",
+    mismatches: int = 1,
 ) -> DataFrame:
     """Assign reads to samples by index barcode; no or several candidates give ``Undetermined``.
 
-    Allowed mismatches are spelled out on the small barcode side, so the reads need one equi-join.
+    Allowed mismatches are spelled out on the small barcode side, so the reads need one equi-join per index. With
+    ``read_barcode2`` a sample must match both indices, each within ``mismatches``; a sample without a second one matches by the first.
     """
     choice("mismatches", mismatches, (0, 1, 2))
-    near = barcode_neighbours(samples, barcode=barcode, mismatches=mismatches)
-    near = near.select(F.col("barcode").alias(read_barcode), F.col("sample").alias("_found"))
-    joined = join_small(reads, near, read_barcode, "left")
-    return joined.withColumn("sample", F.coalesce("_found", F.lit("Undetermined"))).drop("_found")
+    if read_barcode2 is None:
+        near = barcode_neighbours(samples, barcode=barcode, mismatches=mismatches)
+        near = near.select(F.col("barcode").alias(read_barcode), F.col("sample").alias("_found"))
+        joined = join_small(reads, near, read_barcode, "left")
+        return joined.withColumn("sample", F.coalesce("_found", F.lit("Undetermined"))).drop("_found")
+    single = samples.filter(F.col(barcode2).isNull()).select("sample").distinct().withColumn("_single", F.lit(True))
+    first = _spelled(samples, barcode, mismatches).join(single, "sample", "left")
+    first = first.groupBy(F.col("barcode").alias(read_barcode)).agg(
+        F.collect_set("sample").alias("_first"), F.collect_set(F.when(F.col("_single"), F.col("sample"))).alias("_alone")
+    )
+    second = _spelled(samples.filter(F.col(barcode2).isNotNull()), barcode2, mismatches)
+    second = second.groupBy(F.col("barcode").alias(read_barcode2)).agg(F.collect_set("sample").alias("_second"))
+    joined = join_small(join_small(reads, first, read_barcode, "left"), second, read_barcode2, "left")
+    none = F.array().cast("array<string>")
+    both = F.array_intersect(F.coalesce("_first", none), F.coalesce("_second", none))
+    found = F.array_union(both, F.coalesce("_alone", none))
+    sample = F.when(F.size(found) == 1, found[0]).otherwise("Undetermined")
+    return joined.withColumn("sample", sample).drop("_first", "_alone", "_second")
 
 
 def sample_sheet_join(reads: DataFrame, samples: DataFrame) -> DataFrame:

@@ -188,8 +188,12 @@ def filter_spots(
     aligned: bool | None = None,
     region: tuple[str, int, int] | None = None,
     mate_distance: tuple[int, int] | str | None = None,
+    clip: bool = False,
 ) -> DataFrame:
-    """Spot range, spot groups, read filter, alignment state, region and mate distance filters."""
+    """Spot range, spot groups, read filter, alignment state, region and mate distance filters.
+
+    ``clip`` takes ``clip_left`` bases off the start and ``clip_right`` off the end of sequence and qualities (null: none).
+    """
     keep = F.lit(True)
     if min_id is not None:
         keep = keep & (F.col("spot_id") >= min_id)
@@ -209,7 +213,12 @@ def filter_spots(
         keep = keep & F.col("mate_distance").isNull()
     elif mate_distance is not None:
         keep = keep & F.col("mate_distance").between(*mate_distance)
-    return df.filter(keep)
+    out = df.filter(keep)
+    if clip:
+        left, right = F.coalesce("clip_left", F.lit(0)), F.coalesce("clip_right", F.lit(0))
+        rest = F.greatest(F.length("seq") - left - right, F.lit(0))
+        out = out.withColumns({c: F.substr(c, left + 1, rest) for c in ("seq", "qual") if c in df.columns})
+    return out
 
 
 def _order_key(seed: int, columns: Sequence[str]) -> Column:

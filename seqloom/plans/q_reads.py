@@ -247,6 +247,39 @@ def r17(t):
     return A.demultiplex(t.index_reads, t.samples, mismatches=1)
 
 
+_SECOND = "case when read_idx%3=0 then read_idx%120+1 else read_idx%120 end"
+
+
+@BOOK.add(
+    "R17_demultiplex_dual",
+    f"""with sm as (select sample, index_r1, case when sample like '%5' then null else index_r2 end index_r2 from samples),
+       ir as (select *, substr(translate(md5(concat('Supplier#',lpad(cast({_SECOND} as varchar),9,'0'),'2')),'0123456789abcdef','ACGTACGTACGTACGN'),1,6) barcode2 from index_reads),
+       m as (select read_idx, count(distinct sample) n, min(sample) sample from ir join sm on length(barcode)=length(index_r1) and hamming(barcode,index_r1)<=1
+         and (index_r2 is null or (length(barcode2)=length(index_r2) and hamming(barcode2,index_r2)<=1)) group by 1)
+       select read_idx, barcode, barcode2, case when n=1 then m.sample else 'Undetermined' end sample from ir left join m using (read_idx)""",
+    "index_reads", "samples",
+)
+def r17b(t):
+    name = F.concat(F.lit("Supplier#"), F.lpad(F.expr(f"cast({_SECOND} as string)"), 9, "0"), F.lit("2"))
+    second = F.substring(F.translate(F.md5(name), "0123456789abcdef", "ACGTACGTACGTACGN"), 1, 6)
+    sheet = t.samples.withColumn("index_r2", F.when(~F.col("sample").endswith("5"), F.col("index_r2")))
+    return A.demultiplex(t.index_reads.withColumn("barcode2", second), sheet, read_barcode2="barcode2", mismatches=1)
+
+
+@BOOK.add(
+    "R18_filter_spots_clip",
+    """select read_idx spot_id, mate, substr(seq,cast(read_idx%7+1 as int),cast(greatest(length(seq)-read_idx%7-case when mate=1 then 5 else 0 end,0) as int)) seq,
+         substr(qual,cast(read_idx%7+1 as int),cast(greatest(length(seq)-read_idx%7-case when mate=1 then 5 else 0 end,0) as int)) qual from reads where read_idx>=200""",
+    "reads",
+)
+def r18b(t):
+    spots = t.reads.select(
+        F.col("read_idx").alias("spot_id"), "mate", "seq", "qual", (F.col("read_idx") % 7).cast("int").alias("clip_left"),
+        F.when(F.col("mate") == 1, 5).alias("clip_right"),
+    )
+    return R.filter_spots(spots, min_id=200, clip=True).drop("clip_left", "clip_right")
+
+
 def _spots(t):
     return t.alignments.select(
         F.regexp_extract("aln_id", r"^(\d+)_", 1).cast("bigint").alias("spot_id"),
