@@ -7,6 +7,7 @@ find the next record start. Bytes travel as Arrow batches; any file system with
 from __future__ import annotations
 
 import glob as globbing
+import re
 from collections.abc import Iterator, Sequence
 from urllib.parse import urlparse
 
@@ -65,6 +66,14 @@ def record_start(lines: list[bytes]) -> int | None:
     return None
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path without scheme on Spark's default file system, as for Spark's own readers; local ones stay plain."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    full = system.makeQualified(target).toString()
+    return re.sub("^file:/+", "/", full)
+
+
 class FastqReader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int):
         self.paths, self.split_bytes = paths, split_bytes
@@ -185,7 +194,7 @@ class FastqSource(DataSource):
 def fastq_records(spark: SparkSession, paths: str | Sequence[str], *, split_bytes: int = 128 << 20) -> DataFrame:
     """Records with file, range number and number inside the range."""
     spark.dataSource.register(FastqSource)
-    names = [paths] if isinstance(paths, str) else list(paths)
+    names = [_qualified(spark, p) for p in ([paths] if isinstance(paths, str) else list(paths))]
     return spark.read.format("fastq_records").option("paths", "\n".join(names)).option("splitbytes", split_bytes).load()
 
 

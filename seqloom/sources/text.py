@@ -5,9 +5,11 @@ Everything except FASTQ is line- or record-splittable, so Spark's own text and C
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..options import choice, fail_when
@@ -205,7 +207,10 @@ def verify_hashes(contents: DataFrame, manifest: DataFrame, *, algo: str = "md5"
     With ``strict`` anything but ok is a run-time error.
     """
     choice("algo", algo, HASHES)
-    found = contents.select("path", HASHES[algo](F.col("content")).alias("_found"))
+    return _compared(contents.select("path", HASHES[algo](F.col("content")).alias("_found")), manifest, strict)
+
+
+def _compared(found: DataFrame, manifest: DataFrame, strict: bool) -> DataFrame:
     j = manifest.select("path", F.lower("hash").alias("hash")).join(found, "path", "left")
     state = F.when(F.col("_found").isNull(), "missing").when(F.col("_found") == F.col("hash"), "ok").otherwise("mismatch")
     if strict:
@@ -213,6 +218,34 @@ def verify_hashes(contents: DataFrame, manifest: DataFrame, *, algo: str = "md5"
     return j.select("path", state.alias("state"))
 
 
+def file_hashes(spark: SparkSession, glob: str, *, algo: str = "md5") -> DataFrame:
+    """(path, _found): content hashes of files of any size, each streamed block by block in one task."""
+    choice("algo", algo, HASHES)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for path in batch.column(0).to_pylist():
+                system, inner = fs.FileSystem.from_uri(path)
+                digest = hashlib.new(algo)
+                with system.open_input_stream(inner, compression=None) as stream:
+                    while block := stream.read(8 << 20):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], names=["path", "_found"])
+
+    files = list_files(spark, glob).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    return files.mapInArrow(task, "path string, _found string")
+
+
+def verify_files(spark: SparkSession, glob: str, manifest: DataFrame, *, algo: str = "md5", strict: bool = False) -> DataFrame:
+    """:func:`verify_hashes` for files by path; the manifest's paths are matched with or without ``file://``."""
+    bare = lambda df: df.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    return _compared(bare(file_hashes(spark, glob, algo=algo)), bare(manifest), strict)
+
+
 def read_contents(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", "content")
 
