@@ -26,6 +26,19 @@ def _blocks(places: DataFrame) -> DataFrame:
     return places.select("*", F.inline(cigar.blocks()))
 
 
+# Reasons in the order in which they are given.
+REASONS = (
+    "Unassigned_Unmapped", "Unassigned_Singleton", "Unassigned_MappingQuality", "Unassigned_Chimera", "Unassigned_FragmentLength",
+    "Unassigned_Duplicate", "Unassigned_Secondary", "Unassigned_MultiMapping", "Unassigned_NonSplit",
+)
+
+
+def _first_reason() -> Column:
+    """Of a fragment's records, the reason that comes first in the order of the rules."""
+    ranked = F.struct(F.array_position(F.array(*map(F.lit, REASONS)), F.col("why")).alias("rank"), "why")
+    return F.min(F.when(F.col("why").isNotNull(), ranked))["why"]
+
+
 def _read_status(
     *, multi: bool, primary: bool, min_mapq: int, ignore_dup: bool, split_only: bool, both_mapped: bool, no_chimeras: bool,
     fragment: tuple[int, int] | None,
@@ -124,7 +137,7 @@ def assign_units(
             {"lo": F.when(same, lo).otherwise(F.col("pos")), "hi": F.when(same, hi).otherwise(F.col("pos"))}
         )
         key = ["sample", "qname", "lo", "hi"]
-        units = marked.groupBy(*key).agg(F.min("why").alias("why"), F.lit(1).cast("bigint").alias("n"))
+        units = marked.groupBy(*key).agg(_first_reason().alias("why"), F.lit(1).cast("bigint").alias("n"))
         bad = units.filter("why is not null").select(*key)
         good = marked.join(bad, key, "left_anti").withColumn("n", F.lit(1).cast("bigint"))
     else:
@@ -142,8 +155,10 @@ def assign_units(
         # Overlapping features of one target become one interval: fewer pairs, and every base counts once.
         side = _merged(side, ["rname", "strand", "target"])
     how = {0: "no", 1: "same", 2: "opposite"}[strandness]
-    hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, bin_size=bin_size)
-    per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(F.sum("overlap").alias("bases"), F.max("n").alias("n"))
+    # A negative minimum lets a read lie that far from its target.
+    hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, min_overlap=min(min_overlap, 1), bin_size=bin_size)
+    shared = F.sum(F.greatest("overlap", F.lit(0))).alias("bases")
+    per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(shared, F.max("n").alias("n"))
     per = per.filter(F.col("bases") >= min_overlap)
     return units, per, key
 

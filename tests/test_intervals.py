@@ -192,3 +192,15 @@ def test_join_small_agrees_on_both_branches(spark):
         assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
     plan = join_small(big, small, "sample")._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_negative_overlap_and_first_reason(spark):
+    al = spark.createDataFrame(
+        [("s", "r1", 0, "c", 1, 60, "10M", "*", 0, 0, 1), ("s", "r2", 65, "c", 31, 3, "10M", "=", 41, 20, 2), ("s", "r2", 129, "c", 41, 60, "10M", "=", 31, -20, 2)],
+        "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, nh int",
+    )
+    genes = spark.createDataFrame([("c", 14, 20, "+", "g")], "rname string, start int, end int, strand string, gene_id string")
+    count = lambda **o: X.feature_counts(al.filter("qname = 'r1'"), genes, samples=["s"], **o).first()["n"]
+    assert (count(), count(min_overlap=-3), count(min_overlap=-4)) == (0, 0, 1)
+    units, _, _ = X.assign_units(al, genes, fragments=True, min_mapq=10)
+    assert {r["qname"]: r["why"] for r in units.collect()} == {"r1": None, "r2": "Unassigned_MappingQuality"}
