@@ -44,6 +44,7 @@ CUES = {
 COUNTER_CUES = r"(?i)(?:version|isbn|issn|order|ref\.?|release|section|chapter|article|§|#|=)\W{0,3}$"
 LABELERS = ["rule", "checks", "gazetteer", "context", "edges"]
 CONTEXT = 24
+CHUNK = 256
 #: Candidates outside the base rules are admitted from this probability on.
 ADMIT = 0.9
 
@@ -90,8 +91,15 @@ def _matches(text: Column, kind: str, pattern: str, base: bool) -> Column:
 
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    none = F.struct(F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"), F.lit(0).alias("at"))
-    placed = F.aggregate(zipped, none, step)["out"]
+    fresh = lambda at: F.struct(F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"), at.alias("at"))
+    # Appending copies what is there, so matches are placed by chunks: a text may hold very many.
+    chunks = lambda all_: F.transform(F.sequence(F.lit(0), F.ceil(F.size(all_) / CHUNK).cast("int") - 1), lambda c: F.slice(all_, c * CHUNK + 1, CHUNK))
+
+    def add(acc: Column, chunk: Column) -> Column:
+        part = F.aggregate(chunk, fresh(acc["at"]), step)
+        return F.struct(F.concat(acc["out"], part["out"]).alias("out"), part["at"].alias("at"))
+
+    placed = F.aggregate(F.array(zipped), fresh(F.lit(0)), lambda start, all_: F.aggregate(chunks(all_), start, add))["out"]
 
     def judged(m: Column) -> Column:
         hit, start, end = m["hit"], m["start"], m["end"]

@@ -147,7 +147,7 @@ def test_base_spans_equal_brute_force(docs):
     rng = random.Random(3)
     bits = ["a.b@c.de", "a@b.c_d@e.f.g", "@x", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1", "001.02.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (017) 555-7713", "+49 30 1234567", "+1", "é😀", "x", "12", "4111111111111111", "a" * 40, "-", ".", "+"]
     rows = [(i, "".join(rng.choice(bits) + rng.choice(["", " ", ", ", "\n"]) for _ in range(rng.randrange(25)))) for i in range(200)]
-    rows += [*ODD, (950, "mail me at a@b.org " * 200), (951, "1" * 20_000), (952, "a." * 10_000), (953, "a@" + "b." * 5_000 + "c")]
+    rows += [*ODD, (950, "mail me at a@b.org " * 3000), (951, "1" * 20_000), (952, "a." * 10_000), (953, "a@" + "b." * 5_000 + "c")]
     got = pii.detect(docs(rows)).collect()
     assert len(got) == len(rows)
     want = sorted((str(i), base_spans(t)) for i, t in rows)
