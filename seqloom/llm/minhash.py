@@ -21,7 +21,7 @@ BITS = 4
 SLACK = 0.17
 #: Documents of one candidate group compared in one task.
 BLOCK = 768
-#: Rows of an id table that may be broadcast, at 8 bytes each.
+#: Rows of an id table (id, group, group size) that may be broadcast, at 24 bytes each.
 SMALL_ROWS = 2_000_000
 
 _U = np.uint64
