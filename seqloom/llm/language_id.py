@@ -21,6 +21,8 @@ ORDER = 5
 TRAINING_DOCS = 2000
 #: Words whose scores a worker remembers at most; beyond it the memory starts anew.
 MEMORY_WORDS = 250_000
+#: Words scored at a time; bounds the temporary arrays.
+LEARNT_WORDS = 8192
 #: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document.
 REJECT_MARGIN = 3.0
 PAD, END = "\x02", "\x03"
@@ -177,8 +179,8 @@ class Scorer:
         if len(self.known) + len(different) > MEMORY_WORDS:
             self._forget()
         new = [w for w in different if w not in self.known]
-        if new:
-            self._learn(new)
+        for i in range(0, len(new), LEARNT_WORDS):
+            self._learn(new[i : i + LEARNT_WORDS])
         row = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy(zero_copy_only=False)]
         out = np.zeros((len(first) - 1, self.table.shape[1]))
         some = np.flatnonzero(np.diff(first))
