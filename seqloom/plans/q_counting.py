@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import counting as X, counts as C, coverage as CV
-from ..functions import cigar as CG
 from .book import Book
-from .q_alignments import BLOCKS, REF
+from .q_alignments import BLOCKS
 from .q_coverage import SAMPLES, SPAN
 
 BOOK = Book()
