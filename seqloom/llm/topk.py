@@ -134,7 +134,7 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, pivots: int = PIVO
     data = index.select("block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("query_id"), F.lit(None).cast("double").alias("first"), F.col("vs").alias("q"), "ids", "low", "high", "pivot")
 
     def search(batches: Batches) -> Batches:
-        block, ids, rows, low, high, pivot = None, None, None, 0.0, 0.0, 0
+        block, ids, rows, starts, low, high, pivot = None, None, None, None, 0.0, 0.0, 0
         for batch in batches:
             kinds, blocks = batch.column(1).to_numpy(), batch.column(0).to_numpy()
             i = 0
@@ -142,6 +142,10 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, pivots: int = PIVO
                 if kinds[i] == 0:
                     block, low, high, pivot = blocks[i], batch.column(6)[i].as_py(), batch.column(7)[i].as_py(), batch.column(8)[i].as_py()
                     ids, rows = np.frombuffer(batch.column(5)[i].as_py(), np.int64), np.frombuffer(batch.column(4)[i].as_py(), np.int64).reshape(-1, n)
+                    # Rows of one id lie together and are merged before the best are taken: copies must not fill the cut.
+                    by_id = np.argsort(ids, kind="stable")
+                    alone, starts = np.unique(ids[by_id], return_index=True)
+                    ids, rows, starts = (alone, rows[by_id], starts) if len(alone) < len(ids) else (ids, rows, None)
                     i += 1
                     continue
                 j = i + 1
@@ -159,6 +163,8 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, pivots: int = PIVO
                 if not len(live):
                     continue
                 scores = products(q[live], rows)
+                if starts is not None:
+                    scores = np.maximum.reduceat(scores, starts, axis=1)
                 other = asker[live][:, None] != ids[None]
                 low_score = np.int64(np.iinfo(np.int64).min)
                 best = _best(np.where(other, scores, low_score).astype(np.float64) if exact_in_double else np.where(other, scores, low_score + 1), ids, k + 1)

@@ -99,6 +99,26 @@ def test_top_k_equals_brute_force(spark, monkeypatch, same):
         assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_top_k_of_repeated_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    # Every row stands three times, some ids have two different vectors.
+    once = some_vectors(3, 120) + [(i, [x * 1.5 for x in v]) for i, v in some_vectors(4, 20)]
+    rows = [r for r in once for _ in range(3)]
+    whole = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in once]
+    got = {}
+    for r in topk.top_k(vectors_of(spark, rows), F.col("vec_id") % 10 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert got.keys() == {i for i, _ in whole if i % 10 == 0}
+    for q, found in got.items():
+        score = {}
+        for i, v in whole:
+            if i != q:
+                score[i] = max(score.get(i, -(1 << 62)), *(int(u @ v) for j, u in whole if j == q))
+        best = sorted((-s, i) for i, s in score.items())[:5]
+        assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 def test_top_k_of_few(spark):
     assert topk.top_k(vectors_of(spark, BAD[:2]), F.lit(True)).count() == 0
     assert [tuple(r) for r in topk.top_k(vectors_of(spark, [(1, [1.0]), (2, [2.0])]), F.col("vec_id") == 1).collect()] == [(1, 1, 2, 256 * 512)]
