@@ -17,14 +17,18 @@ from .scratch import bounded_batches
 from .words import mix, text_buffer, word_spans
 
 ORDER = 5
-#: Labelled documents of each language that a model is fitted on, about; one in five of them calibrates the rejection.
+#: Labelled documents of each language that a model is fitted on, about; all of them calibrate the rejection, by cross-fitting.
 TRAINING_DOCS = 2000
 #: Words whose scores a worker remembers at most; beyond it the memory starts anew.
 MEMORY_WORDS = 250_000
 #: Words scored at a time; bounds the temporary arrays.
 LEARNT_WORDS = 8192
-#: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document.
+#: Parts of the sample. The model is fitted without the first; each part is scored by a model fitted without it.
+FOLDS = 5
+#: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document, at least four.
 REJECT_MARGIN = 3.0
+#: Documents that the variance pooled over the languages counts as, beside those of a language.
+POOLED_DOCS = 20
 PAD, END = "\x02", "\x03"
 UNKNOWN = "und"
 
@@ -60,7 +64,7 @@ class Model:
     grams: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     floor: float = 0.0
-    calibration: np.ndarray | None = None  # by language: mean, variance between texts, variance of one character, farthest
+    calibration: np.ndarray | None = None  # by language: mean, variance between texts, variance of one character, limit
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log-likelihood of each word, its end included, in each language."""
@@ -200,7 +204,7 @@ def _sampled(docs: DataFrame, per_language: int) -> DataFrame:
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))]) if sizes else F.create_map()
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     chosen = docs.filter(place < F.element_at(share, F.col("lang"))) if sizes else docs.limit(0)
-    return chosen.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0)
+    return chosen.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
 
 
 def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_DOCS) -> Model:
@@ -208,7 +212,8 @@ def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_D
 
     The fit sees about ``per_language`` documents of each language, chosen by a hash of the id (a documented bound of
     the classifier's training sample); their n-grams are counted in Spark, and the counts, which are bounded with the sample,
-    make the model on the driver. A fifth of the sample sets the limits of rejection.
+    make the model on the driver, without a fifth of the sample. The limits of rejection come from the whole sample: each fifth is
+    scored by a model fitted on the others, so that a rare language is calibrated like any other.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -217,47 +222,94 @@ def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_D
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = pa.table({"lang": batch.column(1), "word": pc.utf8_split_whitespace(batch.column(0))})
+            frame = pa.table({"lang": batch.column(1), "fold": batch.column(2), "word": pc.utf8_split_whitespace(batch.column(0))})
             words = pc.list_flatten(frame["word"])
-            langs = frame["lang"].take(pc.list_parent_indices(frame["word"]))
-            seen = pa.table({"lang": langs, "word": words}).group_by(["lang", "word"]).aggregate([([], "count_all")]).to_pandas()
-            total: dict[tuple[str, str], int] = {}
-            for lang, word, n in zip(seen["lang"], seen["word"], seen["count_all"], strict=True):
+            parent = pc.list_parent_indices(frame["word"])
+            keys = {"fold": frame["fold"].take(parent), "lang": frame["lang"].take(parent)}
+            seen = pa.table({**keys, "word": words}).group_by(["fold", "lang", "word"]).aggregate([([], "count_all")]).to_pandas()
+            total: dict[tuple[int, str, str], int] = {}
+            for fold, lang, word, n in zip(seen["fold"], seen["lang"], seen["word"], seen["count_all"], strict=True):
                 for run in letter_runs(word.encode("utf-8")):
                     padded = PAD * (order - 1) + run + END
                     for i in range(len(run) + 1):
-                        key = (lang, padded[i : i + order])
+                        key = (fold, lang, padded[i : i + order])
                         total[key] = total.get(key, 0) + n
-            langs_, grams_ = zip(*total, strict=True) if total else ((), ())
+            folds_, langs_, grams_ = zip(*total, strict=True) if total else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs_, pa.string()), pa.array(grams_, pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "gram", "n"]
+                [pa.array(folds_, pa.int32()), pa.array(langs_, pa.string()), pa.array(grams_, pa.string()), pa.array(list(total.values()), pa.int64())],
+                names=["fold", "lang", "gram", "n"],
             )
 
-    fitted = sample.filter("not calibrates").select("text", "lang").mapInArrow(grams, "lang string, gram string, n bigint")
-    counts: dict[str, dict[str, int]] = {}
-    for r in fitted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
-    model = kneser_ney(counts, order)
+    fitted = sample.select("text", "lang", "fold").mapInArrow(grams, "fold int, lang string, gram string, n bigint")
+    # A gram of a language in one row: its counts by fold.
+    by_fold = fitted.groupBy("lang", "gram").agg(*[F.sum(F.when(F.col("fold") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(FOLDS)])
+    counts: list[dict[str, dict[str, int]]] = [{} for _ in range(FOLDS)]
+    for lang, gram, *n in by_fold.toLocalIterator():
+        whole = sum(n)
+        for k in range(FOLDS):
+            if whole > n[k]:
+                counts[k].setdefault(lang, {})[gram] = whole - n[k]
+    models = []
+    for k in range(FOLDS):
+        models.append(kneser_ney(counts[k], order))
+        counts[k] = {}
+    model = models[0]
     if model.languages:
-        model.calibration = _calibrate(model, sample.filter("calibrates"))
+        model.calibration = _calibrate(model, _cross_fitted(sample, models))
     return model
 
 
-def _calibrate(model: Model, docs: DataFrame) -> np.ndarray:
-    scored = classify(docs.select("doc_id", "text"), model, raw=True).filter("characters > 0").select("lang_pred", "entropy", "characters").toPandas()
-    out = np.tile([0.0, 1.0, 1.0, np.inf], (len(model.languages), 1))  # too few calibration documents: nothing is rejected
+def _cross_fitted(sample: DataFrame, models: list[Model]) -> pd.DataFrame:
+    """``lang_pred, entropy, characters`` of the sample's texts with letters, each by the model fitted without its fold."""
+    shared = sample.sparkSession.sparkContext.broadcast(models)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorers: dict[int, Scorer] = {}
+        for batch in batches:
+            folds = batch.column(1).to_numpy()
+            for k in np.unique(folds).tolist():
+                fitted = shared.value[k]
+                if not fitted.languages:
+                    continue
+                if k not in scorers:
+                    scorers[k] = Scorer(fitted)
+                best, _, entropy, n, _ = _judged(scorers[k], len(fitted.languages), None, 1.0, batch.column(0).filter(pa.array(folds == k)))
+                some = np.flatnonzero(n)
+                columns = [pa.array(np.array(fitted.languages, dtype=object)[best[some]], pa.string()), pa.array(entropy[some]), pa.array(n[some])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang_pred", "entropy", "characters"])
+
+    scored = sample.select("text", "fold").mapInArrow(task, "lang_pred string, entropy double, characters bigint").toPandas()  # bounded with the sample
+    shared.unpersist()
+    return scored
+
+
+def _spread(squares: np.ndarray, n: np.ndarray, between: float, single: float, weight: float) -> tuple[float, float]:
+    """Variance between texts, from the longer ones, and of one character, from the shorter; the given ones count as ``weight`` texts."""
+    long = n >= np.median(n)
+    between = max(float(squares[long].sum() + weight * between) / (long.sum() + weight), 1e-4)
+    short = (np.maximum(squares - between, 0) * n)[~long]
+    return between, max(float(short.sum() + weight * single) / max(len(short) + weight, 1), 1e-2)
+
+
+def _calibrate(model: Model, scored: pd.DataFrame) -> np.ndarray:
+    """By language: mean, variances and limit, by one rule for any number of texts; every limit is finite.
+
+    The variances are drawn towards those pooled over the languages and widened by what a mean of few texts may be off. A language that no
+    text was assigned to is left with the cross-entropy of guessing letters as its mean.
+    """
+    entropy, n = scored["entropy"].to_numpy(), scored["characters"].to_numpy()
+    rows = {language: np.flatnonzero((scored["lang_pred"] == language).to_numpy()) for language in scored["lang_pred"].unique()}
+    mean = {language: float(np.average(entropy[own], weights=n[own])) for language, own in rows.items()}
+    squares = (entropy - scored["lang_pred"].map(mean).to_numpy(float)) ** 2
+    pooled = _spread(squares, n, 0.0, 0.0, 0.0) if len(n) else (1e-2, 1.0)
+    out = np.tile([-model.floor, *pooled, 4.0], (len(model.languages), 1))
     for i, language in enumerate(model.languages):
-        own = scored[scored["lang_pred"] == language]
-        if len(own) < 20:
+        own = rows.get(language)
+        if own is None:
             continue
-        n = own["characters"].to_numpy()
-        mean = float(np.average(own["entropy"], weights=n))
-        squares = (own["entropy"].to_numpy() - mean) ** 2
-        long = n >= np.median(n)
-        between = max(float(squares[long].mean()), 1e-4)
-        single = max(float((np.maximum(squares - between, 0) * n)[~long].mean()) if not long.all() else 0.0, 1e-2)
-        away = (own["entropy"].to_numpy() - mean) / np.sqrt(between + single / n)
-        out[i] = mean, between, single, max(float(away.max()), 4.0)
+        between, single = (v * (1 + 1 / len(own)) for v in _spread(squares[own], n[own], *pooled, POOLED_DOCS))
+        away = (entropy[own] - mean[language]) / np.sqrt(between + single / n[own])
+        out[i] = mean[language], between, single, max(float(away.max()), 4.0)
     return out
 
 

@@ -232,6 +232,28 @@ def test_language_models_tell_languages_apart(docs, spark):
         assert 0 <= r.score <= 1 and (r.lang_pred != "und" or r.score == 0)
 
 
+def spoken(seed, syllables, n=60):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(syllables, k=rng.randint(2, 4))) for _ in range(n))
+
+
+TONGUES = {"a": ["ba", "ke", "lo", "mi"], "b": ["ust", "orn", "elk", "ind"], "c": ["ab", "ek", "ol", "im"]}
+
+
+@pytest.mark.parametrize("rare", [1, 3, 12, 60])
+def test_a_rare_language_rejects_too(docs, spark, rare):
+    rows = [(i, spoken(i, TONGUES["b"]), "b") for i in range(300)] + [(1000 + i, spoken(1000 + i, TONGUES["a"]), "a") for i in range(rare)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert np.isfinite(model.calibration).all()
+    if rare < 12:
+        return
+    near = [(5000 + i, spoken(5000 + i, TONGUES["a"])) for i in range(50)]
+    foreign = [(6000 + i, spoken(6000 + i, TONGUES["c"])) for i in range(50)]
+    got = {r.doc_id: r for r in language_id.classify(docs(near + foreign), model).collect()}
+    assert not any(got[i].rejected for i, _ in near) and {got[i].lang_pred for i, _ in near} == {"a"}
+    assert all(got[i].rejected for i, _ in foreign) and "a" in {got[i].lang_pred for i, _ in foreign}
+
+
 def test_probabilities_sum_to_one(spark):
     model = language_id.kneser_ney({"x": {"\x02\x02a": 3, "\x02ab": 2, "\x02ac": 1, "ab\x03": 2, "ac\x03": 1}}, 3)
     letters = ["a", "b", "c", "\x03", "\x02", "?"]
