@@ -25,8 +25,10 @@ MEMORY_WORDS = 250_000
 LEARNT_WORDS = 8192
 #: Parts of the sample. The model is fitted without the first; each part is scored by a model fitted without it.
 FOLDS = 5
-#: Rejected: cross-entropy farther above the language's usual one than this many times the farthest calibration document, at least four.
-REJECT_MARGIN = 3.0
+#: Rejected: cross-entropy farther above the language's usual one than this many times the limit, which is a high quantile of the
+#: calibration documents' deviations (the farthest where they are few), at least four.
+REJECT_MARGIN = 1.25
+REJECT_QUANTILE = 0.995
 #: Documents that the variance pooled over the languages counts as, beside those of a language.
 POOLED_DOCS = 20
 PAD, END = "\x02", "\x03"
@@ -309,7 +311,7 @@ def _calibrate(model: Model, scored: pd.DataFrame) -> np.ndarray:
             continue
         between, single = (v * (1 + 1 / len(own)) for v in _spread(squares[own], n[own], *pooled, POOLED_DOCS))
         away = (entropy[own] - mean[language]) / np.sqrt(between + single / n[own])
-        out[i] = mean[language], between, single, max(float(away.max()), 4.0)
+        out[i] = mean[language], between, single, max(float(np.quantile(away, REJECT_QUANTILE, method="higher")), 4.0)
     return out
 
 

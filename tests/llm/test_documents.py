@@ -240,6 +240,19 @@ def spoken(seed, syllables, n=60):
 TONGUES = {"a": ["ba", "ke", "lo", "mi"], "b": ["ust", "orn", "elk", "ind"], "c": ["ab", "ek", "ol", "im"]}
 
 
+def test_an_unlearnt_language_is_rejected_beside_an_odd_document(docs, spark):
+    rows = [(i, spoken(i, TONGUES["a" if i % 2 else "b"]), "a" if i % 2 else "b") for i in range(800)]
+    # One odd document for each model, in the fold that they are not fitted on.
+    ids = spark.range(2000, 2100).filter("pmod(xxhash64(id, 'fold'), 5) = 0").limit(2).collect()
+    rows += [(r.id, prose(r.id, 60, letters), lang) for r, letters, lang in zip(ids, ["bakelomi", "ustorneldk"], "ab", strict=True)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    clean = [(5000 + i, spoken(5000 + i, TONGUES["ab"[i % 2]])) for i in range(100)]
+    foreign = [(6000 + i, spoken(6000 + i, TONGUES["c"])) for i in range(100)]
+    rejected = {r.doc_id for r in language_id.classify(docs(clean + foreign), model).filter("rejected").collect()}
+    assert not rejected & {i for i, _ in clean}
+    assert len(rejected & {i for i, _ in foreign}) >= 98
+
+
 @pytest.mark.parametrize("rare", [1, 3, 12, 60])
 def test_a_rare_language_rejects_too(docs, spark, rare):
     rows = [(i, spoken(i, TONGUES["b"]), "b") for i in range(300)] + [(1000 + i, spoken(1000 + i, TONGUES["a"]), "a") for i in range(rare)]
