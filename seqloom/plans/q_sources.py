@@ -50,6 +50,38 @@ def k1(t):
     return out.select("sample", "read_idx", "qname", "seq", "qual")
 
 
+@BOOK.add(
+    "S1_read_fastq_mates",
+    "select mate, row_number() over (partition by mate order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, 'x' descr, seq, qual from reads",
+    "reads",
+)
+def s1b(t):
+    out = None
+    for mate in (1, 2):
+        path = _scratch(t.spark)
+        lines = K.fastq_lines(t.reads.filter(F.col("mate") == mate)).repartitionByRange(4, "read_idx").sortWithinPartitions("read_idx")
+        lines.select("value").write.text(path)
+        one = FQ.read_fastq(t.spark, path, sample="all", mate=mate, split_bytes=1 << 18).select(F.lit(mate).alias("mate"), "read_idx", "qname", "descr", "seq", "qual")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@BOOK.add(
+    "K1_write_fastq_mates",
+    "select sample, mate, row_number() over (partition by sample, mate order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, seq, qual from reads",
+    "reads",
+)
+def k1c(t):
+    path = _scratch(t.spark)
+    K.write_fastq(t.reads, path, partitions=5)
+    out = None
+    for s in SAMPLES:
+        for mate in (1, 2):
+            one = FQ.read_fastq(t.spark, f"{path}/sample={s}/mate={mate}", sample=s, mate=mate).select("sample", F.lit(mate).alias("mate"), "read_idx", "qname", "seq", "qual")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 @BOOK.add(
     "S2_read_fasta",
     "select concat(rname,'_',cast(start as varchar)) \"name\", concat('start=',cast(start as varchar),' chunk') descr, seq, cast(length(seq) as bigint) length from genome",

@@ -32,3 +32,18 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", ["S1_read_fastq_mates", "K1_write_fastq_mates"])
+def test_both_mates_come_back(spark, name):
+    queries, oracles = entry_module.queries(), entry_module.oracle_sql()
+    assert check(spark, SF, [name], queries, oracles)[name].startswith("ok")
+    assert {r["mate"] for r in queries[name](spark, SF).select("mate").distinct().collect()} == {1, 2}
+
+
+def test_all_sequences_are_merged(spark):
+    name = "C14_merge_coverage_matrices_all"
+    queries, oracles = entry_module.queries(), entry_module.oracle_sql()
+    assert check(spark, SF, [name], queries, oracles)[name].startswith("ok")
+    labels = {r["label"] for r in queries[name](spark, SF).select("label").distinct().collect()}
+    assert len({x.split(":")[1] for x in labels}) > 1 and len({x.split(":")[0] for x in labels}) == 3
