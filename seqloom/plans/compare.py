@@ -27,8 +27,8 @@ def _kind(series: pd.Series) -> str:
     kind = series.dtype.kind
     if kind in "iu":
         return "int"
-    if kind == "f":
-        return "float"
+    if kind == "f":  # pandas turns whole numbers with nulls into floats
+        return "int" if series.isna().any() and (series.dropna() % 1 == 0).all() else "float"
     if kind == "b":
         return "bool"
     first = next((x for x in series if x is not None and not (isinstance(x, float) and math.isnan(x))), None)
