@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, chat_format, embedding_dedup, language_id, minhash, packing, pii, substring_dedup, topk, url_filter
+from . import byte_bpe, chat_format, embedding_dedup, fim, language_id, minhash, packing, pii, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,23 @@ def exact_top_k(embeddings: DataFrame) -> DataFrame:
 @query("op9_embedding_near_dedup", "embeddings")
 def embedding_near_dedup(embeddings: DataFrame) -> DataFrame:
     return embedding_dedup.near_duplicates(embeddings)
+
+
+@query(
+    "op13_fill_in_middle", "documents",
+    """
+    with hashed as (select doc_id, coalesce(text, '') t, cast(length(coalesce(text, '')) as bigint) n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) d from documents),
+    numbers as (select *, cast('0x' || substr(d, 1, 8) as bigint) h1, cast('0x' || substr(d, 9, 8) as bigint) h2,
+      cast('0x' || substr(d, 17, 8) as bigint) h3, cast('0x' || substr(d, 25, 8) as bigint) h4 from hashed),
+    chosen as (select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+      case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end form from numbers)
+    select doc_id, n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+      sha256(case form when 'plain' then t
+        when 'psm' then '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+        else '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) end) output_sha256,
+      sha256(t) restored_sha256 from chosen
+    """,
+)
+def fill_in_middle(documents: DataFrame) -> DataFrame:
+    return fim.digest(fim.transform(documents))
