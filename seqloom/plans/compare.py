@@ -36,7 +36,7 @@ def _kind(series: pd.Series) -> str:
 
 
 def _cell(x: object) -> object:
-    if x is None:
+    if x is None or x is pd.NA:
         return None
     if isinstance(x, float):
         if math.isnan(x):
