@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, chat_format, embedding_dedup, fim, language_id, minhash, packing, pii, substring_dedup, topk, url_filter
+from . import byte_bpe, chat_format, embedding_dedup, fim, language_id, minhash, packing, pii, slack_packing, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ def embedding_near_dedup(embeddings: DataFrame) -> DataFrame:
 )
 def fill_in_middle(documents: DataFrame) -> DataFrame:
     return fim.digest(fim.transform(documents))
+
+
+@query("op12_minimum_slack_packing", "documents")
+def minimum_slack_packing(documents: DataFrame) -> DataFrame:
+    return slack_packing.pack(documents, public_tokenizers.path("word_bpe_49k.json"))

@@ -77,7 +77,19 @@ class WordEncoder:
         """(ids of all texts, offsets of each text's ids); a null text is empty."""
         data, offsets = text_buffer(column)
         places, first = cut_before_blanks(data, offsets)
-        words = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)])
+        return self._ids(pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)]), first)
+
+    def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words given by their spans; ``first`` is the index of each text's first word, with the total appended."""
+        lengths = ends - starts
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts] = 1
+        inside[ends] -= 1  # a word may begin where another ends
+        packed = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+        return self._ids(pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(packed)]), first)
+
+    def _ids(self, words: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         coded = pc.dictionary_encode(words)
         different = coded.dictionary.to_pylist()
         if len(self.known) + len(different) > MEMORY_WORDS:
