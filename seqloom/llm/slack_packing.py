@@ -115,10 +115,7 @@ class WordIds:
     """Ids of texts under a tokenizer that drops white space: those of the blank-free words one after the other."""
 
     def __init__(self, path: str):
-        tokens.single_threaded()
-        from tokenizers import Tokenizer
-
-        self.words = tokens.by_library(Tokenizer.from_file(path))
+        self.words = tokens.from_word_json(path)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text's ids); a null text is empty."""

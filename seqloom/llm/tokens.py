@@ -23,6 +23,9 @@ MEMORY_WORDS = 400_000
 #: Fixed value: the split pattern of byte-level tokenizers.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: the split pattern of word-level tokenizers whose last symbols carry a word end; text is composed and lower-cased before.
+WORD_END_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -149,3 +152,52 @@ def from_json(path: str) -> WordEncoder:
     quick = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     slow = lambda w: tokenizer.encode(w, add_special_tokens=False).ids
     return WordEncoder(lambda words: [slow(w) if len(w) > 1000 or any(s in w for s in special) else quick(w) for w in words])
+
+
+def from_word_json(path: str) -> WordEncoder:
+    """Encoder of blank-free words for a tokenizer file with word ends, special tokens not added.
+
+    As in ``from_json``, merging by rank takes the place of the library where the file allows: the word end is one more byte behind a piece, 0xFF, which no text holds, and
+    joins the last symbol first. Words of ASCII and of the Latin-1 letters are lower-cased and split here; all others, those that
+    may hold special tokens and very long ones are left to the library, and so are files with other rules.
+    """
+    single_threaded()
+    import regex
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        content = json.load(f)
+    model, end = content["model"], content["model"]["end_of_word_suffix"]
+    rules = [
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": WORD_END_PATTERN}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    ]
+    special = [t["content"] for t in content["added_tokens"]]
+    ids = {k: v for k, v in model["vocab"].items() if k not in special}
+    joined = lambda a, b: ids.get(a + b, -1)
+    made = [joined(*(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    letters = byte_characters()
+    single = [ids.get(c + e, -1) for e in ("", end or "") for c in letters]
+    in_order = sorted(single) + made == list(range(len(ids)))
+    if not end or not in_order or [content["normalizer"], content["pre_tokenizer"]] != rules or not all("|" in t for t in special):
+        return by_library(tokenizer)
+    byte_of = {c: b for b, c in enumerate(letters)}
+    ranks = {bytes(byte_of[c] for c in k.removesuffix(end)) + (b"\xff" if k.endswith(end) else b""): v for k, v in ids.items()}
+    quick = tiktoken.Encoding("words", pat_str=WORD_END_PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    simple = regex.compile("[!-{}~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]{1,1000}").fullmatch
+    pieces = regex.compile(WORD_END_PATTERN).findall
+
+    def word(w: str) -> list[int]:
+        if not simple(w):
+            return tokenizer.encode(w, add_special_tokens=False).ids
+        w = w.lower()
+        if w.isalpha():
+            return quick(w.encode() + b"\xff")
+        return [i for p in pieces(w) for i in quick(p.encode() + b"\xff")]
+
+    return WordEncoder(lambda words: [word(w) for w in words])
