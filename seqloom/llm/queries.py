@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship_package
-from . import byte_bpe, chat_format, embedding_dedup, fim, language_id, minhash, packing, pii, slack_packing, substring_dedup, topk, url_filter
+from . import byte_bpe, chat_format, embedding_dedup, fim, language_id, minhash, packing, pii, slack_packing, spelling, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,8 @@ def fill_in_middle(documents: DataFrame) -> DataFrame:
 @query("op12_minimum_slack_packing", "documents")
 def minimum_slack_packing(documents: DataFrame) -> DataFrame:
     return slack_packing.pack(documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op11_spelling_variants", "documents")
+def spelling_variants(documents: DataFrame) -> DataFrame:
+    return spelling.variants(documents)
