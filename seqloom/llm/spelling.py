@@ -111,22 +111,32 @@ def affected(starts: list[int], ends: list[int], length: int, longest: int, *, i
     return most
 
 
-def index_entries(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, int, int, str]]:
+def letter_set(word: str) -> int:
+    """The word's code points as bits, modulo 63: one edit changes two bits at most."""
+    bits = 0
+    for c in word:
+        bits |= 1 << ord(c) % 63
+    return bits
+
+
+def index_entries(word: str, frequent: dict[str, int], roles: tuple[int, ...] = (SAME, SHORTER, LONGER)) -> Iterator[tuple[int, int, int, str]]:
     """(role, length of the pair's shorter word, place, gram) under which a word is listed.
 
     A near word shares all but the affected grams, so the two have one in common among the rarest ``affected`` + 1 of
     each; the longer lists need not be merged. Grams in front of an edit keep their place, those behind an insertion move by one.
     """
-    n = len(word)
-    for role in (SAME, SHORTER, LONGER):
+    n, done = len(word), 0
+    for role in roles:
         shorter = n - (role == LONGER)
         if shorter < LEAST_LENGTH:
             continue
         longest = longest_gram(shorter)
-        starts, ends = decompose(word, frequent, longest)
+        if longest != done:
+            starts, ends = decompose(word, frequent, longest)
+            ordered = sorted((frequent.get(word[p:e], 0), word[p:e], p) for p, e in zip(starts, ends, strict=True))
+            done = longest
         bound = affected(starts, ends, n, longest, insertion=role == SHORTER)
-        rarest = sorted((frequent.get(word[p:e], 0), word[p:e], p) for p, e in zip(starts, ends, strict=True))[: bound + 1]
-        for _, gram, p in rarest:
+        for _, gram, p in ordered[: bound + 1]:
             yield role, shorter, p, gram
             if role == SHORTER:
                 yield role, shorter, p + 1, gram
@@ -134,20 +144,24 @@ def index_entries(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, in
 
 def near_words(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
     """``word, near, near_n`` for all words exactly one edit apart, each pair both ways and once, from distinct ``word, n``."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)  # bounded by its share
+    shared = words.sparkSession.sparkContext.broadcast(frequent)  # bounded by its share
+    names = ("word", "n", "letters", "role", "shorter", "place", "gram")
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            given = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            yield _columns(("word", "n", "role", "shorter", "place", "gram"), [(w, n, *entry) for w, n in given for entry in index_entries(w, shared.value)])
+    def listed(side: str, roles: tuple[int, ...]) -> DataFrame:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                given = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                yield _columns(names, [(w, n, letter_set(w), *entry) for w, n in given for entry in index_entries(w, shared.value, roles)])
+
+        entries = words.select("word", "n").mapInArrow(task, "word string, n bigint, letters bigint, role int, shorter int, place int, gram string")
+        key = F.xxhash64((F.col("role") == SAME).cast("int"), "shorter", "place", "gram")
+        return entries.select(key.alias("key"), F.col("word").alias(side), F.col("n").alias(f"{side}_n"), F.col("letters").alias(f"{side}_letters"), F.col("role").alias(f"{side}_role"))
 
-    listed = words.select("word", "n").mapInArrow(task, "word string, n bigint, role int, shorter int, place int, gram string")
-    listed = listed.select("word", "n", "role", F.xxhash64((F.col("role") == SAME).cast("int"), "shorter", "place", "gram").alias("key"))
-    a = listed.filter(F.col("role") != LONGER).select("key", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("role").alias("a_role"))
-    b = listed.filter(F.col("role") != SHORTER).select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    a, b = listed("a", (SAME, SHORTER)), listed("b", (SAME, LONGER))
     once = (F.col("a_role") != SAME) | (F.col("a") < F.col("b"))
-    met = a.join(b, (a["key"] == b["key"]) & once & one_edit("a", "b")).select("a", "a_n", "b", "b_n")
+    # Most words met under a gram differ in more letters than one edit can change; few pairs are compared whole.
+    alike = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
+    met = a.join(b.drop("b_role"), (a["key"] == b["key"]) & once & alike & one_edit("a", "b"))
     ways = [F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(f"{y}_n").alias("near_n")) for x, y in ("ab", "ba")]
     return met.select(F.inline(F.array(*ways))).distinct()
 
@@ -196,6 +210,6 @@ def _roots(judged: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _columns(names: tuple[str, ...], rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"word": pa.string(), "gram": pa.string(), "n": pa.int64(), "role": pa.int32(), "shorter": pa.int32(), "place": pa.int32()}
+    kinds = {"word": pa.string(), "gram": pa.string(), "n": pa.int64(), "letters": pa.int64(), "role": pa.int32(), "shorter": pa.int32(), "place": pa.int32()}
     columns = zip(*rows, strict=True) if rows else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for k, c in zip(names, columns, strict=True)], names=list(names))
