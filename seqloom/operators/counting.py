@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import cigar, flags
 from ..options import choice, positive
 from .intervals import merge_intervals, overlap_join, with_samples
+from .templates import placed_units
 
-PLACE = ["sample", "rname", "pos", "cigar", "strand"]
+PLACE = ["rname", "pos", "cigar", "strand"]
+#: Different placements in one bin of the range join beyond which the bin is split over more tasks.
+HOT_ROWS = 500_000
 
 
 def _n() -> Column:
@@ -134,12 +137,12 @@ def assign_units(
         same = F.col("rnext") == "="
         lo, hi = F.least("pos", "pnext"), F.greatest("pos", "pnext")
         marked = marked.withColumns(
-            {"lo": F.when(same, lo).otherwise(F.col("pos")), "hi": F.when(same, hi).otherwise(F.col("pos"))}
+            {"first": F.when(same, lo).otherwise(F.col("pos")), "second": F.when(same, hi).otherwise(F.col("pos"))}
         )
-        key = ["sample", "qname", "lo", "hi"]
-        units = marked.groupBy(*key).agg(_first_reason().alias("why"), F.lit(1).cast("bigint").alias("n"))
-        bad = units.filter("why is not null").select(*key)
-        good = marked.join(bad, key, "left_anti").withColumn("n", F.lit(1).cast("bigint"))
+        units, good = placed_units(
+            marked, key=["sample", "qname", "first", "second"], place=[*PLACE, "read_strand"], why=_first_reason(), used=F.lit(True), length=F.lit(0)
+        )
+        key = ["sample", "unit"]
     else:
         key = ["sample", "rname", "pos", "cigar", "strand", "read_strand", "why"]
         units = marked.groupBy(*key).agg(_n())
@@ -156,7 +159,7 @@ def assign_units(
         side = _merged(side, ["rname", "strand", "target"])
     how = {0: "no", 1: "same", 2: "opposite"}[strandness]
     # A negative minimum lets a read lie that far from its target.
-    hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, min_overlap=min(min_overlap, 1), bin_size=bin_size)
+    hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, min_overlap=min(min_overlap, 1), bin_size=bin_size, hot_rows=HOT_ROWS)
     shared = F.sum(F.greatest("overlap", F.lit(0))).alias("bases")
     per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(shared, F.max("n").alias("n"))
     per = per.filter(F.col("bases") >= min_overlap)
@@ -250,6 +253,10 @@ def _coding(kind: object) -> tuple[object, Column, Column, None]:
     return kind, F.greatest("start", "cds_start"), F.least("end", "cds_end"), None
 
 
+def _template_reason(aligned: Column, many: Column, low: Column) -> Column:
+    return F.when(~aligned, "__not_aligned").when(many, "__alignment_not_unique").when(low, "__too_low_aQual")
+
+
 def htseq_count(
     al: DataFrame,
     features: DataFrame,
@@ -262,21 +269,34 @@ def htseq_count(
     id_attr: str = "gene_id",
     bin_size: int = 4096,
 ) -> DataFrame:
-    """Reads per gene and sample plus special rows, by the set rules union, intersection-strict or intersection-nonempty.
+    """Templates per gene and sample plus special rows, by the set rules union, intersection-strict or intersection-nonempty.
 
-    With c(g) the read bases covered by gene g, c(*) those covered by any gene and L the read's aligned bases,
-    the set is: union c(g) > 0; strict c(g) = L; nonempty c(g) = c(*) > 0.
+    The paired records of one ``sample``, ``qname`` and, where that column exists, ``hit`` (the number of the alignment among those of its template) are
+    one template: mates count once, and mates on two genes are ambiguous. An unpaired record is a template of its own. Secondary
+    records are skipped; a template without an aligned record is not aligned; one aligned record with several hits or a low quality
+    makes the template not unique or of low quality, in this order.
+
+    With c(g) the aligned bases of all records covered by gene g, c(*) those covered by any gene and L all aligned bases,
+    the set is: union c(g) > 0; strict c(g) = L; nonempty c(g) = c(*) > 0. Bases under both mates count twice on both sides, which changes no answer.
     """
     choice("mode", mode, ("union", "intersection-strict", "intersection-nonempty"))
     choice("stranded", stranded, ("yes", "no", "reverse"))
-    why = (
-        F.when(flags.has(flags.UNMAPPED), "__not_aligned")
-        .when(flags.has(flags.SECONDARY), "skip")
-        .when(F.col("nh") > 1, "__alignment_not_unique")
-        .when(F.col("mapq") < min_qual, "__too_low_aQual")
+    aligned = ~flags.has(flags.UNMAPPED)
+    many, low = F.col("nh") > 1, F.col("mapq") < min_qual
+    size = F.aggregate(F.transform(cigar.blocks(), lambda b: b["end"] - b["start"]), F.lit(0), lambda a, x: a + x)
+    template = ["sample", "qname", *(["hit"] if "hit" in al.columns else [])]
+    records = al.filter(~flags.has(flags.SECONDARY)).select(
+        *template, "rname", "pos", "cigar", _effective_strand(flags.strand()).alias("strand"), aligned.alias("aligned"),
+        flags.has(flags.PAIRED).alias("paired"), F.coalesce(aligned & many, F.lit(False)).alias("many"), F.coalesce(aligned & low, F.lit(False)).alias("low"),
     )
-    strand = _effective_strand(flags.strand())
-    places = al.groupBy("sample", "rname", "pos", "cigar", strand.alias("strand"), why.alias("why")).agg(_n())
+    reason = _template_reason(F.bool_or("aligned"), F.bool_or("many"), F.bool_or("low"))
+    paired = placed_units(records.filter("paired"), key=template, place=PLACE, why=reason, used=F.col("aligned"), length=size)
+    alone = records.filter("not paired").select("sample", _template_reason(F.col("aligned"), F.col("many"), F.col("low")).alias("why"), F.struct(*PLACE).alias("lo"))
+    alone = alone.groupBy("sample", "why", F.when(F.col("why").isNull(), F.col("lo")).alias("lo")).agg(_n())
+    unit = F.when(F.col("why").isNull(), F.struct("lo", F.col("lo").alias("hi"), F.lit(1).cast("bigint").alias("records"), F.lit("").alias("name")))
+    alone = alone.select("sample", "why", unit.alias("unit"), "n", "lo.*").withColumn("length", size.cast("bigint"))
+    units = paired[0].unionByName(alone.select(*paired[0].columns))
+    good = paired[1].unionByName(alone.filter("why is null").select(*paired[1].columns))
     wanted = features.filter(F.col("feature") == feature) if "feature" in features.columns else features
     wanted = wanted.withColumn("gene", F.col(id_attr))
     if stranded == "no":
@@ -285,40 +305,38 @@ def htseq_count(
     # Intervals of every gene, and of all genes together under the empty name, merged in one pass.
     both = wanted.withColumn("gene", F.explode(F.array(F.col("gene"), F.lit(""))))
     side = _merged(both, ["rname", "strand", "gene"])
-    good = places.filter("why is null").drop("why")
     how = {"yes": "same", "no": "no", "reverse": "opposite"}[stranded]
-    hits = overlap_join(_blocks(good), side, stranded=how, bin_size=bin_size)
-    covered = hits.groupBy(*PLACE, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"), F.max("n").alias("n"))
-    # Equal coverages together: how many genes reach each count, then the largest count per placement.
+    hits = overlap_join(_blocks(good), side, stranded=how, bin_size=bin_size, hot_rows=HOT_ROWS)
+    key = ["sample", "unit"]
+    kept = [F.max("length").alias("length"), F.max("n").alias("n")]
+    covered = hits.groupBy(*key, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"), *kept)
+    # Equal coverages together: how many genes reach each count, then the largest count per unit.
     named = F.when(F.col("gene") != "", F.col("gene"))
-    level = covered.groupBy(*PLACE, "c").agg(
-        F.count(named).alias("k"), F.min(named).alias("gene"), F.bool_or(F.col("gene") == "").alias("any"), F.max("n").alias("n")
+    level = covered.groupBy(*key, "c").agg(
+        F.count(named).alias("k"), F.min(named).alias("gene"), F.bool_or(F.col("gene") == "").alias("any"), *kept
     )
-    best = level.groupBy(*PLACE).agg(
+    best = level.groupBy(*key).agg(
         F.max(F.when(F.col("k") > 0, F.struct("c", "k", "gene"))).alias("top"),
         F.max(F.when(F.col("any"), F.col("c"))).alias("c_any"),
         F.sum("k").alias("k_all"),
         F.min("gene").alias("g_all"),
-        F.max("n").alias("n"),
-    )
-    length = F.aggregate(
-        F.transform(cigar.blocks(), lambda b: b["end"] - b["start"]), F.lit(0), lambda a, x: a + x
+        *kept,
     )
     if mode == "union":
         k, gene = F.col("k_all"), F.col("g_all")
     else:
-        need = length if mode == "intersection-strict" else F.col("c_any")
+        need = F.col("length") if mode == "intersection-strict" else F.col("c_any")
         k = F.when(F.col("top.c") == need, F.col("top.k")).otherwise(0)
         gene = F.col("top.gene")
     label = F.when(k == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
     found = best.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
-    # Reads that met no gene at all are the rest of the sample: every counted read is taken off the total.
+    # Templates that met no gene at all are the rest of the sample: every counted one is taken off the total.
     none = F.lit("__no_feature")
     moved = F.array(F.struct("gene", "n"), F.struct(none.alias("gene"), (-F.col("n")).alias("n")))
     placed = found.filter("gene <> '__no_feature'").select("sample", F.inline(moved))
-    total = good.select("sample", none.alias("gene"), "n")
+    total = units.filter("why is null").select("sample", none.alias("gene"), "n")
     counted = placed.unionByName(total).groupBy("sample", "gene").agg(F.sum("n").alias("n"))
-    rest = places.filter("why is not null and why <> 'skip'").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
+    rest = units.filter("why is not null").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
     special = ["__no_feature", "__ambiguous", "__too_low_aQual", "__not_aligned", "__alignment_not_unique"]
     names = wanted.select("gene").distinct()
     every = with_samples(names, samples).unionByName(

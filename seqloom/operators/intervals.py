@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..options import choice, positive
 
 TILE = 1 << 16
+#: Bins of ``overlap_join`` that are split by count at most: bounds the table of split bins, which is broadcast.
+HOT_BINS = 10_000
+#: Tasks a single bin is split over at most.
+MOST_PARTS = 4096
 
 
 def bin_of(position: Column, size: int) -> Column:
@@ -41,6 +45,7 @@ def overlap_join(
     key: Sequence[str] | None = None,
     by: Sequence[str] = (),
     salt: int = 1,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Pairs of intervals sharing at least ``min_overlap`` bases (negative: at most that far apart).
 
@@ -48,11 +53,15 @@ def overlap_join(
     Both sides are cut into bins for an equi-join; a pair is reported only in the bin where the
     later of the two begins, so nothing needs a distinct. ``semi``, ``anti`` and ``left`` need the
     left row's ``key`` columns. ``by`` columns must be equal too and come out once. ``salt`` spreads every bin of the left side over that many tasks.
+    With ``hot_rows`` the left rows are counted per bin first, and a bin of more is split into parts of about so many rows: only there are right
+    rows repeated, once per part. That concerns the ``HOT_BINS`` fullest bins; fuller tables leave the rest to adaptive execution.
     """
     choice("how", how, ("inner", "left", "semi", "anti"))
     choice("stranded", stranded, ("no", "same", "opposite"))
     positive("bin_size", bin_size)
     positive("salt", salt)
+    if hot_rows is not None:
+        positive("hot_rows", hot_rows)
     if how != "inner" and not key:
         raise ValueError(f"how={how!r} needs key columns of the left side")
     reach = max(0, -min_overlap)
@@ -69,6 +78,9 @@ def overlap_join(
         a = a.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
         b = b.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salt)])))
         on.append("_salt")
+    if hot_rows is not None:
+        a, b = _split_hot(a, b, on, left.columns, hot_rows)
+        on.append("_part")
     overlap = F.least("end", "r_end") - F.greatest("start", "r_start")
     home = F.greatest(bin_of(F.col("start"), bin_size), bin_of(F.col("r_start") - reach, bin_size))
     cond = (overlap >= min_overlap) & (F.col("_bin") == home)
@@ -78,7 +90,7 @@ def overlap_join(
         cond = cond & (F.col("strand") == F.col("r_strand"))
     elif stranded == "opposite":
         cond = cond & (F.col("strand") != F.col("r_strand"))
-    pairs = a.join(b, on).filter(cond).withColumn("overlap", overlap).drop("_bin", "_salt")
+    pairs = a.join(b, on).filter(cond).withColumn("overlap", overlap).drop("_bin", "_salt", "_part")
     if how == "inner":
         return pairs
     matched = pairs.select(*key).distinct()
@@ -88,6 +100,19 @@ def overlap_join(
     return alone if how == "anti" else pairs.unionByName(alone, allowMissingColumns=True)
 
 
+def _split_hot(a: DataFrame, b: DataFrame, on: Sequence[str], columns: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_part``: left rows dealt over the parts of their bin by a hash, right rows once per part."""
+    counted = a.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    fullest = counted.orderBy(F.col("_n").desc(), *on).limit(HOT_BINS)
+    hot = F.broadcast(fullest.select(*on, F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MOST_PARTS)).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    kinds = dict(a.dtypes)
+    part = F.pmod(F.xxhash64(*[c for c in columns if "map<" not in kinds[c]]), parts)  # of the row itself, so that retries agree
+    a = a.join(hot, list(on), "left").withColumn("_part", part.cast("int")).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), parts - 1))
+    return a, b.join(hot, list(on), "left").withColumn("_part", every).drop("_parts")
+
+
 def nearest(
     left: DataFrame, right: DataFrame, *, max_distance: int, key: Sequence[str], bin_size: int = 4096, stranded: str = "no"
 ) -> DataFrame:

@@ -178,30 +178,43 @@ def x1f(t):
     return X.feature_counts(t.alignments, t.features, samples=SAMPLES, read_to=5, per_feature=True)
 
 
-def _htseq(mode_sql: str, strand: str) -> str:
-    return f"""with {BLOCKS}, rd as (select a.*, case when (flag&129)=129 then case when flag&16>0 then '+' else '-' end else case when flag&16>0 then '-' else '+' end end st,
-        case when flag&256>0 then 'skip' when nh>1 then '__alignment_not_unique' when mapq<10 then '__too_low_aQual' end why from alignments a),
-      hit as (select rd.aln_id, f.gene_id, greatest(b.start,f.start) s, least(b."end",f."end") e from rd join blocks b using (aln_id) join features f on f.rname=rd.rname and b.start<f."end" and f.start<b."end" {strand} where why is null),
-      px as (select aln_id, gene_id, unnest(range(s,e)) p from hit),
-      cg as (select aln_id, gene_id, count(distinct p) c from px group by 1,2), ca as (select aln_id, count(distinct p) c from px group by 1), ln as (select aln_id, sum("end"-start) l from blocks group by 1),
-      st as (select aln_id, count(*) k, min(gene_id) g from cg join ca using (aln_id) join ln using (aln_id) where {mode_sql} group by 1),
-      lb as (select sample, case when why is not null then why when k is null then '__no_feature' when k>1 then '__ambiguous' else g end gene from rd left join st using (aln_id)),
-      c as (select sample, gene, count(*) n from lb where gene<>'skip' group by 1,2),
+def _htseq(mode_sql: str, strand: str, unit: str) -> str:
+    """Templates are the records of one ``unit``; positions are those of any of them."""
+    return f"""with {BLOCKS}, rd as (select a.*, {unit} u, case when (flag&129)=129 then case when flag&16>0 then '+' else '-' end else case when flag&16>0 then '-' else '+' end end st
+        from alignments a where flag&256=0),
+      tp as (select u, min(sample) sample, case when bool_or(nh>1) then '__alignment_not_unique' when bool_or(mapq<10) then '__too_low_aQual' end why from rd group by 1),
+      bl as (select u, rname, {"st" if strand else "'.'"} st, unnest(range(start,"end")) p from rd join blocks using (aln_id)), ln as (select u, count(distinct (rname, st, p)) l from bl group by 1),
+      hit as (select rd.u, f.gene_id, rd.rname, {"rd.st" if strand else "'.'"} st, greatest(b.start,f.start) s, least(b."end",f."end") e from rd join blocks b using (aln_id)
+        join features f on f.rname=rd.rname and b.start<f."end" and f.start<b."end" {strand}),
+      px as (select u, gene_id, rname, st, unnest(range(s,e)) p from hit),
+      cg as (select u, gene_id, count(distinct (rname, st, p)) c from px group by 1,2), ca as (select u, count(distinct (rname, st, p)) c from px group by 1),
+      st as (select u, count(*) k, min(gene_id) g from cg join ca using (u) join ln using (u) where {mode_sql} group by 1),
+      lb as (select sample, case when why is not null then why when k is null then '__no_feature' when k>1 then '__ambiguous' else g end gene from tp left join st using (u)),
+      c as (select sample, gene, count(*) n from lb group by 1,2),
       gs as (select gene, s.sample from (select distinct gene_id gene from features union all select unnest(['__no_feature','__ambiguous','__too_low_aQual','__not_aligned','__alignment_not_unique'])) x, (select unnest(['s0','s1','s2']) sample) s)
       select gs.sample, gs.gene, coalesce(n,0) n from gs left join c using (sample, gene)"""
 
 
-@BOOK.add("X2_htseq_union", _htseq("cg.c>0", ""), "alignments", "features")
+# Two lines of an order in one hit.
+_HITS = "concat_ws('|', sample, qname, cast((cast(split_part(aln_id,'_',4) as int)-1)//2 as varchar))"
+
+
+def _with_hit(al):
+    return al.withColumn("hit", F.floor((F.split_part("aln_id", F.lit("_"), F.lit(4)).cast("int") - 1) / 2))
+
+
+@BOOK.add("X2_htseq_union", _htseq("cg.c>0", "", _HITS), "alignments", "features")
 def x2(t):
-    return X.htseq_count(t.alignments, t.features, samples=SAMPLES, mode="union", stranded="no")
+    return X.htseq_count(_with_hit(t.alignments), t.features, samples=SAMPLES, mode="union", stranded="no")
 
 
-@BOOK.add("X2_htseq_strict", _htseq("cg.c=l", "and f.strand=rd.st"), "alignments", "features")
+@BOOK.add("X2_htseq_strict", _htseq("cg.c=l", "and f.strand=rd.st", _HITS), "alignments", "features")
 def x2b(t):
-    return X.htseq_count(t.alignments, t.features, samples=SAMPLES, mode="intersection-strict", stranded="yes")
+    return X.htseq_count(_with_hit(t.alignments), t.features, samples=SAMPLES, mode="intersection-strict", stranded="yes")
 
 
-@BOOK.add("X2_htseq_nonempty", _htseq("cg.c=ca.c", "and f.strand<>rd.st"), "alignments", "features")
+# Without hits all records of a name are one template, some of more than two records.
+@BOOK.add("X2_htseq_nonempty", _htseq("cg.c=ca.c", "and f.strand<>rd.st", "concat_ws('|', sample, qname)"), "alignments", "features")
 def x2c(t):
     return X.htseq_count(t.alignments, t.features, samples=SAMPLES, mode="intersection-nonempty", stranded="reverse")
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -33,6 +34,23 @@ def test_overlap_join_is_brute_force(spark, min_overlap, bin_size, salt):
     assert {r["id"] for r in semi.collect()} == hit and {r["id"] for r in anti.collect()} == {r[0] for r in ra} - hit
 
 
+@pytest.mark.parametrize("hot_rows", [1, 7, 1000])
+def test_hot_bins_are_split_and_rows_stay_equal(spark, hot_rows):
+    rng = random.Random(hot_rows)
+    a, _ = intervals(spark, rng, 60)
+    crowd = [(1000 + i, "a", 5, 9, "+") for i in range(90)]
+    a = a.unionByName(spark.createDataFrame(crowd, a.schema)).unionByName(spark.createDataFrame([(1, None, 5, 9, "+")], a.schema))
+    b, _ = intervals(spark, rng, 50)
+    plain = sorted((r["id"], r["r_id"]) for r in I.overlap_join(a, b, bin_size=64).collect())
+    split = I.overlap_join(a, b, bin_size=64, hot_rows=hot_rows)
+    assert sorted((r["id"], r["r_id"]) for r in split.collect()) == plain and "_part" not in split.columns
+    binned = a.withColumn("_bin", I.bin_of(F.col("start"), 64))
+    left, right = I._split_hot(binned, binned.select("rname", "_bin").distinct(), ["rname", "_bin"], a.columns, 7)
+    in_parts = {r["_part"]: r["count"] for r in left.filter("rname = 'a' and _bin = 0").groupBy("_part").count().collect()}
+    assert len(in_parts) > 8 and max(in_parts.values()) < 30
+    assert right.filter("rname = 'a' and _bin = 0").count() >= len(in_parts)
+
+
 @pytest.mark.parametrize("gap", [0, 30])
 def test_merge_intervals_over_tiles(spark, gap):
     df, rows = intervals(spark, random.Random(9), 60, span=9000, longest=90)
@@ -203,4 +221,87 @@ def test_negative_overlap_and_first_reason(spark):
     count = lambda **o: X.feature_counts(al.filter("qname = 'r1'"), genes, samples=["s"], **o).first()["n"]
     assert (count(), count(min_overlap=-3), count(min_overlap=-4)) == (0, 0, 1)
     units, _, _ = X.assign_units(al, genes, fragments=True, min_mapq=10)
-    assert {r["qname"]: r["why"] for r in units.collect()} == {"r1": None, "r2": "Unassigned_MappingQuality"}
+    assert {r["why"]: r["n"] for r in units.collect()} == {None: 1, "Unassigned_MappingQuality": 1}
+
+
+def template_rows(rng):
+    """(name, hit, flag, rname, pos, cigar, mapq, nh): pairs, lone mates, unpaired reads, crowds under one name."""
+    rows = []
+    for i in range(120):
+        name = f"r{i}" if i % 5 else "crowd"
+        pos = rng.choice([1, 40, 41, 90, 150, 260, 300])
+        gap = rng.choice([0, 0, 10, 60, 200])
+        first = 65 + rng.choice([0, 16]) + (256 if i % 23 == 0 else 0)
+        mates = [(first, pos), (first + 64 ^ 16 if i % 3 else first + 64, pos + gap)][: rng.choice([1, 2, 2, 2])]
+        if i % 11 == 0:
+            mates = [(rng.choice([0, 16]), pos)]
+        for flag, at in mates:
+            flag |= 4 if rng.random() < 0.05 else 0
+            rows.append((name, i % 2, flag, rng.choice("ab") if i % 7 == 0 else "a", at, rng.choice(["50M", "20M30N10M", "5S30M"]), rng.choice([60, 60, 60, 3]), rng.choice([1, 1, 1, 1, 2])))
+    return rows * 2
+
+
+def cigar_bases(pos, cigar):
+    out, at = [], pos - 1
+    for n, op in re.findall(r"(\d+)([A-Z])", cigar):
+        if op == "M":
+            out += range(at, at + int(n))
+        at += int(n) if op in "MN" else 0
+    return out
+
+
+def counted_templates(rows, genes, mode, stranded, hits):
+    groups = {}
+    for k, (name, hit, flag, *rest) in enumerate(rows):
+        if not flag & 256:
+            key = (name, hit if hits else 0) if flag & 1 else (k,)
+            groups.setdefault(key, []).append((flag, *rest))
+    out = {}
+    for records in groups.values():
+        placed = [r for r in records if not r[0] & 4]
+        if not placed:
+            label = "__not_aligned"
+        elif any(r[5] > 1 for r in placed):
+            label = "__alignment_not_unique"
+        elif any(r[4] < 10 for r in placed):
+            label = "__too_low_aQual"
+        else:
+            sets = []
+            for flag, rname, pos, cigar, *_ in placed:
+                strand = "-" if flag & 16 else "+"
+                if flag & 129 == 129:
+                    strand = "+" if strand == "-" else "-"
+                on = {"yes": strand, "reverse": "+" if strand == "-" else "-"}.get(stranded)
+                sets += [{g for g, n, s, e, st in genes if n == rname and s <= p < e and on in (None, st)} for p in cigar_bases(pos, cigar)]
+            some = [x for x in sets if x]
+            found = set().union(*some) if mode == "union" else set.intersection(*(sets if mode == "intersection-strict" else some)) if some else set()
+            label = "__no_feature" if not found else "__ambiguous" if len(found) > 1 else min(found)
+        out[label] = out.get(label, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("mode,stranded,hits", [("union", "no", True), ("intersection-strict", "yes", False), ("intersection-nonempty", "reverse", True), ("union", "yes", False)])
+def test_htseq_counts_templates(spark, mode, stranded, hits):
+    rng = random.Random(len(mode))
+    rows = template_rows(rng)
+    genes = [("g1", "a", 0, 60, "+"), ("g1", "a", 80, 100, "+"), ("g2", "a", 50, 85, "-"), ("g3", "a", 140, 360, "+"), ("g4", "b", 0, 400, "-")]
+    schema = "qname string, hit int, flag int, rname string, pos int, cigar string, mapq int, nh int"
+    al = spark.createDataFrame(rows, schema).withColumn("sample", F.lit("s"))
+    features = spark.createDataFrame(genes, "gene_id string, rname string, start int, end int, strand string")
+    got = X.htseq_count(al if hits else al.drop("hit"), features, samples=["s", "none"], mode=mode, stranded=stranded).collect()
+    assert {r["gene"]: r["n"] for r in got if r["sample"] == "s" and r["n"]} == counted_templates(rows, genes, mode, stranded, hits)
+    assert all(r["n"] == 0 for r in got if r["sample"] == "none") and len(got) == 2 * 9
+
+
+def test_fragments_collapse_by_the_pair_of_placements(spark):
+    """A locus of many equal pairs reaches the range join as two rows; a template of three records stays whole."""
+    pair = lambda name, a, b: [(name, 65, "a", a, "30M", b, "="), (name, 145, "a", b, "30M", a, "=")]
+    rows = [r for i in range(500) for r in pair(f"p{i}", 11, 61)] + pair("q", 11, 400) + [("t", 65, "a", 11, "30M", 61, "="), ("t", 129, "a", 61, "30M", 11, "="), ("t", 129, "a", 61, "10M", 11, "=")]
+    al = spark.createDataFrame(rows, "qname string, flag int, rname string, pos int, cigar string, pnext int, rnext string")
+    al = al.withColumns({"sample": F.lit("s"), "mapq": F.lit(60), "tlen": F.lit(80), "nh": F.lit(1)})
+    features = spark.createDataFrame([("g1", "a", 0, 45, "+"), ("g2", "a", 380, 500, "-")], "gene_id string, rname string, start int, end int, strand string")
+    units, hits, key = X.assign_units(al, features, fragments=True, min_overlap=1)
+    assert sorted(r["n"] for r in units.collect()) == [1, 1, 500]
+    assert sorted((r["target"], r["n"], r["bases"]) for r in hits.collect()) == [("g1", 1, 30), ("g1", 1, 30), ("g1", 500, 30), ("g2", 1, 30)]
+    counted = {r["target"]: r["n"] for r in X.feature_counts(al, features, samples=["s"], fragments=True).collect()}
+    assert counted == {"g1": 501, "g2": 0}
