@@ -11,9 +11,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions import bases
+from ..functions import bases, kmers as kmer_numbers
 from ..options import choice, fail_when
 
 def _n() -> Column:
@@ -101,14 +102,6 @@ def cycle_quality_stats(reads: DataFrame, *, base: int = 33) -> DataFrame:
     )
 
 
-def kmers(seq: Column | str, k: int, *, distinct: bool = False) -> Column:
-    """Array of the k-mers of a sequence."""
-    c = F.col(seq) if isinstance(seq, str) else seq
-    starts = F.when(F.length(c) >= k, F.sequence(F.lit(1), F.length(c) - k + 1))
-    out = F.transform(starts, lambda i: F.substr(c, i, F.lit(k)))
-    return F.array_distinct(out) if distinct else out
-
-
 def kmer_content(reads: DataFrame, *, k: int = 7) -> DataFrame:
     """Occurrences of every k-mer per sample."""
     choice("k", k, range(2, 11))
@@ -188,33 +181,95 @@ def read_duplication(df: DataFrame, *, by: str = "seq") -> DataFrame:
     return per_key.groupBy("sample", "occurrence").agg(_n())
 
 
-def genome_kmers(genome: DataFrame, *, k: int, names: Sequence[str]) -> DataFrame:
-    """(kmer, mask): bit i of the mask is set when the k-mer occurs in sequence set ``names[i]``.
+#: Bits of the filter over a genome's k-mers at most (16 MB); a larger genome is joined without one.
+MOST_FILTER_BITS = 1 << 27
 
-    ``genome`` holds chunks (rname, start, seq); the next chunk's head completes the edge k-mers.
-    """
+
+def _kmer_length(k: int) -> None:
+    if not 0 < k <= kmer_numbers.LONGEST:
+        raise ValueError(f"k must be 1 to {kmer_numbers.LONGEST}")
+
+
+def _genome_pieces(genome: DataFrame, k: int) -> DataFrame:
+    """(rname, text): chunks with the next chunk's head, which completes the k-mers at their edge."""
     head = genome.select("rname", F.col("start").alias("next"), F.substr("seq", F.lit(1), F.lit(k - 1)).alias("head"))
     whole = genome.withColumn("next", F.col("start") + F.length("seq")).join(head, ["rname", "next"], "left")
-    text = F.concat("seq", F.coalesce("head", F.lit("")))
-    bit = F.element_at(
-        F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, 1 << i)]), F.col("rname")
-    ).cast("bigint")
-    pieces = whole.select(bit.alias("bit"), F.explode(kmers(text, k, distinct=True)).alias("kmer"))
-    return pieces.filter("bit is not null").groupBy("kmer").agg(F.bit_or("bit").alias("mask"))
+    return whole.select("rname", F.concat("seq", F.coalesce("head", F.lit(""))).alias("text"))
 
 
-def screen_reads(
-    reads: DataFrame, genome: DataFrame, *, names: Sequence[str], k: int = 21, min_kmers: int = 1, subset: int | None = None
-) -> DataFrame:
-    """Per read the mask of sequence sets sharing at least ``min_kmers`` distinct k-mers."""
+def genome_kmers(genome: DataFrame, *, k: int, names: Sequence[str]) -> DataFrame:
+    """(kmer, mask): bit i of the mask is set when the k-mer occurs in sequence set ``names[i]``.
+
+    ``genome`` holds chunks (rname, start, seq). A k-mer is a 64-bit number (:mod:`seqloom.functions.kmers`); those with other letters than ``ACGTN`` are left out.
+    """
+    _kmer_length(k)
+    bit = F.element_at(F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, 1 << i)]), F.col("rname")).cast("bigint")
+    pieces = _genome_pieces(genome, k).select(bit.alias("bit"), "text").filter("bit is not null")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, values in kmer_numbers.distinct_kmers(batch.column(1), k):
+                yield pa.RecordBatch.from_arrays([pa.array(values), batch.column(0).take(pa.array(rows))], names=["kmer", "bit"])
+
+    return pieces.mapInArrow(task, "kmer bigint, bit bigint").groupBy("kmer").agg(F.bit_or("bit").alias("mask"))
+
+
+def kmer_filter(genome: DataFrame, *, k: int, names: Sequence[str]) -> kmer_numbers.Bloom | None:
+    """Bloom filter over the k-mers of the named sequences with eight bits or more for each, by two small jobs; none if that takes too many bits."""
+    _kmer_length(k)
+    named = genome.filter(F.col("rname").isin(*names))
+    places = named.agg(F.sum(F.length("seq")).alias("n")).first()["n"] or 0
+    bits = 1 << max(16, (8 * places - 1).bit_length())
+    if bits > MOST_FILTER_BITS:
+        return None
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = kmer_numbers.Bloom(bits)
+        for batch in batches:
+            for _, values in kmer_numbers.distinct_kmers(batch.column(0), k):
+                part.add(values)
+        at = np.flatnonzero(part.words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part.words[at].view(np.int64))], names=["word", "bits"])
+
+    words = _genome_pieces(named, k).select("text").mapInArrow(task, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    whole = kmer_numbers.Bloom(bits)
+    for part in words.toArrow().to_batches():  # one row per word of the filter at most
+        whole.words[part.column(0).to_numpy()] = part.column(1).to_numpy().view(np.uint64)
+    return whole
+
+
+def candidate_kmers(reads: DataFrame, *, k: int, screen: kmer_numbers.Bloom | None) -> DataFrame:
+    """``sample, read_idx, mate, kmer``: each k-mer of a read once, without those that the filter rules out."""
+    _kmer_length(k)
+    shared = None if screen is None else reads.sparkSession.sparkContext.broadcast(screen)  # of bounded size
+    ids = reads.select("sample", "read_idx", "mate")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, values in kmer_numbers.distinct_kmers(batch.column(3), k):
+                if shared is not None:
+                    some = shared.value.may_hold(values)
+                    rows, values = rows[some], values[some]
+                taken = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(taken) for i in range(3)), pa.array(values)], names=["sample", "read_idx", "mate", "kmer"])
+
+    return reads.select("sample", "read_idx", "mate", "seq").mapInArrow(task, ids.schema.add("kmer", T.LongType()))
+
+
+def _subset(reads: DataFrame, subset: int | None) -> DataFrame:
+    if subset is None:
+        return reads
+    from .reads import sample_reads
+
+    return sample_reads(reads, n=subset)
+
+
+def _hit_masks(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], k: int = 21, min_kmers: int = 1) -> DataFrame:
+    """``sample, read_idx, mate, mask`` of the reads with a hit; k-mers found in no set hardly ever leave their task."""
     if not 0 < len(names) <= 62:
         raise ValueError("give 1 to 62 sequence sets")
-    if subset is not None:
-        from .reads import sample_reads
-
-        reads = sample_reads(reads, n=subset)
-    pieces = reads.select("sample", "read_idx", "mate", F.explode_outer(kmers("seq", k, distinct=True)).alias("kmer"))
-    hits = pieces.join(genome_kmers(genome, k=k, names=names), "kmer", "left")
+    pieces = candidate_kmers(reads, k=k, screen=kmer_filter(genome, k=k, names=names))
+    hits = pieces.join(genome_kmers(genome, k=k, names=names), "kmer")
     per_read = hits.groupBy("sample", "read_idx", "mate").agg(
         *[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, 1).otherwise(0)).alias(f"_n{i}") for i in range(len(names))]
     )
@@ -222,12 +277,21 @@ def screen_reads(
         lambda a, b: a.bitwiseOR(b),
         [F.when(F.col(f"_n{i}") >= min_kmers, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(names))],
     )
-    return per_read.select("sample", "read_idx", "mate", mask.cast("bigint").alias("mask"))
+    return per_read.select("sample", "read_idx", "mate", mask.cast("bigint").alias("mask")).filter("mask <> 0")
+
+
+def screen_reads(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+    """Per read the mask of sequence sets sharing at least ``min_kmers`` distinct ``k``-mers."""
+    reads = _subset(reads, subset)
+    found = _hit_masks(reads, genome, names=names, **opts)
+    every = reads.select("sample", "read_idx", "mate").join(found, ["sample", "read_idx", "mate"], "left")
+    return every.select("sample", "read_idx", "mate", F.coalesce("mask", F.lit(0)).cast("bigint").alias("mask"))
 
 
-def screen_library(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], **opts) -> DataFrame:
-    """Reads per sample and sequence set: hits in this set only, and in this and others; plus no hits."""
-    masks = screen_reads(reads, genome, names=names, **opts).groupBy("sample", "mask").agg(_n())
+def screen_library(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+    """Reads per sample and sequence set: hits in this set only, and in this and others; plus no hits, the rest of the sample."""
+    reads = _subset(reads, subset)
+    masks = _hit_masks(reads, genome, names=names, **opts).groupBy("sample", "mask").agg(_n())
     sets = F.array(*[F.struct(F.lit(n).alias("genome"), F.lit(1 << i).alias("bit")) for i, n in enumerate(names)])
     rows = masks.select("sample", "mask", "n", F.inline(sets)).filter(F.col("mask").bitwiseAND(F.col("bit")) != 0)
     alone = F.bit_count("mask") == 1
@@ -235,15 +299,16 @@ def screen_library(reads: DataFrame, genome: DataFrame, *, names: Sequence[str],
         F.sum(F.when(alone, F.col("n")).otherwise(0)).alias("one_genome"),
         F.sum(F.when(~alone, F.col("n")).otherwise(0)).alias("multiple_genomes"),
     )
-    none = masks.filter("mask = 0").select(
+    total = reads.groupBy("sample").agg(_n()).unionByName(masks.select("sample", (-F.col("n")).alias("n")))
+    none = total.groupBy("sample").agg(F.sum("n").alias("n")).filter("n > 0").select(
         "sample", F.lit("no_hits").alias("genome"), F.col("n").alias("one_genome"), F.lit(0).cast("bigint").alias("multiple_genomes")
     )
     return hit.unionByName(none)
 
 
-def reads_without_hits(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], **opts) -> DataFrame:
-    found = screen_reads(reads, genome, names=names, **opts).filter("mask <> 0")
-    return reads.join(found, ["sample", "read_idx", "mate"], "left_anti")
+def reads_without_hits(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+    reads = _subset(reads, subset)
+    return reads.join(_hit_masks(reads, genome, names=names, **opts), ["sample", "read_idx", "mate"], "left_anti")
 
 
 def grade_level(grade: Column) -> Column:

@@ -163,7 +163,10 @@ def chunk_edges(genome: DataFrame, *, extra: int) -> DataFrame:
 
 
 def junction_motifs(mappings: DataFrame, genome: DataFrame, *, keys: Sequence[str], chunk: int) -> DataFrame:
-    """(keys, junction, strand) from the four bases at each junction, by two chunk joins; ``?`` for no known motif."""
+    """(keys, junction, strand) from the four bases at each junction; ``?`` for no known motif.
+
+    Each different pair of sites is looked up once, in one join with the genome, and its strand joined back.
+    """
     n = F.size("frags")
     gaps = F.zip_with(
         F.slice("frags", F.lit(1), n - 1), F.slice("frags", F.lit(2), n),
@@ -171,14 +174,16 @@ def junction_motifs(mappings: DataFrame, genome: DataFrame, *, keys: Sequence[st
     )
     sites = mappings.select(*keys, F.col("frags")[0]["rname"].alias("rname"), F.posexplode(gaps).alias("junction", "g"))
     sites = sites.filter("g.donor is not null and g.acceptor is not null").select(*keys, "rname", "junction", "g.*")
-    text = chunk_edges(genome, extra=1)
-    for end in ("donor", "acceptor"):
-        part = text.select("rname", F.col("start").alias("_at"), F.col("seq").alias("_seq"))
-        sites = sites.withColumn("_at", (F.floor(F.col(end) / chunk) * chunk).cast("int")).join(part, ["rname", "_at"], "left")
-        sites = sites.withColumn(f"{end}_bases", F.upper(F.substr("_seq", F.col(end) - F.col("_at") + 1, F.lit(2)))).drop("_at", "_seq")
+    place = ["rname", "donor", "acceptor"]
+    ends = F.array(*[F.struct(F.lit(end).alias("side"), F.col(end).alias("site")) for end in ("donor", "acceptor")])
+    looked = sites.select(*place).distinct().select(*place, F.inline(ends))
+    text = chunk_edges(genome, extra=1).select("rname", F.col("start").alias("_at"), "seq")
+    looked = looked.withColumn("_at", (F.floor(F.col("site") / chunk) * chunk).cast("int")).join(text, ["rname", "_at"], "left")
+    two = F.upper(F.substr("seq", F.col("site") - F.col("_at") + 1, F.lit(2)))
+    found = looked.groupBy(*place).agg(*[F.max(F.when(F.col("side") == end, two)).alias(f"{end}_bases") for end in ("donor", "acceptor")])
     motif = F.concat("donor_bases", "acceptor_bases")
     strand = F.when(motif.isin(*PLUS_MOTIFS), "+").when(motif.isin(*MINUS_MOTIFS), "-").otherwise("?")
-    return sites.select(*keys, "junction", strand.alias("strand"))
+    return sites.join(found.select(*place, strand.alias("strand")), place).select(*keys, "junction", "strand")
 
 
 def junction_strands(mappings: DataFrame, genome: DataFrame, *, chunk: int) -> DataFrame:

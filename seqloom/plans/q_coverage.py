@@ -47,7 +47,7 @@ def j1(t):
     "alignments", "features",
 )
 def j1b(t):
-    return I.overlap_join(_spans(t), _exons(t), how="semi", min_overlap=-30, key=["aln_id"], bin_size=1024, salt=4).select("aln_id")
+    return I.overlap_join(_spans(t), _exons(t), how="semi", min_overlap=-30, key=["aln_id"], bin_size=1024, hot_rows=200).select("aln_id")
 
 
 @BOOK.add(
