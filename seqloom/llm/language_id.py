@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -13,17 +13,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .resident import remembered
-from .scratch import bounded_batches
-from .words import mix, text_buffer, word_spans
+from .scratch import Scratch, bounded_batches
+from .words import mix, text_buffer
 
 ORDER = 5
 #: Labelled documents of each language that a model is fitted on, about; all of them calibrate the rejection, by cross-fitting.
 TRAINING_DOCS = 2000
-#: Words whose scores a worker remembers at most; beyond it the memory starts anew.
+#: Words whose scores a worker remembers at most; beyond it the half that was met least is forgotten.
 MEMORY_WORDS = 250_000
 #: Words scored at a time; bounds the temporary arrays.
 LEARNT_WORDS = 8192
-#: Parts of the sample. The model is fitted without the first; each part is scored by a model fitted without it.
+#: Parts of the sample. The model is fitted on all of them; for the calibration each part is scored by a model fitted without it.
 FOLDS = 5
 #: Rejected: cross-entropy farther above the language's usual one than this many times the limit, which is a high quantile of the
 #: calibration documents' deviations (the farthest where they are few), at least four.
@@ -35,13 +35,38 @@ PAD, END = "\x02", "\x03"
 UNKNOWN = "und"
 
 _U = np.uint64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[97:123] = _IN_WORD[128:] = True
 
 
 def letter_runs(word: bytes) -> list[str]:
     """Lower-cased runs of letters with their marks in one blank-free word."""
+    text = word.decode("utf-8").lower()
+    if text.isalpha():
+        return [text]
     import regex
 
-    return regex.findall(r"\p{L}[\p{L}\p{M}]*", word.decode("utf-8").lower())
+    return regex.findall(r"\p{L}[\p{L}\p{M}]*", text)
+
+
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of a column of texts, index of each text's first word with the total appended).
+
+    A word is a run of ASCII letters, lower-cased, and of characters beyond ASCII: no run of letters with their marks crosses its ends.
+    """
+    data, offsets = text_buffer(column)
+    data = _LOWER[data]
+    inside = _IN_WORD[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    at = offsets[:-1][offsets[:-1] < len(data)]
+    begins[at] = inside[at]  # a word never crosses texts
+    first = np.searchsorted(starts := np.flatnonzero(begins), offsets)
+    lengths = np.add.reduceat(inside, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
+    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]), first
 
 
 def _extend(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -68,6 +93,11 @@ class Model:
     floor: float = 0.0
     calibration: np.ndarray | None = None  # by language: mean, variance between texts, variance of one character, limit
 
+    def compact(self) -> Model:
+        """This model with tables in single precision, as it is shipped."""
+        self.grams, self.contexts = ([(keys, values.astype(np.float32)) for keys, values in tables] for tables in (self.grams, self.contexts))
+        return self
+
     def score(self, words: list[str]) -> np.ndarray:
         """Log-likelihood of each word, its end included, in each language."""
         n = len(self.grams)
@@ -104,12 +134,12 @@ class Model:
         return np.add.reduceat(total, np.concatenate([[0], np.cumsum(length - n + 1)[:-1]])) if words else np.zeros((0, len(self.languages)))
 
 
-def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
+def kneser_ney(counts: Mapping[str, Mapping[str, int] | pd.Series], order: int) -> Model:
     """Fit from counts of ``order``-grams by language; lower orders use continuation counts."""
     model = Model(sorted(counts))
     if not counts:
         return model
-    letters = {c for grams in counts.values() for g in grams for c in g}
+    letters = {c for grams in counts.values() for g in grams.keys() for c in g}
     model.floor = -math.log(len(letters) + 1)
     per_language = []
     for language in model.languages:
@@ -157,38 +187,48 @@ class Scorer:
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.table = np.zeros((1 << 12, len(self.model.languages) + 1))
+        self.met = np.zeros(1 << 12, np.int64)  # batches that held the word
+
+    def _forget_rare(self) -> None:
+        """Keep the half of the words that most batches held."""
+        kept = np.argsort(-self.met[: len(self.known)], kind="stable")[: MEMORY_WORDS // 2]
+        words = list(self.known)
+        self.known = {words[i]: k for k, i in enumerate(kept.tolist())}
+        self.table[: len(kept)], self.met[: len(kept)] = self.table[kept], self.met[kept]
 
     def _learn(self, new: list[bytes]) -> None:
         pieces = [letter_runs(w) for w in new]
         flat = [p for ps in pieces for p in ps]
-        owner = np.repeat(np.arange(len(new)), [len(ps) for ps in pieces])
         n = len(self.known)
         while len(self.table) < n + len(new):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table, self.met = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.met, np.zeros_like(self.met)])
         rows = np.zeros((len(new), self.table.shape[1]))
         if flat:
-            np.add.at(rows, owner, np.column_stack([self.model.score(flat), [len(p) + 1 for p in flat]]))
-        self.table[n : n + len(new)] = rows
+            count = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            some = np.flatnonzero(count)
+            scored = np.column_stack([self.model.score(flat), np.fromiter(map(len, flat), np.int64, len(flat)) + 1])
+            rows[some] = np.add.reduceat(scored, (np.cumsum(count) - count)[some])
+        self.table[n : n + len(new)], self.met[n : n + len(new)] = rows, 0
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(log-likelihood of every text in every language, characters scored); zero characters where a text has no letter."""
-        data, offsets = text_buffer(column)
-        starts, ends, first = word_spans(data, offsets)
-        if not len(starts):
-            return np.zeros((len(first) - 1, len(self.model.languages))), np.zeros(len(first) - 1)
-        # Words lie apart by separators: keep each with what follows it, then cut the tail off once per different word.
-        bounds = np.append(starts, len(data)).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        words, first = words_of(column)
+        out = np.zeros((len(first) - 1, self.table.shape[1]))
+        if not len(words):
+            return out[:, :-1], out[:, -1]
         coded = pc.dictionary_encode(words)
         different = coded.dictionary.to_pylist()
+        if len(self.known) + len(different) > MEMORY_WORDS:
+            self._forget_rare()
         if len(self.known) + len(different) > MEMORY_WORDS:
             self._forget()
         new = [w for w in different if w not in self.known]
         for i in range(0, len(new), LEARNT_WORDS):
             self._learn(new[i : i + LEARNT_WORDS])
-        row = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy(zero_copy_only=False)]
-        out = np.zeros((len(first) - 1, self.table.shape[1]))
+        places = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
+        self.met[places] += 1
+        row = places[coded.indices.to_numpy(zero_copy_only=False)]
         some = np.flatnonzero(np.diff(first))
         out[some] = np.add.reduceat(self.table[row], first[some])
         return out[:, :-1], out[:, -1]
@@ -214,13 +254,15 @@ def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_D
 
     The fit sees about ``per_language`` documents of each language, chosen by a hash of the id (a documented bound of
     the classifier's training sample); their n-grams are counted in Spark, and the counts, which are bounded with the sample,
-    make the model on the driver, without a fifth of the sample. The limits of rejection come from the whole sample: each fifth is
-    scored by a model fitted on the others, so that a rare language is calibrated like any other.
+    make the model on the driver. The limits of rejection come from the whole sample too: each fifth is
+    scored by a model fitted on the others, one such model at a time, so that a rare language is calibrated like any other. A language
+    whose documents all lie in one fifth is learnt; its documents are then calibrated as those of the others they look like.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     labelled = docs.select(F.col("doc_id").cast("bigint"), "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
-    sample = _sampled(labelled, per_language)
+    scratch = Scratch(spark)
+    sample = scratch.keep(_sampled(labelled, per_language), "sample")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,43 +287,40 @@ def train(docs: DataFrame, *, order: int = ORDER, per_language: int = TRAINING_D
     fitted = sample.select("text", "lang", "fold").mapInArrow(grams, "fold int, lang string, gram string, n bigint")
     # A gram of a language in one row: its counts by fold.
     by_fold = fitted.groupBy("lang", "gram").agg(*[F.sum(F.when(F.col("fold") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(FOLDS)])
-    counts: list[dict[str, dict[str, int]]] = [{} for _ in range(FOLDS)]
-    for lang, gram, *n in by_fold.toLocalIterator():
-        whole = sum(n)
-        for k in range(FOLDS):
-            if whole > n[k]:
-                counts[k].setdefault(lang, {})[gram] = whole - n[k]
-    models = []
-    for k in range(FOLDS):
-        models.append(kneser_ney(counts[k], order))
-        counts[k] = {}
-    model = models[0]
+    counted = by_fold.toPandas()  # bounded with the sample
+    model = kneser_ney(_counts(counted, None), order).compact()
     if model.languages:
-        model.calibration = _calibrate(model, _cross_fitted(sample, models))
+        scored = [_cross_fitted(sample, k, kneser_ney(_counts(counted, k), order).compact()) for k in range(FOLDS)]
+        model.calibration = _calibrate(model, pd.concat(scored, ignore_index=True))
+    scratch.drop("sample")
     return model
 
 
-def _cross_fitted(sample: DataFrame, models: list[Model]) -> pd.DataFrame:
-    """``lang_pred, entropy, characters`` of the sample's texts with letters, each by the model fitted without its fold."""
-    shared = sample.sparkSession.sparkContext.broadcast(models)
+def _counts(counted: pd.DataFrame, without: int | None) -> dict[str, pd.Series]:
+    """By language the counts of the grams, those of one fold taken off."""
+    n = sum(counted[f"n{k}"] for k in range(FOLDS) if k != without)
+    some = counted.loc[n > 0, ["lang", "gram"]].assign(n=n[n > 0])
+    return {lang: pd.Series(own["n"].to_numpy(), index=pd.Index(own["gram"].to_numpy(dtype=object))) for lang, own in some.groupby("lang")}
+
+
+def _cross_fitted(sample: DataFrame, fold: int, model: Model) -> pd.DataFrame:
+    """``lang_pred, entropy, characters`` of one fold's texts with letters, by the model fitted without it."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)  # bounded with the sample
+    languages = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers: dict[int, Scorer] = {}
+        scorer = Scorer(shared.value)
         for batch in batches:
-            folds = batch.column(1).to_numpy()
-            for k in np.unique(folds).tolist():
-                fitted = shared.value[k]
-                if not fitted.languages:
-                    continue
-                if k not in scorers:
-                    scorers[k] = Scorer(fitted)
-                best, _, entropy, n, _ = _judged(scorers[k], len(fitted.languages), None, 1.0, batch.column(0).filter(pa.array(folds == k)))
-                some = np.flatnonzero(n)
-                columns = [pa.array(np.array(fitted.languages, dtype=object)[best[some]], pa.string()), pa.array(entropy[some]), pa.array(n[some])]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang_pred", "entropy", "characters"])
-
-    scored = sample.select("text", "fold").mapInArrow(task, "lang_pred string, entropy double, characters bigint").toPandas()  # bounded with the sample
-    shared.unpersist()
+            best, _, entropy, n, _ = _judged(scorer, len(languages) - 1, None, 1.0, batch.column(0))
+            some = np.flatnonzero(n)
+            columns = [pa.array(languages[best[some]], pa.string()), pa.array(entropy[some]), pa.array(n[some])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang_pred", "entropy", "characters"])
+
+    own = sample.filter(F.col("fold") == fold).select("text")
+    if not model.languages:
+        own = own.limit(0)
+    scored = own.mapInArrow(task, "lang_pred string, entropy double, characters bigint").toPandas()  # bounded with the sample
+    shared.destroy()  # one such model at a time in the workers
     return scored
 
 

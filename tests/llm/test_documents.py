@@ -7,12 +7,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from planted import WORDS, prose, sha
 from tokenizers import Tokenizer
 
-from seqloom.llm import byte_bpe, language_id, minhash, packing, pii, substring_dedup
+from seqloom.llm import byte_bpe, language_id, minhash, packing, pii, queries, substring_dedup
 
 ODD = [
     (900, None), (901, ""), (902, " \t\n\x0b\x0c\r "), (903, "one"), (904, "one two three"), (905, "ÀÉ ñ　x y z \x1c a"), (906, "😀 é   it's  'll"),
@@ -242,7 +244,7 @@ TONGUES = {"a": ["ba", "ke", "lo", "mi"], "b": ["ust", "orn", "elk", "ind"], "c"
 
 def test_an_unlearnt_language_is_rejected_beside_an_odd_document(docs, spark):
     rows = [(i, spoken(i, TONGUES["a" if i % 2 else "b"]), "a" if i % 2 else "b") for i in range(800)]
-    # One odd document for each model, in the fold that they are not fitted on.
+    # One odd document for each language, in one fold.
     ids = spark.range(2000, 2100).filter("pmod(xxhash64(id, 'fold'), 5) = 0").limit(2).collect()
     rows += [(r.id, prose(r.id, 60, letters), lang) for r, letters, lang in zip(ids, ["bakelomi", "ustorneldk"], "ab", strict=True)]
     model = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
@@ -267,6 +269,43 @@ def test_a_rare_language_rejects_too(docs, spark, rare):
     assert all(got[i].rejected for i, _ in foreign) and "a" in {got[i].lang_pred for i, _ in foreign}
 
 
+def test_a_language_in_one_fold_is_learnt(docs, spark):
+    folds = {r.id: r.k for r in spark.range(3000).selectExpr("id", "pmod(xxhash64(id, 'fold'), 5) k").collect()}
+    for fold in range(5):
+        own = [i for i, k in folds.items() if k == fold][:3]
+        rows = [(i, spoken(i, TONGUES["b"]), "b") for i in range(60)] + [(i, spoken(i, TONGUES["a"]), "a") for i in own]
+        model = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+        assert model.languages == ["a", "b"] and np.isfinite(model.calibration).all()
+    only = language_id.train(spark.createDataFrame([(own[0], spoken(1, TONGUES["a"]), "a")], "doc_id bigint, text string, lang string"))
+    assert language_id.classify(docs([(1, spoken(2, TONGUES["a"])), (2, "12")]), only).sort("doc_id").first().lang_pred == "a"
+
+
+def test_held_out_accuracy(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = queries.QUERIES["op4_language_id"](spark, "/root/testdata/sf0.01").join(frame.select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null")
+    right = [r.lang == r.lang_pred for r in judged.collect()]
+    assert len(right) > 100 and sum(right) >= 0.97 * len(right)
+
+
+def test_words_hold_every_run_of_letters():
+    texts = [None, "", "Ab1cd-É́x", "xyz", "abc", "don't Straße\tÀ", "123", "日本 go"]
+    words, first = language_id.words_of(pa.array(["cut", *texts])[1:])
+    own = [words.to_pylist()[first[i] : first[i + 1]] for i in range(len(texts))]
+    assert [[r for w in ws for r in language_id.letter_runs(w)] for ws in own] == [regex.findall(r"\p{L}[\p{L}\p{M}]*", (t or "").lower()) for t in texts]
+
+
+def test_memory_of_words_makes_no_difference(monkeypatch):
+    counts = {"x": {"\x02\x02a": 3, "\x02ab": 2, "\x02ac": 1, "ab\x03": 2, "ac\x03": 1}, "y": {"\x02\x02b": 3, "\x02ba": 2, "ba\x03": 2}}
+    model, rng = language_id.kneser_ney(counts, 3), random.Random(0)
+    batches = [pa.array([" ".join("".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(20)) for _ in range(5)]) for _ in range(20)]
+    whole = [language_id.Scorer(model).texts(b) for b in batches]
+    monkeypatch.setattr(language_id, "MEMORY_WORDS", 90)
+    small = language_id.Scorer(model)
+    for batch, (want, n) in zip(batches, whole, strict=True):
+        got, m = small.texts(batch)
+        assert np.allclose(got, want) and (m == n).all() and len(small.known) <= 90
+
+
 def test_probabilities_sum_to_one(spark):
     model = language_id.kneser_ney({"x": {"\x02\x02a": 3, "\x02ab": 2, "\x02ac": 1, "ab\x03": 2, "ac\x03": 1}}, 3)
     letters = ["a", "b", "c", "\x03", "\x02", "?"]
