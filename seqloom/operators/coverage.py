@@ -232,19 +232,24 @@ def exclude_blacklist(bins: DataFrame, blacklist: DataFrame, *, bin_size: int =
     return bins.join(bad, ["rname", "start", "end"], "left_anti")
 
 
-def merge_coverage_matrices(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """Stack coverage columns (bin_id, n) by label; shorter ones are padded with zero rows at the end."""
-    if not parts:
-        raise ValueError("no matrices to merge")
-    long = reduce(DataFrame.unionByName, [d.select("bin_id", "n").withColumn("label", F.lit(k)) for k, d in parts.items()])
+def pad_coverage(long: DataFrame) -> DataFrame:
+    """Coverage rows (label, bin_id, n); labels that end early are padded with zero rows up to the last bin of all."""
     # The padding needs each label's length and the longest one: one row per label.
     rows = long.groupBy("label").agg(F.max("bin_id").alias("last"))
     longest = rows.agg(F.max("last")).scalar()
     pad = rows.withColumn("_hi", longest).filter("last < _hi")
-    pad = explode_range(pad, F.col("last") + 1, F.col("_hi"), "bin_id").select(
-        "bin_id", F.lit(0).cast("bigint").alias("n"), "label"
-    )
-    return long.withColumn("n", F.col("n").cast("bigint")).unionByName(pad)
+    pad = explode_range(pad, F.col("last") + 1, F.col("_hi"), "bin_id").select("label", "bin_id", F.lit(0).cast("bigint").alias("n"))
+    return long.select("label", "bin_id", F.col("n").cast("bigint").alias("n")).unionByName(pad)
+
+
+def merge_coverage_matrices(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Stack coverage columns (bin_id, n) of separate tables by label; shorter ones are padded with zero rows at the end.
+
+    Where the labels are a column already, :func:`pad_coverage` does the same in one plan.
+    """
+    if not parts:
+        raise ValueError("no matrices to merge")
+    return pad_coverage(reduce(DataFrame.unionByName, [d.select(F.lit(k).alias("label"), "bin_id", "n") for k, d in parts.items()]))
 
 
 def pair_controls(design: DataFrame, treatments: DataFrame, controls: DataFrame) -> DataFrame:

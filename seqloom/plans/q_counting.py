@@ -307,11 +307,13 @@ def x9b(t):
 
 
 _JN = rf"""with j as (select sample, qname, rname, pos-1+20 start, pos-1+20+cast(regexp_extract(cigar,'(\d+)N',1) as int) "end" from alignments where contains(cigar,'N')),
-  md as (select distinct rname, start, "end" from j where sample='s0') """
+  md as (select distinct a.rname, a."end" start, b.start "end" from features a join features b on b.transcript_id=a.transcript_id and b.exon_number=a.exon_number+1) """
 
 
 def _introns(t):
-    return X.junctions(t.alignments).filter("sample = 's0'").select("rname", "start", "end").distinct()
+    """Between consecutive exons of the gene model."""
+    after = t.features.select("transcript_id", (F.col("exon_number") - 1).alias("exon_number"), F.col("start").alias("next"))
+    return t.features.join(after, ["transcript_id", "exon_number"]).select("rname", F.col("end").alias("start"), F.col("next").alias("end")).distinct()
 
 
 @BOOK.add(
@@ -319,7 +321,7 @@ def _introns(t):
     _JN + """, s as (select sample, rname, start, "end", count(*) n from j group by 1,2,3,4)
        select sample, rname, cast(start as bigint) start, cast("end" as bigint) "end", n, case when l and r then 'known' when l or r then 'partial' else 'novel' end kind from (select s.*, exists (select 1 from md where md.rname=s.rname and md.start=s.start) l,
          exists (select 1 from md where md.rname=s.rname and md."end"=s."end") r from s)""",
-    "alignments",
+    "alignments", "features",
 )
 def x10(t):
     out = X.junction_annotation(t.alignments, _introns(t))
@@ -331,7 +333,7 @@ def x10(t):
     _JN + """, f as (select sample, rname, start, "end", min(cast(('0x'||substr(md5(concat('1_',qname)),1,8))::bigint%20+1 as int)) step from j group by 1,2,3,4),
        g as (select f.sample, step, count(*) n, count(md.rname) k from f left join md using (rname, start, "end") group by 1,2)
        select sample, step*100/20.0::double "percent", cast(sum(n) over (partition by sample order by step) as bigint) junctions, cast(sum(k) over (partition by sample order by step) as bigint) known from g""",
-    "alignments",
+    "alignments", "features",
 )
 def x10b(t):
     return X.junction_saturation(t.alignments, _introns(t))

@@ -524,32 +524,15 @@ def c13(t):
 
 @BOOK.add(
     "C14_merge_coverage_matrices",
-    f"""with {SPAN}, c as (select sample label, cast(start//1000 as bigint) bin_id, count(*) n from span where rname='chr1' and start//1000 < 40+30*cast(right(sample,1) as int) group by 1,2),
+    f"""with {SPAN}, c as (select concat(sample,':',rname) label, cast(start//1000 as bigint) bin_id, count(*) n from span group by 1,2),
        d as (select label, max(bin_id) mx from c group by 1)
        select label, bin_id, n from c union all select label, cast(b as bigint), 0 from d, range(0, (select max(mx)+1 from d)) r(b) where b>mx""",
     "alignments",
 )
 def c14(t):
-    spans = _spans(t).filter("rname = 'chr1'").withColumn("bin_id", F.floor(F.col("start") / 1000))
-    parts = {}
-    for i, s in enumerate(SAMPLES):
-        mine = spans.filter((F.col("sample") == s) & (F.col("bin_id") < 40 + 30 * i))
-        parts[s] = mine.groupBy("bin_id").agg(F.count(F.lit(1)).alias("n"))
-    return C.merge_coverage_matrices(parts)
-
-
-@BOOK.add(
-    "C14_merge_coverage_matrices_all",
-    f"""with {SPAN}, c as (select concat(sample,':',rname) label, cast(start//1000 as bigint) bin_id, count(*) n from span group by 1,2),
-       d as (select label, max(bin_id) mx from c group by 1)
-       select label, bin_id, n from c union all select label, cast(b as bigint), 0 from d, range(0, (select max(mx)+1 from d)) r(b) where b>mx""",
-    "alignments", "chrom_sizes",
-)
-def c14b(t):
     # One matrix per sample and sequence; they end where their last reads begin.
-    bins = _spans(t).groupBy("sample", "rname", F.floor(F.col("start") / 1000).alias("bin_id")).agg(F.count(F.lit(1)).alias("n"))
-    names = [r["rname"] for r in t.chrom_sizes.select("rname").distinct().collect()]
-    return C.merge_coverage_matrices({f"{s}:{r}": bins.filter((F.col("sample") == s) & (F.col("rname") == r)) for s in SAMPLES for r in names})
+    label = F.concat_ws(":", "sample", "rname").alias("label")
+    return C.pad_coverage(_spans(t).groupBy(label, F.floor(F.col("start") / 1000).alias("bin_id")).agg(F.count(F.lit(1)).alias("n")))
 
 
 @BOOK.add(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import shared_folder
 from ..operators import alignments as AL, counts as C, coverage as CV, qc as Q
-from ..sources import fastq as FQ, sinks as K, text as T
+from ..sources import fasta as FA, fastq as FQ, sinks as K, text as T
 from .book import Book
 from .q_alignments import BLOCKS, REF, _NAMED, _targets
 from .q_coverage import SAMPLES, _RUNS
@@ -23,39 +23,10 @@ def _scratch(spark) -> str:
 
 @BOOK.add(
     "S1_read_fastq",
-    "select row_number() over (order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, 'x' descr, seq, qual from reads where mate=1",
-    "reads",
-)
-def s1(t):
-    path = _scratch(t.spark)
-    lines = K.fastq_lines(t.reads.filter("mate = 1")).repartitionByRange(4, "read_idx").sortWithinPartitions("read_idx")
-    lines.select("value").write.text(path)
-    # Small ranges make most reads begin in the middle of a file.
-    out = FQ.read_fastq(t.spark, path, sample="all", mate=1, split_bytes=1 << 18)
-    return out.select("read_idx", "qname", "descr", "seq", "qual")
-
-
-@BOOK.add(
-    "K1_write_fastq",
-    "select sample, row_number() over (partition by sample order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, seq, qual from reads where mate=2",
-    "reads",
-)
-def k1(t):
-    path = _scratch(t.spark)
-    K.write_fastq(t.reads, path, partitions=5)
-    out = None
-    for s in SAMPLES:
-        one = FQ.read_fastq(t.spark, f"{path}/sample={s}/mate=2", sample=s, mate=2)
-        out = one if out is None else out.unionByName(one)
-    return out.select("sample", "read_idx", "qname", "seq", "qual")
-
-
-@BOOK.add(
-    "S1_read_fastq_mates",
     "select mate, row_number() over (partition by mate order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, 'x' descr, seq, qual from reads",
     "reads",
 )
-def s1b(t):
+def s1(t):
     out = None
     for mate in (1, 2):
         path = _scratch(t.spark)
@@ -67,11 +38,11 @@ def s1b(t):
 
 
 @BOOK.add(
-    "K1_write_fastq_mates",
+    "K1_write_fastq",
     "select sample, mate, row_number() over (partition by sample, mate order by read_idx)-1 read_idx, split_part(qname,' ',1) qname, seq, qual from reads",
     "reads",
 )
-def k1c(t):
+def k1(t):
     path = _scratch(t.spark)
     K.write_fastq(t.reads, path, partitions=5)
     out = None
@@ -82,6 +53,19 @@ def k1c(t):
     return out
 
 
+@BOOK.add(
+    "S2_fasta_chunks",
+    "select concat(rname,'_',cast(start as varchar)) rname, cast(o as int) start, substr(seq, cast(o as int)+1, 100) seq from genome, range(0, 256, 100) r(o)",
+    "genome",
+)
+def s2b(t):
+    path = _scratch(t.spark)
+    named = t.genome.select(F.concat_ws("_", "rname", F.col("start").cast("string")).alias("name"), "seq")
+    K.write_fasta(named, path)
+    # Small ranges make most sequences begin in one and end in another.
+    return FA.read_fasta_chunks(t.spark, path, chunk=100, split_bytes=1 << 14)
+
+
 @BOOK.add(
     "S2_read_fasta",
     "select concat(rname,'_',cast(start as varchar)) \"name\", concat('start=',cast(start as varchar),' chunk') descr, seq, cast(length(seq) as bigint) length from genome",

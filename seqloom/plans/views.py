@@ -181,12 +181,6 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer splits than cores; a large table keeps its splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     used: set[str] = set()
 
@@ -196,7 +190,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     sources = ctes("spark", [name], table)
     sql = f"with {sources} select * from {name}"
-    inputs = {t: spread(base(spark, sf_dir, t)) for t in sorted(used) if "{" + t + "}" in sql}
+    inputs = {t: base(spark, sf_dir, t) for t in sorted(used) if "{" + t + "}" in sql}
     return spark.sql(sql, **inputs)
 
 

@@ -34,7 +34,7 @@ def test_every_oracle_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", ["S1_read_fastq_mates", "K1_write_fastq_mates"])
+@pytest.mark.parametrize("name", ["S1_read_fastq", "K1_write_fastq"])
 def test_both_mates_come_back(spark, name):
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     assert check(spark, SF, [name], queries, oracles)[name].startswith("ok")
@@ -42,7 +42,7 @@ def test_both_mates_come_back(spark, name):
 
 
 def test_all_sequences_are_merged(spark):
-    name = "C14_merge_coverage_matrices_all"
+    name = "C14_merge_coverage_matrices"
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     assert check(spark, SF, [name], queries, oracles)[name].startswith("ok")
     labels = {r["label"] for r in queries[name](spark, SF).select("label").distinct().collect()}
