@@ -65,45 +65,59 @@ def _value(op: str, a, b, pseudocount: float):
 OPERATIONS = ("log2", "ratio", "subtract", "add", "mean", "reciprocal_ratio", "first", "second")
 
 
+def paired_bins(bins: DataFrame, design: DataFrame, column: str) -> DataFrame:
+    """(run, rname, bin, a, b): ``column`` of treatment and control for every row (run, treatment, control) of ``design``.
+
+    A bin missing on one side counts 0, and so does a missing control. The bins are read and shuffled once for all pairs; a sample may serve in several.
+    """
+    sides = F.array(F.struct(F.col("treatment").alias("sample"), F.lit(True).alias("_first")), F.struct(F.col("control").alias("sample"), F.lit(False).alias("_first")))
+    roles = design.select("run", F.inline(sides)).filter("sample is not null")
+    zero = F.lit(0).cast(dict(bins.dtypes)[column])
+    dealt = join_small(bins.select("sample", "rname", "bin", column), roles, "sample")
+    side = lambda first: F.coalesce(F.sum(F.when(F.col("_first") == first, F.col(column))), zero)
+    return dealt.groupBy("run", "rname", "bin").agg(side(True).alias("a"), side(False).alias("b"))
+
+
 def compare_signal(
-    first: DataFrame, second: DataFrame, *, op: str = "log2", pseudocount: float = 1.0, normalized: bool = False
+    bins: DataFrame, design: DataFrame, *, op: str | Sequence[str] = "log2", pseudocount: float = 1.0, normalized: bool = False
 ) -> DataFrame:
-    """Bin-wise comparison of two signals (rname, bin, value); a bin missing on one side counts 0.
+    """(run, rname, bin, value): bin-wise comparison of the two signals (sample, rname, bin, value) of every run of ``design``.
 
+    ``design`` has rows (run, treatment, control). Several operations come out as rows with their name in ``op``, from one pass over the bins.
     Normalised input (RPKM, 1x) is allowed with ``subtract`` only.
     """
-    choice("op", op, OPERATIONS)
-    if normalized and op != "subtract":
-        raise ValueError("normalised signal can only be subtracted")
-    a = first.select("rname", "bin", F.col("value").alias("a"))
-    b = second.select("rname", "bin", F.col("value").alias("b"))
-    j = a.join(b, ["rname", "bin"], "full").na.fill(0.0, ["a", "b"])
-    return j.select("rname", "bin", _value(op, F.col("a"), F.col("b"), pseudocount).alias("value"))
-
-
-def ses_factors(first: DataFrame, second: DataFrame) -> DataFrame:
+    ops = [op] if isinstance(op, str) else list(op)
+    for o in ops:
+        choice("op", o, OPERATIONS)
+        if normalized and o != "subtract":
+            raise ValueError("normalised signal can only be subtracted")
+    j = paired_bins(bins.withColumn("value", F.col("value").cast("double")), design, "value")
+    rows = [F.struct(F.lit(o).alias("op"), _value(o, F.col("a"), F.col("b"), pseudocount).cast("double").alias("value")) for o in ops]
+    out = j.select("run", "rname", "bin", F.inline(F.array(*rows)))
+    return out.drop("op") if isinstance(op, str) else out
+
+
+def ses_factors(bins: DataFrame, design: DataFrame) -> DataFrame:
     """Signal extraction scaling: the cumulative share difference of two bin counts is largest at the cut.
 
-    Bins (rname, bin, n) are ordered by the first signal's count through its histogram. Returns one row
-    (cut, first_sum, second_sum, factor) with factor = first_sum / second_sum up to the cut.
+    Bins (sample, rname, bin, n) of every run (run, treatment, control) are ordered by the treatment's count through a histogram per run. Returns per run
+    (run, cut, first_sum, second_sum, factor) with factor = first_sum / second_sum up to the cut.
     """
-    a = first.select("rname", "bin", F.col("n").alias("a"))
-    b = second.select("rname", "bin", F.col("n").alias("b"))
-    j = a.join(b, ["rname", "bin"], "full").na.fill(0, ["a", "b"])
-    hist = j.groupBy("a").agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
-    upto = Window.orderBy("a")
-    whole = Window.partitionBy(F.lit(1))
+    hist = paired_bins(bins, design, "n").groupBy("run", "a").agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
+    # A window holds one row per different count of one run.
+    whole = Window.partitionBy("run")
+    upto = whole.orderBy("a")
     run = hist.withColumns(
         {
             "ca": F.sum("sa").over(upto), "cb": F.sum("sb").over(upto),
             "ta": F.sum("sa").over(whole), "tb": F.sum("sb").over(whole),
         }
     )
-    apart = F.col("cb") / F.col("tb") - F.col("ca") / F.col("ta")
-    best = run.agg(F.min(F.struct((-apart).alias("d"), "a", "ca", "cb")).alias("m"))
+    apart = F.try_divide("cb", "tb") - F.try_divide("ca", "ta")
+    best = run.groupBy("run").agg(F.min(F.struct((-apart).alias("d"), "a", "ca", "cb")).alias("m"))
     return best.select(
-        F.col("m.a").alias("cut"), F.col("m.ca").alias("first_sum"), F.col("m.cb").alias("second_sum"),
-        (F.col("m.ca") / F.col("m.cb")).alias("factor"),
+        "run", F.col("m.a").alias("cut"), F.col("m.ca").alias("first_sum"), F.col("m.cb").alias("second_sum"),
+        F.try_divide("m.ca", "m.cb").alias("factor"),
     )
 
 

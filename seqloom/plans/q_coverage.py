@@ -284,17 +284,23 @@ def c5c(t):
     return out.select("sample", "rname", "bin", "value")
 
 
+_PAIRS = ", design(run, treatment, control) as (values ('a','s0','s1'), ('b','s0','s2'), ('c','s2','s1')) "
+
+
+def _design(t):
+    return t.spark.createDataFrame([("a", "s0", "s1"), ("b", "s0", "s2"), ("c", "s2", "s1")], "run string, treatment string, control string")
+
+
 @BOOK.add(
     "C5_ses_factor",
-    _binned(500) + """, j as (select a.n a, b.n b from bc a join bc b using (rname, bin) where a.sample='s0' and b.sample='s1'),
-       r as (select a, sum(a) over (order by a) ca, sum(b) over (order by a) cb, sum(a) over () ta, sum(b) over () tb from j),
-       m as (select min((ca/ta-cb/tb, a)) x from r)
-       select a "cut", cast(ca as bigint) first_sum, cast(cb as bigint) second_sum, ca/cb factor from r where a=(select x[2] from m) limit 1""",
+    _binned(500) + _PAIRS + """, j as (select run, a.n a, b.n b from design join bc a on a.sample=treatment join bc b on b.sample=control and a.rname=b.rname and a.bin=b.bin),
+       r as (select run, a, sum(a) over (partition by run order by a) ca, sum(b) over (partition by run order by a) cb, sum(a) over (partition by run) ta, sum(b) over (partition by run) tb from j),
+       m as (select run, min((ca/ta-cb/tb, a)) x from r group by 1)
+       select distinct run, a "cut", cast(ca as bigint) first_sum, cast(cb as bigint) second_sum, ca/cb factor from r join m using (run) where a=x[2]""",
     "alignments", "chrom_sizes",
 )
 def c5d(t):
-    bins = _bins(t, 500)
-    return S.ses_factors(bins.filter("sample = 's0'"), bins.filter("sample = 's1'"))
+    return S.ses_factors(_bins(t, 500), _design(t))
 
 
 _CMP = {
@@ -305,19 +311,15 @@ _CMP = {
 
 @BOOK.add(
     "C6_compare_signal",
-    _binned(100) + """, p as (select rname, bin, n::double n, sample from bc where n>0), j as (select coalesce(a.rname,b.rname) rname, coalesce(a.bin,b.bin) bin, coalesce(a.n,0) a, coalesce(b.n,0) b
-        from (select * from p where sample='s0') a full join (select * from p where sample='s2') b on a.rname=b.rname and a.bin=b.bin) """
-    + " union all ".join(f"select '{k}' op, rname, bin, {v} \"value\" from j" for k, v in _CMP.items()),
+    _binned(100) + _PAIRS + """, p as (select rname, bin, n::double n, sample from bc where n>0),
+       x as (select run, rname, bin, n a, 0 b from design join p on sample=treatment union all select run, rname, bin, 0, n from design join p on sample=control),
+       j as (select run, rname, bin, sum(a) a, sum(b) b from x group by 1,2,3) """
+    + " union all ".join(f"select '{k}' op, run, rname, bin, {v} \"value\" from j" for k, v in _CMP.items()),
     "alignments", "chrom_sizes",
 )
 def c6(t):
     bins = C.bin_counts(t.alignments, bin_size=100).withColumn("value", F.col("n").cast("double"))
-    a, b = bins.filter("sample = 's0'"), bins.filter("sample = 's2'")
-    out = None
-    for op in S.OPERATIONS:
-        one = S.compare_signal(a, b, op=op).select(F.lit(op).alias("op"), "rname", "bin", "value")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return S.compare_signal(bins, _design(t), op=S.OPERATIONS)
 
 
 @BOOK.add(

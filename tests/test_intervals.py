@@ -305,3 +305,35 @@ def test_fragments_collapse_by_the_pair_of_placements(spark):
     assert sorted((r["target"], r["n"], r["bases"]) for r in hits.collect()) == [("g1", 1, 30), ("g1", 1, 30), ("g1", 500, 30), ("g2", 1, 30)]
     counted = {r["target"]: r["n"] for r in X.feature_counts(al, features, samples=["s"], fragments=True).collect()}
     assert counted == {"g1": 501, "g2": 0}
+
+
+def test_signals_are_compared_by_design(spark):
+    rng = random.Random(6)
+    rows = [(s, n, b, rng.randrange(6)) for s in "uvw" for n in "xy" for b in range(30) if rng.random() < 0.8]
+    bins = spark.createDataFrame(rows, "sample string, rname string, bin bigint, n bigint")
+    pairs = [("1", "u", "v"), ("2", "u", "w"), ("3", "w", "u"), ("4", "v", None), ("5", "v", "v")]
+    design = spark.createDataFrame(pairs, "run string, treatment string, control string")
+    n = {r[:3]: r[3] for r in rows}
+    want = {}
+    for run, a, b in pairs:
+        for _, c, k, _ in rows:
+            if (a, c, k) in n or (b, c, k) in n:
+                want[run, c, k] = (n.get((a, c, k), 0), n.get((b, c, k), 0))
+    values = bins.withColumn("value", F.col("n").cast("double"))
+    got = {tuple(r)[:3]: r["value"] for r in S.compare_signal(values, design, op="subtract").collect()}
+    assert got == {k: a - b for k, (a, b) in want.items()}
+    both = S.compare_signal(values, design, op=["ratio", "add"]).collect()
+    assert {(r["op"], r["run"], r["rname"], r["bin"]): r["value"] for r in both} == {
+        (o, *k): v for k, (a, b) in want.items() for o, v in (("ratio", (a + 1) / (b + 1)), ("add", a + b))
+    }
+    factors = {r["run"]: r for r in S.ses_factors(bins, design).collect()}
+    for run in "123":
+        own = [v for k, v in want.items() if k[0] == run]
+        ta, tb = (sum(x) for x in zip(*own, strict=True))
+        sums = {c: tuple(sum(v[i] for v in own if v[0] <= c) for i in (0, 1)) for c in {v[0] for v in own}}
+        best = min(sums, key=lambda c: (sums[c][0] / ta - sums[c][1] / tb, c))
+        assert math.isclose(factors[run]["factor"], sums[factors[run]["cut"]][0] / sums[factors[run]["cut"]][1])
+        assert math.isclose(sums[best][0] / ta - sums[best][1] / tb, sums[factors[run]["cut"]][0] / ta - sums[factors[run]["cut"]][1] / tb, abs_tol=1e-12)
+    assert factors["4"]["factor"] is None and factors["5"]["factor"] is None  # nothing to scale to, nothing below the cut
+    with pytest.raises(ValueError):
+        S.compare_signal(values, design, op="ratio", normalized=True)
