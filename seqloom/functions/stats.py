@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 LN10 = math.log(10.0)
@@ -78,3 +78,31 @@ def _log_choose(n: pd.Series, k: pd.Series) -> pd.Series:
 def log_choose(n: Column, k: Column) -> Column:
     """ln of the binomial coefficient, -infinity outside 0 <= k <= n."""
     return _log_choose(n.cast("double"), k.cast("double"))
+
+
+#: Buckets per power of two in ``exact_medians``.
+BUCKETS = 1024
+
+
+def exact_medians(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
+    """(``by``, one median per column) over values of 0 or more, in two passes and without all values of a group in one task.
+
+    A histogram over monotone buckets says in which bucket the middle ranks lie; only the different values of these buckets are ordered. Nulls do
+    not count; the median of an even number is the mean of the two in the middle.
+    """
+    rows = F.array(*[F.struct(F.lit(c).alias("what"), F.col(c).cast("double").alias("value")) for c in columns])
+    values = df.select(by, F.inline(rows)).filter("value is not null").groupBy(by, "what", "value").agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.when(F.col("value") > 0, F.floor(F.log2("value") * BUCKETS)).otherwise(F.lit(-(1 << 40))).cast("bigint")
+    values = values.withColumn("bucket", bucket)
+    whole = Window.partitionBy(by, "what")
+    along = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    hist = values.groupBy(by, "what", "bucket").agg(F.sum("n").alias("n"))
+    hist = hist.select(by, "what", "bucket", "n", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total"))
+    ranks = F.array(F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2))
+    middle = hist.select(by, "what", "bucket", "before", "n", F.posexplode(ranks).alias("side", "rank")).filter("rank >= before and rank < before + n")
+    place = [by, "what", "bucket"]
+    along = Window.partitionBy(*place).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = values.join(middle.select(*place).distinct(), place, "left_semi").withColumn("gone", F.coalesce(F.sum("n").over(along), F.lit(0)))
+    wanted = middle.select(*place, "side", (F.col("rank") - F.col("before")).alias("rank"))
+    found = inside.join(wanted, place).filter("rank >= gone and rank < gone + n")
+    return found.groupBy(by).agg(*[(F.sum(F.when(F.col("what") == c, F.col("value"))) / 2).alias(c) for c in columns])

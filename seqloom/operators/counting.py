@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cigar, flags
+from ..functions.stats import exact_medians
 from ..options import choice, positive
 from .intervals import merge_intervals, overlap_join, with_samples
 from .templates import placed_units
@@ -465,10 +466,9 @@ def transcript_bias(runs: DataFrame, exons: DataFrame, *, min_len: int = 500, ed
     per = per.select(
         "sample", mean.alias("mean"), (F.sqrt(var) / mean).alias("cv"), (F.col("h") / edge / mean).alias("b5"), (F.col("t") / edge / mean).alias("b3")
     )
-    return per.groupBy("sample").agg(
-        F.count(F.lit(1)).alias("transcripts"), F.median("mean").alias("median_coverage"), F.median("cv").alias("median_cv"),
-        F.median("b5").alias("median_5prime_bias"), F.median("b3").alias("median_3prime_bias"),
-    )
+    names = {"mean": "median_coverage", "cv": "median_cv", "b5": "median_5prime_bias", "b3": "median_3prime_bias"}
+    medians = exact_medians(per, "sample", list(names)).withColumnsRenamed(names)
+    return per.groupBy("sample").agg(F.count(F.lit(1)).alias("transcripts")).join(medians, "sample", "left")
 
 
 def read_distribution(al: DataFrame, exons: DataFrame, *, flank: int = 1000, bin_size: int = 4096) -> DataFrame:

@@ -158,8 +158,8 @@ def binomial_quantile(n: int, p: float, upper_tail: float) -> int:
 def keep_dup(tags: DataFrame, *, k: int | str = 1, gsize: float | None = None, p: float = 1e-5) -> DataFrame:
     """At most ``k`` tags per (sample, rname, 5' position, strand); ``all`` keeps everything.
 
-    ``auto`` takes the binomial limit for each sample's tag count and the genome size. A number for
-    ``k`` lets Spark cut every group to ``k`` rows before the shuffle.
+    ``auto`` takes the binomial limit for each sample's tag count and the genome size. Either way every task cuts its groups
+    before the shuffle, so a hot position ships a few rows per task, not all of its tags.
     """
     if k == "all":
         return tags
@@ -176,7 +176,9 @@ def keep_dup(tags: DataFrame, *, k: int | str = 1, gsize: float | None = None, p
 
         totals = tags.groupBy("sample").agg(F.count(F.lit(1)).alias("_n"))
         limits = totals.select("sample", limit("_n").alias("_limit"))
-        ranked = join_small(ranked, limits, "sample").filter(F.col("_rank") <= F.col("_limit")).drop("_limit")
+        # The largest limit is a number that Spark cuts by in each task before the shuffle; the sample's own comes after it.
+        most = limits.agg(F.max("_limit")).first()[0] or 1
+        ranked = join_small(ranked.filter(F.col("_rank") <= most), limits, "sample").filter(F.col("_rank") <= F.col("_limit")).drop("_limit")
     elif isinstance(k, int) and k >= 1:
         ranked = ranked.filter(F.col("_rank") <= k)
     else:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.functions.stats import log_poisson_tail
+from seqloom.functions.stats import exact_medians, log_poisson_tail
 from seqloom.operators import alignments as AL, counting as X, coverage as C, duplicates as D, intervals as I, peaks as P, signal as S
 
 
@@ -337,3 +337,25 @@ def test_signals_are_compared_by_design(spark):
     assert factors["4"]["factor"] is None and factors["5"]["factor"] is None  # nothing to scale to, nothing below the cut
     with pytest.raises(ValueError):
         S.compare_signal(values, design, op="ratio", normalized=True)
+
+
+def test_medians_equal_sorting(spark):
+    rng = random.Random(12)
+    rows = [("one", 3.5, None), ("two", 1.0, 2.0), ("two", 4.0, 2.0)]
+    rows += [("many", rng.choice([0.0, 0.0, rng.random(), rng.random() * 1e6]), float(rng.randrange(4))) for _ in range(501)]
+    rows += [("near", 1 + k * 1e-9, -1.0 * k) for k in range(40)] + [("zero", 0.0, 0.0)] * 30
+    got = {r["g"]: r for r in exact_medians(spark.createDataFrame(rows, "g string, x double, y double"), "g", ["x", "y"]).collect()}
+    for g in {r[0] for r in rows}:
+        for i, c in ((1, "x"), (2, "y")):
+            own = sorted(r[i] for r in rows if r[0] == g and r[i] is not None)
+            assert got[g][c] == ((own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2 if own else None)
+
+
+def test_tags_of_a_hot_position_are_cut_by_each_samples_limit(spark):
+    rows = [(s, "a", 10, 40, "+", f"{s}{i:03}") for s, n in (("s", 300), ("t", 8000)) for i in range(n)] + [("s", "a", 11, 40, "-", "r")]
+    tags = spark.createDataFrame(rows, "sample string, rname string, start int, end int, strand string, name string")
+    kept = D.keep_dup(tags, k="auto", gsize=2000.0)
+    want = {("s", "+"): D.binomial_quantile(301, 1 / 2000, 1e-5), ("t", "+"): D.binomial_quantile(8000, 1 / 2000, 1e-5), ("s", "-"): 1}
+    assert {(r["sample"], r["strand"]): r["count"] for r in kept.groupBy("sample", "strand").count().collect()} == want and want["s", "+"] < want["t", "+"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
