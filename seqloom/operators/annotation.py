@@ -251,14 +251,19 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
     found: list[DataFrame] = []
 
     def add(df: DataFrame, code: str) -> None:
-        found.append(df.select("transcript_id", F.lit(CODE_ORDER.index(code)).alias("rank")))
+        # One row per transcript and code reaches the minimum.
+        found.append(df.select("transcript_id").distinct().withColumn("rank", F.lit(CODE_ORDER.index(code))))
+
+    def merged(df: DataFrame) -> DataFrame:
+        # Whether anything overlaps is answered by the union of the intervals of a strand: a crowded locus is one of them.
+        return merge_intervals(df.select("rname", "start", "end", "strand"), by=["rname", "strand"]).drop("n")
 
     chains = r.filter("n_exon > 1").select("rname", "strand", "chain").distinct()
     add(q.filter("n_exon > 1").join(chains, ["rname", "strand", "chain"], "left_semi"), "=")
     shared = q_in.join(
         r_in.select("rname", "strand", "start", "end", F.col("transcript_id").alias("ref"), F.col("idx").alias("ref_idx")), ["rname", "strand", "start", "end"]
     )
-    add(shared, "j")
+    add(q_in.join(r_in.select("rname", "strand", "start", "end").distinct(), ["rname", "strand", "start", "end"], "left_semi"), "j")
     runs = shared.groupBy("transcript_id", "ref").agg(
         F.count(F.lit(1)).alias("k"), F.min("ref_idx").alias("lo"), F.max("ref_idx").alias("hi")
     )
@@ -274,15 +279,17 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
     )
     add(both, "e")
     spans = q.select(*exon)
-    inside = overlap_join(spans, r_in.select(*exon), stranded="same", bin_size=bin_size)
+    introns = r_in.select("rname", "start", "end", "strand").distinct()
+    inside = overlap_join(spans, introns, stranded="same", bin_size=bin_size)
     add(inside.filter("start >= r_start and end <= r_end"), "i")
-    add(overlap_join(q_ex, r_ex, stranded="same", bin_size=bin_size), "o")
-    add(overlap_join(spans, r.select(*exon), stranded="same", min_overlap=-run_on, bin_size=bin_size), "p")
+    exons = merged(r_ex)
+    add(overlap_join(q_ex, exons, stranded="same", bin_size=bin_size), "o")
+    add(overlap_join(spans, merged(r), stranded="same", min_overlap=-run_on, bin_size=bin_size), "p")
     if "masked" in query.columns:
         share = query.groupBy("transcript_id").agg((F.sum("masked") / F.sum(F.col("end") - F.col("start"))).alias("m"))
         add(share.filter("m >= 0.5"), "r")
-    add(overlap_join(q_ex, r_ex, stranded="opposite", bin_size=bin_size), "x")
-    add(overlap_join(q_in.select(*exon), r_in.select(*exon), stranded="opposite", bin_size=bin_size), "s")
+    add(overlap_join(q_ex, exons, stranded="opposite", bin_size=bin_size), "x")
+    add(overlap_join(q_in.select(*exon), merged(introns), stranded="opposite", bin_size=bin_size), "s")
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
