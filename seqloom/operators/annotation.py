@@ -164,6 +164,22 @@ def intron_chains(exons: DataFrame, *keys: str) -> DataFrame:
     return t.withColumn("chain", F.when(n > 1, chain).otherwise("")).drop("ex")
 
 
+def listed_introns(chains: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per chain and intron, the intron in ``_i``."""
+    return chains.select(*key, F.explode(F.split(F.trim(F.col("chain_key"), F.lit(",")), ",")).alias("_i"))
+
+
+def rarest_introns(introns: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each chain with that of its introns which the fewest chains hold (ties: the smaller text).
+
+    A chain within another shares all its introns with it, this one too: containers are looked for under it alone. An intron that very many chains
+    share is then the key only of the chain that has no other.
+    """
+    place = ["rname", "strand", "_i"]
+    support = introns.groupBy(*place).agg(F.count(F.lit(1)).alias("_s"))
+    return introns.join(support, place).groupBy(*key).agg(F.min(F.struct("_s", "_i"))["_i"].alias("_i"))
+
+
 def dedupe_transcripts(
     exons: DataFrame,
     samples: Sequence[str],
@@ -197,9 +213,9 @@ def dedupe_transcripts(
     )
     if drop_contained:
         multi = reps.filter(F.col("chain_key").startswith(","))
-        introns = F.split(F.trim(F.lit(","), F.col("chain_key")), ",")
-        inner = multi.withColumn("_i", introns[0])
-        outer = multi.select("rname", "strand", F.col("chain_key").alias("_outer"), F.explode(introns).alias("_i"))
+        introns = listed_introns(multi, key)
+        inner = rarest_introns(introns, key)
+        outer = introns.select("rname", "strand", F.col("chain_key").alias("_outer"), "_i")
         hold = (F.length("_outer") > F.length("chain_key")) & F.contains("_outer", F.col("chain_key"))
         cond = (inner["rname"] == outer["rname"]) & (inner["strand"] == outer["strand"]) & (inner["_i"] == outer["_i"]) & hold
         contained = inner.join(outer, cond, "left_semi").select(*key)
