@@ -53,7 +53,20 @@ def minhash_near_dedup(documents: DataFrame) -> DataFrame:
     return minhash.near_duplicates(documents, words=4)
 
 
-@query("op2_substring_dedup", "documents")
+@query(
+    "op2_substring_dedup", "documents",
+    r"""
+    with ws as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') l from documents),
+    words as (select doc_id, unnest(l) w, generate_subscripts(l, 1) i from ws),
+    runs as (select *, list(w) over (partition by doc_id order by i rows between current row and 12 following) r from words),
+    wins as (select doc_id, i, w, case when len(r) = 13 then array_to_string(r, ' ') end win from runs),
+    firsts as (select win, min(doc_id) d from wins where win is not null group by 1),
+    marked as (select doc_id, i, w, coalesce(d < doc_id, false) hit from wins left join firsts using (win)),
+    judged as (select doc_id, i, w, bool_or(hit) over (partition by doc_id order by i rows between 12 preceding and current row) gone from marked),
+    kept as (select doc_id, count(*) filter (where gone) n_removed, string_agg(w, ' ' order by i) filter (where not gone) k from judged group by 1)
+    select doc_id, cast(len(l) as bigint) n_words, coalesce(n_removed, 0) n_removed, sha256(coalesce(k, '')) kept_sha256 from ws left join kept using (doc_id)
+    """,
+)
 def substring_removal(documents: DataFrame) -> DataFrame:
     kept = substring_dedup.remove_repeats(documents)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -111,12 +124,33 @@ def chat_formatting(conversations: DataFrame) -> DataFrame:
     return chat_format.digest(chat_format.format_chats(given))
 
 
-@query("op7_exact_top_k", "embeddings")
+@query(
+    "op7_exact_top_k", "embeddings",
+    """
+    with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) u from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    pairs as (select q.vec_id query_id, v.vec_id, list_sum(list_transform(list_zip(q.u, v.u), lambda p: p[1] * p[2])) score from v q join v on q.vec_id <> v.vec_id where q.vec_id % 50 = 0),
+    ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from pairs)
+    select query_id, cast(rank as int) rank, vec_id, cast(score as bigint) score from ranked where rank <= 5
+    """,
+)
 def exact_top_k(embeddings: DataFrame) -> DataFrame:
     return topk.top_k(embeddings, F.col("vec_id") % 50 == 0, k=5)
 
 
-@query("op9_embedding_near_dedup", "embeddings")
+@query(
+    "op9_embedding_near_dedup", "embeddings",
+    """
+    with recursive v as (select vec_id, cast(embedding as double[]) u from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    pairs as (select a.vec_id x, b.vec_id y from v a join v b on a.vec_id < b.vec_id where list_cosine_similarity(a.u, b.u) >= 0.9),
+    links as (select x, y from pairs union all select y, x from pairs),
+    reach as (select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x),
+    counted as (select x vec_id, count(*) n_links from links group by 1), least as (select x vec_id, min(y) m from reach group by 1)
+    select vec_id, coalesce(n_links, 0) n_links, coalesce(least(m, vec_id), vec_id) component_id, coalesce(m >= vec_id, true) kept
+    from embeddings left join counted using (vec_id) left join least using (vec_id)
+    """,
+)
 def embedding_near_dedup(embeddings: DataFrame) -> DataFrame:
     return embedding_dedup.near_duplicates(embeddings)
 
