@@ -48,7 +48,23 @@ def identify_language(documents: DataFrame) -> DataFrame:
     return predicted.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query("op5_minhash_near_dedup", "documents")
+@query(
+    "op5_minhash_near_dedup", "documents",
+    r"""
+    with recursive ws as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') l from documents),
+    words as (select doc_id, unnest(l) w, generate_subscripts(l, 1) i from ws),
+    runs as (select doc_id, list(w) over (partition by doc_id order by i rows between current row and 3 following) r from words),
+    sets as (select distinct doc_id, hash(array_to_string(r, ' ')) s from runs where len(r) = 4 union all select doc_id, hash(array_to_string(l, ' ')) from ws where len(l) between 1 and 3),
+    sizes as (select doc_id, count(*) n from sets group by 1),
+    shared as (select a.doc_id x, b.doc_id y, count(*) k from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    pairs as (select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * k >= 80 * (a.n + b.n - k)),
+    links as (select x, y from pairs union all select y, x from pairs),
+    reach as (select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x),
+    least as (select x doc_id, min(y) m from reach group by 1)
+    select doc_id, coalesce(n, 0) n_shingles, coalesce(least(m, doc_id), doc_id) component_id, coalesce(m >= doc_id, true) kept
+    from ws left join sizes using (doc_id) left join least using (doc_id)
+    """,
+)
 def minhash_near_dedup(documents: DataFrame) -> DataFrame:
     return minhash.near_duplicates(documents, words=4)
 
