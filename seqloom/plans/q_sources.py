@@ -125,6 +125,25 @@ def k2(t):
     return K.sam_lines(_tagged(t))
 
 
+@BOOK.add(
+    "K2_write_sam_header",
+    f"""with sq as (select rname, row_number() over (order by rname desc) k, length from chrom_sizes), sm as (select distinct sample from alignments)
+       select sample, cast(0 as int) section, cast(1 as int) ref, cast(0 as int) pos, concat('@HD',chr(9),'VN:1.6',chr(9),'SO:coordinate') "value" from sm
+       union all select sample, 0, cast(k+1 as int), 0, concat_ws(chr(9),'@SQ',concat('SN:',rname),concat('LN:',length)) from sm, sq
+       union all select sample, 1, cast(k+1 as int), pos, {_SAM} from alignments join sq using (rname)""",
+    "alignments", "chrom_sizes",
+)
+def k2b(t):
+    every = lambda values: F.explode(F.array(*[F.lit(v) for v in values]))
+    back = -F.regexp_extract("rname", "(\\d+)$", 1).cast("int")
+    text = F.concat(F.lit("@SQ\tSN:"), "rname", F.lit("\tLN:"), F.col("length").cast("string"))
+    # Every line stands twice, as in a header merged from two files.
+    sq = t.chrom_sizes.select("*", every(SAMPLES).alias("sample")).select("*", every([0, 1000]).alias("at"))
+    sq = sq.select("sample", F.lit("b").alias("file"), (F.col("at") + back).alias("line"), text.alias("value"))
+    hd = sq.select("sample", F.lit("a").alias("file"), F.lit(0).alias("line"), F.lit("@HD\tVN:1.6\tSO:unsorted").alias("value"))
+    return K.sam_text(_tagged(t), hd.unionByName(sq)).select("sample", "section", "ref", "pos", "value")
+
+
 _ATTRS = ["gene_id", "transcript_id", "exon_number", "class_code", "gene_name"]
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.joins import join_small
 from ..options import choice
 
 
@@ -53,9 +54,33 @@ def sam_lines(al: DataFrame) -> DataFrame:
     return al.select("sample", "rname", "pos", F.array_join(every, "\t").alias("value"))
 
 
-def write_sam(al: DataFrame, path: str) -> None:
-    """Coordinate-ordered SAM bodies per sample folder."""
-    lines = sam_lines(al).repartitionByRange("sample", "rname", "pos").sortWithinPartitions("sample", "rname", "pos")
+def sam_text(al: DataFrame, header: DataFrame) -> DataFrame:
+    """All lines of one coordinate-sorted SAM text per sample: ``sample``, ``section``, ``ref``, ``pos``, ``value``, to be ordered by the first four.
+
+    ``header`` holds (sample, file, line, value). Its lines are section 0 in their order with ``ref`` as number, equal lines once; an ``@HD`` line
+    comes first, says ``SO:coordinate`` and is made where missing. Records are section 1 in the order of the ``@SQ`` lines,
+    names without such a line after all others. A sample's header has a row per sequence and read group and is ordered in one task.
+    """
+    first = header.groupBy("sample", "value").agg(F.min(F.struct("file", "line")).alias("at"))
+    top = F.col("value").startswith("@HD")
+    heads = first.filter(top).groupBy("sample").agg(F.min_by("value", "at").alias("value"))
+    heads = al.select("sample").distinct().join(heads, "sample", "left")
+    plain = F.regexp_replace(F.coalesce("value", F.lit("@HD\tVN:1.6")), "\tSO:[^\t]*", "")
+    heads = heads.select("sample", F.lit(1).alias("ref"), F.regexp_replace(plain, "^(@HD(?:\tVN:[^\t]*)?)", "$1\tSO:coordinate").alias("value"))
+    order = Window.partitionBy("sample").orderBy("at")
+    others = first.filter(~top).select("sample", (F.row_number().over(order) + 1).alias("ref"), "value")
+    name = F.regexp_extract("value", "^@SQ\t(?:.*\t)?SN:([^\t]+)", 1)
+    places = others.filter(F.col("value").startswith("@SQ")).groupBy("sample", name.alias("rname")).agg(F.min("ref").alias("ref"))
+    last = (1 << 31) - 1
+    body = join_small(sam_lines(al), places, ["sample", "rname"], "left").withColumn("ref", F.coalesce("ref", F.lit(last)))
+    head = heads.unionByName(others).select("sample", F.lit(0).alias("section"), "ref", F.lit("").alias("rname"), F.lit(0).alias("pos"), "value")
+    return head.unionByName(body.select("sample", F.lit(1).alias("section"), "ref", "rname", "pos", "value"))
+
+
+def write_sam(al: DataFrame, path: str, *, header: DataFrame | None = None) -> None:
+    """Coordinate-ordered SAM files per sample folder; with ``header`` (see :func:`sam_text`) a sample's files in name order are one whole SAM text."""
+    lines, key = (sam_lines(al), ["sample", "rname", "pos"]) if header is None else (sam_text(al, header), ["sample", "section", "ref", "rname", "pos"])
+    lines = lines.repartitionByRange(*key).sortWithinPartitions(*key)
     lines.select("sample", "value").write.partitionBy("sample").text(path)
 
 

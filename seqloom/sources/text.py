@@ -50,6 +50,12 @@ def sam_header(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("value").startswith("@"))
 
 
+def read_sam_header(spark: SparkSession, paths: str | Sequence[str], *, sample: str | None = None) -> DataFrame:
+    """Header lines of SAM files with their place: ``sample``, ``file``, ``line`` (rising within a file, with gaps), ``value``."""
+    lines = _lines(spark, paths).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return sam_header(lines).select(F.lit(sample).alias("sample"), "file", "line", "value")
+
+
 def read_sam(spark: SparkSession, paths: str | Sequence[str], *, sample: str | None = None) -> DataFrame:
     out = parse_sam(_lines(spark, paths))
     return out.select(F.lit(sample).alias("sample"), "*")

@@ -21,6 +21,19 @@ def test_sam(spark, tmp_path):
     assert sorted(map(str, again.collect())) == sorted(map(str, read.collect())) and again.count() == 2
 
 
+def test_sam_with_header(spark, tmp_path):
+    lines = ["r2\t0\tchrB\t9\t30\t4M\t*\t0\t0\tACGT\tIIII", "r1\t16\tchrA\t5\t30\t4M\t*\t0\t0\tACGT\tIIII", "r3\t4\t*\t0\t0\t*\t*\t0\t0\tA\tI"]
+    head = ["@HD\tVN:1.6\tSO:queryname\tGO:none", "@SQ\tSN:chrB\tLN:90", "@SQ\tM5:x\tSN:chrA\tLN:80", "@PG\tID:a\tSN:chrA"]
+    path = put(tmp_path / "in.sam", *head, *lines)
+    read, header = T.read_sam(spark, path, sample="s"), T.read_sam_header(spark, path, sample="s")
+    K.write_sam(read, str(tmp_path / "out"), header=header.unionByName(header.withColumn("file", F.lit("zz"))))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out" / "sample=s").glob("part-*"))).splitlines()
+    assert text == ["@HD\tVN:1.6\tSO:coordinate\tGO:none", *head[1:], *lines]
+    K.write_sam(read, str(tmp_path / "bare"), header=header.filter("false"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "bare" / "sample=s").glob("part-*"))).splitlines()
+    assert text[0] == "@HD\tVN:1.6\tSO:coordinate" and len(text) == 4
+
+
 def test_gtf(spark, tmp_path):
     line = 'chrA\tx\texon\t11\t20\t.\t+\t.\tgene_id "g"; transcript_id "t"; tag "a"; tag "b"'
     read = T.read_gtf(spark, put(tmp_path / "in.gtf", "#!head", line, line.replace("chrA", "chrB")))
