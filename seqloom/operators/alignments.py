@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases, cigar, flags
 from ..options import choice, positive, require
+from .intervals import merge_intervals, overlap_join
 
 TEMPLATE = ["sample", "qname"]
 
@@ -275,12 +276,43 @@ def flip_mate2_strand(bed: DataFrame) -> DataFrame:
     return bed.withColumn("strand", F.when(F.col("name").endswith("2"), turned).otherwise(F.col("strand")))
 
 
-def fragment_size(al: DataFrame, *, max_len: int = 0) -> DataFrame:
+def _in_windows(pairs: DataFrame, bin_size: int, distance: int, blacklist: DataFrame | None) -> DataFrame:
+    """Records that overlap one of the windows of ``bin_size`` bases, ``distance`` apart from 0 on, that is free of blacklisted bases."""
+    positive("bin_size", bin_size)
+    if distance < 0:
+        raise ValueError(f"distance must not be negative, not {distance!r}")
+    step = bin_size + distance
+    if distance == 0 and blacklist is None:
+        return pairs
+
+    def numbers(start: Column, end: Column) -> list[Column]:
+        lowest = F.floor(start / step) + F.when(F.pmod(start, F.lit(step)) < bin_size, 0).otherwise(1)
+        return [lowest.cast("int").alias("_first"), (F.floor((end - 1) / step) + 1).cast("int").alias("_behind")]
+
+    placed = pairs.select("*", *numbers(cigar.start0(), cigar.end0())).filter("_first < _behind")
+    if blacklist is None:
+        return placed.drop("_first", "_behind")
+    # Neighbouring spoilt windows are one run, so a record has no free window exactly if one run holds all of its windows.
+    spoilt = blacklist.filter("start < end").select("rname", *numbers(F.col("start"), F.col("end"))).filter("_first < _behind")
+    spoilt = merge_intervals(spoilt.select("rname", F.col("_first").alias("start"), F.col("_behind").alias("end")))
+    ranges = placed.select("rname", F.col("_first").alias("start"), F.col("_behind").alias("end")).distinct()
+    lost = overlap_join(ranges, spoilt.select("rname", "start", "end"), min_fraction=1.0).select(
+        "rname", F.col("start").alias("_first"), F.col("end").alias("_behind")
+    )
+    return placed.join(lost, ["rname", "_first", "_behind"], "left_anti").drop("_first", "_behind")
+
+
+def fragment_size(
+    al: DataFrame, *, max_len: int = 0, bin_size: int = 1000, distance: int = 0, blacklist: DataFrame | None = None
+) -> DataFrame:
     """Count, extremes, quartiles, mean and deviation of fragment lengths per sample.
 
-    Proper pairs are used; a sample without any falls back to all pairs on one sequence.
+    Proper pairs are used; a sample without any falls back to all pairs on one sequence. Records count once if they overlap a
+    window of ``bin_size`` bases; windows lie ``distance`` bases apart (0: everywhere), and those that overlap an interval of ``blacklist``
+    (rname, start, end) are left out.
     """
     pairs = al.filter(flags.has(flags.PAIRED) & flags.lacks(flags.SECONDARY) & (F.col("tlen") > 0))
+    pairs = _in_windows(pairs, bin_size, distance, blacklist)
     if max_len > 0:
         pairs = pairs.filter(F.col("tlen") <= max_len)
     sizes = pairs.groupBy("sample", flags.has(flags.PROPER).alias("proper"), F.col("tlen").alias("size")).agg(
@@ -301,8 +333,12 @@ def fragment_size(al: DataFrame, *, max_len: int = 0) -> DataFrame:
     )
 
 
-def fragment_size_hist(al: DataFrame, *, width: int = 10) -> DataFrame:
+def fragment_size_hist(
+    al: DataFrame, *, width: int = 10, bin_size: int = 1000, distance: int = 0, blacklist: DataFrame | None = None
+) -> DataFrame:
+    """Proper pairs by fragment length, in classes of ``width``; windows and blacklist as for :func:`fragment_size`."""
     pairs = al.filter(flags.has(flags.PAIRED | flags.PROPER) & flags.lacks(flags.SECONDARY) & (F.col("tlen") > 0))
+    pairs = _in_windows(pairs, bin_size, distance, blacklist)
     return pairs.groupBy("sample", (F.floor(F.col("tlen") / width) * width).alias("size")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -353,6 +353,28 @@ def a26b(t):
     return A.fragment_size_hist(t.alignments, width=25)
 
 
+_SPOILT = """bl as (select rname, start+300 start, start+700 "end" from features where exon_number=2 and transcript_id like '%7')"""
+
+
+def _spoilt(t):
+    rows = t.features.filter("exon_number = 2 and transcript_id like '%7'")
+    return rows.select("rname", (F.col("start") + 300).alias("start"), (F.col("start") + 700).alias("end"))
+
+
+@BOOK.add(
+    "A26_fragment_size_windows",
+    f"""with {_SPOILT}, p as (select aln_id, sample, rname, tlen, flag&2=2 proper, pos-1 s, pos-1+{REF} e from alignments where flag&1=1 and flag&256=0 and tlen>0),
+       w as (select * from (select *, unnest(range(s//1500, (e-1)//1500+1)) k from p) where s<k*1500+500 and e>k*1500),
+       g as (select distinct aln_id, sample, proper, tlen from w where not exists (select 1 from bl where bl.rname=w.rname and bl.start<w.k*1500+500 and bl."end">w.k*1500)),
+       s as (select sample, proper, count(*) fragments, min(tlen) "min", quantile_cont(tlen,0.25) q1, quantile_cont(tlen,0.5) "median", quantile_cont(tlen,0.75) q3, max(tlen) "max", avg(tlen) "mean", stddev_pop(tlen) sd from g group by 1,2)
+       select * replace (round("mean",6) as "mean", round(sd,6) as sd) from s where proper""",
+    "alignments", "features",
+)
+def a26c(t):
+    out = A.fragment_size(t.alignments, bin_size=500, distance=1000, blacklist=_spoilt(t))
+    return out.withColumn("sd", F.round("sd", 6)).withColumn("mean", F.round("mean", 6))
+
+
 @BOOK.add(
     "A27_inner_distance",
     f"""with g as (select sample, pnext-1-(pos-1+{REF}) gap from alignments where flag&1=1 and flag&256=0 and rnext='=' and pos<=pnext and (flag&64>0 or pos<pnext))

@@ -100,3 +100,25 @@ def test_reads_without_hits_hardly_reach_the_shuffle(library, spark):
     assert Q.candidate_kmers(reads, k=21, screen=None).count() > 31_000
     with pytest.raises(ValueError):
         Q.screen_reads(reads, genome, names=["x"], k=28)
+
+
+def test_fragment_sizes_in_windows(spark):
+    from seqloom.operators import alignments as A
+
+    # Windows [0, 10), [30, 40), [60, 70); 1-based positions, ten bases each.
+    places = [("chrA", 1), ("chrA", 11), ("chrA", 20), ("chrA", 22), ("chrA", 41), ("chrA", 65), ("chrB", 1)]
+    rows = [("s", f"r{i}", 67, rname, pos, "10M", 100 + i) for i, (rname, pos) in enumerate(places)]
+    al = spark.createDataFrame(rows, "sample string, qname string, flag int, rname string, pos int, cigar string, tlen int")
+
+    def sizes(**opts):
+        hist = A.fragment_size_hist(al, width=1, **opts).collect()
+        return sorted(r["size"] - 100 for r in hist)
+
+    assert sizes() == [0, 1, 2, 3, 4, 5, 6]
+    assert sizes(bin_size=10, distance=20) == [0, 3, 5, 6]
+    black = spark.createDataFrame([("chrA", 39, 61), ("chrA", 5, 5), ("chrB", 10, 30), ("chrC", 0, 99)], "rname string, start int, end int")
+    assert sizes(bin_size=10, distance=20, blacklist=black) == [0, 6]
+    # Without gaps: r4 lies in the spoilt window [40, 50), r3 in [21, 31) reaches only free ones.
+    assert sizes(bin_size=10, blacklist=black) == [0, 1, 2, 3, 5]
+    with pytest.raises(ValueError):
+        A.fragment_size(al, distance=-1)
