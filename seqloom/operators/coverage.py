@@ -169,7 +169,7 @@ def region_counts(
 def extend_reads(al: DataFrame, *, length: int | None = None) -> DataFrame:
     """Intervals extended to the fragment: proper mates give their fragment, others reach ``length``.
 
-    Without ``length`` the sample's mean fragment length is used. Mates more than 4 times that length
+    Without ``length`` the sample's mean fragment length is used; reads of a sample without proper pairs stay as they are. Mates more than 4 times that length
     apart count as single; reads longer than it stay as they are.
     """
     mapped = al.filter(flags.lacks(flags.UNMAPPED)).withColumns(

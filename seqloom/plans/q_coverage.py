@@ -224,6 +224,17 @@ def c4(t):
     return _long(C.extend_reads(t.alignments, length=300)).select("aln_id", "start", "end")
 
 
+_EXT_MEAN = f"""with {SPAN}, ln as (select sample, cast(floor(avg(tlen)) as int) l from span where flag&3=3 and tlen>0 group by 1),
+   ex as (select aln_id, greatest(0, case when pr and tlen>0 then start when pr then "end"+tlen when "end"-start<l and strand='-' then "end"-l else start end) start,
+   case when pr and tlen>0 then start+tlen when pr then "end" when "end"-start<l and strand='+' then start+l else "end" end "end"
+   from (select *, flag&3=3 and tlen<>0 and abs(tlen)<=4*l pr from span join ln using (sample))) """
+
+
+@BOOK.add("C4_extend_reads_mean", _EXT_MEAN + 'select aln_id, cast(start as bigint) start, cast("end" as bigint) "end" from ex', "alignments")
+def c4d(t):
+    return _long(C.extend_reads(t.alignments)).select("aln_id", "start", "end")
+
+
 @BOOK.add(
     "C4_center_reads",
     _EXT + 'select aln_id, cast(greatest(0,floor((start+"end"-50)/2)) as bigint) start, cast(greatest(0,floor((start+"end"-50)/2))+50 as bigint) "end" from ex',
