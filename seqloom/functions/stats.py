@@ -58,7 +58,11 @@ def log_poisson_tail(k: np.ndarray, lam: np.ndarray) -> np.ndarray:
 @F.pandas_udf(DoubleType())
 def _neg_log10_tail(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for k, lam in parts:
-        yield pd.Series(-log_poisson_tail(k.to_numpy(), lam.to_numpy()) / LN10 + 0.0)
+        # Rows of one batch mostly repeat a few pairs; each is computed once.
+        both = np.empty(len(k), complex)
+        both.real, both.imag = k.to_numpy(), lam.to_numpy()
+        pairs, place = np.unique(both, return_inverse=True)
+        yield pd.Series((-log_poisson_tail(pairs.real, pairs.imag) / LN10 + 0.0)[place])
 
 
 def poisson_score(k: Column, lam: Column) -> Column:

@@ -13,6 +13,8 @@ from ..options import choice, positive
 from .intervals import TILE, merge_intervals, overlap_join, step_runs
 
 BY = ["sample", "rname"]
+#: Rows of the rank table (distinct rounded scores of all samples) that are broadcast at most.
+RANKS = 200_000
 
 
 def _weighted_runs(layers: dict[str, DataFrame]) -> DataFrame:
@@ -95,11 +97,9 @@ def pileup_with_background(
 def score_runs(runs: DataFrame, *, digits: int = 3) -> DataFrame:
     """Add ``score`` (-log10 p) and ``qscore`` (-log10 Benjamini-Hochberg q, over bases) per sample.
 
-    Scores are rounded to ``digits``, which bounds the rank table: its window has one row per distinct score.
+    Tails are computed on the rows, without a shuffle. Scores are rounded to ``digits``, which bounds the rank table: its window has one row per distinct score.
     """
-    pairs = runs.select("pileup", "lam").distinct()
-    pairs = pairs.withColumn("score", F.round(poisson_score(F.ceil("pileup"), F.col("lam")), digits))
-    scored = runs.join(pairs, ["pileup", "lam"])
+    scored = runs.withColumn("score", F.round(poisson_score(F.ceil("pileup"), F.col("lam")), digits))
     table = scored.groupBy("sample", "score").agg(F.sum((F.col("end") - F.col("start")).cast("bigint")).alias("len"))
     down = Window.partitionBy("sample").orderBy(F.desc("score"))
     up = Window.partitionBy("sample").orderBy(F.asc("score")).rowsBetween(Window.unboundedPreceding, 0)
@@ -108,7 +108,7 @@ def score_runs(runs: DataFrame, *, digits: int = 3) -> DataFrame:
     table = table.withColumn("_q", F.greatest(F.col("score") + F.log10(rank / total), F.lit(0.0)))
     # A q-value never exceeds that of a worse score: running maximum of -log10 q from the worst score up.
     table = table.withColumn("qscore", F.max("_q").over(up)).select("sample", "score", "qscore")
-    return scored.join(table, ["sample", "score"])
+    return join_small(scored, table, ["sample", "score"], limit=RANKS)
 
 
 def _islands(runs: DataFrame, max_gap: int, min_len: int) -> DataFrame:

@@ -6,6 +6,7 @@ Bins are (sample, rname, bin, start, end, n). Rank-based summaries work on the h
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -228,12 +229,7 @@ def binarize(
         local = local.withColumn("_e", F.col("_local") / level).drop("_local")
         out = out.join(local, ["rname", "bin"], "left")
         out = out.withColumn("_lam", F.col("_lam") * F.coalesce("_e", F.lit(1.0))).drop("_e")
-    # Only distinct (count, expectation) pairs reach the tail function.
-    pairs = out.filter("n > 0").select("n", "_lam").distinct()
-    scored = pairs.withColumn("_score", poisson_score(F.col("n"), F.col("_lam")))
-    out = out.join(scored, ["n", "_lam"], "left")
-    import math
-
+    out = out.withColumn("_score", poisson_score(F.col("n"), F.col("_lam")))
     on = (F.col("_score") > -math.log10(p)) & (F.col("n") >= fold * F.col("_lam")) & (F.col("n") >= min_signal)
     return out.withColumn("state", F.when(on, 1).otherwise(0)).drop("_lam", "_score")
 
