@@ -17,7 +17,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..functions.joins import join_small
 
 SCHEMA = "file STRING, part INT, rec BIGINT, qname STRING, descr STRING, seq STRING, qual STRING"
+COUNTS = "file STRING, part INT, n BIGINT"
 BLOCK = 8 << 20
+#: Byte ranges whose record counts are broadcast at most: 25 TB of one sample and mate in ranges of 128 MB.
+RANGES = 200_000
 
 
 class FastqRange(InputPartition):
@@ -75,8 +78,8 @@ def _qualified(spark: SparkSession, path: str) -> str:
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str], split_bytes: int):
-        self.paths, self.split_bytes = paths, split_bytes
+    def __init__(self, paths: list[str], split_bytes: int, counts: bool):
+        self.paths, self.split_bytes, self.counts = paths, split_bytes, counts
 
     def partitions(self) -> list[FastqRange]:
         out: list[FastqRange] = []
@@ -93,6 +96,10 @@ class FastqReader(DataSourceReader):
     def read(self, partition: FastqRange) -> Iterator:
         import pyarrow as pa
 
+        if self.counts:
+            n = sum(len(lines) // 4 for lines in self._records(partition))
+            yield pa.record_batch([pa.array([partition.path]), pa.array([partition.part], pa.int32()), pa.array([n], pa.int64())], names=["file", "part", "n"])
+            return
         schema = pa.schema(
             [("file", pa.string()), ("part", pa.int32()), ("rec", pa.int64()), *[(n, pa.string()) for n in ("qname", "descr", "seq", "qual")]]
         )
@@ -183,19 +190,22 @@ class FastqSource(DataSource):
     def name(cls) -> str:
         return "fastq_records"
 
+    def _counts(self) -> bool:
+        return self.options.get("counts", "false") == "true"
+
     def schema(self) -> str:
-        return SCHEMA
+        return COUNTS if self._counts() else SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         paths = self.options.get("paths") or self.options["path"]
-        return FastqReader(paths.split("\n"), int(self.options.get("splitbytes", 128 << 20)))
+        return FastqReader(paths.split("\n"), int(self.options.get("splitbytes", 128 << 20)), self._counts())
 
 
-def fastq_records(spark: SparkSession, paths: str | Sequence[str], *, split_bytes: int = 128 << 20) -> DataFrame:
-    """Records with file, range number and number inside the range."""
+def fastq_records(spark: SparkSession, paths: str | Sequence[str], *, split_bytes: int = 128 << 20, counts: bool = False) -> DataFrame:
+    """Records with file, range number and number inside the range; with ``counts`` only the number of records per range, none decoded."""
     spark.dataSource.register(FastqSource)
     names = [_qualified(spark, p) for p in ([paths] if isinstance(paths, str) else list(paths))]
-    return spark.read.format("fastq_records").option("paths", "\n".join(names)).option("splitbytes", split_bytes).load()
+    return spark.read.format("fastq_records").option("paths", "\n".join(names)).option("splitbytes", split_bytes).option("counts", str(counts).lower()).load()
 
 
 def read_fastq(spark: SparkSession, paths: str | Sequence[str], *, sample: str, mate: int, split_bytes: int = 128 << 20) -> DataFrame:
@@ -204,10 +214,10 @@ def read_fastq(spark: SparkSession, paths: str | Sequence[str], *, sample: str,
     The first pass counts records per byte range; only those counts are ordered. Gzip files are one range each.
     """
     recs = fastq_records(spark, paths, split_bytes=split_bytes)
-    sizes = recs.groupBy("file", "part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = fastq_records(spark, paths, split_bytes=split_bytes, counts=True).withColumnRenamed("n", "_n")
     before = Window.orderBy("file", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    out = join_small(recs, offsets, ["file", "part"])
+    out = join_small(recs, offsets, ["file", "part"], limit=RANGES)
     return out.select(
         F.lit(sample).alias("sample"), (F.col("rec") + F.col("_off")).alias("read_idx"), F.lit(mate).cast("tinyint").alias("mate"),
         "qname", "descr", "seq", "qual",
