@@ -118,7 +118,7 @@ def test_fragment_sizes_in_windows(spark):
     assert sizes(bin_size=10, distance=20) == [0, 3, 5, 6]
     black = spark.createDataFrame([("chrA", 39, 61), ("chrA", 5, 5), ("chrB", 10, 30), ("chrC", 0, 99)], "rname string, start int, end int")
     assert sizes(bin_size=10, distance=20, blacklist=black) == [0, 6]
-    # Without gaps: r4 lies in the spoilt window [40, 50), r3 in [21, 31) reaches only free ones.
-    assert sizes(bin_size=10, blacklist=black) == [0, 1, 2, 3, 5]
+    # Without gaps only the fifth record, [40, 50), has no free window; the sixth reaches into [70, 80).
+    assert sizes(bin_size=10, blacklist=black) == [0, 1, 2, 3, 5, 6]
     with pytest.raises(ValueError):
         A.fragment_size(al, distance=-1)
