@@ -44,7 +44,8 @@ CUES = {
 COUNTER_CUES = r"(?i)(?:version|isbn|issn|order|ref\.?|release|section|chapter|article|§|#|=)\W{0,3}$"
 LABELERS = ["rule", "checks", "gazetteer", "context", "edges"]
 CONTEXT = 24
-CHUNK = 256
+#: Outputs gathered at a time, and code points of a piece of a text. Neither changes a result.
+CHUNK, PIECE = 32, 512
 #: Candidates outside the base rules are admitted from this probability on.
 ADMIT = 0.9
 
@@ -78,49 +79,95 @@ def _vote(yes: Column, no: Column) -> Column:
 _SPAN = "array<struct<start:int,kind:int,end:int,base:boolean,votes:string,shape:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _scan(items: Column, first: Column, step, out: str) -> Column:
+    """Array of outputs along ``items``; ``step(state, x)`` gives an output of type ``out`` and the next state.
+
+    Every step of a fold copies what it has gathered, and a text may hold very many matches. So a first fold finds only the states
+    before each chunk, and the outputs are gathered chunk by chunk from there.
+    """
+
+    def behind(states: Column, chunk: Column) -> Column:
+        return F.concat(states, F.array(F.aggregate(chunk, F.element_at(states, -1), lambda state, x: step(state, x)[1])))
+
+    def one(acc: Column, x: Column) -> Column:
+        made, state = step(acc["state"], x)
+        return F.struct(F.concat(acc["out"], F.array(made)).alias("out"), state.alias("state"))
+
+    def outputs(chunk: Column, state: Column) -> Column:
+        return F.aggregate(chunk, F.struct(F.array().cast(f"array<{out}>").alias("out"), state.alias("state")), one)["out"]
+
+    def gathered(chunks: Column) -> Column:
+        states = F.aggregate(chunks, F.array(first), behind)
+        return _let(states, lambda s: F.flatten(F.transform(chunks, lambda chunk, i: outputs(chunk, F.get(s, i)))))
+
+    numbers = lambda all_: F.sequence(F.lit(0), F.ceil(F.size(all_) / CHUNK).cast("int") - 1)
+    return _let(_let(items, lambda all_: F.transform(numbers(all_), lambda c: F.slice(all_, c * CHUNK + 1, CHUNK))), gathered)
+
+
+def _blocks(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points, so that a place is found without a walk from the start."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in blocks; what lies beyond its end is empty."""
+    i, j = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    block = lambda n: F.coalesce(F.get(blocks, n), F.lit(""))
+    head, tail = F.substring(block(i), start % PIECE + 1, F.lit(PIECE)), F.substring(block(j), F.lit(1), end % PIECE)
+    inner = F.when(j - i > 1, F.array_join(F.slice(blocks, i + 2, j - i - 1), "")).otherwise("")
+    return F.when(i == j, F.substring(block(i), start % PIECE + 1, end - start)).otherwise(F.concat(head, inner, tail))
+
+
 def _matches(text: Column, kind: str, pattern: str, base: bool) -> Column:
     """Candidates of one pattern: positions in code points, whether a base rule holds, the labelers' votes and the shape."""
     number = KINDS.index(kind)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
+    def place(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["gap"])
         end = start + F.length(x["hit"])
-        return F.when(x["hit"].isNull(), acc).otherwise(
-            F.struct(F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit")))).alias("out"), end.alias("at"))
-        )
+        return F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit")), end
 
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    fresh = lambda at: F.struct(F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"), at.alias("at"))
-    # Appending copies what is there, so matches are placed by chunks: a text may hold very many.
-    chunks = lambda all_: F.transform(F.sequence(F.lit(0), F.ceil(F.size(all_) / CHUNK).cast("int") - 1), lambda c: F.slice(all_, c * CHUNK + 1, CHUNK))
-
-    def add(acc: Column, chunk: Column) -> Column:
-        part = F.aggregate(chunk, fresh(acc["at"]), step)
-        return F.struct(F.concat(acc["out"], part["out"]).alias("out"), part["at"].alias("at"))
-
-    placed = F.aggregate(F.array(zipped), fresh(F.lit(0)), lambda start, all_: F.aggregate(chunks(all_), start, add))["out"]
-
-    def judged(m: Column) -> Column:
-        hit, start, end = m["hit"], m["start"], m["end"]
-        holds = _valid(kind, hit) if base else F.lit(False)
-        before = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-        after = F.substring(text, end + 1, F.lit(1))
-        compact = F.regexp_replace(hit, "[^0-9A-Fa-f@.+]", "")
-        checks = _luhn(_digits(hit)) if kind == "card" else F.length(_digits(hit)).between(10, 15) if kind == "phone" else F.length(hit) <= 254
-        cued, countered = F.lower(before).rlike(CUES[kind]), before.rlike(COUNTER_CUES)
-        tight = before.rlike(r"[\p{L}\p{N}]$") | after.rlike(r"^[\p{L}\p{N}]")
+    # One gap more than hits: the text behind the last.
+    zipped = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda x: x["hit"].isNotNull())
+    placed = _scan(zipped, F.lit(0), place, "struct<start:int,end:int,hit:string>")
+
+    def judged(blocks: Column, m: Column) -> Column:
+        read = F.struct(
+            _between(blocks, F.greatest(m["start"] - CONTEXT, F.lit(0)), m["start"]).alias("before"),
+            _between(blocks, m["end"], m["end"] + 1).alias("after"), _digits(m["hit"]).alias("digits"),
+            F.regexp_replace(m["hit"], "[^0-9A-Fa-f@.+]", "").alias("compact"), (_valid(kind, m["hit"]) if base else F.lit(False)).alias("holds"),
+        )
+        return _let(read, lambda r: _let(answers(m, r), lambda a: span(m, r, a)))
+
+    def answers(m: Column, r: Column) -> Column:
+        size = F.length(r["digits"])
+        checks = _luhn(r["digits"]) if kind == "card" else size.between(10, 15) if kind == "phone" else F.length(m["hit"]) <= 254
+        return F.struct(
+            checks.alias("checks"), r["compact"].rlike(GAZETTEER[kind]).alias("listed"), F.lower(r["before"]).rlike(CUES[kind]).alias("cued"),
+            r["before"].rlike(COUNTER_CUES).alias("countered"), (r["before"].rlike(r"[\p{L}\p{N}]$") | r["after"].rlike(r"^[\p{L}\p{N}]")).alias("tight"),
+        )
+
+    def span(m: Column, r: Column, a: Column) -> Column:
+        hit = m["hit"]
         votes = F.concat(
-            _vote(holds, F.lit(not base)), _vote(checks, ~checks), _vote(compact.rlike(GAZETTEER[kind]), F.lit(True)),
-            _vote(cued & ~countered, countered), _vote(~tight, tight),
+            _vote(r["holds"], F.lit(not base)), _vote(a["checks"], ~a["checks"]), _vote(a["listed"], F.lit(True)),
+            _vote(a["cued"] & ~a["countered"], a["countered"]), _vote(~a["tight"], a["tight"]),
         )
         shape = F.concat(
             F.when(hit.rlike(r"\("), "p").when(hit.rlike("-"), "d").when(hit.rlike(r"\x20"), "s").otherwise("n"),
-            F.least(F.length(_digits(hit)), F.lit(20)).cast("string"),
+            F.least(F.length(r["digits"]), F.lit(20)).cast("string"),
+        )
+        return F.struct(
+            m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"), r["holds"].alias("base"), votes.alias("votes"), shape.alias("shape")
         )
-        return F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), holds.alias("base"), votes.alias("votes"), shape.alias("shape"))
 
-    found = F.transform(placed, judged)
+    found = _let(_blocks(text), lambda blocks: F.transform(placed, lambda m: judged(blocks, m)))
     if base and kind == "card":  # near misses of the right size stay candidates
         sized = F.filter(found, lambda c: c["base"] | F.substring(c["shape"], 2, 2).cast("int").between(13, 19))
     elif base:
@@ -136,14 +183,27 @@ def candidates(text: Column) -> Column:
     base = F.concat(*[_matches(text, k, BASE[k], True) for k in KINDS])
     wider = F.concat(*[_matches(text, k, p, False) for k, p in WIDER.items()])
 
-    def apart(c: Column, held: Column) -> Column:
-        return c["base"] | ~F.exists(held, lambda b: b["base"] & (c["start"] < b["end"]) & (b["start"] < c["end"]))
+    return F.coalesce(_let(F.array_sort(F.concat(base, wider)), _apart), F.array().cast(_SPAN))
+
+
+def _apart(ordered: Column) -> Column:
+    """Candidates by start without the wider ones that overlap a base span: one sweep each way instead of all pairs."""
+    item = f"struct<span:{_SPAN[6:-1]},lost:boolean>"
+    first = F.transform(ordered, lambda c: F.struct(c.alias("span"), F.lit(False).alias("lost")))
 
-    every = F.concat(base, wider)
-    return F.coalesce(
-        F.when(F.size(every) > 0, F.aggregate(F.array(every), F.array().cast(_SPAN), lambda _, all_: F.array_sort(F.filter(all_, lambda c: apart(c, all_))))).otherwise(every),
-        F.array().cast(_SPAN),
-    )
+    def sweep(items: Column, far: int, meets, reach) -> Column:
+        def step(state: Column, x: Column) -> tuple[Column, Column]:
+            base = x["span"]["base"]
+            lost = x["lost"] | (~base & meets(state, x["span"]))
+            return F.struct(x["span"].alias("span"), lost.alias("lost")), F.when(base, reach(state, x["span"])).otherwise(state)
+
+        return _scan(items, F.lit(far), step, item)
+
+    ahead = sweep(first, 0, lambda end, c: c["start"] < end, lambda end, c: F.greatest(end, c["end"]))
+    back = sweep(F.reverse(ahead), (1 << 31) - 1, lambda start, c: start < c["end"], lambda start, c: c["start"])
+    swept = F.transform(F.filter(F.reverse(back), lambda x: ~x["lost"]), lambda x: x["span"])
+    mixed = F.exists(ordered, lambda c: c["base"]) & F.exists(ordered, lambda c: ~c["base"])
+    return F.when(mixed, swept).otherwise(ordered)
 
 
 def reliabilities(counts: list[tuple[str, int]], rounds: int = 100) -> tuple[float, list[tuple[float, float]]]:
@@ -239,12 +299,14 @@ def mask(docs: DataFrame) -> DataFrame:
     spans, text = admitted(F.col("__candidates"), weights), F.col("text")
     names = F.array(*map(F.lit, KINDS))
 
-    def step(acc: Column, c: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, c["start"] - acc["at"])
-        fresh = F.struct(F.concat(acc["out"], gap, F.lit("<"), names[c["kind"]], F.lit(">")).alias("out"), c["end"].alias("at"))
-        return F.when(c["start"] >= acc["at"], fresh).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], c["end"]).alias("at")))
+    def masked(t: Column) -> Column:
+        def step(at: Column, c: Column) -> tuple[Column, Column]:
+            piece = F.concat(_between(t["blocks"], at, c["start"]), F.lit("<"), names[c["kind"]], F.lit(">"))
+            return F.when(c["start"] >= at, piece).otherwise(""), F.greatest(at, c["end"])
+
+        behind = F.array_max(F.transform(t["spans"], lambda c: c["end"]))
+        return F.concat(F.array_join(_scan(t["spans"], F.lit(0), step, "string"), ""), _between(t["blocks"], behind, t["size"]))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    masked = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, rest)
-    new = F.when(F.size("__candidates") > 0, masked).otherwise(text)
+    whole = F.struct(spans.alias("spans"), _blocks(text).alias("blocks"), F.length(text).alias("size"))
+    new = F.when(F.size("__candidates") > 0, _let(whole, lambda t: F.when(F.size(t["spans"]) > 0, masked(t)).otherwise(text))).otherwise(text)
     return found.select(*[new.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

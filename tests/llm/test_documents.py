@@ -12,6 +12,7 @@ import pytest
 import regex
 import tiktoken
 from planted import WORDS, prose, sha
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seqloom.llm import byte_bpe, language_id, minhash, packing, pii, queries, substring_dedup
@@ -172,6 +173,38 @@ def test_mask_replaces_spans(docs):
     assert {r.doc_id: r.text for r in masked.collect()} == {1: "to <email> from <ip>!", 2: None, 3: "nothing"}
 
 
+def test_very_many_matches_in_a_long_text(docs):
+    n = 50_000
+    parts = [f"é😀 user{i}@host{i}.org, (555) {i % 900 + 100}-{i % 9000 + 1000}" for i in range(n)]
+    text, at, want = " ".join(parts), 0, []
+    for i, part in enumerate(parts):
+        want.append(f"email:{at + 3}:{at + part.index(',')}")
+        at += len(part) + 1
+    frame = docs([(1, text), (2, "x " * 300_000 + "a@b.com"), (3, "")])
+    rows = {r.doc_id: r for r in pii.detect(frame).collect()}
+    assert rows[1].base_spans == ",".join(want) and rows[1].n_email == n
+    assert rows[2].base_spans == "email:600000:600007" and rows[3].spans == ""
+    spans = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in rows[1].spans.split(","))]
+    assert {k for _, _, k in spans} == {"email", "phone"} and len(spans) == 2 * n
+    out, at = [], 0
+    for a, b, k in spans:
+        out += [text[at:a], f"<{k}>"]
+        at = b
+    masked = {r.doc_id: r.text for r in pii.mask(frame).collect()}
+    assert masked[1] == "".join(out) + text[at:] and masked[2] == "x " * 300_000 + "<email>" and masked[3] == ""
+
+
+def test_wider_candidates_give_way_to_base_spans(docs):
+    rows = [(1, "+1 (415) 555-2671, (415) 555-2671"), (2, "555-555-2671@x.org 415-555-2671"), (3, "415-555-2671 +49 415-555-2671")]
+    spans = pii.candidates(F.col("text"))
+    for r in docs(rows).select("text", spans.alias("c")).collect():
+        base = [(c.start, c.end) for c in r.c if c.base]
+        assert base and all(c.base or all(c.end <= a or b <= c.start for a, b in base) for c in r.c)
+        assert [(c.start, c.kind) for c in r.c] == sorted((c.start, c.kind) for c in r.c)
+    kinds = {r.doc_id: [(c.kind, c.base) for c in r.c] for r in docs(rows).select("doc_id", spans.alias("c")).collect()}
+    assert (0, True) in kinds[2] and (3, False) in kinds[2] and (3, False) in kinds[3]
+
+
 def test_byte_bpe_equals_the_rank_encoder_and_decodes(docs):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = byte_bpe.read_ranks(path)
