@@ -60,6 +60,15 @@ class Decoder:
         data = self.flat[np.arange(total) + np.repeat(self.starts[ids] - (ends - lengths), lengths)]
         return data, np.concatenate([[0], ends])[offsets]
 
+    def spans(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first character, character behind the last) of every token, counted from the start of its text."""
+        data, texts = self.decode(ids, offsets)
+        # Characters that begin before each byte: all bytes but continuation bytes begin one.
+        begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        ends = np.cumsum(self.lengths[ids])
+        before = np.repeat(begun[texts[:-1]], np.diff(offsets))
+        return begun[ends - self.lengths[ids] + 1] - 1 - before, begun[ends] - before
+
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id, ids array<int>`` of every row, in input order and without a shuffle.
@@ -78,6 +87,27 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select(docs["doc_id"].cast("bigint"), docs["text"]).mapInArrow(task, "doc_id bigint, ids array<int>")
 
 
+def with_offsets(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``doc_id, ids, starts array<int>, ends array<int>``: the code points of the text that each token covers, end exclusive.
+
+    A token's span holds every character of which it has a byte, so tokens that share a split character both hold it. An empty
+    text and null ids have empty arrays.
+    """
+    bounded_batches(encoded.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(read_ranks(ranks_path))
+        for batch in batches:
+            ids, offsets = _lists(batch.column(1))
+            starts, ends = decoder.spans(ids, offsets)
+            at = pa.array(offsets.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))) for x in (ids, starts, ends)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["doc_id", "ids", "starts", "ends"])
+
+    columns = "doc_id bigint, ids array<int>, starts array<int>, ends array<int>"
+    return encoded.select(encoded["doc_id"].cast("bigint"), encoded["ids"]).mapInArrow(task, columns)
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, data binary``: the bytes that ``encode`` read; cast to string for the text. Null ids give no bytes."""
     bounded_batches(encoded.sparkSession)

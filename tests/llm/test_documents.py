@@ -217,6 +217,30 @@ def test_byte_bpe_equals_the_rank_encoder_and_decodes(docs):
     assert sorted(r.decoded_sha256 for r in byte_bpe.digest(encoded, path).collect()) == sorted(sha(t or "") for _, t in rows)
 
 
+def test_offsets_of_tokens(docs):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rng = random.Random(11)
+    bits = ["plain words", " é", "😀", "漢字", "\n\n", "'s", " 1234", "\u00a0", "\U0001F9D1\u200D\U0001F680", "x" * 30, "  "]
+    texts = ["", None, "😀", *("".join(rng.choices(bits, k=rng.randrange(1, 30))) for _ in range(40)), "naïve 漢 " * 20_000]
+    frame = docs(list(enumerate(texts)))
+    library = byte_bpe.build_encoder(byte_bpe.read_ranks(path), pattern)
+    decoder = byte_bpe.Decoder(byte_bpe.read_ranks(path))
+    rows = byte_bpe.with_offsets(byte_bpe.encode(frame, path, pattern), path).collect()
+    assert len(rows) == len(texts)
+    shared = 0
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        spans = list(zip(r.starts, r.ends, strict=True))
+        assert spans == library.encode(text, add_special_tokens=False).offsets
+        shared += sum(a[1] > b[0] for a, b in zip(spans, spans[1:]))
+        for i, (a, b) in list(zip(r.ids, spans, strict=True))[:500]:
+            token = decoder.flat[decoder.starts[i] : decoder.starts[i] + decoder.lengths[i]].tobytes()
+            assert token in text[a:b].encode() and len(text[a:b].encode()) <= len(token) + 6
+    assert shared > 0
+    empty = byte_bpe.with_offsets(byte_bpe.encode(frame.filter("false"), path, pattern), path)
+    assert empty.collect() == [] and empty.columns == ["doc_id", "ids", "starts", "ends"]
+
+
 def test_split_characters_decode():
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     ids = [ranks[bytes([b])] for b in "é中".encode()]
