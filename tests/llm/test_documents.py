@@ -248,6 +248,34 @@ def test_split_characters_decode():
     assert data.tobytes() == "é中".encode() and list(ends) == [0, 1, 5]
 
 
+@pytest.mark.parametrize("most", [1, 2, 7, 1000])
+def test_bins_equal_best_fit_by_scanning(most):
+    rng = random.Random(most)
+    for capacity in (1, 5, 64):
+        bins, open_, used = packing.Bins(capacity, most), {}, {}
+        for _ in range(400):
+            size = rng.randint(1, capacity)
+            was_open = dict(open_)
+            fits = [free for free in open_.values() if free >= size]
+            got, offset = bins.place(size)
+            if fits:
+                assert was_open[got] == min(fits)
+            else:
+                assert got not in used
+                if len(open_) >= most:  # one of the fullest has closed
+                    closed = {b for b in open_ if b not in {x for own in bins.by_free for x in own}}
+                    assert len(closed) == 1 and open_[closed.pop()] == min(open_.values())
+                    open_ = {b: f for b, f in open_.items() if b in {x for own in bins.by_free for x in own}}
+            assert offset == used.get(got, 0)
+            used[got] = offset + size
+            open_.pop(got, None)
+            if used[got] < capacity:
+                open_[got] = capacity - used[got]
+            held = {b: free for free, own in enumerate(bins.by_free) for b in own}
+            assert held == open_ and len(held) == bins.open <= most
+            assert bins.free_bits == sum(1 << f for f in set(held.values()))
+
+
 def test_packing_holds_every_token_once(docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     right = Tokenizer.from_file(path)
