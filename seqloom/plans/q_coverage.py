@@ -35,9 +35,11 @@ def _exons(t):
     "alignments", "features",
 )
 def j1(t):
-    pairs = I.overlap_join(_spans(t), _exons(t), min_overlap=10, stranded="same", bin_size=1024)
+    # Reads of one placement join once, so a locus with very many reads is a few rows.
+    places = _spans(t).groupBy("rname", "start", "end", "strand").agg(F.count(F.lit(1)).alias("reads"))
+    pairs = I.overlap_join(places, _exons(t), min_overlap=10, stranded="same", bin_size=1024)
     return pairs.groupBy(F.col("r_transcript_id").alias("transcript_id"), F.col("r_exon_number").alias("exon_number")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("overlap").cast("bigint").alias("shared")
+        F.sum("reads").alias("n"), F.sum(F.col("overlap") * F.col("reads")).alias("shared")
     )
 
 
