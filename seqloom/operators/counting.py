@@ -501,7 +501,7 @@ def infer_experiment(al: DataFrame, genes: DataFrame, *, min_mapq: int = 30, bin
     spans = places.withColumns({"start": cigar.start0(), "end": cigar.end0()})
     side = _merged(genes, ["rname", "strand"])
     hits = overlap_join(spans, side, bin_size=bin_size)
-    per = hits.groupBy(*PLACE, "mate").agg(F.min("r_strand").alias("lo"), F.max("r_strand").alias("hi"), F.max("n").alias("n"))
+    per = hits.groupBy("sample", *PLACE, "mate").agg(F.min("r_strand").alias("lo"), F.max("r_strand").alias("hi"), F.max("n").alias("n"))
     clear = per.filter("lo = hi").groupBy("sample", "mate", "strand", F.col("lo").alias("gene_strand")).agg(F.sum("n").alias("n"))
     return clear.withColumn("fraction", F.col("n") / F.sum("n").over(Window.partitionBy("sample")))
 

@@ -359,3 +359,11 @@ def test_tags_of_a_hot_position_are_cut_by_each_samples_limit(spark):
     assert {(r["sample"], r["strand"]): r["count"] for r in kept.groupBy("sample", "strand").count().collect()} == want and want["s", "+"] < want["t", "+"]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_infer_experiment_keeps_samples_apart(spark):
+    rows = [("a", "r1", 1 + 64, "c", 11, 60, "10M"), ("b", "r2", 1 + 64, "c", 11, 60, "10M"), ("b", "r3", 1 + 64, "c", 11, 60, "10M"), ("b", "r4", 1 + 128, "c", 11, 60, "10M")]
+    al = spark.createDataFrame(rows, "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string")
+    genes = spark.createDataFrame([("c", 0, 100, "+")], "rname string, start int, end int, strand string")
+    got = {(r["sample"], r["mate"]): (r["n"], round(r["fraction"], 6)) for r in X.infer_experiment(al, genes).collect()}
+    assert got == {("a", 1): (1, 1.0), ("b", 1): (2, 0.666667), ("b", 2): (1, 0.333333)}
