@@ -367,3 +367,100 @@ def test_infer_experiment_keeps_samples_apart(spark):
     genes = spark.createDataFrame([("c", 0, 100, "+")], "rname string, start int, end int, strand string")
     got = {(r["sample"], r["mate"]): (r["n"], round(r["fraction"], 6)) for r in X.infer_experiment(al, genes).collect()}
     assert got == {("a", 1): (1, 1.0), ("b", 1): (2, 0.666667), ("b", 2): (1, 0.333333)}
+
+
+@pytest.mark.parametrize("min_overlap,stranded", [(10, "same"), (1, "opposite"), (0, "no")])
+def test_totals_equal_the_pairs(spark, min_overlap, stranded):
+    rng = random.Random(min_overlap)
+    a, ra = intervals(spark, rng, 70)
+    b, rb = intervals(spark, rng, 50)
+    odd = spark.createDataFrame([(900, None, 1, 5, "+"), (901, "a", None, 5, "+"), (902, "a", 5, 5, "+"), (903, "a", 1, 2000, None)], a.schema)
+    ra, rb = ra + [tuple(r) for r in odd.collect()], rb + [tuple(r) for r in odd.collect()]
+    a, b = a.unionByName(odd), b.unionByName(odd).withColumn("w", F.col("id") % 3)
+
+    def bases(x, y):
+        if None in x[1:4] + y[1:4] or x[1] != y[1]:
+            return None
+        if stranded != "no" and (None in (x[4], y[4]) or (x[4] == y[4]) != (stranded == "same")):
+            return None
+        shared = min(x[3], y[3]) - max(x[2], y[2])
+        return shared if shared >= min_overlap else None
+
+    got = I.overlap_join(a, b, how="left", key=["id"], min_overlap=min_overlap, stranded=stranded, per="left", weight="w")
+    assert "strand" in got.columns and "w" not in got.columns
+    want = {x[0]: [(y[0] % 3, bases(x, y)) for y in rb if bases(x, y) is not None] for x in ra}
+    assert {r["id"]: (r["n"], r["shared"]) for r in got.collect()} == {i: (sum(w for w, _ in p), sum(w * s for w, s in p)) for i, p in want.items()}
+    got = I.overlap_join(a, b, min_overlap=min_overlap, stranded=stranded, per="right")
+    want = {y[0]: [bases(x, y) for x in ra if bases(x, y) is not None] for y in rb}
+    assert {r["id"]: (r["n"], r["shared"]) for r in got.collect()} == {i: (len(p), sum(p)) for i, p in want.items() if p}
+    semi = I.overlap_join(a, b, how="semi", key=["id"], min_overlap=min_overlap, stranded=stranded)
+    assert {r["id"] for r in semi.collect()} == {x[0] for x in ra if any(bases(x, y) is not None for y in rb)}
+
+
+@pytest.mark.parametrize("fraction,stranded", [(0.5, "no"), (1.0, "same")])
+def test_semi_and_anti_by_fraction(spark, fraction, stranded):
+    rng = random.Random(int(fraction * 10))
+    a, ra = intervals(spark, rng, 150, longest=900)
+    b, rb = intervals(spark, rng, 40, longest=300)
+    ok = {"no": lambda x, y: True, "same": lambda x, y: x == y, "opposite": lambda x, y: x != y}[stranded]
+    hit = {
+        x[0] for x in ra for y in rb
+        if x[1] == y[1] and ok(x[4], y[4]) and min(x[3], y[3]) - max(x[2], y[2]) >= max(1, fraction * (x[3] - x[2]))
+    }
+    opts = dict(key=["id"], min_fraction=fraction, stranded=stranded, bin_size=128)
+    assert 0 < len(hit) < len(ra)
+    assert {r["id"] for r in I.overlap_join(a, b, how="semi", **opts).collect()} == hit
+    assert {r["id"] for r in I.overlap_join(a, b, how="anti", **opts).collect()} == {x[0] for x in ra} - hit
+
+
+def test_join_of_a_crowd_forms_no_pairs(spark):
+    # 4 x 10^10 pairs share one locus.
+    reads = spark.range(200_000).selectExpr("id", "'c' rname", "cast(id % 50 as int) start", "cast(id % 50 + 100 as int) end", "'+' strand")
+    left = I.overlap_join(reads, reads, how="left", key=["id"], per="left")
+    assert left.filter("n = 200000").count() == 200_000
+    assert I.overlap_join(reads, reads, how="semi", key=["id"], min_overlap=90).count() == 200_000
+    assert I.overlap_join(reads, reads, how="anti", key=["id"], min_fraction=0.6).count() == 0
+    assert I.nearest(reads, reads, max_distance=10, key=["id"]).filter("distance = 0 and r_start = 0").count() == 200_000
+
+
+@pytest.mark.parametrize("stranded", ["no", "opposite"])
+def test_nearest_is_brute_force(spark, stranded):
+    rng = random.Random(5)
+    a, ra = intervals(spark, rng, 80, span=9000, longest=60)
+    b, rb = intervals(spark, rng, 60, span=9000, longest=60)
+    ok = {"no": lambda x, y: True, "same": lambda x, y: x == y, "opposite": lambda x, y: x != y}[stranded]
+    want = {}
+    for x in ra:
+        near = [(max(0, max(x[2], y[2]) - min(x[3], y[3])), y[2], y[3], y[0]) for y in rb if x[1] == y[1] and ok(x[4], y[4])]
+        near = [n for n in near if n[0] <= 150]
+        if near:
+            want[x[0]] = min(near)
+    got = I.nearest(a, b.drop("strand") if stranded == "no" else b, max_distance=150, key=["id"], stranded=stranded)
+    assert {r["id"]: (r["distance"], r["r_start"], r["r_end"], r["r_id"]) for r in got.collect()} == want
+
+
+def test_region_counts_repeat_and_merge(spark):
+    al = spark.createDataFrame(
+        [("s", f"r{i}", 0, "c", p, 60, "50M", "*", 0, 0) for i, p in enumerate([1, 1, 101, 190, 400])],
+        "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int",
+    )
+    regions = spark.createDataFrame([("x", "c", 0, 20), ("x", "c", 0, 20), ("x", "c", 120, 130), ("y", "c", 10, 220), ("z", "c", 900, 950)], "name string, rname string, start int, end int")
+    plain = {(r["name"], r["start"]): r["n"] for r in C.region_counts(al, regions, samples=["s"]).collect()}
+    assert plain == {("x", 0): 4, ("x", 120): 1, ("y", 10): 4, ("z", 900): 0}
+    merged = {r["name"]: r["n"] for r in C.region_counts(al, regions, samples=["s"], metagene=True).collect()}
+    assert merged == {"x": 3, "y": 4, "z": 0}
+
+
+@pytest.mark.parametrize("opts", [dict(group="transcript_id", strandness=1), dict(per_feature=True, read_to=5)])
+def test_sole_targets_by_sums_equal_the_pairs(spark, monkeypatch, opts):
+    rng = random.Random(3)
+    reads = [("s", f"r{i // 2}", rng.choice([0, 16, 65, 129]), "c", rng.randrange(1, 900), 60, rng.choice(["30M", "20M60N20M"]), "=", 5, 0, 1) for i in range(120)]
+    al = spark.createDataFrame(reads, "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, nh int")
+    exons = [("c", s, s + rng.randrange(5, 60), rng.choice("+-"), f"g{i % 9}", f"t{i % 14}") for i, s in enumerate(rng.randrange(1000) for _ in range(25))]
+    features = spark.createDataFrame(exons, "rname string, start int, end int, strand string, gene_id string, transcript_id string")
+    got = []
+    for crowded in (10**9, 0):
+        monkeypatch.setattr(X, "CROWDED", crowded)
+        rows = [X.feature_counts(al, features, samples=["s"], **opts), X.read_assignments(al, features, **opts)]
+        got.append([sorted(map(tuple, r.collect()), key=repr) for r in rows])
+    assert got[0] == got[1] and any(r[2] for r in got[0][0])
