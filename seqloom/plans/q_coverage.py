@@ -37,10 +37,8 @@ def _exons(t):
 def j1(t):
     # Reads of one placement join once, so a locus with very many reads is a few rows.
     places = _spans(t).groupBy("rname", "start", "end", "strand").agg(F.count(F.lit(1)).alias("reads"))
-    pairs = I.overlap_join(places, _exons(t), min_overlap=10, stranded="same", bin_size=1024)
-    return pairs.groupBy(F.col("r_transcript_id").alias("transcript_id"), F.col("r_exon_number").alias("exon_number")).agg(
-        F.sum("reads").alias("n"), F.sum(F.col("overlap") * F.col("reads")).alias("shared")
-    )
+    exons = I.overlap_join(places, _exons(t), min_overlap=10, stranded="same", bin_size=1024, per="right", weight="reads")
+    return exons.groupBy("transcript_id", "exon_number").agg(F.sum("n").alias("n"), F.sum("shared").alias("shared"))
 
 
 @BOOK.add(
@@ -69,8 +67,10 @@ def j1c(t):
     "alignments", "features",
 )
 def j1d(t):
-    out = I.overlap_join(_spans(t), _exons(t), how="left", stranded="opposite", key=["aln_id"], bin_size=2048)
-    return out.groupBy("aln_id").agg(F.count("r_transcript_id").alias("n"), F.coalesce(F.sum("overlap"), F.lit(0)).cast("bigint").alias("shared"))
+    # A pair counts where the exon has a transcript, as its name is what is counted.
+    named = _exons(t).filter("transcript_id is not null")
+    out = I.overlap_join(_spans(t), named, how="left", stranded="opposite", key=["aln_id"], bin_size=2048, per="left")
+    return out.groupBy("aln_id").agg(F.sum("n").alias("n"), F.sum("shared").alias("shared"))
 
 
 @BOOK.add(
