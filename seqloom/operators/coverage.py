@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cigar, flags
 from ..functions.joins import join_small
 from ..options import choice, fail_when, positive
-from .intervals import TILE, bin_of, explode_range, grid, join_equal_runs, overlap_join, step_runs, with_samples
+from .intervals import TILE, bin_of, explode_range, grid, join_equal_runs, merge_intervals, overlap_join, step_runs, with_samples
 
 RUN_KEY = ("sample", "rname")
 
@@ -155,15 +155,22 @@ def region_counts(
 ) -> DataFrame:
     """Reads overlapping each region (``name``); with ``metagene`` regions of one name count a read once."""
     reads = placements(read_filters(al, **filters)).withColumns({"start": cigar.start0(), "end": cigar.end0()})
-    target = ["r_name"] if metagene else ["r_name", "rname", "r_start", "r_end"]
-    hits = overlap_join(reads, regions.select("rname", "start", "end", "name"), bin_size=bin_size)
+    spots = regions.select("name", "rname", "start", "end")
     if metagene:
-        hits = hits.groupBy("sample", "rname", "pos", "cigar", "strand", "r_name").agg(F.max("n").alias("n"))
-    counted = hits.groupBy("sample", *target).agg(F.sum("n").alias("n"))
-    names = regions.select("name").distinct() if metagene else regions.select("name", "rname", "start", "end").distinct()
-    keys = ["sample", *names.columns]
-    counted = counted.withColumnsRenamed({"r_name": "name", "r_start": "start", "r_end": "end"})
-    return with_samples(names, samples).join(counted, keys, "left").na.fill(0, ["n"])
+        # Regions of one name are merged; a read counts at the first one it meets: the one before that ends at or before the read's start.
+        spots = merge_intervals(spots.filter("end > start and name is not null"), by=["rname", "name"]).drop("n")
+        spots = spots.withColumn("before", F.lag("end").over(Window.partitionBy("rname", "name").orderBy("start")))
+        hits = overlap_join(reads, spots, bin_size=bin_size).filter("r_before is null or start >= r_before")
+        counted = hits.groupBy("sample", F.col("r_name").alias("name")).agg(F.sum("n").alias("n"))
+        names = regions.select("name").distinct()
+    else:
+        # A region that is given several times counts its reads as often.
+        spots = spots.groupBy(*spots.columns).agg(F.count(F.lit(1)).alias("times"))
+        reads = reads.groupBy("sample", "rname", "start", "end").agg(F.sum("n").alias("reads"))
+        hits = overlap_join(reads, with_samples(spots, samples), by=["sample"], per="right", weight="reads")
+        counted = hits.select("sample", "name", "rname", "start", "end", (F.col("n") * F.col("times")).alias("n"))
+        names = spots.drop("times")
+    return with_samples(names, samples).join(counted, ["sample", *names.columns], "left").na.fill(0, ["n"])
 
 
 def extend_reads(al: DataFrame, *, length: int | None = None) -> DataFrame:
