@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import cigar, flags
 from ..functions.stats import exact_medians
 from ..options import choice, positive
-from .intervals import merge_intervals, overlap_join, with_samples
+from .intervals import merge_intervals, overlap_join, partners, with_samples
 from .templates import placed_units
 
 PLACE = ["rname", "pos", "cigar", "strand"]
 #: Different placements in one bin of the range join beyond which the bin is split over more tasks.
 HOT_ROWS = 500_000
+#: Targets over a base, on average, beyond which the units' targets are told by running sums and no longer by pairs.
+CROWDED = 16
 
 
 def _n() -> Column:
@@ -118,8 +120,12 @@ def assign_units(
     no_chimeras: bool = False,
     aliases: Mapping[str, str] | None = None,
     bin_size: int = 4096,
+    sole: bool = False,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(counting units with ``n`` and ``why`` they are left out; hits per unit and target with ``n``; unit key columns)."""
+    """(counting units with ``n`` and ``why`` they are left out; hits per unit and target with ``n``; unit key columns).
+
+    With ``sole`` the hits are one row per unit: ``n_targets`` (more than one: 2 or their number), ``n``, and the ``target`` of a unit with one.
+    """
     choice("strandness", strandness, (0, 1, 2))
     choice("read_to", read_to, (None, 5, 3))
     if aliases:
@@ -160,16 +166,55 @@ def assign_units(
         side = _merged(side, ["rname", "strand", "target"])
     how = {0: "no", 1: "same", 2: "opposite"}[strandness]
     # A negative minimum lets a read lie that far from its target.
-    hits = overlap_join(_touch(good, ext5, ext3, read_to), side, stranded=how, min_overlap=min(min_overlap, 1), bin_size=bin_size, hot_rows=HOT_ROWS)
+    touched = _touch(good, ext5, ext3, read_to)
+    if sole and min_overlap == 1 and _crowded(side):
+        return units, _sole_targets(touched, side, how, key), key
+    hits = overlap_join(touched, side, stranded=how, min_overlap=min(min_overlap, 1), bin_size=bin_size, hot_rows=HOT_ROWS)
     shared = F.sum(F.greatest("overlap", F.lit(0))).alias("bases")
     per = hits.groupBy(*key, F.col("r_target").alias("target")).agg(shared, F.max("n").alias("n"))
     per = per.filter(F.col("bases") >= min_overlap)
-    return units, per, key
+    return units, _targets(per, key) if sole else per, key
+
+
+def _targets(hits: DataFrame, key: list[str]) -> DataFrame:
+    return hits.groupBy(*key).agg(F.count(F.lit(1)).alias("n_targets"), F.min("target").alias("target"), F.max("n").alias("n"))
 
 
-def _unit_status(units: DataFrame, hits: DataFrame, key: list[str], multi_overlap: bool) -> DataFrame:
-    found = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("n_targets"), F.min("target").alias("target"))
-    out = units.join(found, key, "left")
+def _crowded(side: DataFrame) -> bool:
+    """Whether many targets lie over a base of the covered ones, on average (one job over the targets)."""
+    size = F.sum((F.col("end") - F.col("start")).cast("double")).alias("size")
+    real = side.filter("end > start")
+    given = real.agg(size).first()["size"] or 0.0
+    covered = merge_intervals(real.select("rname", "start", "end")).agg(size).first()["size"] or 1.0
+    return given > CROWDED * covered
+
+
+def _sole_targets(touched: DataFrame, side: DataFrame, how: str, key: list[str]) -> DataFrame:
+    """Per unit whether it meets one target, and which, from running sums of two 31-bit halves of the targets' hashes.
+
+    Numbers are all equal where their count times the sum of their squares is the square of their sum. Only targets with the same 62 bits would be taken for one.
+    """
+    digest = F.xxhash64("target")
+    halves = {"x": digest.bitwiseAND(0x7FFFFFFF), "y": F.shiftrightunsigned(digest, 33)}
+    side = side.withColumns(halves)
+    wide = {c: F.col(c).cast("decimal(10,0)") for c in halves}
+    sums = {**wide, **{f"{c}2": w * w for c, w in wide.items()}}
+    rows = touched.select(*dict.fromkeys([*key, "rname", "strand", "start", "end"]), F.col("n").alias("units"))
+    met = partners(rows, side, stranded=how, sums=sums, shared=False).filter("n > 0")
+    per = met.groupBy(*key).agg(F.sum("n").cast("decimal(18,0)").alias("hits"), *[F.sum(s).cast("decimal(38,0)").alias(s) for s in sums], F.max("units").alias("n"))
+    alone = F.lit(True)
+    for c in halves:
+        alone = alone & (F.col("hits") * F.col(f"{c}2") == F.col(c) * F.col(c))
+    # A unit of several targets gets numbers that no target has, spread over the tasks.
+    none = -1 - F.pmod(F.xxhash64(*key), F.lit(100_000))
+    told = per.select(*key, "n", alone.alias("alone"), *[(F.col(c) / F.col("hits")).cast("bigint").alias(c) for c in halves])
+    told = told.withColumns({c: F.when(F.col("alone"), F.col(c)).otherwise(none) for c in halves})
+    names = side.groupBy(*halves).agg(F.min("target").alias("target"))
+    return told.join(names, list(halves), "left").select(*key, F.when(F.col("alone"), 1).otherwise(2).cast("bigint").alias("n_targets"), "target", "n")
+
+
+def _unit_status(units: DataFrame, found: DataFrame, key: list[str], multi_overlap: bool) -> DataFrame:
+    out = units.join(found.drop("n"), key, "left")
     status = F.coalesce(
         F.col("why"),
         F.when(F.col("n_targets").isNull(), "Unassigned_NoFeatures")
@@ -184,11 +229,10 @@ def feature_counts(al: DataFrame, features: DataFrame, *, samples: Sequence[str]
 
     A unit on several targets counts for none, or with ``multi_overlap`` for all of them.
     """
-    _, hits, key = assign_units(al, features, **opts)
+    _, hits, key = assign_units(al, features, sole=not multi_overlap, **opts)
     # The hits carry the multiplicity, so counting never joins back to the units.
     if not multi_overlap:
-        one = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("k"), F.min("target").alias("target"), F.max("n").alias("n"))
-        hits = one.filter("k = 1")
+        hits = hits.filter("n_targets = 1")
     counted = hits.groupBy("sample", "target").agg(F.sum("n").alias("n"))
     wanted = features.filter(F.col("feature") == opts.get("feature", "exon")) if "feature" in features.columns else features
     if opts.get("per_feature"):
@@ -201,8 +245,8 @@ def feature_counts(al: DataFrame, features: DataFrame, *, samples: Sequence[str]
 
 def assignment_summary(al: DataFrame, features: DataFrame, *, multi_overlap: bool = False, **opts) -> DataFrame:
     """Units per sample and assignment status."""
-    units, hits, key = assign_units(al, features, **opts)
-    done = _unit_status(units, hits, key, multi_overlap)
+    units, hits, key = assign_units(al, features, sole=not multi_overlap, **opts)
+    done = _unit_status(units, _targets(hits, key) if multi_overlap else hits, key, multi_overlap)
     return done.groupBy("sample", "status").agg(F.sum("n").alias("n"))
 
 
@@ -210,8 +254,8 @@ def read_assignments(al: DataFrame, features: DataFrame, *, multi_overlap: bool
     """Per record: name, status, number of targets and the (smallest) target name; single-read units only."""
     if opts.get("fragments"):
         raise ValueError("read_assignments works on single reads")
-    units, hits, key = assign_units(al, features, **opts)
-    found = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("n_targets"), F.min("target").alias("target"))
+    _, found, key = assign_units(al, features, sole=not multi_overlap, **opts)
+    found = (_targets(found, key) if multi_overlap else found).drop("n")
     names = ("multi", "primary", "min_mapq", "ignore_dup", "split_only", "both_mapped", "no_chimeras")
     defaults = {n: 0 if n == "min_mapq" else False for n in names}
     why = _read_status(
