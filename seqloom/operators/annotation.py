@@ -251,6 +251,17 @@ def _introns(exons: DataFrame) -> DataFrame:
     )
 
 
+def _overlapping_exons(exons: DataFrame) -> DataFrame:
+    """Names of transcripts with exons that overlap, are empty or lie on several sequences or strands; windows hold one transcript's exons."""
+    whole = Window.partitionBy("transcript_id")
+    before = F.max("end").over(whole.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    place = F.struct("rname", "strand")
+    mixed = ~F.min(place).over(whole).eqNullSafe(F.max(place).over(whole))
+    unclear = F.col("start").isNull() | F.col("end").isNull() | F.coalesce(F.col("start") < before, F.lit(False))
+    judged = exons.withColumn("_odd", unclear | F.coalesce(F.col("end") <= F.col("start"), F.lit(False)) | mixed)
+    return judged.filter("_odd").select("transcript_id").distinct()
+
+
 def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, bin_size: int = 4096) -> DataFrame:
     """Best class code per query transcript against a reference annotation (both as exon rows).
 
@@ -287,17 +298,26 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
     runs = runs.join(r.select(F.col("transcript_id").alias("ref"), F.col("start").alias("rs"), F.col("end").alias("re")), "ref")
     add(runs.filter("k = n_exon - 1 and hi - lo + 1 = k and qs >= rs and qe <= re"), "c")
     single = q.filter("n_exon = 1").select(*exon)
-    on_exon = overlap_join(single, r_ex, stranded="same", bin_size=bin_size)
-    add(on_exon.filter("start >= r_start and end <= r_end"), "c")
-    on_intron = overlap_join(single, r_in.select(*exon), stranded="same", min_overlap=10, bin_size=bin_size)
+    within = dict(how="semi", key=["transcript_id"], stranded="same", min_fraction=1.0, bin_size=bin_size)
+    add(overlap_join(single, r_ex, **within), "c")
+    # Over an exon and 10 bases of an intron of one transcript: where its exons are apart, that is 10 bases of an intron that does not
+    # hold the query, so the intron begins behind the query's start or ends before its end. Other transcripts are met exon by exon.
+    odd = _overlapping_exons(r_ex)
+    gaps = r_in.join(odd, "transcript_id", "left_anti").filter("transcript_id is not null and end - start >= 10")
+    for at, first, last in (("start", F.col("start") + 1, F.col("end") - 9), ("end", F.col("start") + 10, F.col("end"))):
+        spots = gaps.select("rname", "strand", F.col(at).alias("start"), (F.col(at) + 1).alias("end")).distinct()
+        reach = single.select("transcript_id", "rname", "strand", first.alias("start"), last.alias("end"))
+        add(overlap_join(reach, spots, how="semi", key=["transcript_id"], stranded="same", bin_size=bin_size), "e")
+    on_exon = overlap_join(single, r_ex.join(odd, "transcript_id", "left_semi"), stranded="same", bin_size=bin_size)
+    odd_in = r_in.select(*exon).join(odd, "transcript_id", "left_semi")
+    on_intron = overlap_join(single, odd_in, stranded="same", min_overlap=10, bin_size=bin_size)
     both = on_exon.select("transcript_id", "r_transcript_id").distinct().join(
         on_intron.select("transcript_id", "r_transcript_id").distinct(), ["transcript_id", "r_transcript_id"], "left_semi"
     )
     add(both, "e")
     spans = q.select(*exon)
     introns = r_in.select("rname", "start", "end", "strand").distinct()
-    inside = overlap_join(spans, introns, stranded="same", bin_size=bin_size)
-    add(inside.filter("start >= r_start and end <= r_end"), "i")
+    add(overlap_join(spans, introns, **within), "i")
     exons = merged(r_ex)
     add(overlap_join(q_ex, exons, stranded="same", bin_size=bin_size), "o")
     add(overlap_join(spans, merged(r), stranded="same", min_overlap=-run_on, bin_size=bin_size), "p")

@@ -55,3 +55,16 @@ def test_class_codes_come_once_per_transcript(spark):
     query = [("a", 100, 160, "+", "same"), ("a", 300, 360, "+", "same"), ("a", 500, 560, "+", "same"), ("a", 150, 170, "+", "touch"), ("a", 310, 340, "-", "other"), ("a", 200, 240, "+", "inside"), ("b", 1, 9, "+", "far")]
     got = {r["transcript_id"]: r["class_code"] for r in A.class_codes(spark.createDataFrame(query, exon), reference).collect()}
     assert got == {"same": "=", "touch": "e", "other": "x", "inside": "i", "far": "u"}
+
+
+def test_exon_and_intron_of_one_transcript(spark):
+    cols = "transcript_id string, rname string, start int, end int, strand string"
+    ref = [("t1", "c", 0, 100, "+"), ("t1", "c", 200, 300, "+"), ("t2", "c", 1000, 1100, "+"), ("t2", "c", 1010, 1020, "+"), ("t2", "c", 1200, 1300, "+")]
+    query = {"left": (90, 115), "near": (90, 109), "right": (185, 250), "in": (120, 150), "over": (50, 260), "odd": (1030, 1080), "odd_c": (1205, 1300), "far": (5000, 5010)}
+    q = spark.createDataFrame([(n, "c", s, e, "+") for n, (s, e) in query.items()], cols)
+    out = A.class_codes(q, spark.createDataFrame(ref, cols), run_on=5)
+    got = {r["transcript_id"]: r["class_code"] for r in out.collect()}
+    assert got == {"left": "e", "near": "o", "right": "e", "in": "i", "over": "e", "odd": "c", "odd_c": "c", "far": "u"}
+    # One row per query and code: crowds of equal exons form no pairs.
+    crowd = spark.range(60_000).selectExpr("concat('r', id) transcript_id", "'c' rname", "cast(0 as int) start", "cast(100 as int) end", "'+' strand")
+    assert A.class_codes(crowd, crowd).filter("class_code = 'c'").count() == 60_000
