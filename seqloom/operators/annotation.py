@@ -299,7 +299,7 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
     add(runs.filter("k = n_exon - 1 and hi - lo + 1 = k and qs >= rs and qe <= re"), "c")
     single = q.filter("n_exon = 1").select(*exon)
     within = dict(how="semi", key=["transcript_id"], stranded="same", min_fraction=1.0, bin_size=bin_size)
-    add(overlap_join(single, r_ex, **within), "c")
+    add(overlap_join(single, r_ex.filter("end is not null"), **within), "c")
     # Over an exon and 10 bases of an intron of one transcript: where its exons are apart, that is 10 bases of an intron that does not
     # hold the query, so the intron begins behind the query's start or ends before its end. Other transcripts are met exon by exon.
     odd = _overlapping_exons(r_ex)
@@ -308,9 +308,11 @@ def class_codes(query: DataFrame, reference: DataFrame, *, run_on: int = 2000, b
         spots = gaps.select("rname", "strand", F.col(at).alias("start"), (F.col(at) + 1).alias("end")).distinct()
         reach = single.select("transcript_id", "rname", "strand", first.alias("start"), last.alias("end"))
         add(overlap_join(reach, spots, how="semi", key=["transcript_id"], stranded="same", bin_size=bin_size), "e")
-    on_exon = overlap_join(single, r_ex.join(odd, "transcript_id", "left_semi"), stranded="same", bin_size=bin_size)
-    odd_in = r_in.select(*exon).join(odd, "transcript_id", "left_semi")
-    on_intron = overlap_join(single, odd_in, stranded="same", min_overlap=10, bin_size=bin_size)
+    def pairs(ref: DataFrame, **opts) -> DataFrame:
+        met = overlap_join(single, ref.join(odd, "transcript_id", "left_semi"), stranded="same", bin_size=bin_size, **opts)
+        return met.unionByName(overlap_join(single.filter("end is null"), ref, stranded="same", bin_size=bin_size, **opts).select(*met.columns))
+
+    on_exon, on_intron = pairs(r_ex), pairs(r_in.select(*exon), min_overlap=10)
     both = on_exon.select("transcript_id", "r_transcript_id").distinct().join(
         on_intron.select("transcript_id", "r_transcript_id").distinct(), ["transcript_id", "r_transcript_id"], "left_semi"
     )

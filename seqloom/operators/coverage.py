@@ -158,9 +158,15 @@ def region_counts(
     spots = regions.select("name", "rname", "start", "end")
     if metagene:
         # Regions of one name are merged; a read counts at the first one it meets: the one before that ends at or before the read's start.
-        spots = merge_intervals(spots.filter("end > start and name is not null"), by=["rname", "name"]).drop("n")
+        # Names with a region that has no end meet the reads region by region.
+        named = spots.filter("name is not null")
+        open_ = named.filter(F.col("end").isNull()).select("name").distinct()
+        apart = overlap_join(reads, named.join(open_, "name", "left_semi"), bin_size=bin_size)
+        apart = apart.groupBy("sample", "rname", "pos", "cigar", "strand", "r_name").agg(F.max("n").alias("n"))
+        spots = merge_intervals(named.join(open_, "name", "left_anti").filter("end > start"), by=["rname", "name"]).drop("n")
         spots = spots.withColumn("before", F.lag("end").over(Window.partitionBy("rname", "name").orderBy("start")))
         hits = overlap_join(reads, spots, bin_size=bin_size).filter("r_before is null or start >= r_before")
+        hits = hits.select("sample", "r_name", "n").unionByName(apart.select("sample", "r_name", "n"))
         counted = hits.groupBy("sample", F.col("r_name").alias("name")).agg(F.sum("n").alias("n"))
         names = regions.select("name").distinct()
     else:
@@ -168,7 +174,7 @@ def region_counts(
         spots = spots.groupBy(*spots.columns).agg(F.count(F.lit(1)).alias("times"))
         reads = reads.groupBy("sample", "rname", "start", "end").agg(F.sum("n").alias("reads"))
         hits = overlap_join(reads, with_samples(spots, samples), by=["sample"], per="right", weight="reads")
-        counted = hits.select("sample", "name", "rname", "start", "end", (F.col("n") * F.col("times")).alias("n"))
+        counted = hits.groupBy("sample", "name", "rname", "start", "end").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
         names = spots.drop("times")
     return with_samples(names, samples).join(counted, ["sample", *names.columns], "left").na.fill(0, ["n"])
 

@@ -62,6 +62,7 @@ def overlap_join(
 
     ``per`` (``left`` or ``right``) gives, instead of pairs, the rows of that side with ``n`` partners and the ``shared`` bases of all of them; the other
     side's column ``weight`` is the multiplicity of its rows. Rows without a partner come with zeros under ``how="left"``, else not at all.
+    A row that meets intervals without an end comes a second time with the totals of these, so totals are to be summed by the caller's key.
     Totals, ``semi`` and ``anti`` come from running sums along the sequence, so a crowded locus costs no pairs; bins, salt and ``hot_rows`` do not matter there.
     """
     choice("how", how, ("inner", "left", "semi", "anti"))
@@ -76,14 +77,21 @@ def overlap_join(
             raise ValueError(f"per={per!r} goes with how='inner' and, for the left side, how='left', without min_fraction")
         one, other = (left, right) if per == "left" else (right, left)
         out = partners(one, other, min_overlap=min_overlap, stranded=stranded, by=by, weight=weight)
-        return out if how == "left" else out.filter("n > 0")
+        out = out if how == "left" else out.filter("n > 0")
+        more = _open_pairs(left, right, min_overlap=min_overlap, stranded=stranded, bin_size=bin_size, by=by)
+        once = {"rname", *by}
+        mine = [F.col(c if per == "left" or c in once else f"r_{c}").alias(c) for c in one.columns]
+        times = F.lit(1) if weight is None else F.col(weight if per == "right" or weight in once else f"r_{weight}")
+        return out.unionByName(more.groupBy(*mine).agg(F.sum(times).alias("n"), F.sum(F.col("overlap") * times).cast("bigint").alias("shared")))
     if how != "inner" and not key:
         raise ValueError(f"how={how!r} needs key columns of the left side")
     if how in ("semi", "anti") and not (min_fraction > 0 and stranded == "opposite"):
         if min_fraction > 0:
             matched = _covered(left, right, min_overlap, min_fraction, stranded, by, bin_size, key)
         else:
-            matched = partners(left, right, min_overlap=min_overlap, stranded=stranded, by=by).filter("n > 0").select(*key).distinct()
+            matched = partners(left, right, min_overlap=min_overlap, stranded=stranded, by=by).filter("n > 0").select(*key)
+        more = _open_pairs(left, right, min_overlap=min_overlap, min_fraction=min_fraction, stranded=stranded, bin_size=bin_size, by=by)
+        matched = matched.unionByName(more.select(*key)).distinct()
         return left.join(matched, list(key), f"left_{how}")
     reach = max(0, -min_overlap)
     # Intervals that only touch meet in the bin of the base behind the first one.
@@ -123,6 +131,12 @@ def overlap_join(
     return alone if how == "anti" else pairs.unionByName(alone, allowMissingColumns=True)
 
 
+def _open_pairs(left: DataFrame, right: DataFrame, **opts) -> DataFrame:
+    """Pairs in which a side's end is NULL; such an interval meets what it overlaps in the bin of its start."""
+    met = overlap_join(left.filter(F.col("end").isNull()), right, **opts)
+    return met.unionByName(overlap_join(left.filter(F.col("end").isNotNull()), right.filter(F.col("end").isNull()), **opts))
+
+
 def _split_hot(a: DataFrame, b: DataFrame, on: Sequence[str], columns: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_part``: left rows dealt over the parts of their bin by a hash, right rows once per part."""
     counted = a.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
@@ -247,7 +261,7 @@ def _covered(
     start, end = F.col("start").cast("bigint"), F.col("end").cast("bigint")
     side = right.select(*group, start.alias("start"), end.alias("end")).filter("end is not null and start is not null").distinct()
     need = F.greatest(F.lit(min_overlap).cast("bigint"), F.ceil((F.col("end") - F.col("start")) * F.lit(min_fraction)))
-    rows = left.select(*dict.fromkeys([*key, *group, "start", "end"])).withColumn("_need", need).filter("_need is not null")
+    rows = left.select(*dict.fromkeys([*key, *group, "start", "end"])).withColumn("_need", need).filter("start is not null and end is not null")
     ahead = side.select(*group, F.col("start").alias("pos"), F.col("end").alias("_reach"))
     behind = side.select(*group, (-F.col("end")).alias("pos"), F.col("start").alias("_from"))
     rows = look_up(rows, ahead, {"_reach": "max"}, {"p": (start, ["_reach"])}, by=group)
@@ -277,7 +291,7 @@ def nearest(
     """Closest right interval within ``max_distance`` per left ``key`` (ties: smaller start, end), with ``distance``.
 
     Of the right intervals ending at or behind a row's start the least one either meets the row or is the first behind it; of those ending before,
-    the last one counts. Both are running values, so no pairs are formed. ``bin_size`` no longer matters.
+    the last one counts. Both are running values, so no pairs are formed but with intervals that have no end.
     """
     choice("stranded", stranded, ("no", "same", "opposite"))
     rest = [c for c in right.columns if c not in ("rname", "start", "end")]
@@ -299,7 +313,11 @@ def nearest(
     found = both.select(*key, "start", "end", F.explode(F.array(F.col("m__b"), F.col("l__b._b"))).alias("r")).filter("r is not null")
     overlap = F.least("end", "r.r_end") - F.greatest("start", "r.r_start")
     found = found.withColumn("distance", F.greatest(-overlap, F.lit(0))).filter(F.col("distance") <= max_distance)
-    best = F.min(F.struct("distance", "r.r_start", "r.r_end", *[f"r.r_{c}" for c in rest])).alias("b")
+    picked = ["distance", "r_start", "r_end", *[f"r_{c}" for c in rest]]
+    near = _open_pairs(left, right, min_overlap=-max_distance, stranded=stranded, bin_size=bin_size)
+    near = near.withColumn("distance", F.greatest(-F.col("overlap"), F.lit(0))).select(*key, *picked)
+    found = found.select(*key, "distance", *[f"r.{c}" for c in picked[1:]]).unionByName(near)
+    best = F.min(F.struct(*picked)).alias("b")
     return found.groupBy(*key).agg(best).select(*key, "b.*")
 
 
