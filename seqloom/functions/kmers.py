@@ -33,14 +33,24 @@ def distinct_kmers(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.nd
         # At least one row; a long one by itself.
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, side="right")) - 1)
         values, rows = _packed(data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row], k)
-        order = np.lexsort((values, rows))
-        values, rows = values[order], rows[order]
+        values, rows = _ordered(values, rows, stop - row, k)
         first = np.ones(len(values), bool)
         first[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
         yield rows[first] + row, values[first]
         row = stop
 
 
+def _ordered(values: np.ndarray, rows: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    size = len(LETTERS) ** k
+    if n * size < 1 << 63:
+        # Both numbers in one sort as one, at a fraction of the time.
+        both = np.sort(rows * size + values)
+        rows = both // size
+        return both - rows * size, rows
+    order = np.lexsort((values, rows))
+    return values[order], rows[order]
+
+
 def _packed(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     n = max(len(data) - k + 1, 0)
     digits = _DIGIT[data]

@@ -183,6 +183,8 @@ def read_duplication(df: DataFrame, *, by: str = "seq") -> DataFrame:
 
 #: Bits of the filter over a genome's k-mers at most (16 MB); a larger genome is joined without one.
 MOST_FILTER_BITS = 1 << 27
+#: Bytes of a table of every possible k-mer at most; with more (five to twelve letters, by the number of sets) k-mers are joined.
+MOST_TABLE_BYTES = 1 << 26
 
 
 def _kmer_length(k: int) -> None:
@@ -197,14 +199,19 @@ def _genome_pieces(genome: DataFrame, k: int) -> DataFrame:
     return whole.select("rname", F.concat("seq", F.coalesce("head", F.lit(""))).alias("text"))
 
 
+def _named_pieces(genome: DataFrame, k: int, names: Sequence[str]) -> DataFrame:
+    """(bit, text) of the named sequences."""
+    bit = F.element_at(F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, 1 << i)]), F.col("rname")).cast("bigint")
+    return _genome_pieces(genome, k).select(bit.alias("bit"), "text").filter("bit is not null")
+
+
 def genome_kmers(genome: DataFrame, *, k: int, names: Sequence[str]) -> DataFrame:
     """(kmer, mask): bit i of the mask is set when the k-mer occurs in sequence set ``names[i]``.
 
     ``genome`` holds chunks (rname, start, seq). A k-mer is a 64-bit number (:mod:`seqloom.functions.kmers`); those with other letters than ``ACGTN`` are left out.
     """
     _kmer_length(k)
-    bit = F.element_at(F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, 1 << i)]), F.col("rname")).cast("bigint")
-    pieces = _genome_pieces(genome, k).select(bit.alias("bit"), "text").filter("bit is not null")
+    pieces = _named_pieces(genome, k, names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,6 +245,88 @@ def kmer_filter(genome: DataFrame, *, k: int, names: Sequence[str]) -> kmer_numb
     return whole
 
 
+def kmer_table(genome: DataFrame, *, k: int, names: Sequence[str]) -> np.ndarray | None:
+    """Mask of sequence sets of every possible k-mer, by its number, by one job; none if that takes more than ``MOST_TABLE_BYTES``.
+
+    Its size does not depend on the genome's; a task sends the words of eight bytes that it has set.
+    """
+    _kmer_length(k)
+    kind = np.dtype(f"u{next(b for b in (1, 2, 4, 8) if len(names) <= 8 * b)}")
+    size = len(kmer_numbers.LETTERS) ** k
+    if size * kind.itemsize > MOST_TABLE_BYTES:
+        return None
+    size = -(-size // 8) * 8
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = np.zeros(size, kind)
+        for batch in batches:
+            bits = batch.column(0).to_numpy(zero_copy_only=False)
+            for rows, values in kmer_numbers.distinct_kmers(batch.column(1), k):
+                found = bits[rows]
+                for bit in np.unique(found):
+                    part[values[found == bit]] |= kind.type(bit)
+        words = part.view(np.int64)
+        at = np.flatnonzero(words)
+        for i in range(0, len(at), 1 << 18):
+            some = at[i : i + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], names=["word", "bits"])
+
+    words = _named_pieces(genome, k, names).mapInArrow(task, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    whole = np.zeros(size, kind)
+    for part in words.toArrow().to_batches():  # one row per word of the table at most
+        whole.view(np.int64)[part.column(0).to_numpy()] = part.column(1).to_numpy()
+    return whole
+
+
+def _set_counts(batch: pa.RecordBatch, column: int, table: np.ndarray, n_sets: int, k: int) -> np.ndarray:
+    """Different k-mers of each row found in each set, (sets, rows)."""
+    counts = np.zeros((n_sets, batch.num_rows), np.int32)
+    for rows, values in kmer_numbers.distinct_kmers(batch.column(column), k):
+        masks = table[values]
+        met = masks != 0
+        rows, masks = rows[met], masks[met]
+        if not len(rows):
+            continue
+        low = rows[0]
+        for i in range(n_sets):
+            n = np.bincount(rows[(masks >> masks.dtype.type(i)) & masks.dtype.type(1) != 0] - low)
+            counts[i, low : low + len(n)] += n.astype(np.int32)
+    return counts
+
+
+def _looked_up(reads: DataFrame, shared, n_sets: int, k: int) -> DataFrame:
+    """``sample, read_idx, mate`` and the counts ``_n0, _n1, ...`` of the reads that share a k-mer with a set; k-mers never leave their task."""
+    names = [f"_n{i}" for i in range(n_sets)]
+    schema = reads.select("sample", "read_idx", "mate").schema
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = _set_counts(batch, 3, shared.value, n_sets, k)
+            some = np.flatnonzero(counts.any(axis=0))
+            taken = pa.array(some)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(taken) for i in range(3)), *(pa.array(c[some]) for c in counts)], names=["sample", "read_idx", "mate", *names]
+            )
+
+    for name in names:
+        schema = schema.add(name, T.IntegerType())
+    return reads.select("sample", "read_idx", "mate", "seq").mapInArrow(task, schema)
+
+
+def _without_own_hit(reads: DataFrame, shared, n_sets: int, k: int, min_kmers: int) -> DataFrame:
+    """Reads that are not told to hit a set by their own k-mers, or whose key holds a null and so equals no other."""
+    place, keys = reads.columns.index("seq"), [reads.columns.index(c) for c in ("sample", "read_idx", "mate")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = ~(_set_counts(batch, place, shared.value, n_sets, k) >= min_kmers).any(axis=0)
+            for i in keys:
+                kept |= batch.column(i).is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(kept))
+
+    return reads.mapInArrow(task, reads.schema)
+
+
 def candidate_kmers(reads: DataFrame, *, k: int, screen: kmer_numbers.Bloom | None) -> DataFrame:
     """``sample, read_idx, mate, kmer``: each k-mer of a read once, without those that the filter rules out."""
     _kmer_length(k)
@@ -264,15 +353,26 @@ def _subset(reads: DataFrame, subset: int | None) -> DataFrame:
     return sample_reads(reads, n=subset)
 
 
-def _hit_masks(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], k: int = 21, min_kmers: int = 1) -> DataFrame:
-    """``sample, read_idx, mate, mask`` of the reads with a hit; k-mers found in no set hardly ever leave their task."""
+def _shared_table(reads: DataFrame, genome: DataFrame, names: Sequence[str], k: int):
     if not 0 < len(names) <= 62:
         raise ValueError("give 1 to 62 sequence sets")
-    pieces = candidate_kmers(reads, k=k, screen=kmer_filter(genome, k=k, names=names))
-    hits = pieces.join(genome_kmers(genome, k=k, names=names), "kmer")
-    per_read = hits.groupBy("sample", "read_idx", "mate").agg(
-        *[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, 1).otherwise(0)).alias(f"_n{i}") for i in range(len(names))]
-    )
+    table = kmer_table(genome, k=k, names=names)
+    return None if table is None else reads.sparkSession.sparkContext.broadcast(table)  # of bounded size
+
+
+def _hit_masks(reads: DataFrame, genome: DataFrame, shared, *, names: Sequence[str], k: int = 21, min_kmers: int = 1) -> DataFrame:
+    """``sample, read_idx, mate, mask`` of the reads with a hit.
+
+    With the ``shared`` table of all k-mers reads are looked up where they are; else k-mers are joined, and those found in no set hardly ever leave their task.
+    """
+    if shared is not None:
+        per_read = _looked_up(reads, shared, len(names), k).groupBy("sample", "read_idx", "mate").agg(*[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(names))])
+    else:
+        pieces = candidate_kmers(reads, k=k, screen=kmer_filter(genome, k=k, names=names))
+        hits = pieces.join(genome_kmers(genome, k=k, names=names), "kmer")
+        per_read = hits.groupBy("sample", "read_idx", "mate").agg(
+            *[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, 1).otherwise(0)).alias(f"_n{i}") for i in range(len(names))]
+        )
     mask = reduce(
         lambda a, b: a.bitwiseOR(b),
         [F.when(F.col(f"_n{i}") >= min_kmers, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(names))],
@@ -280,18 +380,23 @@ def _hit_masks(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], k:
     return per_read.select("sample", "read_idx", "mate", mask.cast("bigint").alias("mask")).filter("mask <> 0")
 
 
-def screen_reads(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+def screen_reads(
+    reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, k: int = 21, min_kmers: int = 1
+) -> DataFrame:
     """Per read the mask of sequence sets sharing at least ``min_kmers`` distinct ``k``-mers."""
     reads = _subset(reads, subset)
-    found = _hit_masks(reads, genome, names=names, **opts)
+    found = _hit_masks(reads, genome, _shared_table(reads, genome, names, k), names=names, k=k, min_kmers=min_kmers)
     every = reads.select("sample", "read_idx", "mate").join(found, ["sample", "read_idx", "mate"], "left")
     return every.select("sample", "read_idx", "mate", F.coalesce("mask", F.lit(0)).cast("bigint").alias("mask"))
 
 
-def screen_library(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+def screen_library(
+    reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, k: int = 21, min_kmers: int = 1
+) -> DataFrame:
     """Reads per sample and sequence set: hits in this set only, and in this and others; plus no hits, the rest of the sample."""
     reads = _subset(reads, subset)
-    masks = _hit_masks(reads, genome, names=names, **opts).groupBy("sample", "mask").agg(_n())
+    found = _hit_masks(reads, genome, _shared_table(reads, genome, names, k), names=names, k=k, min_kmers=min_kmers)
+    masks = found.groupBy("sample", "mask").agg(_n())
     sets = F.array(*[F.struct(F.lit(n).alias("genome"), F.lit(1 << i).alias("bit")) for i, n in enumerate(names)])
     rows = masks.select("sample", "mask", "n", F.inline(sets)).filter(F.col("mask").bitwiseAND(F.col("bit")) != 0)
     alone = F.bit_count("mask") == 1
@@ -306,9 +411,16 @@ def screen_library(reads: DataFrame, genome: DataFrame, *, names: Sequence[str],
     return hit.unionByName(none)
 
 
-def reads_without_hits(reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, **opts) -> DataFrame:
+def reads_without_hits(
+    reads: DataFrame, genome: DataFrame, *, names: Sequence[str], subset: int | None = None, k: int = 21, min_kmers: int = 1
+) -> DataFrame:
+    """Reads whose key has no hit; the k-mers of rows of one key count together."""
     reads = _subset(reads, subset)
-    return reads.join(_hit_masks(reads, genome, names=names, **opts), ["sample", "read_idx", "mate"], "left_anti")
+    shared = _shared_table(reads, genome, names, k)
+    found = _hit_masks(reads, genome, shared, names=names, k=k, min_kmers=min_kmers)
+    # Rows that hit a set by themselves need not meet their key's sum, so their bases stay where they are.
+    rest = reads if shared is None else _without_own_hit(reads, shared, len(names), k, min_kmers)
+    return rest.join(found, ["sample", "read_idx", "mate"], "left_anti")
 
 
 def grade_level(grade: Column) -> Column:

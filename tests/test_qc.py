@@ -102,6 +102,32 @@ def test_reads_without_hits_hardly_reach_the_shuffle(library, spark):
         Q.screen_reads(reads, genome, names=["x"], k=28)
 
 
+def test_short_kmers_are_looked_up_where_the_reads_are(library, spark, monkeypatch):
+    _, genome, rows, whole = library
+    twice = [*rows, *rows[:9], (None, 1, 1, whole["x"][:30]), (None, 1, 1, whole["x"][:30]), (None, 2, 1, "")]
+    # Two rows of one key, with one k-mer each: together they hit.
+    twice += [("t", 5, 1, whole["x"][30 : 30 + K]), ("t", 5, 1, whole["x"][80 : 80 + K])]
+    reads = spark.createDataFrame(twice, "sample string, read_idx bigint, mate int, seq string")
+    opts = {"names": ["x", "y"], "k": K, "min_kmers": 2}
+    found = {}
+    for most in (Q.MOST_TABLE_BYTES, 0):
+        monkeypatch.setattr(Q, "MOST_TABLE_BYTES", most)
+        out = Q.reads_without_hits(reads, genome, **opts)
+        screened = Q.screen_library(reads, genome, **opts)
+        found[most] = [sorted(map(str, d.collect())) for d in (out, screened, Q.screen_reads(reads, genome, **opts))]
+        for d in (out, screened):
+            assert ("kmer" in d._jdf.queryExecution().optimizedPlan().toString()) == (most == 0)
+    assert len(found) == 2 and found[0] == max(found.items())[1]
+    monkeypatch.undo()
+    dense = Q.kmer_table(genome, k=K, names=["x", "y"])
+    want = {}
+    for b, n in enumerate(("x", "y")):
+        for p in pieces(whole[n]):
+            want[number(p)] = want.get(number(p), 0) | 1 << b
+    assert {int(i): int(dense[i]) for i in np.flatnonzero(dense)} == want
+    assert Q.kmer_table(genome, k=13, names=["x"]) is None
+
+
 def test_fragment_sizes_in_windows(spark):
     from seqloom.operators import alignments as A
 
