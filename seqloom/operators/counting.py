@@ -12,9 +12,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cigar, flags
+from ..functions.staging import stage
 from ..functions.stats import exact_medians
 from ..options import choice, positive
-from .intervals import merge_intervals, overlap_join, partners, with_samples
+from .intervals import merge_intervals, overlap_join, partners, running_at, with_samples
 from .templates import placed_units
 
 PLACE = ["rname", "pos", "cigar", "strand"]
@@ -470,41 +471,78 @@ def exon_offsets(exons: DataFrame) -> DataFrame:
     )
 
 
-def _on_transcripts(runs: DataFrame, exons: DataFrame, bin_size: int) -> DataFrame:
-    """Coverage runs cut to exons: (sample, transcript_id, length, lo, hi, value) in transcript coordinates."""
-    pieces = overlap_join(runs, exon_offsets(exons), bin_size=bin_size)
-    lo_g, hi_g = F.greatest("start", "r_start"), F.least("end", "r_end")
-    plus = F.col("r_strand") != "-"
-    lo = F.when(plus, F.col("r_offset") + lo_g - F.col("r_start")).otherwise(F.col("r_offset") + F.col("r_end") - hi_g)
-    hi = lo + (hi_g - lo_g)
-    return pieces.select(
-        "sample", F.col("r_transcript_id").alias("transcript_id"), F.col("r_length").alias("length"), lo.alias("lo"), hi.alias("hi"), "value"
-    )
+def _covered_before(runs: DataFrame, points: DataFrame) -> DataFrame:
+    """Per sample and point (rname, pos): summed depth ``cov``, summed squares ``sq`` and covered bases ``seen`` of the sequence before it.
+
+    Sums over any stretch are differences of two rows, so no run meets an exon. Whole-numbered depths add up exactly below 2^53.
+    """
+    runs = stage(runs)
+    v = F.col("value")
+
+    def event(at: str, sign: int) -> Column:
+        pos, n = F.col(at).cast("bigint"), F.lit(sign).cast("bigint")
+        # Before x lie x * (running v) - (running v * pos).
+        return F.struct(pos.alias("pos"), *[e.alias(c) for c, x in {"v": v, "q": v * v, "k": F.lit(1)}.items() for c, e in ((c, x * n), (f"{c}p", x * n * pos))])
+
+    sums = ["v", "vp", "q", "qp", "k", "kp"]
+    events = runs.filter("end > start").select("sample", "rname", F.inline(F.array(event("start", 1), event("end", -1))))
+    asked = points.distinct().crossJoin(F.broadcast(runs.select("sample").distinct()))
+    at = running_at(events, asked, dict.fromkeys(sums, "sum"), by=["sample", "rname"])
+    before = [(F.col(c) * F.col("pos") - F.col(f"{c}p")).alias(name) for c, name in (("v", "cov"), ("q", "sq"), ("k", "seen"))]
+    return at.select("sample", "rname", "pos", *before)
 
 
-def gene_body_coverage(runs: DataFrame, exons: DataFrame, *, min_len: int = 100, bin_size: int = 4096) -> DataFrame:
-    """Summed depth per sample and percentile 0..99 along transcripts (5' to 3'), from coverage runs."""
-    pieces = _on_transcripts(runs, exons, bin_size).filter(F.col("length") >= min_len)
-    first = F.floor(F.col("lo") * 100 / F.col("length")).cast("int")
-    last = F.floor((F.col("hi") - 1) * 100 / F.col("length")).cast("int")
-    parts = pieces.withColumn("percentile", F.explode(F.sequence(first, last)))
+def _transcribed(exons: DataFrame, min_len: int) -> tuple[DataFrame, Column]:
+    """Exons of transcripts of at least ``min_len`` bases, and whether their offsets grow with the position."""
+    return exon_offsets(exons).filter((F.col("length") >= min_len) & (F.col("end") > F.col("start"))), F.coalesce(F.col("strand") != "-", F.lit(False))
+
+
+def gene_body_coverage(runs: DataFrame, exons: DataFrame, *, min_len: int = 100) -> DataFrame:
+    """Summed depth per sample and percentile 0..99 along transcripts (5' to 3'), from coverage runs; only percentiles with a covered base."""
+    placed, plus = _transcribed(exons, min_len)
+    placed = placed.groupBy("rname", "start", "end", plus.alias("plus"), "offset", "length").agg(_n())
+    stop = F.col("offset") + F.col("end") - F.col("start")
+    first = F.floor(F.col("offset") * 100 / F.col("length")).cast("int")
+    last = F.floor((stop - 1) * 100 / F.col("length")).cast("int")
+    parts = placed.withColumn("percentile", F.explode(F.sequence(first, last)))
     # Offsets whose floor(100 * off / length) is p: ceil(p * length / 100) up to ceil((p + 1) * length / 100).
-    begin = F.ceil(F.col("percentile") * F.col("length") / 100)
-    stop = F.ceil((F.col("percentile") + 1) * F.col("length") / 100)
-    bases = F.least(F.col("hi"), stop) - F.greatest(F.col("lo"), begin)
-    return parts.groupBy("sample", "percentile").agg(F.sum(bases * F.col("value")).alias("coverage"))
+    lo = F.greatest(F.ceil(F.col("percentile") * F.col("length") / 100), F.col("offset")) - F.col("offset")
+    hi = F.least(F.ceil((F.col("percentile") + 1) * F.col("length") / 100), stop) - F.col("offset")
+    from_, to = F.when(F.col("plus"), F.col("start") + lo).otherwise(F.col("end") - hi), F.when(F.col("plus"), F.col("start") + hi).otherwise(F.col("end") - lo)
+    ends = F.array(*[F.struct(p.cast("bigint").alias("pos"), c.alias("c")) for p, c in ((from_, -F.col("n")), (to, F.col("n")))])
+    # How often a percentile begins and ends at a base; what lies between is a difference of sums.
+    borders = parts.select("rname", "percentile", F.inline(ends)).groupBy("rname", "pos", "percentile").agg(F.sum("c").alias("c")).filter("c <> 0")
+    at = _covered_before(runs, borders.select("rname", "pos")).select("sample", "rname", "pos", "cov", "seen")
+    per = borders.join(at, ["rname", "pos"]).groupBy("sample", "percentile").agg(
+        F.sum(F.col("c") * F.col("cov")).alias("coverage"), F.sum(F.col("c") * F.col("seen")).alias("seen")
+    )
+    return per.filter("seen > 0").drop("seen")
 
 
-def transcript_bias(runs: DataFrame, exons: DataFrame, *, min_len: int = 500, edge: int = 100, bin_size: int = 4096) -> DataFrame:
+def transcript_bias(runs: DataFrame, exons: DataFrame, *, min_len: int = 500, edge: int = 100) -> DataFrame:
     """Per sample medians over covered transcripts: mean coverage, its variation, and 5' and 3' bias (edge mean / mean)."""
-    pieces = _on_transcripts(runs, exons, bin_size).filter(F.col("length") >= min_len)
-    size = F.col("hi") - F.col("lo")
-    head = F.greatest(F.least("hi", F.lit(edge)) - F.col("lo"), F.lit(0))
-    tail = F.greatest(F.col("hi") - F.greatest(F.col("lo"), F.col("length") - edge), F.lit(0))
-    v = F.col("value")
-    per = pieces.groupBy("sample", "transcript_id", "length").agg(
-        F.sum(size * v).alias("s"), F.sum(size * v * v).alias("ss"), F.sum(head * v).alias("h"), F.sum(tail * v).alias("t")
+    placed, plus = _transcribed(exons, min_len)
+    start, end, size = F.col("start"), F.col("end"), F.col("end") - F.col("start")
+    within = lambda n: F.least(F.greatest(n, F.lit(0)), size)
+    head, tail = within(edge - F.col("offset")), within(F.col("offset") + size - F.col("length") + edge)
+    placed = placed.withColumns({"_plus": plus, "_h": head, "_t": tail})
+    left, right = F.when(F.col("_plus"), F.col("_h")).otherwise(F.col("_t")), F.when(F.col("_plus"), F.col("_t")).otherwise(F.col("_h"))
+    # The exon's ends, and where its left and right edge stretches end, with the sign at which the sums there enter whole, left and right edge.
+    zero = F.lit(0)
+    sign = lambda at, w, l, r: F.struct(at.cast("bigint").alias("pos"), F.lit(w).alias("w"), l.alias("l"), r.alias("r"))  # noqa: E731, E741
+    ends = F.array(
+        sign(start, -1, F.when(left > 0, -1).otherwise(0), F.when((right > 0) & (right == size), -1).otherwise(0)),
+        sign(end, 1, F.when((left > 0) & (left == size), 1).otherwise(0), F.when(right > 0, 1).otherwise(0)),
+        sign(start + left, 0, F.when((left > 0) & (left < size), 1).otherwise(0), zero),
+        sign(end - right, 0, zero, F.when((right > 0) & (right < size), -1).otherwise(0)),
+    )
+    signs = placed.select("rname", "transcript_id", "length", "_plus", F.inline(ends)).filter("w <> 0 or l <> 0 or r <> 0")
+    h, t = F.when(F.col("_plus"), F.col("l")).otherwise(F.col("r")), F.when(F.col("_plus"), F.col("r")).otherwise(F.col("l"))
+    per = signs.join(_covered_before(runs, signs.select("rname", "pos")), ["rname", "pos"]).groupBy("sample", "transcript_id", "length").agg(
+        F.sum(F.col("w") * F.col("cov")).alias("s"), F.sum(F.col("w") * F.col("sq")).alias("ss"), F.sum(h * F.col("cov")).alias("h"),
+        F.sum(t * F.col("cov")).alias("t"), F.sum(F.col("w") * F.col("seen")).alias("seen"),
     )
+    per = per.filter("seen > 0")
     mean = F.col("s") / F.col("length")
     var = F.greatest(F.col("ss") / F.col("length") - mean * mean, F.lit(0.0))
     per = per.select(
