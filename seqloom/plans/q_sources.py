@@ -30,7 +30,7 @@ def s1(t):
     out = None
     for mate in (1, 2):
         path = _scratch(t.spark)
-        lines = K.fastq_lines(t.reads.filter(F.col("mate") == mate)).repartitionByRange(4, "read_idx").sortWithinPartitions("read_idx")
+        lines = K.fastq_lines(t.reads.filter(F.col("mate") == mate)).repartitionByRange("read_idx").sortWithinPartitions("read_idx")
         lines.select("value").write.text(path)
         one = FQ.read_fastq(t.spark, path, sample="all", mate=mate, split_bytes=1 << 18).select(F.lit(mate).alias("mate"), "read_idx", "qname", "descr", "seq", "qual")
         out = one if out is None else out.unionByName(one)
@@ -44,7 +44,7 @@ def s1(t):
 )
 def k1(t):
     path = _scratch(t.spark)
-    K.write_fastq(t.reads, path, partitions=5)
+    K.write_fastq(t.reads, path)
     out = None
     for s in SAMPLES:
         for mate in (1, 2):

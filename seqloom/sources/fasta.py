@@ -13,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.joins import join_small
 from ..options import positive
-from .fastq import _expand, _open, _qualified
+from .fastq import _expand, _open, _qualified, by_task, ranges_of
 
 BLOCK = 1 << 20
 PIECES = "file STRING, part INT, serial INT, name STRING, place BIGINT, seq STRING"
@@ -21,6 +21,10 @@ TOTALS = "file STRING, part INT, headers INT, name STRING, bases BIGINT"
 _BLANK = b"\r\n \t\x0b\x0c"
 
 
+#: Bases of pieces in one Arrow batch, and pieces of one at most.
+BATCH_BASES, BATCH_PIECES = 1 << 20, 10_000
+
+
 class FastaRange(InputPartition):
     def __init__(self, path: str, part: int, start: int, stop: int):
         self.path, self.part, self.start, self.stop = path, part, start, stop
@@ -95,14 +99,14 @@ class FastaReader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int, chunk: int):
         self.paths, self.split_bytes, self.chunk = paths, split_bytes, chunk
 
-    def partitions(self) -> list[FastaRange]:
+    def partitions(self) -> list[InputPartition]:
         out = []
         for path in _expand(self.paths):
             system, inner = _open(path)
             size = system.get_file_info(inner).size
             step = size if path.endswith(".gz") else self.split_bytes
             out += [FastaRange(path, k, s, min(s + step, size)) for k, s in enumerate(range(0, size, step))]
-        return out
+        return by_task(out)
 
     def _events(self, part: FastaRange) -> Iterator[tuple[bool, bytes]]:
         system, inner = _open(part.path)
@@ -113,20 +117,32 @@ class FastaReader(DataSourceReader):
             with system.open_input_file(inner) as stream:
                 yield from events(stream, part.start, part.stop)
 
-    def read(self, part: FastaRange):
+    def read(self, partition: InputPartition):
         import pyarrow as pa
 
         if not self.chunk:
-            headers, name, bases = 0, None, 0
-            for is_header, text in self._events(part):
-                headers, name, bases = (headers + 1, first_word(text), 0) if is_header else (headers, name, bases + len(text))
-            yield pa.RecordBatch.from_pydict({"file": [part.path], "part": pa.array([part.part], pa.int32()), "headers": pa.array([headers], pa.int32()), "name": pa.array([name], pa.string()), "bases": [bases]})
+            rows = [self._total(part) for part in ranges_of(partition)]
+            kinds = {"file": pa.string(), "part": pa.int32(), "headers": pa.int32(), "name": pa.string(), "bases": pa.int64()}
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
             return
-        for serial, name, place, seq in self._pieces(part):
-            yield pa.RecordBatch.from_pydict({
-                "file": [part.path], "part": pa.array([part.part], pa.int32()), "serial": pa.array([serial], pa.int32()),
-                "name": pa.array([name], pa.string()), "place": [place], "seq": [seq.decode("ascii", "replace")],
-            })
+        kinds = {"file": pa.string(), "part": pa.int32(), "serial": pa.int32(), "name": pa.string(), "place": pa.int64(), "seq": pa.string()}
+        rows, bases = [], 0
+        for part in ranges_of(partition):
+            for serial, name, place, seq in self._pieces(part):
+                rows.append((part.path, part.part, serial, name, place, seq.decode("ascii", "replace")))
+                bases += len(seq)
+                if bases >= BATCH_BASES or len(rows) >= BATCH_PIECES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
+                    rows, bases = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
+
+    def _total(self, part: FastaRange) -> tuple[str, int, int, str | None, int]:
+        """(file, number, headers, last name, bases behind it) of a range."""
+        headers, name, bases = 0, None, 0
+        for is_header, text in self._events(part):
+            headers, name, bases = (headers + 1, first_word(text), 0) if is_header else (headers, name, bases + len(text))
+        return part.path, part.part, headers, name, bases
 
     def _pieces(self, part: FastaRange) -> Iterator[tuple[int, str | None, int, bytes]]:
         """(number of the header in the range, its name, place behind it, bases) with at most ``chunk`` bases each; number 0 goes on from the range before."""

@@ -23,11 +23,40 @@ BLOCK = 8 << 20
 RANGES = 200_000
 
 
+#: Bytes of neighbouring ranges that one task reads, one range after the other; a larger range is a task of its own.
+TASK_BYTES = 32 << 20
+
+
 class FastqRange(InputPartition):
     def __init__(self, path: str, part: int, start: int, stop: int):
         self.path, self.part, self.start, self.stop = path, part, start, stop
 
 
+class Ranges(InputPartition):
+    """The byte ranges of one task."""
+
+    def __init__(self, ranges: list):
+        self.ranges = ranges
+
+
+def by_task(ranges: list) -> list[InputPartition]:
+    """Ranges in order, dealt to tasks of up to ``TASK_BYTES``: small ranges do not cost a task each. A range that has no known end is alone."""
+    out: list[list] = []
+    room = 0
+    for r in ranges:
+        size = r.stop - r.start if r.stop >= 0 else TASK_BYTES
+        if not out or size > room:
+            out.append([])
+            room = TASK_BYTES
+        out[-1].append(r)
+        room -= size
+    return [task[0] if len(task) == 1 else Ranges(task) for task in out]
+
+
+def ranges_of(task: InputPartition) -> list:
+    return task.ranges if isinstance(task, Ranges) else [task]
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -81,7 +110,7 @@ class FastqReader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int, counts: bool):
         self.paths, self.split_bytes, self.counts = paths, split_bytes, counts
 
-    def partitions(self) -> list[FastqRange]:
+    def partitions(self) -> list[InputPartition]:
         out: list[FastqRange] = []
         for path in _expand(self.paths):
             if path.endswith(".gz"):
@@ -91,9 +120,13 @@ class FastqReader(DataSourceReader):
             size = system.get_file_info(inner).size
             cuts = list(range(0, max(size, 1), self.split_bytes)) + [size]
             out += [FastqRange(path, i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-        return out
+        return by_task(out)
+
+    def read(self, partition: InputPartition) -> Iterator:
+        for part in ranges_of(partition):
+            yield from self._read(part)
 
-    def read(self, partition: FastqRange) -> Iterator:
+    def _read(self, partition: FastqRange) -> Iterator:
         import pyarrow as pa
 
         if self.counts:
@@ -132,12 +165,14 @@ class FastqReader(DataSourceReader):
             # Start one byte early: a range that begins right after a newline begins with a whole line.
             at, stop = max(part.start - 1, 0), part.stop
             stream.seek(at)
+        block = BLOCK if stop is None else min(BLOCK, max(stop - at + (1 << 12), 1 << 14))
         synced = part.start == 0
         skip_line = not synced
         rest, base, ended = b"", at, False
         with stream:
             while not ended:
-                data = stream.read(BLOCK)
+                # A small range reads little beyond its end.
+                data = stream.read(block)
                 ended = len(data) == 0
                 text = rest + (data.to_pybytes() if isinstance(data, pa.Buffer) else data)
                 if ended and text and not text.endswith(b"\n"):
