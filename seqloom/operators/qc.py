@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import bases, kmers as kmer_numbers
+from ..functions.joins import join_small
 from ..options import choice, fail_when
 
 def _n() -> Column:
@@ -118,8 +119,9 @@ def overrepresented(
 ) -> DataFrame:
     """Sequences making up at least ``min_fraction`` of a sample, with the first contaminant they match."""
     per_seq = reads.groupBy("sample", "seq").agg(_n())
-    totals = per_seq.groupBy("sample").agg(F.sum("n").alias("total"))
-    out = per_seq.join(totals, "sample").withColumn("fraction", F.col("n") / F.col("total"))
+    # One row per sample, counted apart: joined by shuffle the sequences of a sample would meet in one task.
+    totals = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("total"))
+    out = join_small(per_seq, totals, "sample").withColumn("fraction", F.col("n") / F.col("total"))
     out = out.filter(F.col("fraction") >= min_fraction).drop("total")
     if not contaminants:
         return out.withColumn("source", F.lit("No Hit"))
