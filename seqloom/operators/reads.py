@@ -1,8 +1,8 @@
 """Read-level projections, trimming and filters.
 
 Row-wise operators are pure expressions: no shuffle, and they fuse into one stage when chained.
-Pair rules ("drop both mates when either fails") collect only the failing keys and anti-join
-them, so the reads themselves are shuffled only when the failing keys are too many to broadcast.
+Pair rules ("drop both mates when either fails") collect only the failing keys and look them
+up, so the reads themselves are shuffled only when the failing keys are too many to broadcast.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases
 from ..functions.joins import join_small
+from ..functions.staging import evaluate_once
 from ..options import choice, positive, require
 
 PAIR = ("sample", "read_idx")
@@ -22,11 +23,14 @@ PAIR = ("sample", "read_idx")
 
 def drop_pairs(reads: DataFrame, bad: Column, *, paired: bool = True) -> DataFrame:
     """Drop rows where ``bad`` holds; with ``paired`` their mates too."""
-    keep = reads.filter(~F.coalesce(bad, F.lit(False)))
+    bad = F.coalesce(bad, F.lit(False))
     if not paired:
-        return keep
-    failing = reads.filter(bad).select(*PAIR).distinct()
-    return keep.join(failing, list(PAIR), "left_anti")
+        return reads.filter(~bad)
+    # Marked once: the rule and the sequence it reads would else be computed again in each filter. An anti join would be pushed
+    # into every branch of the reads, with the failing keys computed once per branch.
+    marked = evaluate_once(reads, _bad=bad)
+    failing = marked.filter("_bad").select(*PAIR).distinct().withColumn("_failing", F.lit(True))
+    return marked.filter("not _bad").join(failing, list(PAIR), "left").filter("_failing is null").select(*reads.columns)
 
 
 def mate_join(r1: DataFrame, r2: DataFrame, *, how: str = "inner") -> DataFrame:

@@ -165,3 +165,14 @@ def test_one_adapter_rule_with_and_without_mismatches(spark, where):
 
     for r in df.select("seq", exact.alias("x"), searched.alias("y")).collect():
         assert tuple(r["x"]) == tuple(r["y"]) == best(r["seq"]), r["seq"]
+
+
+def test_pair_rule_computes_failing_pairs_once(spark):
+    both = reads(spark, ["ACGT", "NNNT", "ACGT"]).unionByName(reads(spark, ["AC", "ACGT", "N"], mate=2))
+    both = both.unionByName(spark.createDataFrame([(None, None, 1, "x", "ACGT", "IIII"), (None, None, 2, "x", "NNNN", "IIII")], SCHEMA))
+    out = R.filter_max_n(both, max_n=2, paired=True)
+    assert out.columns == both.columns
+    # Reads without a pair key fall alone.
+    assert sorted((r["read_idx"] is None, r["seq"]) for r in out.collect()) == [(False, "AC"), (False, "ACGT"), (False, "ACGT"), (False, "N"), (True, "ACGT")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("regexp_replace") == 2
