@@ -347,7 +347,8 @@ def extract_transcripts(exons: DataFrame, genome: DataFrame, *, chunk: int) -> D
     positive("chunk", chunk)
     first, last = F.floor(F.col("start") / chunk), F.floor((F.col("end") - 1) / chunk)
     parts = explode_range(exons.filter("end > start"), first, last, "_k").withColumn("_at", (F.col("_k") * chunk).cast("int"))
-    text = genome.select("rname", F.col("start").alias("_at"), F.col("seq").alias("_seq"))
+    # The planner takes a text column for 20 bytes a row, so a whole genome could pass for a table to broadcast: both sides are shuffled.
+    text = genome.select("rname", F.col("start").alias("_at"), F.col("seq").alias("_seq")).hint("merge")
     lo = F.greatest("start", "_at") - F.col("_at")
     hi = F.least(F.col("end"), F.col("_at") + chunk) - F.col("_at")
     pieces = parts.join(text, ["rname", "_at"]).select(

@@ -68,3 +68,12 @@ def test_exon_and_intron_of_one_transcript(spark):
     # One row per query and code: crowds of equal exons form no pairs.
     crowd = spark.range(60_000).selectExpr("concat('r', id) transcript_id", "'c' rname", "cast(0 as int) start", "cast(100 as int) end", "'+' strand")
     assert A.class_codes(crowd, crowd).filter("class_code = 'c'").count() == 60_000
+
+
+def test_genome_is_not_sent_whole(spark):
+    exons = spark.createDataFrame([("c", 2, 10, "+", "t"), ("c", 13, 15, "+", "t"), ("c", 2, 4, "-", "u")], "rname string, start int, end int, strand string, transcript_id string")
+    genome = spark.createDataFrame([("c", 0, "ACGTACGT"), ("c", 8, "TTGGCCAA")], "rname string, start int, seq string")
+    out = A.extract_transcripts(exons, genome, chunk=8)
+    assert {r["transcript_id"]: r["seq"] for r in out.collect()} == {"t": "GTACGTTTCA", "u": "AC"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
