@@ -16,11 +16,11 @@ from ..functions.staging import stage
 from ..functions.stats import exact_medians
 from ..options import choice, positive
 from .intervals import merge_intervals, overlap_join, partners, running_at, with_samples
-from .templates import placed_units
+from .templates import placed_units, template_totals, unit_digest
 
 PLACE = ["rname", "pos", "cigar", "strand"]
 #: Different placements in one bin of the range join beyond which the bin is split over more tasks.
-HOT_ROWS = 500_000
+HOT_ROWS = 100_000
 #: Targets over a base, on average, beyond which the units' targets are told by running sums and no longer by pairs.
 CROWDED = 16
 
@@ -336,59 +336,54 @@ def htseq_count(
         flags.has(flags.PAIRED).alias("paired"), F.coalesce(aligned & many, F.lit(False)).alias("many"), F.coalesce(aligned & low, F.lit(False)).alias("low"),
     )
     reason = _template_reason(F.bool_or("aligned"), F.bool_or("many"), F.bool_or("low"))
-    paired = placed_units(records.filter("paired"), key=template, place=PLACE, why=reason, used=F.col("aligned"), length=size)
+    _, good = placed_units(records.filter("paired"), key=template, place=PLACE, why=reason, used=F.col("aligned"), length=size)
     alone = records.filter("not paired").select("sample", _template_reason(F.col("aligned"), F.col("many"), F.col("low")).alias("why"), F.struct(*PLACE).alias("lo"))
-    alone = alone.groupBy("sample", "why", F.when(F.col("why").isNull(), F.col("lo")).alias("lo")).agg(_n())
-    unit = F.when(F.col("why").isNull(), F.struct("lo", F.col("lo").alias("hi"), F.lit(1).cast("bigint").alias("records"), F.lit("").alias("name")))
-    alone = alone.select("sample", "why", unit.alias("unit"), "n", "lo.*").withColumn("length", size.cast("bigint"))
-    units = paired[0].unionByName(alone.select(*paired[0].columns))
-    good = paired[1].unionByName(alone.filter("why is null").select(*paired[1].columns))
+    totals = template_totals(records.filter("paired"), key=template, why=reason).unionByName(alone.groupBy("sample", "why").agg(_n()))
+    alone = alone.filter("why is null").groupBy("sample", "lo").agg(_n())
+    alone = alone.select("sample", unit_digest("lo").alias("unit"), "n", "lo.*").withColumn("length", size.cast("bigint"))
+    good = good.unionByName(alone.select(*good.columns))
     wanted = features.filter(F.col("feature") == feature) if "feature" in features.columns else features
     wanted = wanted.withColumn("gene", F.col(id_attr))
     if stranded == "no":
         # One strand for all: opposite genes then compete for the same bases.
         wanted = wanted.withColumn("strand", F.lit("."))
-    # Intervals of every gene, and of all genes together under the empty name, merged in one pass.
-    both = wanted.withColumn("gene", F.explode(F.array(F.col("gene"), F.lit(""))))
-    side = _merged(both, ["rname", "strand", "gene"])
+    # Genes travel as 64-bit digests; only one mode asks for the intervals of all genes together.
+    named = wanted.filter("gene <> ''").withColumns({"id": F.xxhash64("gene"), "whole": F.lit(False)})
+    side = named if mode != "intersection-nonempty" else named.unionByName(wanted.withColumns({"id": F.lit(0).cast("bigint"), "whole": F.lit(True)}))
+    side = _merged(side, ["rname", "strand", "id", "whole"])
     how = {"yes": "same", "no": "no", "reverse": "opposite"}[stranded]
-    hits = overlap_join(_blocks(good), side, stranded=how, bin_size=bin_size, hot_rows=HOT_ROWS)
+    blocks = _blocks(good).select("sample", "unit", "length", "n", "rname", "strand", "start", "end")
+    hits = overlap_join(blocks, side, stranded=how, bin_size=bin_size, hot_rows=HOT_ROWS)
     key = ["sample", "unit"]
     kept = [F.max("length").alias("length"), F.max("n").alias("n")]
-    covered = hits.groupBy(*key, F.col("r_gene").alias("gene")).agg(F.sum("overlap").alias("c"), *kept)
-    # Equal coverages together: how many genes reach each count, then the largest count per unit.
-    named = F.when(F.col("gene") != "", F.col("gene"))
-    level = covered.groupBy(*key, "c").agg(
-        F.count(named).alias("k"), F.min(named).alias("gene"), F.bool_or(F.col("gene") == "").alias("any"), *kept
-    )
-    best = level.groupBy(*key).agg(
-        F.max(F.when(F.col("k") > 0, F.struct("c", "k", "gene"))).alias("top"),
-        F.max(F.when(F.col("any"), F.col("c"))).alias("c_any"),
-        F.sum("k").alias("k_all"),
-        F.min("gene").alias("g_all"),
-        *kept,
-    )
     if mode == "union":
-        k, gene = F.col("k_all"), F.col("g_all")
+        # Ambiguous where two of the genes met differ, so no unit is grouped by gene.
+        best = hits.groupBy(*key).agg(F.min("r_id").alias("id"), F.max("r_id").alias("other"), F.max("n").alias("n"))
+        best = best.withColumn("k", F.when(F.col("id") == F.col("other"), 1).otherwise(2))
     else:
-        need = F.col("length") if mode == "intersection-strict" else F.col("c_any")
-        k = F.when(F.col("top.c") == need, F.col("top.k")).otherwise(0)
-        gene = F.col("top.gene")
-    label = F.when(k == 0, "__no_feature").when(k > 1, "__ambiguous").otherwise(gene)
-    found = best.groupBy("sample", label.alias("gene")).agg(F.sum("n").alias("n"))
+        covered = hits.groupBy(*key, F.col("r_id").alias("id"), F.col("r_whole").alias("whole")).agg(F.sum("overlap").alias("c"), *kept)
+        if mode == "intersection-strict":
+            full = covered.filter("c = length")
+            best = full.groupBy(*key).agg(F.count("id").alias("k"), F.max("id").alias("id"), F.max("n").alias("n"))
+        else:
+            # No gene covers more than all of them do, so those that cover as much share the largest count.
+            gene = F.when(~F.col("whole"), F.col("id"))
+            level = covered.groupBy(*key, "c").agg(F.count(gene).alias("k"), F.max(gene).alias("id"), F.bool_or("whole").alias("any"), F.max("n").alias("n"))
+            best = level.filter("any and k > 0").select(*key, "k", "id", "n")
+    found = best.groupBy("sample", F.when(F.col("k") == 1, F.col("id")).alias("id")).agg(F.sum("n").alias("n"))
+    found = found.join(named.groupBy("id").agg(F.min("gene").alias("gene")), "id", "left")
+    found = found.select("sample", F.when(F.col("id").isNull(), "__ambiguous").otherwise(F.col("gene")).alias("gene"), "n")
     # Templates that met no gene at all are the rest of the sample: every counted one is taken off the total.
     none = F.lit("__no_feature")
     moved = F.array(F.struct("gene", "n"), F.struct(none.alias("gene"), (-F.col("n")).alias("n")))
     placed = found.filter("gene <> '__no_feature'").select("sample", F.inline(moved))
-    total = units.filter("why is null").select("sample", none.alias("gene"), "n")
-    counted = placed.unionByName(total).groupBy("sample", "gene").agg(F.sum("n").alias("n"))
-    rest = units.filter("why is not null").groupBy("sample", F.col("why").alias("gene")).agg(F.sum("n").alias("n"))
+    counted = placed.unionByName(totals.select("sample", F.coalesce("why", none).alias("gene"), "n")).groupBy("sample", "gene").agg(F.sum("n").alias("n"))
     special = ["__no_feature", "__ambiguous", "__too_low_aQual", "__not_aligned", "__alignment_not_unique"]
     names = wanted.select("gene").distinct()
     every = with_samples(names, samples).unionByName(
         with_samples(names.agg(F.max("gene").alias("gene")).select(F.explode(F.array(*[F.lit(s) for s in special])).alias("gene")), samples)
     )
-    return every.join(counted.unionByName(rest), ["sample", "gene"], "left").na.fill(0, ["n"])
+    return every.join(counted, ["sample", "gene"], "left").na.fill(0, ["n"])
 
 
 def rna_metrics(
