@@ -112,7 +112,7 @@ _SAM = """concat_ws(chr(9), qname, flag, rname, pos, mapq, cigar, rnext, pnext,
 )
 def s3(t):
     lines = K.sam_lines(_tagged(t)).select("sample", "value")
-    header = lines.select("sample", F.concat(F.lit("@CO\t"), "sample").alias("value")).distinct()
+    header = t.alignments.select("sample", F.concat(F.lit("@CO\t"), "sample").alias("value")).distinct()
     out = T.parse_sam(header.unionByName(lines))
     return out.select(
         "sample", "qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.joins import join_small
+from ..functions.staging import evaluate_once
 from ..options import choice
 
 
@@ -42,7 +43,8 @@ def write_fasta(sequences: DataFrame, path: str, *, width: int = 60, compression
 
 
 def _tag_text(tags: Column) -> Column:
-    entries = F.array_sort(F.map_entries(tags), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    # Keys differ, so the order of whole entries is that of their keys; no comparison in an expression.
+    entries = F.sort_array(F.map_entries(tags))
     return F.transform(entries, lambda e: F.concat_ws(":", e["key"], e["value"]["type"], e["value"]["value"]))
 
 
@@ -51,7 +53,8 @@ def sam_lines(al: DataFrame) -> DataFrame:
     fixed = "qname flag rname pos mapq cigar rnext pnext tlen seq qual".split()
     fields = F.array(*[F.col(c).cast("string") for c in fixed])
     every = F.concat(fields, _tag_text(F.col("tags"))) if "tags" in al.columns else fields
-    return al.select("sample", "rname", "pos", F.array_join(every, "\t").alias("value"))
+    # A filter on the line would else build it twice.
+    return evaluate_once(al, value=F.array_join(every, "\t")).select("sample", "rname", "pos", "value")
 
 
 def sam_text(al: DataFrame, header: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.staging import evaluate_once
 from ..options import choice, fail_when
 
 TAGS = "map<string,struct<type:string,value:string>>"
@@ -31,19 +32,21 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 
     Tags split on the first two colons only, so values may hold more of them.
     """
-    f = F.split("value", "\t")
+    f = F.col("_f")
     fixed = "qname flag rname pos mapq cigar rnext pnext tlen seq qual".split()
     ints = {"flag", "pos", "mapq", "pnext", "tlen"}
     cols = [F.get(f, F.lit(i)).cast("int").alias(n) if n in ints else F.get(f, F.lit(i)).alias(n) for i, n in enumerate(fixed)]
     rest = F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0)))
 
-    def entry(tag: Column) -> Column:
-        p = F.split(tag, ":", 3)
+    def entry(p: Column) -> Column:
         return F.struct(p[0].alias("key"), F.struct(p[1].alias("type"), p[2].alias("value")).alias("value"))
 
     keep = [c for c in lines.columns if c != "value"]
     body = lines.filter(~F.col("value").startswith("@") & (F.col("value") != ""))
-    return body.select(*keep, *cols, F.map_from_entries(F.transform(rest, entry)).cast(TAGS).alias("tags"))
+    # Each line and each tag is split once; what is asked of the tags later does not build them again.
+    split = evaluate_once(body.select(*keep, "value"), _f=F.split("value", "\t"))
+    parts = F.transform(rest, lambda tag: F.split(tag, ":", 3))
+    return evaluate_once(split.select(*keep, *cols, "_f"), tags=F.map_from_entries(F.transform(parts, entry)).cast(TAGS)).drop("_f")
 
 
 def sam_header(lines: DataFrame) -> DataFrame:
