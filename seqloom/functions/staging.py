@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,6 +17,24 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a compressed Parquet table to the shared folder and read it from there; deleted at the end of the session.
+
+    For wide rows of which later passes read few columns: a checkpoint holds them unpacked and is read whole.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/seqloom-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only for a local master where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

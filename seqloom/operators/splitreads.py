@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import cigar, flags
-from ..functions.staging import evaluate_once
+from ..functions.staging import evaluate_once, stage_table
 from ..options import choice, positive, require
 
 READ = ["sample", "qname", "mate"]
@@ -119,14 +119,17 @@ def split_mappings(fragments: DataFrame, *, max_dist: int = 200000) -> DataFrame
     positive("max_dist", max_dist)
     require(fragments, "sample", "qname", "xi", "xq", "xx", *FIELDS)
     f = fragments.filter("xq is not null").withColumn("mate", flags.mate_number())
-    distance = f.groupBy(*READ, "xi").agg(F.sum("nm").alias("dist"))
+    # Staged, so that the fragments are sorted and gathered once, not again for distances, counts and junctions.
+    reason, rule = _classify(max_dist)
+    codes = F.filter(_neighbours(rule), lambda c: c.isNotNull())
+    total = F.aggregate(F.filter(F.transform("frags", lambda x: x["nm"].cast("bigint")), lambda x: x.isNotNull()), F.lit(None).cast("bigint"), lambda a, x: F.coalesce(a, F.lit(0)) + x)
+    gathered = evaluate_once(_gathered(f, [*READ, "xi"], "ungapped"), _codes=codes, dist=total)
+    gathered = stage_table(gathered.withColumn("reason", reason).drop("_codes"))
+    distance = gathered.select(*READ, "xi", "dist")
     per_distance = distance.groupBy(*READ, "dist").agg(F.count(F.lit(1)).alias("nh"))
     best = per_distance.groupBy(*READ).agg(F.min(F.struct("dist", "nh")).alias("b")).select(*READ, "b.*")
     chosen = distance.join(best, [*READ, "dist"]).select(*READ, "xi", F.col("nh").cast("int").alias("nh"))
-    reason, rule = _classify(max_dist)
-    rows = _gathered(f, [*READ, "xi"], "ungapped").join(chosen, [*READ, "xi"])
-    codes = F.filter(_neighbours(rule), lambda c: c.isNotNull())
-    return evaluate_once(rows, _codes=codes).withColumn("reason", reason).drop("_codes")
+    return gathered.drop("dist").join(chosen, [*READ, "xi"])
 
 
 def join_split_reads(
@@ -177,7 +180,8 @@ def junction_motifs(mappings: DataFrame, genome: DataFrame, *, keys: Sequence[st
     place = ["rname", "donor", "acceptor"]
     ends = F.array(*[F.struct(F.lit(end).alias("side"), F.col(end).alias("site")) for end in ("donor", "acceptor")])
     looked = sites.select(*place).distinct().select(*place, F.inline(ends))
-    text = chunk_edges(genome, extra=1).select("rname", F.col("start").alias("_at"), "seq")
+    # As in ``extract_transcripts``: never a broadcast of the genome.
+    text = chunk_edges(genome, extra=1).select("rname", F.col("start").alias("_at"), "seq").hint("merge")
     looked = looked.withColumn("_at", (F.floor(F.col("site") / chunk) * chunk).cast("int")).join(text, ["rname", "_at"], "left")
     two = F.upper(F.substr("seq", F.col("site") - F.col("_at") + 1, F.lit(2)))
     found = looked.groupBy(*place).agg(*[F.max(F.when(F.col("side") == end, two)).alias(f"{end}_bases") for end in ("donor", "acceptor")])
@@ -255,6 +259,8 @@ def template_mappings(
     rows = rows.withColumn("single", F.col("state").isNull() | (F.col("state") == "OK"))
     motifs = seq_type == "RNA" and library_type == "unstranded"
     if motifs and genome is not None:
+        # Staged, so that the junctions do not sort and gather the fragments again.
+        rows = stage_table(rows)
         joinable = rows.filter("state = 'OK'")
         rows = rows.join(_unanimous(joinable, genome, chunk), keys, "left")
     else:
@@ -279,7 +285,8 @@ def template_mappings(
         ],
         F.bool_and("single").alias("suitable"),
     )
-    nh = per.groupBy("sample", "qname").agg(F.count(F.lit(1)).cast("int").alias("nh"))
+    # Counted on the keys alone: the records of a template are not joined a second time for it.
+    nh = f.select("sample", "qname", "xi").distinct().groupBy("sample", "qname").agg(F.count(F.lit(1)).cast("int").alias("nh"))
     return per.join(nh, ["sample", "qname"])
 
 
