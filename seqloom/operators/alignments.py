@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases, cigar, flags
+from ..functions.staging import stage_table
 from ..options import choice, positive, require
 from .intervals import merge_intervals, overlap_join
 
@@ -161,6 +162,7 @@ def fix_mates(al: DataFrame) -> DataFrame:
     All mappings of a name must have one record, or all two; else a run-time error names it.
     ``nh`` becomes the number of mappings; a single mapping loses the secondary bit.
     """
+    al = stage_table(al)
     me = F.struct("flag", "rname", "pos", "cigar")
     mapping = al.groupBy(*TEMPLATE, "xi").agg(
         F.count(F.lit(1)).alias("size"), F.min(me).alias("m1"), F.max(me).alias("m2")
@@ -189,6 +191,8 @@ def fix_mates(al: DataFrame) -> DataFrame:
 
 def filter_for_snp_calling(al: DataFrame) -> DataFrame:
     """Drop templates with several mappings, and pairs whose mates lie on different sequences."""
+    # Read twice below, so it is computed once.
+    al = stage_table(al)
     first = flags.lacks(flags.SECOND)
     per = al.groupBy(*TEMPLATE).agg(
         F.min("xi").alias("lo"),
