@@ -363,13 +363,18 @@ def htseq_count(
     else:
         covered = hits.groupBy(*key, F.col("r_id").alias("id"), F.col("r_whole").alias("whole")).agg(F.sum("overlap").alias("c"), *kept)
         if mode == "intersection-strict":
-            full = covered.filter("c = length")
-            best = full.groupBy(*key).agg(F.count("id").alias("k"), F.max("id").alias("id"), F.max("n").alias("n"))
+            full = F.when(F.col("c") == F.col("length"), F.col("id"))
+            best = covered.groupBy(*key).agg(F.count(full).alias("k"), F.max(full).alias("id"), F.max("c").alias("top"), *kept)
+            best = best.filter("top = length")
         else:
-            # No gene covers more than all of them do, so those that cover as much share the largest count.
             gene = F.when(~F.col("whole"), F.col("id"))
             level = covered.groupBy(*key, "c").agg(F.count(gene).alias("k"), F.max(gene).alias("id"), F.bool_or("whole").alias("any"), F.max("n").alias("n"))
-            best = level.filter("any and k > 0").select(*key, "k", "id", "n")
+            same = F.col("any") & (F.col("k") > 0)
+            best = level.groupBy(*key).agg(
+                F.max(F.when(F.col("k") > 0, F.col("c"))).alias("top"), F.max(F.when(F.col("any"), F.col("c"))).alias("c_any"),
+                F.max(F.when(same, F.col("k"))).alias("k"), F.max(F.when(same, F.col("id"))).alias("id"), F.max("n").alias("n"),
+            )
+            best = best.filter("top = c_any")
     found = best.groupBy("sample", F.when(F.col("k") == 1, F.col("id")).alias("id")).agg(F.sum("n").alias("n"))
     found = found.join(named.groupBy("id").agg(F.min("gene").alias("gene")), "id", "left")
     found = found.select("sample", F.when(F.col("id").isNull(), "__ambiguous").otherwise(F.col("gene")).alias("gene"), "n")

@@ -464,3 +464,14 @@ def test_sole_targets_by_sums_equal_the_pairs(spark, monkeypatch, opts):
         rows = [X.feature_counts(al, features, samples=["s"], **opts), X.read_assignments(al, features, **opts)]
         got.append([sorted(map(tuple, r.collect()), key=repr) for r in rows])
     assert got[0] == got[1] and any(r[2] for r in got[0][0])
+
+
+def test_unpaired_read_and_lone_mate_are_two_templates(spark):
+    schema = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, nh int"
+    al = spark.createDataFrame([("s", "a", 0, "c", 11, 30, "10M", 1), ("s", "b", 73, "c", 11, 30, "10M", 1)], schema)
+    genes = spark.createDataFrame([("c", 0, 100, "+", "g")], "rname string, start int, end int, strand string, gene_id string")
+    for mode in ("union", "intersection-strict", "intersection-nonempty"):
+        out = X.htseq_count(al, genes, samples=["s"], mode=mode)
+        assert {r["gene"]: r["n"] for r in out.collect() if r["n"]} == {"g": 2}
+        # No CIGAR text and no gene name takes part in the aggregates behind the range join.
+        assert "gene#" not in out._jdf.queryExecution().optimizedPlan().toString().split("r_id")[1].split("Join")[0]

@@ -122,3 +122,11 @@ def test_gene_name_missing_never_matches(spark):
     assert AN.filter_gtf(df, remove_gencode=True).count() == 2
     assert AN.filter_gtf(df, class_and_name=(["u"], "ENS")).count() == 2
     assert AN.filter_gtf(df, remove_unstranded=True).count() == 2
+
+
+def test_sam_tags_are_built_once(spark):
+    df = T.parse_sam(lines(spark, "@HD\tVN:1.6", "r1\t99\tchr1\t5\t30\t4M\t=\t9\t8\tACGT\tIIII\tXZ:Z:a:b:c\tNM:i:0"))
+    out = df.select("pos", F.col("tags")["NM"]["value"].alias("nm"), F.size("tags").alias("n"))
+    assert [tuple(r) for r in out.collect()] == [(5, "0", 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries") == 1 and plan.count("split(value") == 1

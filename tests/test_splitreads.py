@@ -98,3 +98,12 @@ def test_far_gap_outranks_overlap(spark):
     rows = [frag("a", 100, 1, flag=65), frag("a", 105, 11, flag=65, xq=1), frag("a", 900000, 21, flag=65, xq=2)]
     m = S.template_mappings(table(spark, rows)).collect()[0]
     assert m["state1"] == "max_dist_breached" and not m["suitable"]
+
+
+def test_fragments_are_gathered_once(spark):
+    rows = table(spark, [frag("p", 100, 1), frag("p", 200, 11), frag("p", 400, 1, flag=128)])
+    out = S.join_split_reads_pe(rows, library_type="firststrand")
+    assert {r["nh"] for r in out.collect()} == {1}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 1
+    joined = S.join_split_reads(rows)
+    assert joined.count() == 2 and "collect_list" not in joined._jdf.queryExecution().optimizedPlan().toString()
