@@ -50,7 +50,7 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add ``columns`` through a one-row generator.
 
     Filters on a projected column are pushed below the projection with its expression copied, and so are
-    evaluated again; nothing is pushed or copied through a generator. For costly array folds only.
+    evaluated again; nothing is pushed or copied through a generator. For costly array folds and Python functions only.
     """
     packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
     keep = [c for c in df.columns if c not in columns]

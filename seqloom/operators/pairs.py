@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 import numpy as np
 
 from ..functions import bases
+from ..functions.staging import evaluate_once
 from ..options import positive
 from .reads import pairs_of
 
@@ -55,7 +56,8 @@ def pair_overlaps(reads: DataFrame, *, min_overlap: int = 10, max_mismatch: floa
     """Pairs with the best overlap of mate 1 and turned mate 2 (``size`` 0 for none)."""
     positive("min_overlap", min_overlap)
     pairs = pairs_of(reads).withColumns({"rc2": bases.reverse_complement("seq2"), "rq2": F.reverse("qual2")})
-    return pairs.withColumn("ov", _overlap(min_overlap, max_mismatch)(F.col("seq1"), F.col("rc2")))
+    # A filter on ``ov`` would run the search a second time, with Python workers of its own.
+    return evaluate_once(pairs, ov=_overlap(min_overlap, max_mismatch)(F.col("seq1"), F.col("rc2")))
 
 
 def merge_pairs(

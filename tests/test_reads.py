@@ -102,6 +102,23 @@ def test_merge_pairs(spark):
     assert out[1]["status"] == "unassembled"
 
 
+def test_overlap_of_mates_is_searched_once(spark):
+    """A filter on the overlap does not search it again: a task has one Python worker, not two."""
+    rng = random.Random(5)
+    frags = ["".join(rng.choices("ACGT", k=20)) for _ in range(6)]
+    turned = [f[::-1].translate(str.maketrans("ACGT", "TGCA")) for f in frags]
+    both = reads(spark, [f + "AGATC" for f in frags] + ["A" * 25, ""])
+    both = both.unionByName(reads(spark, [t + "CTG" for t in turned] + ["A" * 23, "ACGT"], mate=2))
+    both = both.unionByName(spark.createDataFrame([("s", 9, 1, "x", None, None), ("s", 9, 2, "x", "ACGT", "IIII")], SCHEMA))
+    out = P.identify_adapters(both, min_overlap=11)
+    got = {(r["mate"], r["pos"]): (r["base"], r["rank_n"], r["total"]) for r in out.collect()}
+    assert got == {(m, i): (b, 6, 6) for m, tail in ((1, "AGATC"), (2, "CTG")) for i, b in enumerate(tail)}
+    merged = P.merge_pairs(both, min_overlap=11, min_len=10).filter("status = 'assembled' and overlap > 0")
+    assert sorted(r["seq"] for r in merged.collect()) == sorted(frags)
+    for df in (out, merged):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_sampling_is_exact_nested_and_pairwise(spark):
     both = reads(spark, ["A"] * 300).unionByName(reads(spark, ["C"] * 300, mate=2))
     got = R.sample_reads(both, n=57)
