@@ -475,6 +475,7 @@ def _covered_before(runs: DataFrame, points: DataFrame) -> DataFrame:
     """Per sample and point (rname, pos): summed depth ``cov``, summed squares ``sq`` and covered bases ``seen`` of the sequence before it.
 
     Sums over any stretch are differences of two rows, so no run meets an exon. Whole-numbered depths add up exactly below 2^53.
+    Joins with it merge: Spark takes points that come from exploded rows for as few as the exons, and would broadcast them.
     """
     runs = stage(runs)
     v = F.col("value")
@@ -489,7 +490,7 @@ def _covered_before(runs: DataFrame, points: DataFrame) -> DataFrame:
     asked = points.distinct().crossJoin(F.broadcast(runs.select("sample").distinct()))
     at = running_at(events, asked, dict.fromkeys(sums, "sum"), by=["sample", "rname"])
     before = [(F.col(c) * F.col("pos") - F.col(f"{c}p")).alias(name) for c, name in (("v", "cov"), ("q", "sq"), ("k", "seen"))]
-    return at.select("sample", "rname", "pos", *before)
+    return at.select("sample", "rname", "pos", *before).hint("merge")
 
 
 def _transcribed(exons: DataFrame, min_len: int) -> tuple[DataFrame, Column]:

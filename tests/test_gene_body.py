@@ -73,3 +73,15 @@ def test_no_pairs_of_runs_and_exons(spark):
     runs, exons = _tables(spark)
     for out in (X.gene_body_coverage(runs, exons), X.transcript_bias(runs, exons)):
         assert "_bin" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_points_from_exploded_rows_are_not_broadcast(spark, tmp_path):
+    runs, exons = _tables(spark)
+    # From a file, whose size is all that Spark knows of the rows exploded from it.
+    exons.coalesce(1).write.parquet(str(tmp_path / "exons"))
+    few = spark.read.parquet(str(tmp_path / "exons"))
+    for f in (X.gene_body_coverage, X.transcript_bias):
+        plan = f(runs, few)._jdf.queryExecution().sparkPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line and "pos#" in line]
+        assert joins and not [line for line in joins if "Broadcast" in line]
+    assert sorted(X.gene_body_coverage(runs, few).collect()) == sorted(X.gene_body_coverage(runs, exons).collect())
