@@ -161,7 +161,8 @@ def near_words(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
     once = (F.col("a_role") != SAME) | (F.col("a") < F.col("b"))
     # Most words met under a gram differ in more letters than one edit can change; few pairs are compared whole.
     alike = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
-    met = a.join(b.drop("b_role"), (a["key"] == b["key"]) & once & alike & one_edit("a", "b"))
+    # Entries are many times the words, by whose file Spark sizes them: it would broadcast them.
+    met = a.join(b.drop("b_role").hint("merge"), (a["key"] == b["key"]) & once & alike & one_edit("a", "b"))
     ways = [F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(f"{y}_n").alias("near_n")) for x, y in ("ab", "ba")]
     return met.select(F.inline(F.array(*ways))).distinct()
 
@@ -188,10 +189,11 @@ def variants(docs: DataFrame) -> DataFrame:
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("best"))
     near = scratch.keep(best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.m")).alias("near_n")), "near")
     has = F.col("near_n") >= FORM_RATIO * F.col("n")
-    judged = words.join(near, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(has, F.col("near")).alias("form"), F.when(has, F.col("near_n")).alias("form_n"))
+    # The kept tables grow with the texts and their files are compressed, so Spark takes them for small: never a broadcast of one.
+    judged = words.join(near.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(has, F.col("near")).alias("form"), F.when(has, F.col("near_n")).alias("form_n"))
     judged = scratch.keep(judged, "judged")
     roots = _roots(judged, scratch)
-    out = judged.join(roots, "word", "left")
+    out = judged.join(roots.hint("merge"), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -204,7 +206,7 @@ def _roots(judged: DataFrame, scratch: Scratch) -> DataFrame:
         steps += 1
     while covered < steps:
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        roots = scratch.keep(roots.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
+        roots = scratch.keep(roots.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
         covered *= 2
     return roots
 

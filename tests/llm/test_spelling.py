@@ -114,3 +114,19 @@ def test_dictionary_is_bounded(spark, docs):
     every = spelling.frequent_grams(words, share=10**9)
     few = spelling.frequent_grams(words, share=1000)
     assert 0 < len(few) <= 3000 < len(every) and few.items() <= every.items()
+
+
+def test_no_table_that_grows_with_the_texts_is_broadcast(docs, monkeypatch):
+    plans = []
+
+    class Seen(spelling.Scratch):
+        def keep(self, df, name):
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+            return super().keep(df, name)
+
+    monkeypatch.setattr(spelling, "Scratch", Seen)
+    words = ["abcdefgh", "abcdefgx", "abcdefyx", "abcdezyx"]
+    out = spelling.variants(docs([(10 + k, f"{w} " * (2 * 12**k)) for k, w in enumerate(words)]))
+    plans.append(out._jdf.queryExecution().sparkPlan().toString())
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert len(joins) >= 5 and not [line for line in joins if "Broadcast" in line]
