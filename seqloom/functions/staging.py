@@ -5,9 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_staged: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's shared checkpoint folder, so later passes read it instead of recomputing."""
@@ -21,12 +25,33 @@ def stage_table(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed Parquet table to the shared folder and read it from there; deleted at the end of the session.
 
     For wide rows of which later passes read few columns: a checkpoint holds them unpacked and is read whole.
+    A table that is staged already is returned as it is.
     """
+    if df in _staged:
+        return df
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/seqloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    write_once(df, path)
     atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _staged[out] = path
+    return out
+
+
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` as compressed Parquet; its shuffles have served then, and would else stay until the driver happens to collect garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a table of ``stage_table`` that no later pass reads."""
+    _delete(staged.sparkSession, _staged.pop(staged))
 
 
 def _delete(spark: SparkSession, path: str) -> None:

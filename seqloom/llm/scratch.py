@@ -7,12 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.staging import shared_folder
+from ..functions.staging import shared_folder, write_once
 
 #: Bytes and rows of one Arrow batch at most: bounds the memory of a Python worker whatever the length of texts.
 BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4000
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -34,13 +33,7 @@ class Scratch:
         """Write ``df`` once and read it from there: lineage is cut, and a lost executor costs no recomputation."""
         path = f"{self.base}/{name}-{len(self.paths)}"
         self.paths[path] = name
-        # Its shuffles have served once it is written; else they stay until the driver happens to collect garbage.
-        before = self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
-            df.write.option("compression", "zstd").parquet(path)
-        finally:
-            self.spark.conf.set(CLEANUP, before)
+        write_once(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import bases, cigar, flags
-from ..functions.staging import stage_table
+from ..functions.staging import discard, stage_table
 from ..options import choice, positive, require
 from .intervals import merge_intervals, overlap_join
 
@@ -160,17 +160,20 @@ def fix_mates(al: DataFrame) -> DataFrame:
     """Repair mate fields of multi-mapped templates: mappings are numbered by ``xi``.
 
     All mappings of a name must have one record, or all two; else a run-time error names it.
-    ``nh`` becomes the number of mappings; a single mapping loses the secondary bit.
+    ``nh`` becomes the number of mappings; a single mapping loses the secondary bit. The result is a staged table.
     """
-    al = stage_table(al)
+    given = stage_table(al)
     me = F.struct("flag", "rname", "pos", "cigar")
-    mapping = al.groupBy(*TEMPLATE, "xi").agg(
-        F.count(F.lit(1)).alias("size"), F.min(me).alias("m1"), F.max(me).alias("m2")
-    )
+    mapping = given.groupBy(*TEMPLATE, "xi").agg(F.count(F.lit(1)).alias("size"))
     template = mapping.groupBy(*TEMPLATE).agg(
         F.count(F.lit(1)).alias("nh"), F.min("size").alias("lo"), F.max("size").alias("hi")
     )
-    joined = al.drop("nh").join(mapping, [*TEMPLATE, "xi"]).join(template, TEMPLATE)
+    # Counts come back by mapping, and a window holds one mapping, of two records unless it is an error: whole records are shuffled once.
+    # The counts are staged, so that their shuffles are gone before that.
+    counts = stage_table(mapping.drop("size").join(template.hint("merge"), TEMPLATE))
+    one = Window.partitionBy(*TEMPLATE, "xi")
+    both = given.drop("nh").withColumns({"m1": F.min(me).over(one), "m2": F.max(me).over(one)})
+    joined = both.join(counts.hint("merge"), [*TEMPLATE, "xi"])
     bad = (F.col("lo") != F.col("hi")) | (F.col("hi") > 2)
     message = F.concat(F.lit("single and paired mappings mixed: "), F.col("qname"))
     paired = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.col("hi") == 2)
@@ -179,19 +182,23 @@ def fix_mates(al: DataFrame) -> DataFrame:
     flag = flags.put_if(~F.col("paired") & flags.has(flags.PAIRED), flags.MATE_UNMAPPED, flag)
     flag = flags.put_if(F.col("paired") & flags.has(flags.REVERSE, F.col("mate.flag")), flags.MATE_REVERSE, flag)
     same = F.col("mate.rname") == F.col("rname")
-    return joined.withColumns(
+    repaired = joined.withColumns(
         {
             "flag": flag,
             "nh": F.col("nh").cast("int"),
             "rnext": F.when(~F.col("paired"), F.col("rnext")).when(same, "=").otherwise(F.col("mate.rname")),
             "pnext": F.when(F.col("paired"), F.col("mate.pos")).otherwise(F.col("pnext")),
         }
-    ).drop("size", "m1", "m2", "lo", "hi", "paired", "mate")
+    ).drop("m1", "m2", "lo", "hi", "paired", "mate")
+    out = stage_table(repaired)
+    for done in [counts, *[given] * (given is not al)]:
+        discard(done)
+    return out
 
 
 def filter_for_snp_calling(al: DataFrame) -> DataFrame:
     """Drop templates with several mappings, and pairs whose mates lie on different sequences."""
-    # Read twice below, so it is computed once.
+    # Read twice below, so it is computed once; a table staged before, as from ``fix_mates``, is not written again.
     al = stage_table(al)
     first = flags.lacks(flags.SECOND)
     per = al.groupBy(*TEMPLATE).agg(
@@ -202,7 +209,7 @@ def filter_for_snp_calling(al: DataFrame) -> DataFrame:
         F.bool_or(first & (F.col("rnext") != "=")).alias("apart"),
     )
     bad = per.filter("lo <> hi or (n1 = n2 and apart)").select(*TEMPLATE)
-    return al.join(bad, TEMPLATE, "left_anti")
+    return al.join(bad.hint("merge"), TEMPLATE, "left_anti")
 
 
 def large_split_status(al: DataFrame, *, max_split: int, max_distance: int) -> DataFrame:
