@@ -257,37 +257,40 @@ def template_mappings(
     keys = ["sample", "qname", "xi", "mate"]
     rows = evaluate_once(_gathered(f, keys, "read"), state=_state(distance), _fold=_fold())
     rows = rows.withColumn("single", F.col("state").isNull() | (F.col("state") == "OK"))
-    motifs = seq_type == "RNA" and library_type == "unstranded"
-    if motifs and genome is not None:
-        # Staged, so that the junctions do not sort and gather the fragments again.
-        rows = stage_table(rows)
-        joinable = rows.filter("state = 'OK'")
-        rows = rows.join(_unanimous(joinable, genome, chunk), keys, "left")
-    else:
-        rows = rows.withColumn("motif_strand", F.lit(None).cast("string"))
+    motifs = seq_type == "RNA" and library_type == "unstranded" and genome is not None
     mean = F.floor(F.aggregate(F.transform("frags", lambda x: x["mapq"]), F.lit(0), lambda a, x: a + x) / F.size("frags"))
     fields = {**_joined_fields(), "mapq": mean.cast("int")}
     turned = flags.has(flags.REVERSE, fields["flag"])
-    if seq_type == "DNA":
+    if seq_type == "DNA" or library_type == "unstranded":
         xs = F.lit(None).cast("string")
-    elif library_type == "unstranded":
-        xs = F.col("motif_strand")
     else:
         same = (F.col("mate") == 2) == turned
         xs = F.when(same if library_type == "firststrand" else ~same, "-").otherwise("+")
     record = F.struct(*[v.alias(k) for k, v in fields.items()], xs.alias("xs"), F.col("state").alias("ys"))
-    rows = rows.select(*keys, "state", "single", "n_frags", F.when(F.col("single"), record).alias("rec"))
+    places = F.when(F.col("state") == "OK", F.transform("frags", lambda x: F.struct(x["rname"], x["pos"], x["len"])))
+    rows = rows.select(*keys, "state", "single", "n_frags", F.when(F.col("single"), record).alias("rec"), *[places.alias("frags")] * motifs)
+    if motifs:
+        # Staged, so that the junctions do not sort and gather the fragments again; of these they need the places only.
+        f = rows = stage_table(rows)
+        strands = _unanimous(rows.filter("state = 'OK'").select(*keys, "frags"), genome, chunk).dropna(subset=keys)
+        rows = rows.drop("frags").unionByName(strands, allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("motif_strand", F.lit(None).cast("string"))
+    # Counted on the keys alone. Strands and counts are rows of their own until the records are gathered, which are shuffled once so.
+    mappings = f.select("sample", "qname", "xi").distinct()
+    names = mappings.groupBy("sample", "qname").agg(F.count(F.lit(1)).cast("int").alias("nh"))
+    counts = mappings.join(names.hint("merge"), ["sample", "qname"])
+    rows = rows.unionByName(counts, allowMissingColumns=True)
+    columns = (("rec", "r"), ("state", "state"), ("n_frags", "n"), *[("motif_strand", "motif")] * motifs)
     per = rows.groupBy("sample", "qname", "xi").agg(
-        *[
-            F.max(F.when(F.col("mate") == m, F.col(c))).alias(f"{a}{m}")
-            for m in (1, 2)
-            for c, a in (("rec", "r"), ("state", "state"), ("n_frags", "n"))
-        ],
+        *[F.max(F.when(F.col("mate") == m, F.col(c))).alias(f"{a}{m}") for m in (1, 2) for c, a in columns],
         F.bool_and("single").alias("suitable"),
+        F.max("nh").alias("nh"),
     )
-    # Counted on the keys alone: the records of a template are not joined a second time for it.
-    nh = f.select("sample", "qname", "xi").distinct().groupBy("sample", "qname").agg(F.count(F.lit(1)).cast("int").alias("nh"))
-    return per.join(nh, ["sample", "qname"])
+    if motifs:
+        per = per.withColumns({f"r{m}": F.col(f"r{m}").withField("xs", F.col(f"motif{m}")) for m in (1, 2)}).drop("motif1", "motif2")
+    # As for other keys, templates without a sample or a name have no count and go.
+    return per.filter("nh is not null").select("sample", "qname", "xi", *[f"{a}{m}" for m in (1, 2) for _, a in columns[:3]], "suitable", "nh")
 
 
 def _unanimous(joinable: DataFrame, genome: DataFrame, chunk: int) -> DataFrame:
